@@ -8,14 +8,33 @@ from pyspark.sql import DataFrame, SparkSession
 
 from textweir.llm.common import table
 from textweir.llm.html_extract import main_text
+from textweir.llm.language import identify, train
+from textweir.llm.secrets import scan
+from textweir.llm.simhash import near_duplicates
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))
 
 
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, train(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
+    "op6_secret_scans": op6_secret_scans,
+    "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {}
