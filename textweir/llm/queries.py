@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from textweir.llm.common import table
+from textweir.llm.decontaminate import leaks
 from textweir.llm.html_extract import main_text
 from textweir.llm.language import identify, train
+from textweir.llm.mixing import mix
 from textweir.llm.secrets import scan
 from textweir.llm.simhash import near_duplicates
 
@@ -17,6 +19,14 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))
 
 
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
@@ -32,6 +42,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
+    "op3_source_mixing": op3_source_mixing,
+    "op4_decontamination": op4_decontamination,
     "op6_secret_scans": op6_secret_scans,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op10_language_id": op10_language_id,
