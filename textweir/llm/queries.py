@@ -11,6 +11,7 @@ from textweir.llm.decontaminate import leaks
 from textweir.llm.html_extract import main_text
 from textweir.llm.language import identify, train
 from textweir.llm.mixing import mix
+from textweir.llm.pii import personal_data
 from textweir.llm.secrets import scan
 from textweir.llm.simhash import near_duplicates
 
@@ -19,6 +20,10 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
 
@@ -42,6 +47,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
+    "op2_personal_data": op2_personal_data,
     "op3_source_mixing": op3_source_mixing,
     "op4_decontamination": op4_decontamination,
     "op6_secret_scans": op6_secret_scans,

@@ -99,3 +99,20 @@ def near_duplicates(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
         "fp", F.nullif(F.coalesce("component", "least"), F.lit(NULL_ID)).alias("component_id")
     )
     return made.join(of_fp, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """The rows of `docs`, all columns, that stay when one document of each group of near-duplicates is kept.
+
+    The document with the group's smallest doc_id stays. Rows that repeat an id
+    count as one document, of which one row stays; rows without an id stay, as
+    nothing can tell them apart from the rest.
+    """
+    groups = Scratch(docs.sparkSession, "groups").keep(near_duplicates(docs, bucket), "groups")
+    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(gone, "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    repeats = groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
+    if repeats:
+        named = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
+        kept = named.unionByName(kept.where("doc_id is null"))
+    return kept
