@@ -14,6 +14,7 @@ from textweir.llm.mixing import mix
 from textweir.llm.pii import personal_data
 from textweir.llm.secrets import scan
 from textweir.llm.simhash import near_duplicates
+from textweir.llm.substrings import deduplicate
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +33,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
@@ -50,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_personal_data": op2_personal_data,
     "op3_source_mixing": op3_source_mixing,
     "op4_decontamination": op4_decontamination,
+    "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_secret_scans": op6_secret_scans,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op10_language_id": op10_language_id,
