@@ -12,6 +12,7 @@ from textweir.llm.html_extract import main_text
 from textweir.llm.language import identify, train
 from textweir.llm.mixing import mix
 from textweir.llm.pii import personal_data
+from textweir.llm.recompression import remove_repeats
 from textweir.llm.secrets import scan
 from textweir.llm.simhash import near_duplicates
 from textweir.llm.substrings import deduplicate
@@ -41,6 +42,10 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
 
+def op7_recompression_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": op4_decontamination,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_secret_scans": op6_secret_scans,
+    "op7_recompression_dedup": op7_recompression_dedup,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op10_language_id": op10_language_id,
 }
