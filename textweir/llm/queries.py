@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from textweir.llm import retrieval
 from textweir.llm.common import table
 from textweir.llm.decontaminate import leaks
 from textweir.llm.html_extract import main_text
@@ -50,6 +52,11 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return retrieval.search(docs, docs.where("doc_id % 100 = 0").select(F.col("doc_id").alias("query_id"), "text"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return identify(docs, train(docs))
@@ -64,7 +71,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_secret_scans": op6_secret_scans,
     "op7_recompression_dedup": op7_recompression_dedup,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_topk_search": op9_topk_search,
     "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op9_topk_search": retrieval.ORACLE_SQL}
