@@ -6,5 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from textweir.plans import search_queries
+
+PARTS = (search_queries,)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+for part in PARTS:
+    QUERIES |= part.QUERIES
+    ORACLE_SQL |= part.ORACLE_SQL
