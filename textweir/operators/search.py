@@ -40,13 +40,18 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
-def phrase_count(words: Column, phrase: tuple[str, ...]) -> Column:
-    """How often a phrase occurs in an array of terms."""
-    if len(phrase) == 1:
-        return F.size(F.filter(words, lambda w: w == phrase[0]))
-    wanted = F.array(*map(F.lit, phrase))
-    starts = F.filter(F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1))), lambda i: F.get(words, i - 1) == phrase[0])
-    return F.size(F.filter(starts, lambda i: F.slice(words, i, len(phrase)) == wanted))
+def term_line(text: Column) -> Column:
+    """The terms of a text, each between blanks; one string is cheap to count in, where an array would need a lambda."""
+    return F.concat(F.lit(" "), F.array_join(tokens(text), " "), F.lit(" "))
+
+
+def term_total(line: Column) -> Column:
+    return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) - 1 - (line == "  ").cast("int")
+
+
+def phrase_count(line: Column, phrase: tuple[str, ...]) -> Column:
+    """How often a phrase occurs in a line of terms; occurrences may overlap."""
+    return F.regexp_count(line, F.lit(f"(?= {' '.join(phrase)} )"))
 
 
 @dataclass(frozen=True)
@@ -85,9 +90,9 @@ def glob_pattern(glob: str) -> str:
 
 def keyword_scores(chunks: DataFrame, query: Query) -> DataFrame:
     """All chunks that match, with `bm25` (lower is better)."""
-    words = chunks.withColumn("_words", tokens(F.col("text"))).drop("text")
+    words = chunks.withColumn("_words", term_line(F.col("text"))).drop("text")
     counts = [phrase_count(F.col("_words"), p) for p in query.phrases]
-    counted = words.select(*(c for c in words.columns if c != "_words"), F.size("_words").alias("_len"), F.array(*counts).alias("_tf"))
+    counted = words.select(*(c for c in words.columns if c != "_words"), term_total(F.col("_words")).alias("_len"), F.array(*counts).alias("_tf"))
     stats = counted.agg(
         F.count(F.lit(1)).alias("_n"), F.avg("_len").alias("_avg"), *(F.sum((F.get("_tf", i) > 0).cast("int")).alias(f"_df{i}") for i in range(len(counts)))
     )

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textweir.plans import search_queries
+from textweir.plans import search_queries, text_queries
 
-PARTS = (search_queries,)
+PARTS = (search_queries, text_queries)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 for part in PARTS:
