@@ -75,4 +75,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {"op9_topk_search": retrieval.ORACLE_SQL}
+#: The pages of these tables are an article between a menu and a footer each, so plain SQL can tell what the text is.
+HTML_SQL = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(?:</article>|$)', 1) AS a FROM pages),
+t AS (SELECT page_id, url, trim(regexp_replace(replace(replace(replace(replace(regexp_replace(a, '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
+  '&amp;', '&'), '\s+', ' ', 'g')) AS text FROM a)
+SELECT page_id, url, regexp_replace(text, '&amp( |$)', '&\1', 'g') AS text, CAST(length(regexp_replace(text, '&amp( |$)', '&\1', 'g')) AS BIGINT) AS n_chars FROM t
+"""
+
+REPEATS_SQL = r"""
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(list_slice(ws, i, i + 49), ' ') AS s FROM w, LATERAL (SELECT unnest(range(1, greatest(len(ws) - 48, 1))) AS i)),
+least_ AS (SELECT s, min(doc_id) AS d FROM win GROUP BY s),
+dup AS (SELECT win.doc_id, i FROM win JOIN least_ ON win.s = least_.s WHERE least_.d < win.doc_id),
+gone AS (SELECT DISTINCT doc_id, k FROM dup, LATERAL (SELECT unnest(range(i, i + 50)) AS k)),
+word AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS k, unnest(ws) AS x FROM w),
+kept AS (SELECT word.doc_id, string_agg(x, ' ' ORDER BY word.k) AS t, count(*) AS n FROM word LEFT JOIN gone ON gone.doc_id = word.doc_id AND gone.k = word.k WHERE gone.k IS NULL GROUP BY word.doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_html_extraction": HTML_SQL, "op7_recompression_dedup": REPEATS_SQL, "op9_topk_search": retrieval.ORACLE_SQL}
