@@ -9,13 +9,14 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # N-gram size, least count and warning share of the loop score; run length that collapses; length limits.
 GRAM, GRAM_TIMES, LOOP_SHARE, RUN = 8, 3, 0.08, 3
 PAPER_LIMIT, STEM_LIMIT = 40_000, 120
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfc(values: pd.Series) -> pd.Series:
     """Unicode NFC, for which Spark has no function."""
     import unicodedata
@@ -23,7 +24,7 @@ def nfc(values: pd.Series) -> pd.Series:
     return values.map(lambda s: None if s is None else unicodedata.normalize("NFC", s))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape(values: pd.Series) -> pd.Series:
     """HTML character references decoded, for which Spark has no function."""
     from html import unescape as decode
