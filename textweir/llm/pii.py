@@ -190,7 +190,7 @@ def _found(docs: DataFrame, scratch: Scratch, *carried: str) -> DataFrame:
     annotated = scratch.keep(numbered, "annotated")
     added = discover(annotated.select("_pii_row", "_pii_base", "_pii_other"), scratch)
     bare = F.transform("_pii_base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    joined = annotated.drop("_pii_other").withColumn("_pii_base", bare).join(added, "_pii_row", "left")
+    joined = annotated.drop("_pii_other").withColumn("_pii_base", bare).join(added.hint("shuffle_hash"), "_pii_row", "left")
     return joined.withColumn("_pii_all", F.when(F.col("added").isNull(), F.col("_pii_base")).otherwise(F.array_sort(F.concat("_pii_base", "added")))).drop("added", "_pii_row")
 
 

@@ -110,7 +110,8 @@ def one_of_each(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """
     groups = Scratch(docs.sparkSession, "groups").keep(near_duplicates(docs, bucket), "groups")
     gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    # A shuffle at every size: the ids that go grow with the input, so they are never broadcast.
+    kept = docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
     repeats = groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
     if repeats:
         named = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
