@@ -12,7 +12,9 @@ scores the most promising block first, and goes on only to blocks whose bound
 can still reach the k-th best score (the pivot test of block-max WAND, made
 for all blocks at once).
 
-Queries come in blocks of bounded size, each of which is sent to all shards.
+Queries come in blocks of bounded size. A block is sent to one shard in eight
+first; the k-th best score of each query there is a floor for the others, which
+prune by it and return only what reaches it.
 """
 
 from __future__ import annotations
@@ -38,6 +40,8 @@ SHARD_BYTES, BLOCK, QUERY_TERMS = 24 << 20, 64, 1 << 20
 #: Frequent terms of a shard by which its documents are ordered.
 FREQUENT = 32
 DECIMALS = 6
+#: One shard in so many sets the floors; blocks that are scored at once.
+FIRST, STEP = 8, 128
 
 TERM = re.compile(r"[^\W_]+")
 
@@ -145,25 +149,25 @@ class Shard:
         self.most = np.maximum.reduceat(self.weight, self.head) if len(self.head) else np.zeros(0)
         self.first = np.searchsorted(self.head, np.append(starts, len(self.doc)))  # of each term
 
-    def search(self, numbers: np.ndarray, idf: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k best (document, rounded score) for terms of this shard; ties go to the smaller id."""
+    def search(self, numbers: np.ndarray, idf: np.ndarray, k: int, floor: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """The k best (document, rounded score) of at least `floor` for terms of this shard; ties go to the smaller id."""
         low, high = self.first[numbers], self.first[numbers + 1]
         pair = _ranges(low, high)
         weight = np.repeat(idf, high - low)
         bound = np.bincount(self.block[pair], weight * self.most[pair], self.blocks)
         order = np.argsort(-bound, kind="stable")
         docs, scores = np.zeros(0, np.int64), np.zeros(0)
-        threshold, at = 0.0, 0
+        threshold, at = floor, 0
         step = max(1, -(-k // BLOCK))
         slot = np.full(self.blocks, -1)
         margin = 2 * 10.0**-DECIMALS
         while at < len(order) and bound[order[at]] > 0:
             last = at + step
-            if at:  # all that can still reach the threshold
+            if at or floor:  # all that can still reach the threshold
                 last = at + int(np.searchsorted(-bound[order[at:]], -(threshold - margin), "right"))
                 if last == at:
                     break
-                last = min(last, at + 32)
+                last = min(last, at + STEP)
             chosen = order[at:last]
             slot[:] = -1
             slot[chosen] = np.arange(len(chosen))
@@ -174,12 +178,14 @@ class Shard:
             doc = self.doc[rows]
             local = slot[doc // BLOCK] * BLOCK + doc % BLOCK
             total = np.bincount(local, value, len(chosen) * BLOCK)
-            hit = np.flatnonzero(total > 0)
+            matched = total > 0
+            total = np.round(total, DECIMALS)
+            hit = np.flatnonzero(matched & (total >= threshold))
             docs = np.concatenate([docs, chosen[hit // BLOCK] * BLOCK + hit % BLOCK])
-            scores = np.concatenate([scores, np.round(total[hit], DECIMALS)])
+            scores = np.concatenate([scores, total[hit]])
             best = np.lexsort((self.ids[docs], -scores))[:k]
             docs, scores = docs[best], scores[best]
-            threshold = scores[-1] if len(scores) == k else 0.0
+            threshold = max(floor, scores[-1]) if len(scores) == k else floor
             at = last
         return docs, scores
 
@@ -191,6 +197,36 @@ def _ranges(low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(low - (ends - n), n)
 
 
+HIT = "query_id bigint, doc_id bigint, score double"
+
+
+def _searcher(shared, floored, mean: float, k: int):
+    """A function that searches shards for a block of queries; `floored` is a broadcast of floors, or empty."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, ids, numbers, weights = shared.value
+        floors = floored.value if floored else {}
+        for batch in batches:
+            for row in range(batch.num_rows):
+                held = {c: batch.column(c)[row].as_py() for c in ("ids", "lengths", "terms", "docs", "counts")}
+                held["dfs"] = batch.column("dfs")[row].values.to_numpy()
+                shard = Shard(held, mean)
+                here = np.array([shard.number.get(w, -1) for w in words], np.int64)
+                out_query, out_doc, out_score = [], [], []
+                for query, number, weight in zip(ids, numbers, weights, strict=True):
+                    at = here[number]
+                    at, weight = at[at >= 0], weight[at >= 0]
+                    if len(at):
+                        docs, scores = shard.search(at, weight, k, floors.get(query, 0.0))
+                        out_query.append(np.full(len(docs), query, np.int64))
+                        out_doc.append(shard.ids[docs])
+                        out_score.append(scores)
+                if out_query:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_query, out_doc, out_score)], names=["query_id", "doc_id", "score"])
+
+    return run
+
+
 def search(docs: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     """(query_id, rank, doc_id, score): the k best rows of `docs` for each query (query_id, text).
 
@@ -219,6 +255,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     weighed = wanted.join(counted, "term").groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("term", idf.alias("idf")))).alias("terms"))
     weighed = scratch.keep(weighed, "queries")
     blocks = max(1, -(-(weighed.agg(F.sum(F.size("terms"))).first()[0] or 0) // QUERY_TERMS))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     hits = None
     for block in range(blocks):
         part = weighed if blocks == 1 else weighed.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block)
@@ -229,30 +266,14 @@ def search(docs: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
             numbers.append(np.array([vocabulary[t["term"]] for t in row["terms"]], np.int32))
             weights.append(np.array([t["idf"] for t in row["terms"]]))
         shared = spark.sparkContext.broadcast((list(vocabulary), ids, numbers, weights))
-
-        def found(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            words, ids, numbers, weights = shared.value
-            for batch in batches:
-                for row in range(batch.num_rows):
-                    held = {c: batch.column(c)[row].as_py() for c in ("ids", "lengths", "terms", "docs", "counts")}
-                    held["dfs"] = batch.column("dfs")[row].values.to_numpy()
-                    shard = Shard(held, mean)
-                    here = np.array([shard.number.get(w, -1) for w in words], np.int64)
-                    out_query, out_doc, out_score = [], [], []
-                    for query, number, weight in zip(ids, numbers, weights, strict=True):
-                        at = here[number]
-                        at, weight = at[at >= 0], weight[at >= 0]
-                        if len(at):
-                            docs, scores = shard.search(at, weight, k)
-                            out_query.append(np.full(len(docs), query, np.int64))
-                            out_doc.append(shard.ids[docs])
-                            out_score.append(scores)
-                    if out_query:
-                        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_query, out_doc, out_score)], names=["query_id", "doc_id", "score"])
-
-        part = scratch.keep(index.select("ids", "lengths", "terms", "dfs", "docs", "counts").mapInArrow(found, "query_id bigint, doc_id bigint, score double"), f"hits-{block}")
+        columns = index.select("shard", "ids", "lengths", "terms", "dfs", "docs", "counts")
+        opens = F.pmod(F.xxhash64("shard"), F.lit(FIRST)) == 0
+        first = scratch.keep(columns.where(opens).mapInArrow(_searcher(shared, {}, mean, k), HIT), f"first-{block}")
+        floors = {r["query_id"]: r["score"] for r in first.withColumn("rank", F.row_number().over(order)).where(F.col("rank") == k).collect()}
+        floored = spark.sparkContext.broadcast(floors)
+        rest = scratch.keep(columns.where(~opens).mapInArrow(_searcher(shared, floored, mean, k), HIT), f"rest-{block}")
+        part = first.unionByName(rest)
         hits = part if hits is None else hits.unionByName(part)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     best = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return best.select("query_id", "rank", F.nullif("doc_id", F.lit(NULL_ID)).alias("doc_id"), "score")
 
