@@ -26,7 +26,7 @@ from textweir.llm.common import NULL_ID, Scratch
 
 #: Bytes of distinct segments that are compared at once.
 CHUNK_BYTES = 4 << 20
-SEGMENT = "h bigint, seg binary, doc bigint, uid bigint, start int"
+SEGMENT = "h bigint, seg binary, doc bigint, uid bigint, start int, times int"
 
 
 def identified(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -51,7 +51,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _by_uid(segments: DataFrame) -> DataFrame:
-    return segments.groupBy("uid").agg(F.collect_list(F.struct("h", "start", "n")).alias("cuts"))
+    return segments.groupBy("uid").agg(F.collect_list(F.struct("h", "start", "n", "times")).alias("cuts"))
 
 
 def removed_spans(
@@ -88,8 +88,9 @@ def removed_spans(
                         pa.array([batch.column("doc")[row].as_py()] * n, pa.int64()),
                         pa.array([batch.column("uid")[row].as_py()] * n, pa.int64()),
                         pa.array([c["start"] for c in found], pa.int32()),
+                        pa.array([c["times"] for c in found], pa.int32()),
                     ],
-                    names=["h", "seg", "doc", "uid", "start"],
+                    names=["h", "seg", "doc", "uid", "start", "times"],
                 )
 
     together = held.mapInArrow(cuts, SEGMENT).repartition(F.col("h")).sortWithinPartitions("h", "seg", "doc", "uid", "start")

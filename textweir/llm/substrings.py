@@ -175,12 +175,13 @@ def compare(length: int, chunk: int = CHUNK_BYTES, memory: int = MEMORY):
 
     The first of equal segments is the earliest, so the windows of the others
     all start earlier too. The first ones are collected, whole anchors at a
-    time, and suffix-sorted together.
+    time, and suffix-sorted together. An anchor of one distinct segment that
+    holds it once has no other windows to compare, and is left out.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[bytes, int, int, int]] = []
-        size, last_h, last_seg = 0, None, None
+        size, last_h, last_seg, group, twice = 0, None, None, 0, False
 
         def out(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
             columns = list(zip(*rows, strict=True)) if rows else [[], [], []]
@@ -191,17 +192,25 @@ def compare(length: int, chunk: int = CHUNK_BYTES, memory: int = MEMORY):
 
         for batch in batches:
             copies = []
-            for h, seg, doc, uid, start in zip(*(batch.column(c).to_pylist() for c in ("h", "seg", "doc", "uid", "start")), strict=True):
+            for h, seg, doc, uid, start, times in zip(*(batch.column(c).to_pylist() for c in ("h", "seg", "doc", "uid", "start", "times")), strict=True):
                 if h == last_h and seg == last_seg:
                     copies.append((uid, start, start + len(seg)))
+                    twice |= times > 1
                     continue
-                if h != last_h and size > chunk:
-                    yield sort()
-                    held, size = [], 0
+                if h != last_h:
+                    if len(held) - group == 1 and not twice:
+                        size -= len(held.pop()[0])
+                    if size > chunk:
+                        yield sort()
+                        held, size = [], 0
+                    group, twice = len(held), False
+                twice |= times > 1
                 held.append((seg, doc, uid, start))
                 size += len(seg)
                 last_h, last_seg = h, seg
             yield out(copies)
+        if len(held) - group == 1 and not twice:
+            held.pop()
         if held:
             yield sort()
 
