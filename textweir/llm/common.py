@@ -56,6 +56,10 @@ class Scratch:
         df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def free(self) -> None:
+        """Let Spark delete the shuffle files of finished steps now; else they stay until the driver's next collection."""
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, name: str = "") -> None:
         try:
             jvm = self.spark.sparkContext._jvm

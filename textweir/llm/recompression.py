@@ -190,6 +190,7 @@ def compare(window: int, chunk: int = CHUNK_BYTES):
         held: list[tuple[bytes, int]] = []
         places: list[list[tuple[int, int]]] = []
         size, last_h, last_seg, words = 0, None, None, 0
+        unpack = zstandard.ZstdDecompressor().decompress
 
         def out(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
             columns = list(zip(*rows, strict=True)) if rows else [[], [], []]
@@ -215,10 +216,11 @@ def compare(window: int, chunk: int = CHUNK_BYTES):
                 if h != last_h and size > chunk:
                     yield verified()
                     held, places, size = [], [], 0
-                held.append((seg, doc))
+                text = unpack(seg)
+                held.append((text, doc))
                 places.append([(uid, start)])
-                size += len(seg)
-                last_h, last_seg, words = h, seg, seg.count(b" ") + 1
+                size += len(text)
+                last_h, last_seg, words = h, seg, text.count(b" ") + 1
             yield out(copies)
         if held:
             yield verified()
@@ -227,9 +229,11 @@ def compare(window: int, chunk: int = CHUNK_BYTES):
 
 
 def cut(window: int):
+    """Segments packed one by one: equal ones stay equal, and the shuffle of overlapping segments shrinks."""
+
     def run(text: bytes, spans: list[tuple[int, int]]) -> list[bytes]:
-        words = text.split()
-        return [b" ".join(words[a : a + n + window - 1]) for a, n in spans]
+        words, pack = text.split(), zstandard.ZstdCompressor(level=1, write_content_size=True).compress
+        return [pack(b" ".join(words[a : a + n + window - 1])) for a, n in spans]
 
     return run
 
@@ -243,7 +247,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
     """
     scratch = Scratch(docs.sparkSession, "recompression")
     rows = identified(docs, scratch)
-    lost = removed_spans(rows, anchors(window, rounds), cut(window), compare(window), scratch)
+    lost = removed_spans(rows, anchors(window, rounds), cut(window), compare(window), scratch, across=True)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress

@@ -60,6 +60,7 @@ def removed_spans(
     cut: Callable[[bytes, list[tuple[int, int]]], list[bytes]],
     compare: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
     scratch: Scratch,
+    across: bool = False,
 ) -> DataFrame:
     """(uid, z, spans) of the rows that lose something: their packed text and the spans (a, b) to remove.
 
@@ -67,12 +68,17 @@ def removed_spans(
     bytes of segments (start, n) of a text; `compare` maps segments sorted by
     (h, seg, doc, uid, start) within a partition to spans (uid, a, b).
     `times` is 2 for a segment that may repeat a window within itself, else 1.
+    With `across` only repeats in different rows count.
     """
     segments = rows.select("uid", "text").mapInArrow(anchors, "h bigint, uid bigint, start int, n int, times int")
-    repeated = segments.groupBy("h").agg(F.sum("times").alias("all")).where("all > 1").select("h")
+    counted = segments.groupBy("h").agg(F.sum("times").alias("all"), F.min("uid").alias("first"), F.max("uid").alias("last"))
+    # A table, so that both sides of the join are plain shuffles, whose hot keys adaptive execution can split.
+    repeated = scratch.keep(counted.where("first < last" if across else "all > 1").select("h"), "repeated")
+    scratch.free()
     shared = _by_uid(segments.join(repeated, "h"))
     packed = rows.select("uid", "doc", "text").mapInArrow(_packed, "uid bigint, doc bigint, z binary")
     held = scratch.keep(packed.join(shared, "uid"), "held")
+    scratch.free()
 
     def cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -95,6 +101,7 @@ def removed_spans(
 
     together = held.mapInArrow(cuts, SEGMENT).repartition(F.col("h")).sortWithinPartitions("h", "seg", "doc", "uid", "start")
     spans = scratch.keep(together.mapInArrow(compare, "uid bigint, a int, b int"), "spans")
+    scratch.free()
     merged = spans.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("spans"))
     return held.select("uid", "z").join(merged, "uid")
 
