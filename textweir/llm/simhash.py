@@ -102,13 +102,18 @@ def near_duplicates(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """The rows of `docs`, all columns, that stay when one document of each group of near-duplicates is kept.
+    """The rows of `docs`, all columns, that stay when one document of each group of near-duplicates is kept; see `least_of_each`."""
+    return least_of_each(docs, near_duplicates(docs, bucket))
+
+
+def least_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows of `docs` that stay when one document of each of `groups` (doc_id, component_id) is kept.
 
     The document with the group's smallest doc_id stays. Rows that repeat an id
     count as one document, of which one row stays; rows without an id stay, as
     nothing can tell them apart from the rest.
     """
-    groups = Scratch(docs.sparkSession, "groups").keep(near_duplicates(docs, bucket), "groups")
+    groups = Scratch(docs.sparkSession, "groups").keep(groups, "groups")
     gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
     # A shuffle at every size: the ids that go grow with the input, so they are never broadcast.
     kept = docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
