@@ -53,9 +53,9 @@ def test_induced_sorting(alphabet, memory):
             assert rows[k, 1] == min(same, 20)
 
 
-def test_substrings(docs):
+def removed_bytes(rows):
     seen, want = set(), {}
-    for doc, text in ROWS:
+    for doc, text in rows:
         data = (text or "").encode()
         gone = [False] * len(data)
         for i in range(len(data) - 99):
@@ -65,11 +65,69 @@ def test_substrings(docs):
         kept = bytes(b for b, g in zip(data, gone, strict=True) if not g)
         spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
         want[doc] = (len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest(), kept)
-    got = {r["doc_id"]: (*r[1:5], bytes(r["kept"])) for r in substrings.deduplicate(docs, bytes_too=True).collect()}
+    return want
+
+
+@pytest.mark.parametrize("hot", [substrings.HOT, 60])
+def test_substrings(docs, hot):
+    want = removed_bytes(ROWS)
+    got = {r["doc_id"]: (*r[1:5], bytes(r["kept"])) for r in substrings.deduplicate(docs, bytes_too=True, hot=hot).collect()}
     assert got == want and sum(w[1] for w in want.values())
 
 
-def test_repeated_words(docs):
+def test_substrings_in_pieces(docs, monkeypatch):
+    """Texts longer than a piece, shards longer than a chunk."""
+    monkeypatch.setattr(substrings, "PIECE", 256)
+    batch = [(k, k, t or "") for k, t in ROWS]
+    import pyarrow as pa
+
+    columns = pa.RecordBatch.from_arrays([pa.array([b[i] for b in batch]) for i in range(3)], names=["uid", "ord", "text"])
+    rows = [r for b in substrings.segments(100)([columns]) for r in b.to_pylist()]
+    covered = {(r["uid"], r["start"] + i) for r in rows for i in range(r["n"])}
+    assert covered == {(k, i) for k, t in ROWS for i in range(len((t or "").encode()) - 99)} and len({(r["uid"], r["start"]) for r in rows}) == len(rows)
+    texts = {k: (t or "").encode() for k, t in ROWS}
+    strings = {}
+    for r in rows:
+        seg = texts[r["uid"]][r["start"] : r["start"] + r["n"] + 99]
+        assert strings.setdefault((r["h"], r["s"], r["t"]), seg) == seg
+        at, w, v = substrings.single_windows(100)(texts[r["uid"]], [(r["start"], r["n"])])
+        assert at.tolist() == list(range(r["start"], r["start"] + r["n"])) and len(set(zip(w.tolist(), v.tolist(), strict=True))) == len({seg[i : i + 100] for i in range(r["n"])})
+
+
+def repeated_ids(spark):
+    rows = [(i % 20 if i % 5 else None, t) for i, t in ROWS]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_substrings_of_repeated_ids(spark):
+    """Rows that share an id, or have none, are documents of their own: the longest of equal texts' bytes stay once."""
+    rows, docs = repeated_ids(spark)
+    got = substrings.deduplicate(docs, hot=100).collect()
+    assert len(got) == len(rows) and sorted((str(r["doc_id"]), r["n_bytes"]) for r in got) == sorted((str(i), len((t or "").encode())) for i, t in rows)
+    kept = {(t or "").encode()[i : i + 100] for _, t in rows for i in range(len((t or "").encode()) - 99)}
+    assert sum(r["n_removed"] for r in got) and kept
+    copies = spark.createDataFrame([(None, "x" * 30 + "abc" * 60), (7, "x" * 30 + "abc" * 60), (7, "x" * 30 + "abc" * 60)], "doc_id long, text string")
+    removed = sorted((r["doc_id"] is None, r["n_removed"]) for r in substrings.deduplicate(copies).collect())
+    alone = removed_bytes([(0, "x" * 30 + "abc" * 60)])[0][1]
+    assert removed == [(False, alone), (False, 210), (True, 210)]
+
+
+def test_words_of_repeated_ids(spark):
+    """Rows of one id don't remove each other's words; rows without an id come last."""
+    text = " ".join(map(str, range(60)))
+    docs = spark.createDataFrame([(3, text), (3, text), (None, text), (None, text), (5, text)], "doc_id long, text string")
+    for hot in (recompression.HOT, 1):
+        got = sorted((r["doc_id"] or 99, r["n_removed"]) for r in recompression.remove_repeats(docs, hot=hot).collect())
+        assert got == [(3, 0), (3, 0), (5, 60), (99, 60), (99, 60)]
+
+
+def test_no_rows(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert substrings.deduplicate(empty).count() == 0 and recompression.remove_repeats(empty).count() == 0
+
+
+@pytest.mark.parametrize("hot", [recompression.HOT, 20])
+def test_repeated_words(docs, hot):
     first, want = {}, {}
     for doc, text in ROWS:
         w = words_of(text)
@@ -83,7 +141,7 @@ def test_repeated_words(docs):
                 gone[i : i + 50] = [True] * 50
         kept = " ".join(x for x, g in zip(w, gone, strict=True) if not g)
         want[doc] = (len(w), sum(gone), hashlib.sha256(kept.encode()).hexdigest(), kept)
-    got = {r["doc_id"]: tuple(r[1:]) for r in recompression.remove_repeats(docs, texts=True).collect()}
+    got = {r["doc_id"]: tuple(r[1:]) for r in recompression.remove_repeats(docs, texts=True, hot=hot).collect()}
     assert got == want and sum(w[1] for w in want.values())
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (makes pa.compute available)
@@ -22,20 +22,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, as the cluster names it.
 
-    Where `spark.checkpoint.dir` is unset (local tests) a temporary folder
-    of this machine takes its place.
+    Where `spark.checkpoint.dir` is unset, a session on one machine (as in
+    tests) uses a temporary folder; one on a cluster has to set it, as its
+    executors don't share such a folder.
     """
     at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if held.isDefined():
-            return held.get()
-        at = tempfile.mkdtemp(prefix="textweir-")
-        spark.sparkContext.setCheckpointDir(at)
+    if at:
         return at
+    held = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if held.isDefined():
+        return held.get()
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    at = tempfile.mkdtemp(prefix="textweir-")
+    spark.sparkContext.setCheckpointDir(at)
     return at
 
 
+#: Lets Spark delete a query's shuffle files when the query has ended.
+SHED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
     """Parquet tables in the shared folder that cut the lineage of a query.
 
@@ -52,14 +59,15 @@ class Scratch:
         return f"{self.root}/{name}"
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Write `df` and return it as read back."""
-        df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
+        """Write `df` and return it as read back; the shuffle files of the write go with its end."""
+        before = self.spark.conf.get(SHED, None)
+        self.spark.conf.set(SHED, "true")
+        try:
+            df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
+        finally:
+            self.spark.conf.unset(SHED) if before is None else self.spark.conf.set(SHED, before)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
-    def free(self) -> None:
-        """Let Spark delete the shuffle files of finished steps now; else they stay until the driver's next collection."""
-        self.spark.sparkContext._jvm.System.gc()
-
     def drop(self, name: str = "") -> None:
         try:
             jvm = self.spark.sparkContext._jvm
@@ -69,11 +77,6 @@ class Scratch:
             return
 
 
-def map_batches(df: DataFrame, columns: list[str], fn: Callable, schema: str) -> DataFrame:
-    """`mapInArrow` over the named columns only."""
-    return df.select(*columns).mapInArrow(fn, schema)
-
-
 def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Cut batches so that a slice holds about `limit` bytes of `column`, one row at least."""
     for batch in batches:
@@ -88,8 +91,3 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int) -> Iterat
             held += int(size)
         yield batch.slice(start)
 
-
-def lineage_cut(df: DataFrame) -> DataFrame:
-    """`checkpoint()` into the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()

@@ -16,18 +16,17 @@ verified word by word.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
-from itertools import repeat
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
+from xxhash import xxh3_128_digest
 
 from textweir.llm.common import Scratch, slices
-from textweir.llm.segments import CHUNK_BYTES, identified, removed_spans, union
+from textweir.llm.segments import CHUNK_BYTES, HOT, identified, removed_spans, segment_batch, union
 
 WINDOW = 50
 ROUNDS = 3
@@ -35,7 +34,7 @@ ROUNDS = 3
 SLICE_BYTES = 1 << 20
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
-_BASE = 0x100000001B3 | 1
+_BASE, _SECOND = 0x100000001B3, 0xD6E8FEB86659FD93
 
 
 def _name(a: np.ndarray, b: np.ndarray | np.uint64, salt: int) -> np.ndarray:
@@ -86,38 +85,54 @@ def recompress(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, rounds:
     return sym, low, high
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n, base, np.uint64)]))
+
+
+def _sums(words: np.ndarray, base: int) -> np.ndarray:
+    """Prefix sums of hashed words by which `_spell` tells word runs apart."""
+    return np.concatenate([[np.uint64(0)], np.cumsum(words * _powers(base, len(words))[: len(words)], dtype=np.uint64)])
+
+
+def _spell(sums: np.ndarray, base: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """A digest of each word run [low, high), by content."""
+    return (sums[high] - sums[low]) * _powers(pow(base, -1, 1 << 64), len(sums))[low]
+
+
 def window_hashes(words: np.ndarray, window: int) -> np.ndarray:
     """A hash of each window of hashed words, by content."""
-    n = len(words)
-    inverse = pow(_BASE, -1, 1 << 64)
-    with np.errstate(over="ignore"):
-        powers = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n, _BASE, np.uint64)]))
-        unpowers = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n, inverse, np.uint64)]))
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(words * powers[:n], dtype=np.uint64)])
-        return (sums[window:] - sums[:-window]) * unpowers[: n - window + 1]
+    at = np.arange(len(words) - window + 1)
+    return _spell(_sums(words, _BASE), _BASE, at, at + window)
 
 
 def window_runs(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, window: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows with one anchor, as (anchor, first window, windows)."""
+    """Runs of windows with one anchor, as (anchor, first window, windows).
+
+    The anchor of a window is the least among the symbols that it determines,
+    by a hash of the words that a symbol's making looked at. So windows share
+    an anchor only if they share all those words.
+    """
     none = np.zeros(0, np.int64)
-    if len(words) < window:
+    total = len(words)
+    if total < window:
         return none.astype(np.uint64), none, none
     sym, low, high = recompress(words, starts, ends, rounds)
-    doc = np.repeat(np.arange(len(starts)), ends - starts)[: len(words) - window + 1]
-    at = np.arange(len(words) - window + 1)
+    doc = np.repeat(np.arange(len(starts)), ends - starts)[: total - window + 1]
+    at = np.arange(total - window + 1)
     inside = at + window <= ends[doc]
     at, doc = at[inside], doc[inside]
     if not len(at):
         return none.astype(np.uint64), none, none
-    a, b = np.searchsorted(low, at, "left"), np.searchsorted(high, at + window, "right")
-    order = _name(sym, np.uint64(0), 99)
+    a = np.cumsum(np.bincount(low + 1, minlength=total + 2))[at]  # symbols that begin before the window
+    b = np.cumsum(np.bincount(high, minlength=total + 2))[at + window]  # those that end within or before it
+    order = _name(_spell(_sums(words, _BASE), _BASE, np.maximum(low, 0), np.minimum(high, total)), sym, 99)
     least = np.empty(len(at), np.uint64)
     some = b > a
     depth = int((b - a).max()).bit_length() if some.any() else 0
     table, span = order, 1
     wide = np.where(some, b - a, 0)
     for _ in range(depth):
-        here = (wide >= span) & (wide < 2 * span)
+        here = np.flatnonzero((wide >= span) & (wide < 2 * span))
         least[here] = np.minimum(table[a[here]], table[b[here] - span])
         if len(table) <= span:
             break
@@ -130,20 +145,37 @@ def window_runs(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, window:
     return least[first], at[first], np.diff(np.append(first, len(at)))
 
 
-def anchors(window: int, rounds: int = ROUNDS):
+def _hashed(words: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each word."""
+    both = np.frombuffer(b"".join(map(xxh3_128_digest, words)), "<u8").reshape(-1, 2)
+    return np.ascontiguousarray(both[:, 0]), np.ascontiguousarray(both[:, 1])
+
+
+def segments(window: int, rounds: int = ROUNDS):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE_BYTES):
             words = [x.as_py().encode("utf-8", "surrogatepass").split() for x in batch.column("text")]
             ends = np.cumsum([len(w) for w in words])
             starts = ends - [len(w) for w in words]
-            hashed = np.fromiter((h for w in words for h in map(xxh64_intdigest, w, repeat(7))), np.uint64, int(ends[-1]))
-            h, first, n = window_runs(hashed, starts, ends, window, rounds)
+            one, two = _hashed(w for ws in words for w in ws)
+            del words
+            h, first, n = window_runs(one, starts, ends, window, rounds)
+            last = first + n + window - 1
+            s, t = _spell(_sums(one, _BASE), _BASE, first, last), _spell(_sums(two, _SECOND), _SECOND, first, last)
             doc = np.searchsorted(ends, first, "right")
-            uids = batch.column("uid").to_numpy()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), pa.array(uids[doc]), pa.array((first - starts[doc]).astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(np.ones(len(n), np.int32))],
-                names=["h", "uid", "start", "n", "times"],
-            )
+            uids, orders = batch.column("uid").to_numpy(), batch.column("ord").to_numpy()
+            yield segment_batch(h, s, (t ^ (t >> np.uint64(32))) & np.uint64(0xFFFFFFFF), uids[doc], orders[doc], first - starts[doc], n, np.zeros(len(n), np.int64))
+
+    return run
+
+
+def single_windows(window: int):
+    """Places and digests of all windows of some segments of a text."""
+
+    def run(text: bytes, spans: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        one, two = _hashed(text.split())
+        at = np.concatenate([np.arange(a, a + n) for a, n in sorted(spans)])
+        return at, _spell(_sums(one, _BASE), _BASE, at, at + window), _spell(_sums(two, _SECOND), _SECOND, at, at + window)
 
     return run
 
@@ -179,49 +211,35 @@ def earlier_windows(segments: list[tuple[bytes, int]], window: int) -> list[np.n
 
 
 def compare(window: int, chunk: int = CHUNK_BYTES):
-    """Segments in order of (h, seg, doc, uid, start) to spans (uid, a, b) of words.
+    """Distinct segments in order of h to spans (uid, a, b) of words.
 
-    The first of equal segments has the smallest doc, so all windows of those
-    of larger docs go. The first ones are compared with each other, whole
-    anchors at a time.
+    Whole anchors are compared at a time; an anchor has `HOT` windows at most,
+    so what is held is bounded.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[bytes, int]] = []
-        places: list[list[tuple[int, int]]] = []
-        size, last_h, last_seg, words = 0, None, None, 0
+        places: list[tuple[int, int]] = []
+        size, last = 0, None
         unpack = zstandard.ZstdDecompressor().decompress
 
-        def out(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
-            columns = list(zip(*rows, strict=True)) if rows else [[], [], []]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["uid", "a", "b"])
-
         def verified() -> pa.RecordBatch:
             rows = []
-            for gone, spots in zip(earlier_windows(held, window), places, strict=True):
+            for gone, (uid, start) in zip(earlier_windows(held, window), places, strict=True):
                 edges = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]])))
-                for a, b in edges.reshape(-1, 2).tolist():
-                    rows += [(uid, start + a, start + b - 1 + window) for uid, start in spots]
-            return out(rows)
+                rows += [(uid, start + a, start + b - 1 + window) for a, b in edges.reshape(-1, 2).tolist()]
+            columns = list(zip(*rows, strict=True)) if rows else [[], [], []]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["uid", "a", "b"])
 
         for batch in batches:
-            copies = []
-            for h, seg, doc, uid, start in zip(*(batch.column(c).to_pylist() for c in ("h", "seg", "doc", "uid", "start")), strict=True):
-                if h == last_h and seg == last_seg:
-                    if doc > held[-1][1]:
-                        copies.append((uid, start, start + words))
-                    else:
-                        places[-1].append((uid, start))
-                    continue
-                if h != last_h and size > chunk:
+            for h, seg, order, uid, start in zip(*(batch.column(c).to_pylist() for c in ("h", "seg", "ord", "uid", "start")), strict=True):
+                if size > chunk and h != last:
                     yield verified()
                     held, places, size = [], [], 0
-                text = unpack(seg)
-                held.append((text, doc))
-                places.append([(uid, start)])
-                size += len(text)
-                last_h, last_seg, words = h, seg, text.count(b" ") + 1
-            yield out(copies)
+                held.append((unpack(seg), order))
+                places.append((uid, start))
+                size += len(held[-1][0])
+                last = h
         if held:
             yield verified()
 
@@ -229,7 +247,7 @@ def compare(window: int, chunk: int = CHUNK_BYTES):
 
 
 def cut(window: int):
-    """Segments packed one by one: equal ones stay equal, and the shuffle of overlapping segments shrinks."""
+    """Segments packed one by one, as they overlap and the shuffle shrinks."""
 
     def run(text: bytes, spans: list[tuple[int, int]]) -> list[bytes]:
         words, pack = text.split(), zstandard.ZstdCompressor(level=1, write_content_size=True).compress
@@ -238,7 +256,7 @@ def cut(window: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS, texts: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS, texts: bool = False, hot: int = HOT) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of every row of `docs`, and with `texts` the kept words as `kept`.
 
     Null and empty texts have no words. Rows that repeat an id don't remove
@@ -247,7 +265,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
     """
     scratch = Scratch(docs.sparkSession, "recompression")
     rows = identified(docs, scratch)
-    lost = removed_spans(rows, anchors(window, rounds), cut(window), compare(window), scratch, across=True)
+    lost = removed_spans(rows, segments(window, rounds), cut(window), compare(window), single_windows(window), scratch, window, across=True, stored=True, hot=hot)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress

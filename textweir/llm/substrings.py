@@ -2,9 +2,9 @@
 
 Removes each byte that a string of `LENGTH` bytes covers which also starts
 earlier. Windows pick the least hash among their k-grams as anchor, so equal
-strings meet in one shard whatever documents they are from; a shard's text is
-suffix-sorted by `induced.sorted_suffixes`, and runs of suffixes that share
-`LENGTH` bytes are the repeated strings.
+strings meet in one shard whatever documents they are from (see `segments`). A
+shard's text is suffix-sorted by `induced.sorted_suffixes`, and runs of suffixes
+that share `LENGTH` bytes are the repeated strings.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from textweir.llm.common import Scratch
 from textweir.llm.induced import sorted_suffixes
-from textweir.llm.segments import CHUNK_BYTES, identified, removed_spans, union
+from textweir.llm.segments import AGAIN, CHUNK_BYTES, HOT, TWICE, again, identified, removed_spans, segment_batch, union
 
 LENGTH = 100
 #: Bytes of the k-grams that serve as anchors.
@@ -31,6 +31,7 @@ PIECE = 1 << 20
 MEMORY = 64 << 20
 
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
+_BASES = (np.uint64(0x100000001B3), np.uint64(0xD6E8FEB86659FD93))
 #: Bytes are moved up by one, as 0 ends a sorted text; UTF-8 has no byte above 0xF4. SEPARATOR stands between segments.
 SHIFT = bytes((i + 1) % 256 for i in range(256))
 SEPARATOR = b"\xf8"
@@ -58,19 +59,41 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - (width - have)], values[width - have :]) if have < width else values
 
 
-def window_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows with one anchor, as (anchor, first window, windows, times), of texts laid end to end.
+def _sums(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums of k-gram hashes by which `_digests` tells byte strings apart."""
+    n = len(hashes)
+    mixed = (hashes ^ (hashes >> np.uint64(31))) * _M[2]
+    out = []
+    for values, base in zip((hashes, mixed), _BASES, strict=True):
+        powers = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(max(n - 1, 0), base, np.uint64)]))[:n]
+        out.append(np.concatenate([[np.uint64(0)], np.cumsum(values * powers, dtype=np.uint64)]))
+    return out[0], out[1]
 
-    times is 2 if the run's bytes may hold the anchor's k-gram twice.
+
+def _digests(sums: tuple[np.ndarray, np.ndarray], first: np.ndarray, grams: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
+    """Two digests of the strings of so many k-grams that begin at `first`."""
+    n = len(sums[0])
+    out = []
+    for s, base in zip(sums, _BASES, strict=True):
+        unpowers = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n - 1, pow(int(base), -1, 1 << 64), np.uint64)]))
+        d = (s[first + grams] - s[first]) * unpowers[first]
+        out.append(d ^ (d >> np.uint64(32)))
+    return out[0], out[1]
+
+
+def window_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Runs of windows with one anchor, as (anchor, first window, windows, twice, digest, second digest), of texts laid end to end.
+
+    twice tells that the run's bytes may hold the anchor's k-gram twice.
     """
-    none = np.zeros(0, np.int64)
+    none, empty = np.zeros(0, np.int64), np.zeros(0, np.uint64)
     if len(data) < length:
-        return none.astype(np.uint64), none, none, none
+        return empty, none, none, none, empty, empty
     hashes, width = gram_hashes(data, len(data) - GRAM + 1), length - GRAM + 1
     least = sliding_least(hashes, width)
     edge = np.full(width - 1, np.iinfo(np.uint64).max, np.uint64)
     chosen = np.flatnonzero(hashes == ~sliding_least(np.concatenate([edge, ~least, edge]), width))  # anchors of any window
-    again = np.concatenate([[0], np.cumsum(np.append(False, hashes[chosen[1:]] == hashes[chosen[:-1]]))])
+    repeats = np.concatenate([[0], np.cumsum(np.append(False, hashes[chosen[1:]] == hashes[chosen[:-1]]))])
     change = np.zeros(len(least) + 1, bool)
     change[1:-1] = least[1:] != least[:-1]
     change[0] = change[-1] = True
@@ -83,38 +106,114 @@ def window_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length:
     inside = first + length <= ends[doc]
     first, n = first[inside], n[inside]
     low, high = np.searchsorted(chosen, first), np.searchsorted(chosen, first + n + width - 1)
-    times = 1 + (again[high] > again[np.minimum(low + 1, high)])
-    return least[first], first, n, times
+    twice = (repeats[high] > repeats[np.minimum(low + 1, high)]).astype(np.int64)
+    return least[first], first, n, twice, *_digests(_sums(hashes), first, n + width - 1)
 
 
-def anchors(length: int):
+def segments(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            uids = batch.column("uid").to_numpy()
-            texts = [x.as_py().encode("utf-8", "surrogatepass") for x in batch.column("text")]
-            pieces = [(k, at) for k, text in enumerate(texts) for at in range(0, max(1, len(text) - length + 1), PIECE)]
-            held: list[tuple[int, int]] = []
+            uids, orders = batch.column("uid").to_numpy(), batch.column("ord").to_numpy()
+            held: list[tuple[int, int]] = []  # pieces of texts: (row, offset)
+            parts: list[bytes] = []
             size = 0
-            for k, at in [*pieces, (-1, 0)]:
-                if held and (k < 0 or size > PIECE):
-                    parts = [texts[d][a : a + PIECE + length - 1] for d, a in held]
-                    ends = np.cumsum([len(p) for p in parts])
-                    starts = ends - [len(p) for p in parts]
-                    h, first, n, times = window_runs(np.frombuffer(b"".join(parts), np.uint8), starts, ends, length)
-                    part = np.searchsorted(ends, first, "right")
-                    doc, offset = np.array(held).T
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(h.view(np.int64)), pa.array(uids[doc[part]]), pa.array((first - starts[part] + offset[part]).astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(times.astype(np.int32))],
-                        names=["h", "uid", "start", "n", "times"],
-                    )
-                    held, size = [], 0
-                if k >= 0:
+            found: list[tuple[np.ndarray, ...]] = []
+
+            def settle(held: list[tuple[int, int]], parts: list[bytes], found: list[tuple[np.ndarray, ...]]) -> None:
+                ends = np.cumsum([len(p) for p in parts])
+                starts = ends - [len(p) for p in parts]
+                h, first, n, twice, s, t = window_runs(np.frombuffer(b"".join(parts), np.uint8), starts, ends, length)
+                part = np.searchsorted(ends, first, "right")
+                row, offset = np.array(held).T
+                found.append((h, s, t >> np.uint64(32), row[part], first - starts[part] + offset[part], n, twice))
+
+            def told(found: list[tuple[np.ndarray, ...]], uids=uids, orders=orders) -> pa.RecordBatch:
+                h, s, t, row, start, n, twice = (np.concatenate(x) for x in zip(*found, strict=True))
+                repeats = again(h, s, t, row.astype(np.uint64))
+                return segment_batch(h, s, t, uids[row], orders[row], start, n, twice * TWICE + repeats * AGAIN)
+
+            for k in range(batch.num_rows):
+                text = batch.column("text")[k].as_py().encode("utf-8", "surrogatepass")
+                for at in range(0, max(1, len(text) - length + 1), PIECE):
                     held.append((k, at))
-                    size += min(len(texts[k]) - at, PIECE + length - 1)
+                    parts.append(text[at : at + PIECE + length - 1])
+                    size += len(parts[-1])
+                    if size > PIECE:
+                        settle(held, parts, found)
+                        held, parts, size = [], [], 0
+                if found and not held:  # at a row's end: all pieces of a row are told together
+                    yield told(found)
+                    found = []
+            if held:
+                settle(held, parts, found)
+            if found:
+                yield told(found)
+
+    return run
+
+
+def single_windows(length: int):
+    """Places and digests of all windows of some segments of a text."""
+
+    def run(text: bytes, spans: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        width = length - GRAM + 1
+        out = []
+        for start, n in sorted(spans):
+            for at in range(start, start + n, PIECE):
+                m = min(PIECE, start + n - at)
+                data = np.frombuffer(text[at : at + m + length - 1], np.uint8)
+                out.append((np.arange(at, at + m), *_digests(_sums(gram_hashes(data, len(data) - GRAM + 1)), np.arange(m), width)))
+        at, w, v = (np.concatenate(x) for x in zip(*out, strict=True))
+        return at, w, v
 
     return run
 
 
+def trimmed(held: list[tuple[bytes, int, int, int]], anchors: list[int], length: int) -> list[tuple[bytes, int, int, int]]:
+    """Segments (bytes, ord, uid, start) without those, and without the sides, that can share no window with another of their anchor.
+
+    A window holds its anchor's k-gram and half of the rest on one side of it at least. So a
+    segment whose k-gram has a side that no other has needs no window that reaches as far there.
+    """
+    side = (length - GRAM + 1) // 2
+    if side < GRAM:
+        return held
+    sizes = np.array([len(s[0]) for s in held])
+    ends = np.cumsum(sizes)
+    begins = ends - sizes
+    hashes = gram_hashes(np.frombuffer(b"".join(s[0] for s in held) + bytes(GRAM), np.uint8), int(ends[-1]))
+    of = np.repeat(np.arange(len(held)), sizes)
+    key = np.array(anchors, np.int64).view(np.uint64)
+    spots = np.flatnonzero(hashes == key[of])
+    spots = spots[spots + GRAM <= ends[of[spots]]]
+    times = np.bincount(of[spots], minlength=len(held))
+    at = np.zeros(len(held), np.int64)
+    at[of[spots]] = spots
+
+    def shared(far: np.ndarray, near: np.ndarray, has: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(held), bool)
+        rows = np.flatnonzero(has)
+        if len(rows):
+            mixed = ((hashes[far[rows]] * _M[0]) ^ hashes[near[rows]]) * _M[1] + key[rows]
+            _, inverse, count = np.unique(mixed, return_inverse=True, return_counts=True)
+            out[rows] = count[inverse] > 1
+        return out
+
+    left = shared(at - side, at - GRAM, at - side >= begins)
+    right = shared(at + GRAM, at + side, at + GRAM + side <= ends)
+    out = []
+    for k, (seg, order, uid, start) in enumerate(held):
+        if times[k] != 1:
+            out.append((seg, order, uid, start))
+        elif left[k] or right[k]:
+            p = int(at[k] - begins[k])
+            a = 0 if left[k] else max(0, p - side + 1)
+            b = len(seg) if right[k] else min(len(seg), p + GRAM + side - 1)
+            if b - a >= length:
+                out.append((seg[a:b], order, uid, start + a))
+    return out
+
+
 def repeated_windows(segments: list[tuple[bytes, int, int, int]], length: int, memory: int = MEMORY) -> Iterator[tuple[int, int, int]]:
     """Spans (segment, a, b) covered by windows that also start earlier; segments are (bytes, doc, uid, start).
 
@@ -171,53 +270,38 @@ def repeated_windows(segments: list[tuple[bytes, int, int, int]], length: int, m
 
 
 def compare(length: int, chunk: int = CHUNK_BYTES, memory: int = MEMORY):
-    """Segments in order of (h, seg, doc, uid, start) to spans (uid, a, b).
+    """Distinct segments in order of h to spans (uid, a, b).
 
-    The first of equal segments is the earliest, so the windows of the others
-    all start earlier too. The first ones are collected, whole anchors at a
-    time, and suffix-sorted together. An anchor of one distinct segment that
-    holds it once has no other windows to compare, and is left out.
+    They are collected, whole anchors at a time, and suffix-sorted together.
+    An anchor has `HOT` windows at most, so what is held is bounded.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[bytes, int, int, int]] = []
-        size, last_h, last_seg, group, twice = 0, None, None, 0, False
+        keys: list[int] = []
+        size = 0
 
-        def out(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
+        def sort() -> pa.RecordBatch:
+            some = trimmed(held, keys, length)
+            rows = [(some[k][2], some[k][3] + a, some[k][3] + b) for k, a, b in repeated_windows(some, length, memory)] if some else []
             columns = list(zip(*rows, strict=True)) if rows else [[], [], []]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["uid", "a", "b"])
 
-        def sort() -> pa.RecordBatch:
-            return out([(held[k][2], held[k][3] + a, held[k][3] + b) for k, a, b in repeated_windows(held, length, memory)])
-
         for batch in batches:
-            copies = []
-            for h, seg, doc, uid, start, times in zip(*(batch.column(c).to_pylist() for c in ("h", "seg", "doc", "uid", "start", "times")), strict=True):
-                if h == last_h and seg == last_seg:
-                    copies.append((uid, start, start + len(seg)))
-                    twice |= times > 1
-                    continue
-                if h != last_h:
-                    if len(held) - group == 1 and not twice:
-                        size -= len(held.pop()[0])
-                    if size > chunk:
-                        yield sort()
-                        held, size = [], 0
-                    group, twice = len(held), False
-                twice |= times > 1
-                held.append((seg, doc, uid, start))
+            for h, seg, order, uid, start in zip(*(batch.column(c).to_pylist() for c in ("h", "seg", "ord", "uid", "start")), strict=True):
+                if size > chunk and h != keys[-1]:
+                    yield sort()
+                    held, keys, size = [], [], 0
+                held.append((seg, order, uid, start))
+                keys.append(h)
                 size += len(seg)
-                last_h, last_seg = h, seg
-            yield out(copies)
-        if len(held) - group == 1 and not twice:
-            held.pop()
         if held:
             yield sort()
 
     return run
 
 
-def deduplicate(docs: DataFrame, length: int = LENGTH, bytes_too: bool = False) -> DataFrame:
+def deduplicate(docs: DataFrame, length: int = LENGTH, bytes_too: bool = False, hot: int = HOT) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row of `docs`.
 
     With `bytes_too` also `kept`, the bytes that stay (they can break a
@@ -233,7 +317,7 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, bytes_too: bool = False)
     scratch = Scratch(docs.sparkSession, "substrings")
     rows = identified(docs, scratch)
     cut = lambda text, spans: [text[a : a + n + length - 1] for a, n in spans]
-    lost = removed_spans(rows, anchors(length), cut, compare(length), scratch)
+    lost = removed_spans(rows, segments(length), cut, compare(length), single_windows(length), scratch, length, hot=hot)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
