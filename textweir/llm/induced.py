@@ -165,51 +165,57 @@ def suffix_order(text: np.ndarray, folder: str, memory: int) -> np.ndarray:
     sources = lms[suffix_order(lms_names(text, lms), folder, memory)] if len(lms) > 1 else lms
     per_class = max(1, -(-len(distinct) // 1024))
     chars = text.tolist()
-    is_s = types.tolist()
-    del types
+    classes_of = (text // per_class).tolist()
+    last = (len(distinct) - 1) // per_class
 
     def scan(seeds: np.ndarray, down: bool) -> list[int]:
         """Induce one type; `seeds` are sorted suffixes of the other, all of which push."""
-        queue = BucketQueue(folder, memory)
-        groups: dict[int, list[int]] = {}
-        for i in seeds.tolist():
-            groups.setdefault(chars[i], []).append(i)
+        queue = BucketQueue(folder, memory, 1)
+        pushed = np.full(n, -1)  # the left neighbour that a suffix pushes
+        pushed[1:] = np.where(types[:-1] == down, np.arange(n - 1), -1)
+        pushes = pushed.tolist()
+        by_char = seeds[np.argsort(text[seeds], kind="stable")]
+        present, begin = np.unique(text[by_char], return_index=True)
+        groups = dict(zip(present.tolist(), np.split(by_char, begin[1:]), strict=True))
         out: list[int] = []
-        classes = range((len(distinct) - 1) // per_class, -1, -1) if down else range((len(distinct) - 1) // per_class + 1)
-        later: dict[int, list[tuple[int, int]]] = {}
-        for k in classes:
-            here: dict[int, list[int]] = {}
+        later: list[list[int]] = [[] for _ in range(last + 1)]
+        waiting = 0
+        for k in range(last, -1, -1) if down else range(last + 1):
+            here: dict[int, list[int]] = {c: [] for c in range(k * per_class, min((k + 1) * per_class, len(distinct)))}
             for rows in queue.blocks(k):
-                for c, i in rows.tolist():
-                    here.setdefault(c, []).append(i)
-            for c, i in later.pop(k, ()):
-                here.setdefault(c, []).append(i)
-            span = range(k * per_class, min((k + 1) * per_class, len(distinct)))
-            for c in reversed(span) if down else span:
-                bucket = here.get(c)
-                if bucket is None:
-                    bucket = here[c] = []
+                for i in rows[:, 0].tolist():
+                    here[chars[i]].append(i)
+            arrived, later[k] = later[k], []
+            waiting -= len(arrived)
+            for i in arrived:
+                here[chars[i]].append(i)
+            before = len(out)
+            for c in reversed(here) if down else here:
+                bucket = here[c]
                 for i in bucket:  # grows while it is read
-                    p = i - 1
-                    if i and is_s[p] == down:
-                        d = chars[p]
-                        if d // per_class == k:
-                            here.setdefault(d, []).append(p)
+                    p = pushes[i]
+                    if p >= 0:
+                        if classes_of[p] == k:
+                            here[chars[p]].append(p)
                         else:
-                            later.setdefault(d // per_class, []).append((d, p))
+                            later[classes_of[p]].append(p)
                 out += bucket
-                for i in groups.pop(c, ()):
-                    p = i - 1
-                    if i and is_s[p] == down:
-                        d = chars[p]
-                        if d // per_class == k:
-                            here.setdefault(d, []).append(p)
-                        else:
-                            later.setdefault(d // per_class, []).append((d, p))
-            if sum(map(len, later.values())) > BLOCK:  # to the disk-backed queue, in order of arrival
-                for b, pairs in later.items():
-                    queue.push(b, np.array(pairs, np.int64))
-                later = {}
+                if c in groups:
+                    for i in groups[c].tolist():
+                        p = pushes[i]
+                        if p >= 0:
+                            if classes_of[p] == k:
+                                here[chars[p]].append(p)
+                            else:
+                                later[classes_of[p]].append(p)
+                            waiting += 1
+            waiting += len(out) - before
+            if waiting > BLOCK:  # to the disk-backed queue, in order of arrival
+                for b, some in enumerate(later):
+                    if some:
+                        queue.push(b, np.array(some, np.int64)[:, None])
+                        later[b] = []
+                waiting = 0
         return out
 
     ell = np.array(scan(sources, False), np.int64)

@@ -265,7 +265,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
     """
     scratch = Scratch(docs.sparkSession, "recompression")
     rows = identified(docs, scratch)
-    lost = removed_spans(rows, segments(window, rounds), cut(window), compare(window), single_windows(window), scratch, window, across=True, stored=True, hot=hot)
+    lost = removed_spans(rows, segments(window, rounds), cut(window), compare(window), single_windows(window), scratch, window, across=True, hot=hot)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress

@@ -95,7 +95,7 @@ def removed_spans(
     scratch: Scratch,
     length: int,
     across: bool = False,
-    stored: bool = False,
+    counting: Mapper | None = None,
     hot: int = HOT,
 ) -> DataFrame:
     """(uid, z, spans) of the rows that lose something: their packed text and the spans (a, b) to remove.
@@ -104,14 +104,17 @@ def removed_spans(
     segments (start, n) of a text; `compare` maps (h, seg, ord, uid, start)
     sorted by h within a partition to spans (uid, a, b); `windows` gives the
     places and two digests of the single windows of segments. With `across`
-    only repeats in rows of another order count; `stored` keeps all segments
-    on disk instead of working them out twice.
+    only repeats in rows of another order count. `counting` maps the same rows
+    to (h, ord, flags) alone, for the first of two passes; without it all
+    segments are kept on disk instead of being worked out twice.
     """
     given = rows.select("uid", (F.col("doc") if across else F.col("uid")).alias("ord"), "text")
     found = given.mapInArrow(segments, SEGMENT)
-    if stored:
-        found = scratch.keep(found, "segments")
-    counted = found.groupBy("h").agg(F.min("ord").alias("low"), F.max("ord").alias("high"), F.sum(F.lit(1) + F.col("flags").bitwiseAND(TWICE)).alias("times"))
+    if counting is None:
+        slim = found = scratch.keep(found, "segments")
+    else:
+        slim = given.mapInArrow(counting, "h bigint, ord bigint, flags int")
+    counted = slim.groupBy("h").agg(F.min("ord").alias("low"), F.max("ord").alias("high"), F.sum(F.lit(1) + F.col("flags").bitwiseAND(TWICE)).alias("times"))
     # A table, so that both sides of the join are plain shuffles, whose hot keys adaptive execution can split.
     repeated = scratch.keep(counted.where("low < high" if across else "times > 1").select("h"), "repeated")
     shared = scratch.keep(found.join(repeated.hint("merge"), "h"), "shared")
@@ -120,15 +123,15 @@ def removed_spans(
     distinct = shared.groupBy("h", "s", "t").agg(F.min("ord").alias("least"), twice.alias("twice"), F.max("n").alias("n"), F.count(F.lit(1)).alias("k"))
     distinct = scratch.keep(distinct, "distinct")
     sizes = distinct.groupBy("h").agg(F.count(F.lit(1)).alias("parts"), F.max("twice").alias("any"), F.sum("n").alias("all"))
-    alone = F.col("parts") == 1 if across else (F.col("parts") == 1) & (F.col("any") == 0)
-    fate = F.when(alone, WHOLE).when(F.col("all") > hot, SINGLE).otherwise(COMPARED)
-    info = distinct.join(sizes.hint("merge"), "h").select("h", "s", "t", "least", "k", fate.alias("fate"))
+    several = sizes.where("parts > 1" if across else "parts > 1 or any > 0").select("h", F.when(F.col("all") > hot, SINGLE).otherwise(COMPARED).alias("fate"))
+    several = scratch.keep(several, "several")
+    info = distinct.join(several.hint("merge"), "h", "left").select("h", "s", "t", "least", "k", F.coalesce("fate", F.lit(WHOLE)).alias("fate"))
     info = scratch.keep(info.where((F.col("fate") != WHOLE) | (F.col("k") > 1)).drop("k"), "info")
     later = (F.col("ord") > F.col("least")) | (F.col("flags").bitwiseAND(AGAIN) != 0)
     marks = shared.join(info.hint("merge"), ["h", "s", "t"]).withColumn("fate", F.when(later, WHOLE).otherwise(F.col("fate")))
     marks = marks.where(later | (F.col("fate") != WHOLE)).select("uid", F.struct("h", "start", "n", "fate").alias("cut"))
     marks = scratch.keep(marks.groupBy("uid").agg(F.collect_list("cut").alias("cuts")), "marks")
-    for name in ("shared", "distinct", "info", "repeated"):
+    for name in ("shared", "distinct", "info", "repeated", "several"):
         scratch.drop(name)
     packed = rows.select("uid", "doc", "text").mapInArrow(_packed, "uid bigint, doc bigint, z binary")
     held = scratch.keep(packed.join(marks.hint("merge"), "uid"), "held")

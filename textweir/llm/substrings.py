@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ PIECE = 1 << 20
 MEMORY = 64 << 20
 
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
-_BASES = (np.uint64(0x100000001B3), np.uint64(0xD6E8FEB86659FD93))
+_BASES = (0x100000001B3, 0xD6E8FEB86659FD93)
 #: Bytes are moved up by one, as 0 ends a sorted text; UTF-8 has no byte above 0xF4. SEPARATOR stands between segments.
 SHIFT = bytes((i + 1) % 256 for i in range(256))
 SEPARATOR = b"\xf8"
@@ -59,29 +60,34 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - (width - have)], values[width - have :]) if have < width else values
 
 
+@lru_cache(maxsize=8)
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n, base, np.uint64)]))
+
+
+def _power_table(base: int, n: int) -> np.ndarray:
+    """The powers 0 to `n` of a base, cut from a table that is kept."""
+    return _powers(base, max(PIECE * 2, 1 << n.bit_length()))[: n + 1]
+
+
 def _sums(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Prefix sums of k-gram hashes by which `_digests` tells byte strings apart."""
-    n = len(hashes)
     mixed = (hashes ^ (hashes >> np.uint64(31))) * _M[2]
-    out = []
-    for values, base in zip((hashes, mixed), _BASES, strict=True):
-        powers = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(max(n - 1, 0), base, np.uint64)]))[:n]
-        out.append(np.concatenate([[np.uint64(0)], np.cumsum(values * powers, dtype=np.uint64)]))
-    return out[0], out[1]
+    sums = (np.cumsum(values * _power_table(base, len(values))[:-1], dtype=np.uint64) for values, base in zip((hashes, mixed), _BASES, strict=True))
+    one, two = (np.concatenate([[np.uint64(0)], x]) for x in sums)
+    return one, two
 
 
 def _digests(sums: tuple[np.ndarray, np.ndarray], first: np.ndarray, grams: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
     """Two digests of the strings of so many k-grams that begin at `first`."""
-    n = len(sums[0])
     out = []
     for s, base in zip(sums, _BASES, strict=True):
-        unpowers = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n - 1, pow(int(base), -1, 1 << 64), np.uint64)]))
-        d = (s[first + grams] - s[first]) * unpowers[first]
+        d = (s[first + grams] - s[first]) * _power_table(pow(base, -1, 1 << 64), len(s))[first]
         out.append(d ^ (d >> np.uint64(32)))
     return out[0], out[1]
 
 
-def window_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+def window_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int, digests: bool = True) -> tuple[np.ndarray, ...]:
     """Runs of windows with one anchor, as (anchor, first window, windows, twice, digest, second digest), of texts laid end to end.
 
     twice tells that the run's bytes may hold the anchor's k-gram twice.
@@ -107,47 +113,65 @@ def window_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length:
     first, n = first[inside], n[inside]
     low, high = np.searchsorted(chosen, first), np.searchsorted(chosen, first + n + width - 1)
     twice = (repeats[high] > repeats[np.minimum(low + 1, high)]).astype(np.int64)
-    return least[first], first, n, twice, *_digests(_sums(hashes), first, n + width - 1)
+    return least[first], first, n, twice, *(_digests(_sums(hashes), first, n + width - 1) if digests else (empty, empty))
+
+
+def pieces(batch: pa.RecordBatch, length: int) -> Iterator[tuple[list[tuple[int, int]], list[bytes], bool]]:
+    """The texts of a batch in pieces (row, offset) of about `PIECE` bytes together, which overlap by all but a byte of a window; and whether a text ends with the last."""
+    held: list[tuple[int, int]] = []
+    parts: list[bytes] = []
+    size = 0
+    for k in range(batch.num_rows):
+        text = batch.column("text")[k].as_py().encode("utf-8", "surrogatepass")
+        last = max(1, len(text) - length + 1)
+        for at in range(0, last, PIECE):
+            held.append((k, at))
+            parts.append(text[at : at + PIECE + length - 1])
+            size += len(parts[-1])
+            if size > PIECE:
+                yield held, parts, at + PIECE >= last
+                held, parts, size = [], [], 0
+    if held:
+        yield held, parts, True
+
+
+def _runs(held: list[tuple[int, int]], parts: list[bytes], length: int, digests: bool) -> tuple[np.ndarray, ...]:
+    """What `window_runs` finds in some pieces, with the rows and the places in them."""
+    ends = np.cumsum([len(p) for p in parts])
+    starts = ends - [len(p) for p in parts]
+    h, first, n, twice, s, t = window_runs(np.frombuffer(b"".join(parts), np.uint8), starts, ends, length, digests)
+    part = np.searchsorted(ends, first, "right")
+    row, offset = np.array(held).T
+    return h, s, t >> np.uint64(32), row[part], first - starts[part] + offset[part], n, twice
+
+
+def anchors(length: int):
+    """The anchors of all segments, without digests."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            orders = batch.column("ord").to_numpy()
+            for held, parts, _ in pieces(batch, length):
+                h, _, _, row, _, _, twice = _runs(held, parts, length, False)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(orders[row]), pa.array((twice * TWICE).astype(np.int32))], names=["h", "ord", "flags"])
+
+    return run
 
 
 def segments(length: int):
+    """All segments, with digests; those of a text are told together."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             uids, orders = batch.column("uid").to_numpy(), batch.column("ord").to_numpy()
-            held: list[tuple[int, int]] = []  # pieces of texts: (row, offset)
-            parts: list[bytes] = []
-            size = 0
             found: list[tuple[np.ndarray, ...]] = []
-
-            def settle(held: list[tuple[int, int]], parts: list[bytes], found: list[tuple[np.ndarray, ...]]) -> None:
-                ends = np.cumsum([len(p) for p in parts])
-                starts = ends - [len(p) for p in parts]
-                h, first, n, twice, s, t = window_runs(np.frombuffer(b"".join(parts), np.uint8), starts, ends, length)
-                part = np.searchsorted(ends, first, "right")
-                row, offset = np.array(held).T
-                found.append((h, s, t >> np.uint64(32), row[part], first - starts[part] + offset[part], n, twice))
-
-            def told(found: list[tuple[np.ndarray, ...]], uids=uids, orders=orders) -> pa.RecordBatch:
-                h, s, t, row, start, n, twice = (np.concatenate(x) for x in zip(*found, strict=True))
-                repeats = again(h, s, t, row.astype(np.uint64))
-                return segment_batch(h, s, t, uids[row], orders[row], start, n, twice * TWICE + repeats * AGAIN)
-
-            for k in range(batch.num_rows):
-                text = batch.column("text")[k].as_py().encode("utf-8", "surrogatepass")
-                for at in range(0, max(1, len(text) - length + 1), PIECE):
-                    held.append((k, at))
-                    parts.append(text[at : at + PIECE + length - 1])
-                    size += len(parts[-1])
-                    if size > PIECE:
-                        settle(held, parts, found)
-                        held, parts, size = [], [], 0
-                if found and not held:  # at a row's end: all pieces of a row are told together
-                    yield told(found)
+            for held, parts, ended in pieces(batch, length):
+                found.append(_runs(held, parts, length, True))
+                if ended:
+                    h, s, t, row, start, n, twice = (np.concatenate(x) for x in zip(*found, strict=True))
                     found = []
-            if held:
-                settle(held, parts, found)
-            if found:
-                yield told(found)
+                    repeats = again(h, s, t, row.astype(np.uint64))
+                    yield segment_batch(h, s, t, uids[row], orders[row], start, n, twice * TWICE + repeats * AGAIN)
 
     return run
 
@@ -157,61 +181,62 @@ def single_windows(length: int):
 
     def run(text: bytes, spans: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         width = length - GRAM + 1
+        places = np.concatenate([np.arange(a, a + n) for a, n in sorted(spans)])
         out = []
-        for start, n in sorted(spans):
-            for at in range(start, start + n, PIECE):
-                m = min(PIECE, start + n - at)
-                data = np.frombuffer(text[at : at + m + length - 1], np.uint8)
-                out.append((np.arange(at, at + m), *_digests(_sums(gram_hashes(data, len(data) - GRAM + 1)), np.arange(m), width)))
-        at, w, v = (np.concatenate(x) for x in zip(*out, strict=True))
-        return at, w, v
+        for at in range(0, len(text), PIECE):  # the digest of a window doesn't depend on its place
+            here = places[np.searchsorted(places, at) : np.searchsorted(places, at + PIECE)]
+            if len(here):
+                data = np.frombuffer(text[at : at + PIECE + length - 1], np.uint8)
+                out.append(_digests(_sums(gram_hashes(data, len(data) - GRAM + 1)), here - at, width))
+        w, v = (np.concatenate(x) for x in zip(*out, strict=True))
+        return places, w, v
 
     return run
 
 
+def _shared(key: np.ndarray, context: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The most leading bytes of each row of `context` (of which `size` count) that another row with its key shares."""
+    rows = np.concatenate([key.astype(">u8").view(np.uint8).reshape(-1, 8), context], axis=1)
+    order = np.argsort(np.ascontiguousarray(rows).view(f"S{rows.shape[1]}").ravel(), kind="stable")
+    differs = rows[order[1:]] != rows[order[:-1]]
+    same = np.where(differs.any(axis=1), differs.argmax(axis=1), rows.shape[1]) - 8
+    same = np.clip(np.minimum(same, np.minimum(size[order[1:]], size[order[:-1]])), 0, None)
+    out = np.zeros(len(key), np.int64)
+    out[order[1:]] = same
+    out[order[:-1]] = np.maximum(out[order[:-1]], same)
+    return out
+
+
 def trimmed(held: list[tuple[bytes, int, int, int]], anchors: list[int], length: int) -> list[tuple[bytes, int, int, int]]:
-    """Segments (bytes, ord, uid, start) without those, and without the sides, that can share no window with another of their anchor.
+    """Segments (bytes, ord, uid, start) without what can share no window with another segment of their anchor.
 
-    A window holds its anchor's k-gram and half of the rest on one side of it at least. So a
-    segment whose k-gram has a side that no other has needs no window that reaches as far there.
+    A window holds its anchor's k-gram. So what it shares with another reaches as far to either side
+    as the nearest contexts of the k-gram do at most, in order of the contexts.
     """
-    side = (length - GRAM + 1) // 2
-    if side < GRAM:
-        return held
     sizes = np.array([len(s[0]) for s in held])
-    ends = np.cumsum(sizes)
+    ends = np.cumsum(sizes + 1) - 1
     begins = ends - sizes
-    hashes = gram_hashes(np.frombuffer(b"".join(s[0] for s in held) + bytes(GRAM), np.uint8), int(ends[-1]))
-    of = np.repeat(np.arange(len(held)), sizes)
+    data = np.frombuffer(b"\0".join(s[0] for s in held) + bytes(GRAM), np.uint8)
+    hashes = gram_hashes(data, int(ends[-1]))
+    of = np.minimum(np.repeat(np.arange(len(held)), sizes + 1), len(held) - 1)[: len(hashes)]
     key = np.array(anchors, np.int64).view(np.uint64)
     spots = np.flatnonzero(hashes == key[of])
     spots = spots[spots + GRAM <= ends[of[spots]]]
-    times = np.bincount(of[spots], minlength=len(held))
+    once = np.flatnonzero(np.bincount(of[spots], minlength=len(held)) == 1)
     at = np.zeros(len(held), np.int64)
     at[of[spots]] = spots
-
-    def shared(far: np.ndarray, near: np.ndarray, has: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(held), bool)
-        rows = np.flatnonzero(has)
-        if len(rows):
-            mixed = ((hashes[far[rows]] * _M[0]) ^ hashes[near[rows]]) * _M[1] + key[rows]
-            _, inverse, count = np.unique(mixed, return_inverse=True, return_counts=True)
-            out[rows] = count[inverse] > 1
-        return out
-
-    left = shared(at - side, at - GRAM, at - side >= begins)
-    right = shared(at + GRAM, at + side, at + GRAM + side <= ends)
-    out = []
-    for k, (seg, order, uid, start) in enumerate(held):
-        if times[k] != 1:
-            out.append((seg, order, uid, start))
-        elif left[k] or right[k]:
-            p = int(at[k] - begins[k])
-            a = 0 if left[k] else max(0, p - side + 1)
-            b = len(seg) if right[k] else min(len(seg), p + GRAM + side - 1)
-            if b - a >= length:
-                out.append((seg[a:b], order, uid, start + a))
-    return out
+    at, rest = at[once], length - GRAM
+    reach = np.arange(rest)
+    shifted = (data + 1).astype(np.uint8)  # a text's bytes are below 0xF5, so 0 can stand for what is outside
+    right = np.minimum(ends[once] - at - GRAM, rest)
+    left = np.minimum(at - begins[once], rest)
+    after = np.where(reach < right[:, None], shifted[np.minimum((at + GRAM)[:, None] + reach, len(data) - 1)], 0).astype(np.uint8)
+    before = np.where(reach < left[:, None], shifted[np.maximum((at - 1)[:, None] - reach, 0)], 0).astype(np.uint8)
+    right, left = _shared(key[once], after, right), _shared(key[once], before, left)
+    from_, to = np.zeros(len(held), np.int64), sizes.copy()
+    from_[once] = at - begins[once] - left
+    to[once] = at - begins[once] + GRAM + right
+    return [(seg[a:b], order, uid, start + a) for (seg, order, uid, start), a, b in zip(held, from_.tolist(), to.tolist(), strict=True) if b - a >= length]
 
 
 def repeated_windows(segments: list[tuple[bytes, int, int, int]], length: int, memory: int = MEMORY) -> Iterator[tuple[int, int, int]]:
@@ -301,7 +326,7 @@ def compare(length: int, chunk: int = CHUNK_BYTES, memory: int = MEMORY):
     return run
 
 
-def deduplicate(docs: DataFrame, length: int = LENGTH, bytes_too: bool = False, hot: int = HOT) -> DataFrame:
+def deduplicate(docs: DataFrame, length: int = LENGTH, bytes_too: bool = False, hot: int = 4 * HOT) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row of `docs`.
 
     With `bytes_too` also `kept`, the bytes that stay (they can break a
@@ -317,7 +342,7 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, bytes_too: bool = False,
     scratch = Scratch(docs.sparkSession, "substrings")
     rows = identified(docs, scratch)
     cut = lambda text, spans: [text[a : a + n + length - 1] for a, n in spans]
-    lost = removed_spans(rows, segments(length), cut, compare(length), single_windows(length), scratch, length, hot=hot)
+    lost = removed_spans(rows, segments(length), cut, compare(length), single_windows(length), scratch, length, counting=anchors(length), hot=hot)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
