@@ -11,7 +11,10 @@ memory is bounded by one page and the work needs no shuffle.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections import Counter
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -30,15 +33,18 @@ PARAGRAPHS = frozenset("p pre td blockquote li dd div section article figcaption
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPES = frozenset("ul ol dl table menu body html article section div".split())
 BOILERPLATE = frozenset(
-    "ad ads adbox adsense advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies"
-    " disqus footer form gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification pager pagination popup promo"
-    " recommended related replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar topbar widget".split()
+    "ad ads adbox adsense advert adverts advertisement advertising banner breadcrumb breadcrumbs consent cookie cookies"
+    " footer form gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification pager pagination popup promo"
+    " recommended related search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar topbar widget".split()
 )
+COMMENTS = frozenset("comment comments commentlist disqus replies reply respond".split())
+#: Parts of a class name that tell how an element is laid out, not what it is.
+LAYOUT = frozenset("has with is no page layout wrap wrapper container content main body post article entry".split())
 BOILERPLATE_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 KEPT = frozenset("html body article main".split())
 
 MARKUP = re.compile(
-    r"""<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/<>"']*)((?:[^<>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/<>"']*)([^<>]*)>|<[!?][^>]*>""",
+    r"""<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/<>"']*)((?:[^<>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/<>"']*)([^<>]*+)>|<[!?][^<>]*+>""",
     re.S,
 )
 ATTRIBUTE = re.compile(r"""(class|id|role|hidden|style|aria-hidden|itemprop)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/]|$|["'])""", re.I)
@@ -56,24 +62,111 @@ class _Node:
         self.end = -1
 
 
-def _boilerplate(tag: str, attributes: str) -> tuple[bool, bool]:
-    """Whether an element is left out, and whether it is marked as the main content."""
+def _named(value: str) -> tuple[bool, bool]:
+    """Whether a class or id names boilerplate, and whether reader comments."""
+    boilerplate = comments = False
+    for name in value.split():
+        parts = set(WORDS.findall(CAMEL.sub(" ", name).lower()))
+        comments |= not COMMENTS.isdisjoint(parts) and LAYOUT.isdisjoint(parts - {"post", "article", "entry"})
+        boilerplate |= not BOILERPLATE.isdisjoint(parts) and LAYOUT.isdisjoint(parts)
+    return boilerplate, comments
+
+
+class _Tags:
+    """Where each element of a page ends, found in one scan when it is first asked for."""
+
+    def __init__(self, html: str):
+        self.ends: dict[int, int] = {}  # from behind a start tag to behind its end tag
+        self.paragraphs: list[int] = []
+        self.mains: list[int] = []
+        self.bodies: list[int] = []
+        opened: dict[str, list[int]] = {}
+        at, size = 0, len(html)
+        while at < size and (found := MARKUP.search(html, at)):
+            at = found.end()
+            closing, tag, attributes = (found[1], found[2], found[3]) if found[2] else (found[4], found[5], found[6])
+            if not tag:
+                continue
+            tag = tag.lower()
+            if closing:
+                if stack := opened.get(tag):
+                    self.ends[stack.pop()] = at
+                elif tag == "body":
+                    self.bodies.append(found.start())
+            elif tag in RAW:
+                if not (attributes.endswith("/") and tag in ("svg", "math")):
+                    at = _raw_end(html, at, tag)
+            elif not attributes.endswith("/"):
+                if tag != "body":
+                    opened.setdefault(tag, []).append(at)
+                if tag == "p":
+                    self.paragraphs.append(at)
+                elif tag in ("article", "main"):
+                    self.mains.append(found.start())
+
+    def holds_main(self, at: int) -> bool:
+        """Whether an article or main element, or most paragraphs of the page, lie in the element that begins before `at`."""
+        end = self.ends.get(at, at)
+        if bisect_left(self.mains, end) > bisect_left(self.mains, at):
+            return True
+        inside = bisect_left(self.paragraphs, end) - bisect_left(self.paragraphs, at)
+        return inside >= 3 and 2 * inside > len(self.paragraphs)
+
+    def skip(self, at: int, tag: str, size: int) -> int:
+        """Behind the end of the element that begins before `at`.
+
+        An unclosed one ends with the body or the page, or at once if it is a mere container; a
+        head, nav or header ends where an article or main element begins at the latest.
+        """
+        end = self.ends.get(at)
+        if end is None:
+            end = size if tag not in ("div", "p", "section", "span", "ul", "li") else at
+        body = bisect_left(self.bodies, at)
+        if body < len(self.bodies):
+            end = min(end, self.bodies[body])
+        main = bisect_left(self.mains, at)
+        if tag in ("head", "nav", "header") and main < len(self.mains):
+            end = min(end, self.mains[main])
+        return end
+
+
+@lru_cache(maxsize=len(RAW))
+def _raw_pattern(tag: str) -> re.Pattern:
+    return re.compile(rf"</{tag}[^<>]*+>", re.I)
+
+
+def _raw_end(html: str, at: int, tag: str) -> int:
+    ended = _raw_pattern(tag).search(html, at)
+    return ended.end() if ended else len(html)
+
+
+def _boilerplate(tag: str, attributes: str, holds_main: Callable[[], bool]) -> tuple[bool, bool]:
+    """Whether an element is left out, and whether it is marked as the main content.
+
+    Forms, and elements whose name or role speaks of boilerplate, stay if they hold the main content.
+    """
     if tag in DROPPED:
-        return True, False
+        return tag not in ("form", "dialog", "fieldset") or not holds_main(), False
     if not attributes or attributes.isspace():
         return False, tag in ("article", "main")
     main = tag in ("article", "main")
+    suspect = False
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             if tag not in KEPT:
                 return True, False
         elif name == "role" and value.lower() in BOILERPLATE_ROLES and tag not in KEPT:
-            return True, False
+            suspect = True
         elif name == "role" and value.lower() == "main" or name == "itemprop" and value.lower() == "articlebody":
             main = True
-        elif name in ("class", "id") and tag not in KEPT and not BOILERPLATE.isdisjoint(WORDS.findall(CAMEL.sub(" ", value).lower())):
-            return True, False
+        elif name in ("class", "id") and tag not in KEPT:
+            boilerplate, comments = _named(value)
+            if comments:
+                return True, False
+            suspect |= boilerplate
+    if suspect and not holds_main():
+        return True, False
     return False, main
 
 
@@ -100,14 +193,25 @@ def extract(html: str | None) -> str:
     def pop_to(depth: int) -> None:
         nonlocal current, links
         for name, node in reversed(stack[depth:]):
+            opened[name] -= 1
             if node >= 0:
                 flush()
                 nodes[node].end = len(blocks)
                 current = nodes[node].parent
-            elif name == "a":
-                links -= 1
+                inline.pop()
+            else:
+                inline[-1][name] -= 1
+                links -= name == "a"
         del stack[depth:]
 
+    def holds_main() -> bool:
+        nonlocal tags
+        tags = tags or _Tags(html)
+        return tags.holds_main(at)
+
+    tags: _Tags | None = None
+    opened: Counter[str] = Counter()  # open elements by name, and inline ones since the last block began
+    inline: list[Counter[str]] = [Counter()]
     search = MARKUP.search
     while at < size:
         found = search(html, at)
@@ -127,18 +231,16 @@ def extract(html: str | None) -> str:
             continue
         tag = tag.lower()
         if closing:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == tag:
-                    pop_to(depth)
-                    break
-                if tag not in BLOCKS and stack[depth][1] >= 0:
-                    break  # an inline end tag does not close blocks
+            if (opened if tag in BLOCKS else inline[-1])[tag] > 0:  # an inline end tag does not close blocks
+                depth = len(stack) - 1
+                while stack[depth][0] != tag:
+                    depth -= 1
+                pop_to(depth)
             continue
         if tag in RAW:
             if attributes.endswith("/") and tag in ("svg", "math"):
                 continue
-            ended = re.compile(rf"</{tag}[^>]*>", re.I).search(html, at)
-            at = ended.end() if ended else size
+            at = _raw_end(html, at, tag)
             pieces.append(" ")
             continue
         if tag in VOID:
@@ -150,7 +252,7 @@ def extract(html: str | None) -> str:
         if tag in ("html", "body"):
             continue
         is_block = tag in BLOCKS
-        if is_block:
+        if is_block and (opened["p"] > 0 or any(opened[c] > 0 for c in CLOSES.get(tag, ()))):
             for depth in range(len(stack) - 1, 0, -1):  # what a start tag closes by itself
                 name, node = stack[depth]
                 if name == "p" or name in CLOSES.get(tag, ()):
@@ -158,9 +260,10 @@ def extract(html: str | None) -> str:
                     break
                 if node >= 0 and name in SCOPES:
                     break
-        dropped, main = _boilerplate(tag, attributes)
+        dropped, main = _boilerplate(tag, attributes, holds_main)
         if dropped and not attributes.endswith("/"):
-            at = _skip(html, at, tag, size)
+            tags = tags or _Tags(html)
+            at = tags.skip(at, tag, size)
             flush() if is_block else pieces.append(" ")
             continue
         if attributes.endswith("/") and not is_block:
@@ -170,11 +273,14 @@ def extract(html: str | None) -> str:
             nodes.append(_Node(tag, current, main))
             current = len(nodes) - 1
             stack.append((tag, current))
-            nodes[current].score = 0.0
+            opened[tag] += 1
+            inline.append(Counter())
             nodes[current].chars = -len(blocks) - 1  # where its blocks begin, until they are counted
         else:
             links += tag == "a"
             stack.append((tag, -1))
+            opened[tag] += 1
+            inline[-1][tag] += 1
     pop_to(1)
     flush()
     nodes[0].end = len(blocks)
@@ -182,25 +288,6 @@ def extract(html: str | None) -> str:
     return " ".join(_choose(nodes, blocks)) if blocks else ""
 
 
-def _skip(html: str, at: int, tag: str, size: int) -> int:
-    """Behind the end of the element that began just before `at`; nested ones of its name count.
-
-    An unclosed element ends where an article or main element begins, or else with the page.
-    """
-    depth = 1
-    for found in re.compile(rf"<!--.*?-->|<(script|style)\b.*?</\1\s*>|<(/?)({tag}|article|main|body)(?=[\s/>])", re.I | re.S).finditer(html, at):
-        if not found[3]:
-            continue
-        name = found[3].lower()
-        if name == tag:
-            depth += -1 if found[2] else 1
-            if not depth:
-                return (html.find(">", found.end()) + 1) or size
-        elif found[2] and name == "body" or not found[2] and name in ("article", "main") and tag in ("head", "nav", "header"):
-            return found.start()
-    return size if tag not in ("div", "p", "section", "span", "ul", "li") else at
-
-
 def _choose(nodes: list[_Node], blocks: list[tuple[int, str, int]]) -> list[str]:
     """The texts of the best container and of the siblings kept with it, in page order."""
     starts = [-node.chars - 1 for node in nodes]
@@ -209,11 +296,12 @@ def _choose(nodes: list[_Node], blocks: list[tuple[int, str, int]]) -> list[str]
         if node.end < 0:
             node.end = len(blocks)
     for at, text, linked in blocks:
-        up = at
-        while up >= 0:
-            nodes[up].chars += len(text)
-            nodes[up].linked += linked
-            up = nodes[up].parent
+        nodes[at].chars += len(text)
+        nodes[at].linked += linked
+    for node in reversed(nodes):  # a parent comes before its children
+        if node.parent >= 0:
+            nodes[node.parent].chars += node.chars
+            nodes[node.parent].linked += node.linked
     for at, text, linked in blocks:
         if nodes[at].tag not in PARAGRAPHS and at:
             continue
@@ -263,8 +351,9 @@ def main_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of `pages`.
 
     Null or empty html gives an empty text and 0; a null id or url stays
-    null; repeated rows are each extracted; other columns are not read. An
-    empty table gives no rows.
+    null; repeated rows are each extracted; of equally good containers the
+    first is taken; pages of any length are read whole, in time in proportion
+    to it; other columns are not read. An empty table gives no rows.
     """
     kinds = dict(pages.dtypes)
     schema = f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars bigint"
