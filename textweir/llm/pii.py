@@ -32,18 +32,26 @@ TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 
 #: Rounds of scoring; distinct seed values that a pattern needs; least confidence of a pattern and belief in an instance.
 ROUNDS, SUPPORT, CONFIDENCE, BELIEF = 3, 5, 0.6, 0.9
-#: Elements that a prefix sum folds at once.
+#: Elements that a fold runs over at once.
 FOLD = 256
 
 
-def prefix_sums(lengths: Column) -> Column:
-    """[0, l1, l1 + l2, ...] of an array of lengths, in blocks so that the folds stay short."""
-    fold = lambda start, xs: F.aggregate(xs, F.array(start), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
-    zero = F.lit(0).cast("int")
-    blocks = F.transform(F.sequence(zero, F.floor((F.size(lengths) - 1) / FOLD).cast("int")), lambda c: F.slice(lengths, c * FOLD + 1, FOLD))
-    starts = fold(zero, F.transform(blocks, lambda b: F.aggregate(b, zero, lambda a, x: a + x)))
-    inside = F.flatten(F.transform(blocks, lambda b, c: F.slice(fold(F.get(starts, c), b), 1, F.size(b))))
-    return F.when(F.size(lengths) > 0, F.concat(inside, F.array(F.element_at(starts, -1)))).otherwise(F.array(zero))
+def running(df: DataFrame, name: str, values: str, most: bool = False) -> DataFrame:
+    """`df` with a column `name`: [0, v1, v1 + v2, ...] of an array of numbers, or with `most` their running maxima.
+
+    The folds go over blocks, as they copy what they have so far. Arrays that
+    a lambda reads are columns of their own, each used more than once, so that
+    the optimizer doesn't move their making into the lambda.
+    """
+    join = (lambda a, x: F.greatest(a, x)) if most else (lambda a, x: a + x)
+    zero = F.lit(0)
+    fold = lambda start, xs: F.aggregate(xs, F.array(start), lambda acc, x: F.concat(acc, F.array(join(F.element_at(acc, -1), x))))
+    v, blocks, starts = F.col(values), F.col("_blocks"), F.col("_starts")
+    cuts = F.transform(F.sequence(zero, F.greatest(F.floor((F.size(v) - 1) / FOLD).cast("int"), zero)), lambda c: F.slice(v, c * FOLD + 1, FOLD))
+    df = df.withColumn("_blocks", cuts)
+    df = df.withColumn("_starts", fold(zero, F.transform(blocks, lambda b: F.aggregate(b, zero, join))))
+    inside = F.flatten(F.zip_with(blocks, F.slice(starts, 1, F.size(blocks)), lambda b, s: F.slice(fold(s, b), 1, F.size(b))))
+    return df.withColumn(name, F.concat(inside, F.array(F.element_at(starts, -1)))).drop("_blocks", "_starts")
 
 
 def digits(text: Column) -> Column:
@@ -81,9 +89,10 @@ TRIGGERS = {
 }
 PATTERNS = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE, "token": TOKEN}
 SPAN = "array<struct<kind:int,start:int,end:int,value:string,left:string,left2:string,right:string>>"
-LAST_WORD = r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$"
-LAST_WORDS = r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]+[^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$"
-FIRST_WORD = r"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+)"
+# Words next to a match, whole; each reads its piece of the text once.
+LAST_WORD = r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]++)[\x20\x09-\x0D]*+$"
+LAST_WORDS = r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]++[\x20\x09-\x0D]++[^\x20\x09-\x0D]++)[\x20\x09-\x0D]*+$"
+FIRST_WORD = r"^[\x20\x09-\x0D]*+([^\x20\x09-\x0D]++)"
 
 
 def _word(text: Column) -> Column:
@@ -93,47 +102,56 @@ def _word(text: Column) -> Column:
 
 def _spans(kind: str, matches: Column, pieces: Column, starts: Column) -> Column:
     """Spans of the matches of a kind with the words around them."""
+    n = F.size(matches)
+    beside = F.arrays_zip(matches.alias("value"), F.slice(pieces, 1, n).alias("before"), F.slice(pieces, 2, n).alias("after"), starts.alias("start"))
 
-    def span(match: Column, i: Column) -> Column:
-        before, after = F.right(F.get(pieces, i), F.lit(80)), F.left(F.get(pieces, i + 1), F.lit(40))
-        start = F.get(starts, 2 * i + 1)
+    def span(x: Column) -> Column:
         return F.struct(
             F.lit(KINDS.index(kind) if kind in KINDS else -1).alias("kind"),
-            start.alias("start"),
-            (start + F.length(match)).alias("end"),
-            match.alias("value"),
-            _word(F.regexp_extract(before, LAST_WORD, 1)).alias("left"),
-            _word(F.regexp_extract(before, LAST_WORDS, 1)).alias("left2"),
-            _word(F.regexp_extract(after, FIRST_WORD, 1)).alias("right"),
+            x["start"].alias("start"),
+            (x["start"] + F.length(x["value"])).alias("end"),
+            x["value"].alias("value"),
+            _word(F.regexp_extract(x["before"], LAST_WORD, 1)).alias("left"),
+            _word(F.regexp_extract(x["before"], LAST_WORDS, 1)).alias("left2"),
+            _word(F.regexp_extract(x["after"], FIRST_WORD, 1)).alias("right"),
         )
 
-    found = F.transform(matches, span)
-    return F.when(F.size(matches) > 0, F.filter(found, lambda s: _valid(kind, s["value"]))).otherwise(F.array().cast(SPAN))
+    return F.when(n > 0, F.filter(F.transform(beside, span), lambda s: _valid(kind, s["value"]))).otherwise(F.array().cast(SPAN))
+
 
+def annotate(docs: DataFrame, scratch: Scratch, *carried: str) -> DataFrame:
+    """(row, carried, base, other): a row number, the carried columns as a struct, base spans and other identifier-like tokens of every row.
 
-def annotate(docs: DataFrame, *carried: str) -> DataFrame:
-    """Base spans and other identifier-like tokens of every row: `_pii_base`, `_pii_other`, beside the carried columns."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    df = docs.select(*(F.col(f"`{c}`") for c in carried), text.alias("_pii_text"))
-    text = F.col("_pii_text")
+    A written table.
+    """
+    kept = F.struct(*(F.col(f"`{c}`") for c in carried)) if carried else F.lit(None).cast("int")
+    df = docs.select(kept.alias("carried"), F.coalesce("text", F.lit("")).alias("text"))
+    text = F.col("text")
+    none = F.array().cast("array<string>")
     for kind, pattern in PATTERNS.items():
         tried = TRIGGERS[kind](text)
         df = df.withColumns(
-            {
-                f"_pii_m_{kind}": F.when(tried, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>")),
-                f"_pii_p_{kind}": F.when(tried, F.split(text, pattern, -1)).otherwise(F.array().cast("array<string>")),
-            }
+            {f"m_{kind}": F.when(tried, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(none), f"p_{kind}": F.when(tried, F.split(text, pattern, -1)).otherwise(none)}
         )
-    df = df.drop("_pii_text")
+    df = df.drop("text")
     for kind in PATTERNS:
-        matches, pieces = F.col(f"_pii_m_{kind}"), F.col(f"_pii_p_{kind}")
-        lengths = F.flatten(F.zip_with(pieces, matches, lambda p, m: F.array(F.length(p), F.length(F.coalesce(m, F.lit(""))))))
-        df = df.withColumn(f"_pii_l_{kind}", F.when(F.size(matches) > 0, prefix_sums(lengths)).otherwise(F.array().cast("array<int>")))
-    df = df.withColumns({f"_pii_s_{kind}": _spans(kind, F.col(f"_pii_m_{kind}"), F.col(f"_pii_p_{kind}"), F.col(f"_pii_l_{kind}")) for kind in PATTERNS})
-    df = df.withColumn("_pii_base", F.concat(*(F.col(f"_pii_s_{kind}") for kind in KINDS)))
-    apart = lambda s: ~F.exists("_pii_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    other = F.when(F.size("_pii_s_token") > 0, F.filter("_pii_s_token", apart)).otherwise(F.array().cast(SPAN))
-    return df.select(*(F.col(f"`{c}`") for c in carried), "_pii_base", other.alias("_pii_other"))
+        matches, pieces = F.col(f"m_{kind}"), F.col(f"p_{kind}")
+        before = F.slice(pieces, 1, F.size(matches))
+        df = df.withColumn(f"g_{kind}", F.transform(before, F.length)).withColumn(f"l_{kind}", F.zip_with(f"g_{kind}", matches, lambda g, m: g + F.length(m)))
+        df = running(df, f"r_{kind}", f"l_{kind}")
+        df = df.withColumn(f"a_{kind}", F.zip_with(F.slice(f"r_{kind}", 1, F.size(matches)), f"g_{kind}", lambda r, g: r + g))
+    df = df.withColumns({f"s_{kind}": _spans(kind, F.col(f"m_{kind}"), F.col(f"p_{kind}"), F.col(f"a_{kind}")) for kind in PATTERNS})
+    df = df.select("carried", F.concat(*(F.col(f"s_{kind}") for kind in KINDS)).alias("base"), F.col("s_token").alias("tokens"))
+    # A token stands apart if no base span that begins before its end ends behind its start: spans in order, with the running maximum of the base ones' ends.
+    event = lambda at, side, reach, token: F.struct(at.alias("at"), F.lit(side).alias("side"), reach.alias("reach"), token.alias("token"))
+    of_base = F.transform("base", lambda s: event(s["start"], 1, s["end"], F.lit(None).cast(SPAN[6:-1])))
+    of_token = F.transform("tokens", lambda s: event(s["end"], 0, F.lit(0), s))
+    df = df.withColumn("events", F.when((F.size("base") > 0) & (F.size("tokens") > 0), F.array_sort(F.concat(of_base, of_token))))
+    df = running(df.withColumn("reaches", F.coalesce(F.transform("events", lambda e: e["reach"]), F.array().cast("array<int>"))), "most", "reaches", most=True)
+    judged = F.zip_with("events", F.slice("most", 1, F.size("reaches")), lambda e, m: F.struct(e["token"].alias("token"), m.alias("most")))
+    apart = F.transform(F.filter(judged, lambda j: j["token"].isNotNull() & (j["most"] <= j["token"]["start"])), lambda j: j["token"])
+    df = df.select(F.monotonically_increasing_id().alias("row"), "carried", "base", F.when(F.size("base") == 0, F.col("tokens")).otherwise(F.coalesce(apart, F.array().cast(SPAN))).alias("other"))
+    return scratch.keep(df, "annotated")
 
 
 def _shape(value: Column) -> Column:
@@ -153,15 +171,15 @@ def _shape(value: Column) -> Column:
 
 
 def discover(annotated: DataFrame, scratch: Scratch, rounds: int = ROUNDS, support: int = SUPPORT, confidence: float = CONFIDENCE, belief: float = BELIEF) -> DataFrame:
-    """(_pii_row, added) for rows of `annotated` with added spans: structs of kind, start and end."""
-    seeds = annotated.select("_pii_row", F.explode("_pii_base").alias("s"))
-    others = annotated.select("_pii_row", F.explode("_pii_other").alias("s"))
+    """(row, added) for rows of `annotated` with added spans: structs of kind, start and end."""
+    seeds = annotated.select("row", F.explode("base").alias("s"))
+    others = annotated.select("row", F.explode("other").alias("s"))
     contexts = lambda s: F.filter(
         F.array(F.concat(F.lit("1 "), s["left"]), F.concat(F.lit("2 "), s["left2"]), F.concat(F.lit("r "), s["right"])), lambda p: p.isNotNull()
     )
-    edges = seeds.select("_pii_row", F.col("s.start").alias("start"), F.col("s.end").alias("end"), F.col("s.kind").alias("seed"), F.xxhash64("s.value").alias("value"), F.array().cast("array<int>").alias("shapes"), F.explode(contexts(F.col("s"))).alias("pattern"))
+    edges = seeds.select("row", F.col("s.start").alias("start"), F.col("s.end").alias("end"), F.col("s.kind").alias("seed"), F.xxhash64("s.value").alias("value"), F.array().cast("array<int>").alias("shapes"), F.explode(contexts(F.col("s"))).alias("pattern"))
     edges = edges.unionByName(
-        others.select("_pii_row", F.col("s.start").alias("start"), F.col("s.end").alias("end"), F.lit(None).cast("int").alias("seed"), F.xxhash64("s.value").alias("value"), _shape(F.col("s.value")).alias("shapes"), F.explode(contexts(F.col("s"))).alias("pattern"))
+        others.select("row", F.col("s.start").alias("start"), F.col("s.end").alias("end"), F.lit(None).cast("int").alias("seed"), F.xxhash64("s.value").alias("value"), _shape(F.col("s.value")).alias("shapes"), F.explode(contexts(F.col("s"))).alias("pattern"))
     )
     # An instance is a distinct value beside a pattern: copies of a passage count once.
     edges = scratch.keep(edges, "edges")
@@ -180,18 +198,17 @@ def discover(annotated: DataFrame, scratch: Scratch, rounds: int = ROUNDS, suppo
         doubt = F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-6)))))
         beliefs = scratch.keep(known.groupBy("value", "kind").agg((1 - doubt).alias("belief")), f"beliefs-{k}")
     chosen = beliefs.where(F.col("belief") >= belief).groupBy("value").agg(F.min_by("kind", F.struct(-F.col("belief"), F.col("kind"))).alias("kind"))
-    spans = edges.where("seed is null").join(trusted, "pattern", "left_semi").join(chosen, "value").select("_pii_row", F.struct("kind", "start", "end").alias("span")).distinct()
-    return spans.groupBy("_pii_row").agg(F.collect_list("span").alias("added"))
+    spans = edges.where("seed is null").join(trusted, "pattern", "left_semi").join(chosen, "value").select("row", F.struct("kind", "start", "end").alias("span")).distinct()
+    return spans.groupBy("row").agg(F.collect_list("span").alias("added"))
 
 
 def _found(docs: DataFrame, scratch: Scratch, *carried: str) -> DataFrame:
-    """The carried columns with `_pii_base` and `_pii_all`, both in order of kind and start."""
-    numbered = annotate(docs, *carried).withColumn("_pii_row", F.monotonically_increasing_id())
-    annotated = scratch.keep(numbered, "annotated")
-    added = discover(annotated.select("_pii_row", "_pii_base", "_pii_other"), scratch)
-    bare = F.transform("_pii_base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    joined = annotated.drop("_pii_other").withColumn("_pii_base", bare).join(added.hint("shuffle_hash"), "_pii_row", "left")
-    return joined.withColumn("_pii_all", F.when(F.col("added").isNull(), F.col("_pii_base")).otherwise(F.array_sort(F.concat("_pii_base", "added")))).drop("added", "_pii_row")
+    """(carried, base, all) of every row, spans in order of kind and start."""
+    annotated = annotate(docs, scratch, *carried)
+    added = discover(annotated.select("row", "base", "other"), scratch)
+    bare = F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    joined = annotated.select("row", "carried", bare.alias("base")).join(added.hint("shuffle_hash"), "row", "left")
+    return joined.select("carried", "base", F.when(F.col("added").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "added"))).alias("all"))
 
 
 def _told(spans: Column) -> Column:
@@ -203,38 +220,50 @@ def personal_data(docs: DataFrame) -> DataFrame:
     """Spans of personal data of every row: counts and digest of the base ones, and all as kind:start:end.
 
     Offsets are code points, ends exclusive. Null and empty texts give zeros
-    and empty strings; repeated rows are each scanned; columns other than
-    doc_id and text are not read.
+    and empty strings; a null id stays null; repeated rows are each scanned,
+    though equal values beside equal words count once as evidence; a token
+    that several kinds fit is of the kind it is believed most to be, or of the
+    first as listed; texts of any length are read whole, in time about in
+    proportion to it; an empty table gives no rows. Columns other than doc_id
+    and text are not read.
     """
     found = _found(docs, Scratch(docs.sparkSession, "pii"), "doc_id")
-    count = lambda k: F.size(F.filter("_pii_base", lambda s: s["kind"] == k)).cast("bigint")
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("bigint")
     counts = [count(k).alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
-    return found.select("doc_id", *counts, F.sha2(_told(F.col("_pii_base")), 256).alias("base_sha256"), _told(F.col("_pii_all")).alias("spans"))
+    return found.select("carried.doc_id", *counts, F.sha2(_told(F.col("base")), 256).alias("base_sha256"), _told(F.col("all")).alias("spans"))
 
 
 def redact(docs: DataFrame) -> DataFrame:
     """`docs` with every span of personal data replaced by its kind in angle brackets; n_chars follows the text.
 
-    Overlapping spans become one, of the kind that begins first. Rows without
-    spans, and null texts, stay as they are.
+    Overlapping spans become one, of the kind that begins first (of the
+    longest, if they begin together). Rows without spans, and null texts, stay
+    as they are. Any column may have any name.
     """
-    columns = docs.columns
+    columns, kinds = docs.columns, dict(docs.dtypes)
     found = _found(docs, Scratch(docs.sparkSession, "redact"), *columns)
-    by_start = F.array_sort(F.transform("_pii_all", lambda s: F.struct(s["start"].alias("start"), -s["end"], s["kind"].alias("kind"), s["end"].alias("end"))))
-    names = F.array(*map(F.lit, KINDS))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-    text = F.col("`text`")
-
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substr(text, acc["at"] + 1, s["start"] - acc["at"])
-        parts = F.concat(acc["parts"], F.array(gap, F.concat(F.lit("<"), F.upper(F.get(names, s["kind"])), F.lit(">"))))
-        taken = s["start"] < acc["at"]
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(taken, acc["parts"]).otherwise(parts).alias("parts"))
-
-    done = F.aggregate(by_start, zero, step, lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substr(text, acc["at"] + 1)))
-    clean = F.when(F.size("_pii_all") > 0, done).otherwise(text)
-    out = found.withColumn("text", clean)
-    if "n_chars" in columns:
-        kind = dict(docs.dtypes)["n_chars"]
-        out = out.withColumn("n_chars", F.when(F.size("_pii_all") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return out.select(*(F.col(f"`{c}`") for c in columns))
+    some = F.size("all") > 0
+    text = F.col("carried.text")
+    by_start = F.array_sort(F.transform("all", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("order"), s["kind"].alias("kind"), s["end"].alias("end"))))
+    # Four bytes a character, so that a part is cut out without counting from the text's start; x keeps a decoder from taking a first character for a mark.
+    wide = F.when(some, F.encode(text, "UTF-32"))
+    df = found.select("carried", by_start.alias("spans"), F.when(some, text).alias("text"), wide.alias("wide"))
+    df = running(df.withColumn("ends", F.transform("spans", lambda s: s["end"])), "reach", "ends", most=True)
+    part = lambda a, n: F.substr(F.decode(F.concat(F.encode(F.lit("x"), "UTF-32"), F.substr("wide", a * 4 + 1, n * 4)), "UTF-32"), F.lit(2))
+    names = F.array(*(F.lit(f"<{k.upper()}>") for k in KINDS))
+
+    def piece(s: Column, before: Column) -> Column:
+        return F.when(s["start"] < before, F.lit("")).otherwise(F.concat(part(before, s["start"] - before), F.get(names, s["kind"])))
+
+    last = F.element_at("reach", -1)
+    clean = F.concat(F.array_join(F.zip_with("spans", F.slice("reach", 1, F.size("spans")), piece), ""), part(last, F.octet_length("wide") / 4 - last))
+    df = df.withColumn("clean", F.when(F.size("spans") > 0, clean))
+    out = []
+    for c in columns:
+        value = F.col("carried").getField(c)
+        if c == "text":
+            value = F.coalesce("clean", value)
+        elif c == "n_chars":
+            value = F.when(F.col("clean").isNotNull(), F.length("clean").cast(kinds[c])).otherwise(value)
+        out.append(value.alias(c))
+    return df.select(*out)
