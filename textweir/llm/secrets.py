@@ -13,6 +13,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,29 +36,55 @@ PIECES = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 RUN = re.compile(rf"[A-Za-z0-9+/_=-]{{{SHORTEST},}}")
 ALL_HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 UUID = re.compile(r"(?i)[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}")
-IDENTIFIER = re.compile(r"[_/=+-]*(?:(?:[A-Z]?[a-z]{3,}|[A-Z]{3,}|[A-Za-z][a-z]?(?=[_/-])|[0-9]{1,4}(?![0-9]))[_/=+-]*)+")
+#: The parts of an identifier: words in camel case, capitals, numbers.
+PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
+#: Characters that are tokenized at once, as a run has no bound and the tokenizer's time grows faster than its input.
+PIECE = 1024
+#: Largest vocabulary file that is sent to the executors.
+MOST_VOCABULARY = 64 << 20
 
 
 @lru_cache(maxsize=4)
-def encoding(path: str):
+def encoding(ranks: bytes):
+    """A tokenizer of the lines of a vocabulary file."""
     import tiktoken
 
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines)}
-    return tiktoken.Encoding(path, pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
+    pairs = (line.split() for line in ranks.splitlines())
+    return tiktoken.Encoding("vocabulary", pat_str=PIECES, mergeable_ranks={base64.b64decode(a): int(b) for a, b in pairs}, special_tokens={})
 
 
-def is_random(run: str, vocabulary: str = VOCABULARY, ratio: float = RATIO) -> bool:
+@lru_cache(maxsize=4)
+def vocabulary_bytes(path: str) -> bytes:
+    data = Path(path).read_bytes()
+    if len(data) > MOST_VOCABULARY:
+        raise ValueError(f"{path} has more than {MOST_VOCABULARY} bytes")
+    return data
+
+
+def is_identifier(run: str) -> bool:
+    """Whether a run is made of words of three letters or more, shorter ones before a separator, and numbers of up to four digits."""
+    for part in PART.finditer(run):
+        size, end = part.end() - part.start(), part.end()
+        if part[0].isdigit():
+            if size > 4:
+                return False
+        elif size < 3 and run[end : end + 1] not in ("_", "/", "-"):
+            return False
+    return True
+
+
+def is_random(run: str, ranks: bytes, ratio: float = RATIO) -> bool:
     """Whether a run of identifier characters looks like a random string."""
-    kinds = any(c.islower() for c in run) + any(c.isupper() for c in run) + any(c.isdigit() for c in run)
-    if kinds < 2 or UUID.fullmatch(run) or IDENTIFIER.fullmatch(run):
+    kinds = any(map(str.islower, run)) + any(map(str.isupper, run)) + any(map(str.isdigit, run))
+    if kinds < 2 or UUID.fullmatch(run) or is_identifier(run):
         return False
-    if ALL_HEX.fullmatch(run) and len(run) in DIGEST_LENGTHS:
+    if len(run) in DIGEST_LENGTHS and ALL_HEX.fullmatch(run):
         return False
-    return len(run) < ratio * len(encoding(vocabulary).encode_ordinary(run))
+    encode = encoding(ranks).encode_ordinary
+    return len(run) < ratio * sum(len(encode(run[at : at + PIECE])) for at in range(0, len(run), PIECE))
 
 
-def find(text: str | None, vocabulary: str = VOCABULARY, ratio: float = RATIO) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]]]:
+def find(text: str | None, ranks: bytes, ratio: float = RATIO) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]]]:
     """Base spans as (start, kind, end), with kinds 0 assign, 1 access, 2 hex; and the added spans (start, end)."""
     if not text:
         return [], []
@@ -67,21 +94,18 @@ def find(text: str | None, vocabulary: str = VOCABULARY, ratio: float = RATIO) -
         base = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[1]) >= 8]
     if "AKIA" in text:
         base += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
-    added = []
-    runs = list(RUN.finditer(text))
-    if runs:  # a hex span of 32 lies within such a run
-        base += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-        base.sort()
-        taken = [(a, b) for a, _, b in base]
-        added = [m.span() for m in runs if not _overlaps(m.start(), m.end(), taken) and is_random(m[0], vocabulary, ratio)]
+    base += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     base.sort()
+    added, at, taken = [], 0, 0  # base spans before `at` begin before the run's end; `taken` is where they end
+    for m in RUN.finditer(text):
+        while at < len(base) and base[at][0] < m.end():
+            taken = max(taken, base[at][2])
+            at += 1
+        if taken <= m.start() and is_random(m[0], ranks, ratio):
+            added.append(m.span())
     return base, added
 
 
-def _overlaps(start: int, end: int, spans: list[tuple[int, int]]) -> bool:
-    return any(a < end and start < b for a, b in spans)
-
-
 KINDS = ("assign", "access", "hex")
 
 
@@ -89,15 +113,19 @@ def scan(docs: DataFrame, vocabulary: str = VOCABULARY, ratio: float = RATIO) ->
     """Secrets of every row of `docs`: counts and digest of the base spans, and all spans as kind:start:end.
 
     Offsets are code points, ends exclusive; added spans have kind `random`.
-    Null and empty texts give zeros and empty strings; repeated rows are each
-    scanned; columns other than doc_id and text are not read.
+    Null and empty texts give zeros and empty strings; a null id stays null;
+    repeated rows are each scanned; base spans of different kinds may overlap
+    and all stay; very long texts take time in proportion to their length; an
+    empty table gives no rows; columns other than doc_id and text are not
+    read. The vocabulary file is read by the driver and sent along.
     """
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary_bytes(vocabulary))
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
             rows = []
             for value in batch.column("text"):
-                base, added = find(value.as_py(), vocabulary, ratio)
+                base, added = find(value.as_py(), shared.value, ratio)
                 told = ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in base)
                 spans = told
                 if added:
