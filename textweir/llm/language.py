@@ -14,64 +14,77 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-#: Longest n-gram; characters are mapped to 6-bit classes.
+from textweir.llm.common import NULL_ID
+
+#: Longest n-gram.
 N = 3
-#: Bound of the labelled sample: rows of each language.
-SAMPLE = 300
+#: Bounds of the labelled sample: rows of each language, and characters of a row.
+SAMPLE, SAMPLE_CHARS = 300, 1 << 20
 #: Landmarks of each language.
 LANDMARKS = 48
 RIDGE = 1e-3
-UNKNOWN = 63
-#: Code points from here on are of the class UNKNOWN.
-TABLE = 0x3000
-SPACE = 64 + 64**2 + 64**3
 BATCH = 64
+_BITS = np.uint64(21)
+
+
+@lru_cache(maxsize=1)
+def letters() -> np.ndarray:
+    """Whether each code point is a letter."""
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
 def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
-def presence(text: str, classes: np.ndarray) -> np.ndarray:
-    """Ids of the distinct n-grams of a text, blanks around it included."""
+def presence(text: str) -> np.ndarray:
+    """Ids of the distinct n-grams of a text, blanks around it included; what is no letter counts as a blank.
+
+    An id is made of the n-gram's code points themselves, so all alphabets are told apart.
+    """
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
-    code = np.zeros(len(points) + 4, np.int32)
-    code[2:-2] = classes[np.minimum(points, TABLE)]
-    grams = (code[:-2] << 12) | (code[1:-1] << 6) | code[2:]
-    if len(grams) < 4096:
-        third = np.unique(grams)
-    else:
-        seen = np.zeros(64**3, bool)
-        seen[grams] = True
-        third = np.flatnonzero(seen)
-    second = np.unique(third >> 6)
-    first = np.unique(second >> 6)
-    return np.concatenate([first, second + 64, third + 64 + 64**2])
+    code = np.zeros(len(points) + 4, np.uint64)
+    code[2:-2] = np.where(letters()[points], points, 0)
+    third = _distinct((((code[:-2] << _BITS) | code[1:-1]) << _BITS) | code[2:])
+    second = _distinct(third >> _BITS)
+    first = _distinct(second >> _BITS)
+    return np.concatenate([first | np.uint64(3 << 62), second | np.uint64(1 << 63), third])
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])]
 
 
 @dataclass
 class Model:
     langs: list[str]
-    classes: np.ndarray  # class of each code point
-    column: np.ndarray  # column of each n-gram in `weights`, -1 if no landmark has it
+    vocabulary: np.ndarray  # n-grams of the landmarks, sorted
     weights: np.ndarray  # n-grams of the landmarks x languages
 
     def scores(self, texts: list[str]) -> np.ndarray:
         """Decision values, texts x languages."""
         if not texts:
             return np.zeros((0, len(self.langs)), np.float32)
-        found = [presence(text, self.classes) for text in texts]
-        matrix = np.zeros((len(texts), len(self.weights)), np.float32)
-        for row, ids in zip(matrix, found, strict=True):
-            columns = self.column[ids]
-            row[columns[columns >= 0]] = 1
-        return (matrix @ self.weights) / np.sqrt([[len(ids)] for ids in found]).astype(np.float32)
+        found = [presence(text) for text in texts]
+        return (_matrix(found, self.vocabulary) @ self.weights) / np.sqrt([[len(ids)] for ids in found]).astype(np.float32)
+
+
+def _matrix(found: list[np.ndarray], vocabulary: np.ndarray) -> np.ndarray:
+    """Which n-grams of the vocabulary each text has."""
+    matrix = np.zeros((len(found), len(vocabulary)), np.float32)
+    for row, ids in zip(matrix, found, strict=True):
+        at = np.minimum(np.searchsorted(vocabulary, ids), len(vocabulary) - 1)
+        row[at[vocabulary[at] == ids]] = 1
+    return matrix
 
 
 def fit(rows: list[tuple[str, str]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model | None:
@@ -79,26 +92,15 @@ def fit(rows: list[tuple[str, str]], landmarks: int = LANDMARKS, ridge: float =
     rows = [(lang, text) for lang, text in rows if has_letter(text)]
     if not rows:
         return None
-    counts: Counter[str] = Counter()
-    for _, text in rows:
-        counts.update(text.lower())
-    letters = [c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0])) if c.isalpha() and ord(c) < TABLE][: UNKNOWN - 1]
-    classes = np.array([UNKNOWN if chr(c).isalpha() else 0 for c in range(TABLE)] + [UNKNOWN], np.int32)
-    classes[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
     langs = sorted({lang for lang, _ in rows})
-    found = [presence(text, classes) for _, text in rows]
+    found = [presence(text) for _, text in rows]
     chosen, seen = [], Counter()
     for i, (lang, _) in enumerate(rows):
         if seen[lang] < landmarks:
             seen[lang] += 1
             chosen.append(i)
     vocabulary = np.unique(np.concatenate([found[i] for i in chosen]))
-    column = np.full(SPACE, -1, np.int32)
-    column[vocabulary] = np.arange(len(vocabulary))
-    points = np.zeros((len(rows), len(vocabulary)), np.float32)
-    for row, ids in zip(points, found, strict=True):
-        columns = column[ids]
-        row[columns[columns >= 0]] = 1 / np.sqrt(len(ids))
+    points = _matrix(found, vocabulary) / np.sqrt([[len(ids)] for ids in found]).astype(np.float32)
     basis = points[chosen]
     values, vectors = np.linalg.eigh((basis @ basis.T).astype(np.float64))
     held = values > 1e-6 * values.max()
@@ -109,7 +111,7 @@ def fit(rows: list[tuple[str, str]], landmarks: int = LANDMARKS, ridge: float =
     weight *= np.sqrt(len(rows) / len(langs))  # languages count alike
     inside = (phi * weight).T @ (phi * weight) + ridge * len(rows) * np.eye(phi.shape[1])
     solved = np.linalg.solve(inside, (phi * weight).T @ (target * weight))
-    return Model(langs, classes, column, (basis.T @ (root @ solved)).astype(np.float32))
+    return Model(langs, vocabulary, (basis.T @ (root @ solved)).astype(np.float32))
 
 
 def held_out(column: str = "doc_id"):
@@ -117,53 +119,60 @@ def held_out(column: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(column).cast("string")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
-    """Fit on at most `sample` rows of each language, chosen by a hash of the id among those not held out."""
-    from textweir.llm.common import NULL_ID
-
-    rows = docs.select("doc_id", "lang", "text").where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
+def train(docs: DataFrame, sample: int = SAMPLE, chars: int = SAMPLE_CHARS) -> Model | None:
+    """Fit on at most `sample` rows of each language, chosen by a hash of id and text among those not held out; rows of more than `chars` characters are not chosen."""
+    rows = docs.select("doc_id", "lang", "text").where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.length("text") <= chars))
     counts = {r["lang"]: r["count"] for r in rows.select("lang").groupBy("lang").count().collect()}
     if not counts:
         return None
-    order = F.xxhash64("doc_id").bitwiseAND(F.lit(NULL_ID))
+    order = F.xxhash64("doc_id", "text").bitwiseAND(F.lit(NULL_ID))
     bound = F.lit(0)
     for lang, n in counts.items():  # about twice as many as are needed
         bound = F.when(F.col("lang") == lang, F.lit(min(NULL_ID, int(NULL_ID * (2 * sample + 20) / n)))).otherwise(bound)
-    drawn = rows.where(order <= bound).select("lang", "text", order.alias("at")).collect()
-    kept: list[tuple[str, str]] = []
-    seen: Counter[str] = Counter()
-    for r in sorted(drawn, key=lambda r: (r["at"], r["lang"], r["text"])):
-        if seen[r["lang"]] < sample:
-            seen[r["lang"]] += 1
-            kept.append((r["lang"], r["text"]))
-    return fit(kept)
+    near = rows.select("lang", "text", order.alias("at")).where(F.col("at") <= bound)
+    first = near.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("at", "text"))).where(F.col("rank") <= sample)
+    return fit([(r["lang"], r["text"]) for r in sorted(first.collect(), key=lambda r: (r["lang"], r["rank"]))])
 
 
-def identify(docs: DataFrame, model: Model | None, *carried: str) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score) of every row, and the `carried` columns of `docs`.
+def _best(model: Model | None, texts: list[str | None]) -> tuple[list[str], list[float]]:
+    """Language and score of each text."""
+    lang, score = ["und"] * len(texts), [0.0] * len(texts)
+    known = [i for i, text in enumerate(texts) if model and has_letter(text)]
+    for at in range(0, len(known), BATCH):
+        part = known[at : at + BATCH]
+        values = model.scores([texts[i] for i in part])
+        for i, row, k in zip(part, values, values.argmax(axis=1), strict=True):
+            lang[i], score[i] = model.langs[k], float(min(1.0, max(0.0, row[k])))
+    return lang, score
+
+
+def identify(docs: DataFrame, model: Model | None) -> DataFrame:
+    """(doc_id, held_out, lang_pred, score) of every row.
 
     Texts that are null or have no letter are `und` with score 0, and so is
-    every text if nothing was learned. Repeated rows are each scored; `lang`
-    and `source` are never read.
+    every text if nothing was learned. A null id is not held out; repeated
+    rows are each scored; of equal scores the first language in order of the
+    names wins; an empty table gives no rows. Columns other than doc_id and
+    text are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in parts:
-            texts = batch.column("text").to_pylist()
-            lang, score = ["und"] * len(texts), [0.0] * len(texts)
-            known = [i for i, text in enumerate(texts) if model and has_letter(text)]
-            for at in range(0, len(known), BATCH):
-                part = known[at : at + BATCH]
-                values = model.scores([texts[i] for i in part])
-                for i, row, k in zip(part, values, values.argmax(axis=1), strict=True):
-                    lang[i], score[i] = model.langs[k], float(min(1.0, max(0.0, row[k])))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names if c != "text" or "text" in carried), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*(c for c in names if c != "text" or "text" in carried), "lang_pred", "score"])
-
-    names = ["doc_id", "held_out", "text", *(c for c in carried if c != "text")]
-    kinds = dict(docs.dtypes) | {"held_out": "boolean"}
-    out = [c for c in names if c != "text" or "text" in carried]
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in out) + ", lang_pred string, score double"
-    given = docs.select("doc_id", held_out().alias("held_out"), "text", *(c for c in carried if c != "text"))
-    return given.mapInArrow(batches, schema)
+            lang, score = _best(shared.value, batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
+
+    given = docs.select("doc_id", held_out().alias("held_out"), "text")
+    return given.mapInArrow(batches, f"doc_id {dict(docs.dtypes)['doc_id']}, held_out boolean, lang_pred string, score double")
+
+
+def in_known_language(docs: DataFrame, model: Model | None, least: float) -> DataFrame:
+    """The rows of `docs`, with all their columns, whose language scores `least` or more; texts that are `und` go."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            lang, score = _best(shared.value, batch.column("text").to_pylist())
+            yield batch.filter(pa.array([x != "und" and s >= least for x, s in zip(lang, score, strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(batches, docs.schema)
