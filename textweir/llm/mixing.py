@@ -6,9 +6,14 @@ deadline ceil(j / share); dealing slots by earliest deadline first then keeps
 every source within less than one block of its share at every point.
 
 With integer weights the schedule repeats with a period of their sum, so only
-one period is worked out on the driver, however long the stream is. When a
-source runs out, a new phase deals its share to the others in proportion.
-The place of a block is then arithmetic on its number within its source.
+one period is worked out, however long the stream is. When a source runs out,
+a new phase deals its share to the others in proportion. The place of a block
+is then arithmetic on its number within its source.
+
+A schedule has up to `NODES` sources. More are scheduled as a tree: rare ones
+share a node, whose weight is the sum of theirs and whose blocks are dealt to
+them by a schedule of its own, so each stays within less than one block of its
+share of the node's stream. Schedules below the top are worked out by Spark.
 """
 
 from __future__ import annotations
@@ -16,20 +21,23 @@ from __future__ import annotations
 import heapq
 from math import gcd
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-#: Sources with a share of their own; rarer ones are pooled into one.
-MAX_SOURCES = 256
-#: Largest sum of the weights, which is the period.
-MAX_PERIOD = 1 << 16
+from textweir.llm.common import Scratch
+
+#: Sources of one schedule.
+NODES = 256
+#: Largest sum of the weights of one schedule, which is its period.
+MAX_PERIOD = 1 << 20
 #: Hash buckets of a source, within which its rows are numbered.
 BUCKETS = 1024
 #: Sum of the default weights, and the power of a source's size that they follow.
 PERIOD, TEMPER = 1000, 0.5
+#: The key for the weight of all sources that have none given.
 POOL = "\x00pooled"
+PLAN = "node string, first bigint, end bigint, start bigint, period bigint, weight bigint, places array<int>, parent string"
 
 
 def period(weights: list[int]) -> list[int]:
@@ -76,60 +84,110 @@ def phases(blocks: list[int], weights: list[int]) -> list[tuple[int, int, int, i
     return rows
 
 
-def default_weights(counts: dict[str, int]) -> dict[str, int]:
+def default_weights(sizes: list[float]) -> list[int]:
     """Integer weights in proportion to the square roots of the sizes; each is at least one."""
-    total = sum(n**TEMPER for n in counts.values())
-    return {s: max(1, round(PERIOD * n**TEMPER / total)) for s, n in counts.items()}
+    roots = [n**TEMPER for n in sizes]
+    total = sum(roots) or 1
+    return [max(1, round(PERIOD * r / total)) for r in roots]
+
+
+def _rows(nodes: list[str], blocks: list[int], weights: list[int], parent: str) -> list[tuple]:
+    return [(nodes[s], *row, parent) for s, *row in phases(blocks, weights)]
+
 
+def _pooled(spark: SparkSession, rest: DataFrame, scratch: Scratch, nodes: int) -> tuple[list[DataFrame], int, float]:
+    """Plans of the levels below the pool for its members (node, blocks, root); the pool's blocks, and the sum of the members' square roots.
 
-def mix(docs: DataFrame, weights: dict[str, int] | None = None, block_rows: int = 1) -> DataFrame:
+    Members are hashed into groups of a few dozen, groups into groups, until
+    there are few enough for one schedule. A group's square root is the sum of its members'.
+    """
+    plans = []
+    level, depth = scratch.keep(rest, "pool-0"), 0
+    while True:
+        count, blocks, root = level.agg(F.count(F.lit(1)), F.sum("blocks"), F.sum("root")).first()
+        if not count:
+            return plans, 0, 0.0
+        groups = 1 if count <= nodes else -(-count // max(2, nodes // 4))
+        parent = F.lit(POOL) if groups == 1 else F.concat(F.lit(f"\x00{depth}:"), F.pmod(F.xxhash64("node", F.lit(depth)), F.lit(groups)).cast("string"))
+        level = scratch.keep(level.withColumn("parent", parent), f"level-{depth}")
+
+        def plan(group):
+            import pandas as pd
+
+            group = group.sort_values("node")
+            total = group["root"].sum()
+            weights = [max(1, round(PERIOD * r / total)) for r in group["root"]]
+            rows = _rows(group["node"].tolist(), group["blocks"].tolist(), weights, group["parent"].iloc[0])
+            return pd.DataFrame(rows, columns=[c.split()[0] for c in PLAN.split(", ")])
+
+        plans.append(scratch.keep(level.groupBy("parent").applyInPandas(plan, PLAN), f"plan-{depth}"))
+        if groups == 1:
+            return plans, int(blocks), float(root)
+        level = level.groupBy(F.col("parent").alias("node")).agg(F.sum("blocks").alias("blocks"), F.sum("root").alias("root"))
+        depth += 1
+
+
+def mix(docs: DataFrame, weights: dict[str, int] | None = None, block_rows: int = 1, nodes: int = NODES) -> DataFrame:
     """Every row of `docs`, all columns, with its `mix_block`, `mix_slot` and `mix_position`.
 
     Ordering by mix_position gives the mixture. A block is `block_rows` rows
-    of a source; within a source rows come in the order of a hash of doc_id.
-    Sources without a weight, those beyond MAX_SOURCES and null ones are pooled;
-    the pool's weight is that given for POOL, 1 by default. Without weights,
-    `default_weights` applies. A source that runs out leaves its share to the
-    others, so every row has exactly one place; repeated rows each have their
-    own. Columns of `docs` with the names added here are replaced. An empty
-    table gives an empty one.
+    of a source (the last one may have fewer, so positions have gaps there);
+    within a source rows come in the order of a hash of the row, and rows
+    alike in all columns are interchangeable. Null is a source like any other.
+
+    Every source with an explicit weight is scheduled by it; all others share
+    the weight given for POOL (1 by default) in proportion to the square roots
+    of their sizes. Without weights all sources have weights in that
+    proportion, and those beyond the `nodes` - 1 largest share a node of the
+    tree. A weight of 0 or less is none. A source that runs out leaves its
+    share to the others, so every row has exactly one place. Columns of `docs`
+    with the names added here are replaced; any other may have any name. An
+    empty table gives an empty one. Weights that add up to more than
+    MAX_PERIOD raise ValueError.
     """
     spark = docs.sparkSession
-    top = docs.groupBy("source").count().where(F.col("source").isNotNull()).orderBy(F.desc("count"), "source").limit(MAX_SOURCES - 1).collect()
-    counts = {r["source"]: r["count"] for r in top}
+    scratch = Scratch(spark, "mix")
+    kept = [c for c in docs.columns if c not in ("mix_block", "mix_slot", "mix_position")]
+    hashable = [f.name for f in docs.schema.fields if f.name in kept and "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    hashed = F.xxhash64(*(F.col(f"`{c}`") for c in ("doc_id", *hashable)))
+    node = F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row"), node.alias("node"), hashed.alias("hash"))
+    rows = rows.withColumn("bucket", F.pmod("hash", F.lit(BUCKETS)).cast("int"))
+    sizes = scratch.keep(rows.groupBy("node", "bucket").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    before = F.sum("n").over(Window.partitionBy("node").orderBy("bucket")) - F.col("n")
+    offsets = scratch.keep(sizes.select("node", "bucket", before.alias("offset")), "offsets")
+    blocks = F.ceil(F.sum("n") / block_rows).cast("bigint")
+    sources = scratch.keep(sizes.groupBy("node").agg(F.sum("n").alias("n"), blocks.alias("blocks")).withColumn("root", F.pow("n", F.lit(TEMPER))), "sources")
+    if weights is None:
+        top = sources.orderBy(F.desc("n"), "node").limit(nodes - 1).collect()
+    else:
+        given = {f"s{s}": w for s, w in weights.items() if w > 0 and s != POOL}
+        top = sources.where(F.col("node").isin(*given)).collect() if given else []
+    top = sorted(top, key=lambda r: r["node"])
+    names = [r["node"] for r in top]
+    rest = sources.where(~F.col("node").isin(*names)) if names else sources
+    plans, pool_blocks, pool_root = _pooled(spark, rest.select("node", "blocks", "root"), scratch, nodes)
     if weights is None:
-        weights = default_weights(counts) | {POOL: 1}
-    named = sorted(s for s, w in weights.items() if w > 0 and s in counts and s != POOL)
-    order = [*named, POOL]
-    integers = [*(weights[s] for s in named), max(1, weights.get(POOL, 1))]
+        integers = default_weights([r["n"] for r in top] + ([pool_root ** (1 / TEMPER)] if pool_blocks else []))
+    else:
+        integers = [given[n] for n in names] + ([max(1, weights.get(POOL, 1))] if pool_blocks else [])
     if sum(integers) > MAX_PERIOD:
         raise ValueError(f"the weights add up to more than {MAX_PERIOD}")
-
-    key = F.when(F.col("source").isin(named), F.col("source")).otherwise(F.lit(POOL)) if named else F.lit(POOL)
-    hashed = F.xxhash64("doc_id")
-    dealt = docs.drop("mix_block", "mix_slot", "mix_position").withColumns({"_mix_key": key, "_mix_bucket": F.pmod(hashed, F.lit(BUCKETS)).cast("int")})
-    sizes = dealt.groupBy("_mix_key", "_mix_bucket").agg(F.count(F.lit(1)).alias("_mix_n"))
-    sizes = sizes.collect()  # MAX_SOURCES x BUCKETS rows at most
-    totals = dict.fromkeys(order, 0)
-    offsets = []
-    for r in sorted(sizes, key=lambda r: (r["_mix_key"], r["_mix_bucket"])):
-        offsets.append((r["_mix_key"], r["_mix_bucket"], totals[r["_mix_key"]]))
-        totals[r["_mix_key"]] += r["_mix_n"]
-    blocks = [-(-totals[s] // block_rows) for s in order]
-    plan = [(order[s], *row) for s, *row in phases(blocks, integers)]
-    long = T.LongType()
-    offset_table = spark.createDataFrame(offsets, T.StructType([T.StructField("_mix_key", T.StringType()), T.StructField("_mix_bucket", T.IntegerType()), T.StructField("_mix_offset", long)]))
-    names = ["_mix_first", "_mix_end", "_mix_start", "_mix_period", "_mix_weight"]
-    plan_table = spark.createDataFrame(plan, T.StructType([T.StructField("_mix_name", T.StringType()), *(T.StructField(n, long) for n in names), T.StructField("_mix_places", T.ArrayType(T.IntegerType()))]))
-
-    within = Window.partitionBy("_mix_key", "_mix_bucket").orderBy(hashed, "doc_id")
-    ranked = dealt.withColumn("_mix_rank", F.row_number().over(within))
-    ranked = ranked.join(F.broadcast(offset_table), ["_mix_key", "_mix_bucket"]).withColumn("_mix_at", F.col("_mix_offset") + F.col("_mix_rank") - 1)
-    ranked = ranked.withColumn("mix_block", F.floor(F.col("_mix_at") / block_rows))
-    place = (F.col("_mix_key") == F.col("_mix_name")) & (F.col("mix_block") >= F.col("_mix_first")) & (F.col("mix_block") < F.col("_mix_end"))
-    placed = ranked.join(F.broadcast(plan_table), place)
-    turn = F.col("mix_block") - F.col("_mix_first")
-    slot = F.col("_mix_start") + F.floor(turn / F.col("_mix_weight")) * F.col("_mix_period") + F.get("_mix_places", F.pmod(turn, F.col("_mix_weight")).cast("int"))
-    placed = placed.withColumn("mix_slot", slot.cast("bigint"))
-    placed = placed.withColumn("mix_position", F.col("mix_slot") * block_rows + F.pmod(F.col("_mix_at"), F.lit(block_rows)))
-    return placed.select(*(F.col(f"`{c}`") for c in docs.columns if c not in ("mix_block", "mix_slot", "mix_position")), "mix_block", "mix_slot", "mix_position")
+    planned = _rows([*names, POOL][: len(integers)], [*(r["blocks"] for r in top), pool_blocks][: len(integers)], integers, "")
+    plans.append(scratch.keep(spark.createDataFrame(planned, PLAN), "plan"))
+
+    within = Window.partitionBy("node", "bucket").orderBy("hash", "row.doc_id")
+    # Offsets and plans grow with the number of sources: they are tables, which Spark broadcasts only below its threshold.
+    ranked = rows.withColumn("rank", F.row_number().over(within)).join(offsets, ["node", "bucket"])
+    at = F.col("offset") + F.col("rank") - 1
+    found = ranked.select("row", "node", F.floor(at / block_rows).alias("block"), F.pmod(at, F.lit(block_rows)).alias("in_block")).withColumn("slot", F.col("block"))
+    for k, plan in enumerate(plans):
+        turn = F.col("slot") - F.col("first")
+        slot = F.col("start") + F.floor(turn / F.col("weight")) * F.col("period") + F.get("places", F.pmod(turn, F.col("weight")).cast("int"))
+        places = found.join(plan, "node").where((F.col("slot") >= F.col("first")) & (F.col("slot") < F.col("end")))
+        placed = places.select("row", F.col("parent").alias("node"), "block", "in_block", slot.cast("bigint").alias("slot"))
+        if k + 1 < len(plans):  # sources that are scheduled further up
+            placed = placed.unionByName(found.join(plan.select("node").distinct(), "node", "left_anti"))
+        found = placed
+    position = (F.col("slot") * block_rows + F.col("in_block")).alias("mix_position")
+    return found.select(*(F.col("row").getField(c).alias(c) for c in kept), F.col("block").alias("mix_block"), F.col("slot").alias("mix_slot"), position)
