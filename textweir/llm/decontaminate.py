@@ -57,6 +57,12 @@ def _codes(data: np.ndarray, n: int, q: int) -> np.ndarray:
     return first * _M1 + last * _M2
 
 
+def _spread(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The integers of [low, high) for each pair, end to end."""
+    n = high - low
+    return np.arange(n.sum()) + np.repeat(low - (np.cumsum(n) - n), n)
+
+
 class Index:
     """The q-grams of a block of benchmark items."""
 
@@ -106,10 +112,10 @@ class Index:
         some = high > low
         hits, doc, low, high = hits[some], doc[some], low[some], high[some]
         starts = ends - [len(p) for p in parts]
-        regions = self._regions(hits - starts[doc], doc, low, high, 0, len(self.ids))
+        regions = self._regions(texts, hits - starts[doc], doc, low, high, 0, len(self.ids))
         return found + self._verified(texts, regions)
 
-    def _regions(self, at: np.ndarray, doc: np.ndarray, low: np.ndarray, high: np.ndarray, first: int, last: int) -> np.ndarray:
+    def _regions(self, texts: list[str], at: np.ndarray, doc: np.ndarray, low: np.ndarray, high: np.ndarray, first: int, last: int) -> np.ndarray:
         """Rows (text, item, band, first window, last window) that meet the bound, for items from `first` to before `last`."""
         empty = np.zeros((0, 5), np.int64)
         counts = high - low
@@ -118,7 +124,7 @@ class Index:
             return empty
         if total > 8 * PAIRS and len(at) > 1 and doc[0] != doc[-1]:  # text by text, as long as there are more
             cut = int(np.searchsorted(doc, (doc[0] + doc[-1] + 1) // 2))
-            return np.concatenate([self._regions(at[s], doc[s], low[s], high[s], first, last) for s in (slice(0, cut), slice(cut, None))])
+            return np.concatenate([self._regions(texts, at[s], doc[s], low[s], high[s], first, last) for s in (slice(0, cut), slice(cut, None))])
         if total > 8 * PAIRS and last - first > 1:  # then items by items
             mid = (first + last) // 2
             sub = []
@@ -126,10 +132,47 @@ class Index:
                 inside = np.concatenate([[0], np.cumsum((self.item >= a) & (self.item < b))])
                 some = inside[high] > inside[low]
                 if some.any():
-                    sub.append(self._expanded(at[some], doc[some], low[some], high[some], a, b) if b - a == 1 else self._regions(at[some], doc[some], low[some], high[some], a, b))
+                    sub.append(self._regions(texts, at[some], doc[some], low[some], high[some], a, b))
             return np.concatenate(sub) if sub else empty
+        if total > 8 * PAIRS:  # one text, one item: the diagonals in ranges
+            return self._ranges(texts, at, doc, low, high, first)
         return self._expanded(at, doc, low, high, first, last)
 
+    def _ranges(self, texts: list[str], at: np.ndarray, doc: np.ndarray, low: np.ndarray, high: np.ndarray, i: int) -> np.ndarray:
+        """The regions of one text and one item, worked out over ranges of diagonals, so that memory is bounded.
+
+        A band on which the whole item stands without an edit is all there is to know, so it ends the search.
+        """
+        mine = np.flatnonzero(self.item == i)
+        low, high = np.searchsorted(mine, low), np.searchsorted(mine, high)
+        keep = high > low
+        at, doc, low, high = at[keep], doc[keep], low[keep], high[keep]
+        if not len(at):
+            return np.zeros((0, 5), np.int64)
+        spots, size = self.at[mine], len(self.texts[i])
+        step = self.widest + 1
+        begin, end = (int(at[0]) - size) // step, int(at[-1]) // step + 1
+        width = max(2, PAIRS // (step * min(size, len(at))))  # steps of a range; a diagonal holds as many pairs as the shorter side at most
+        group = np.cumsum(np.append(True, np.diff(self.codes[mine].view(np.int64)) != 0)) * (size + 1) + spots  # spots rise within a code
+        base = group[low] - spots[low]
+        out = []
+        for b in range(begin, end + 1, width):
+            first, beyond = b * step, (b + width + 1) * step  # and one step more, which the last band needs
+            near = np.flatnonzero((at >= first) & (at < beyond + size))
+            if not len(near):
+                continue
+            least, most = np.maximum(at[near] - beyond + 1, 0), np.minimum(at[near] - first, size)
+            lo = np.searchsorted(group, base[near] + least)
+            hi = np.searchsorted(group, base[near] + most, "right")
+            some = hi > lo
+            if some.any():
+                rows = self._banded(np.repeat(doc[near][some], (hi - lo)[some]), np.full(int((hi - lo)[some].sum()), i), spots[_spread(lo[some], hi[some])], np.repeat(at[near][some], (hi - lo)[some]))
+                out.append(rows[(rows[:, 2] >= b) & (rows[:, 2] < b + width)])
+                full = out[-1][(out[-1][:, 3] == 0) & (out[-1][:, 4] >= size - int(self.window[i]))][:1]
+                if len(full) and not self._edits(_points(texts[int(full[0, 0])]), i, int(full[0, 2]), np.arange(size - int(self.window[i]) + 1)).any():
+                    return full
+        return np.concatenate(out) if out else np.zeros((0, 5), np.int64)
+
     def _expanded(self, at: np.ndarray, doc: np.ndarray, low: np.ndarray, high: np.ndarray, first: int, last: int) -> np.ndarray:
         pieces = []
         cuts = np.flatnonzero(np.diff(np.cumsum(high - low) // PAIRS)) + 1
@@ -142,7 +185,10 @@ class Index:
         doc, item, spot, place = (np.concatenate(x) for x in zip(*pieces, strict=True))
         both, inverse, count = np.unique(doc * len(self.ids) + item, return_inverse=True, return_counts=True)
         keep = (count >= self.least[both % len(self.ids)])[inverse]
-        doc, item, spot, place = doc[keep], item[keep], spot[keep], place[keep]
+        return self._banded(doc[keep], item[keep], spot[keep], place[keep])
+
+    def _banded(self, doc: np.ndarray, item: np.ndarray, spot: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Rows (text, item, band, first window, last window) that meet the bound; windows that follow each other are one row."""
         if not len(doc):
             return np.zeros((0, 5), np.int64)
         step = self.widest + 1
@@ -159,16 +205,24 @@ class Index:
         ok = (group[held] == group[end]) & (spot[end] + self.q - spot[held] <= self.window[item[held]])
         held, end = held[ok], end[ok]
         lo = np.maximum(spot[end] + self.q - self.window[item[held]], 0)
-        return np.unique(np.stack([doc[held], item[held], band[held], lo, spot[held]], axis=1), axis=0)
+        if not len(held):
+            return np.zeros((0, 5), np.int64)
+        rows = np.stack([doc[held], item[held], band[held], lo, spot[held]], axis=1)  # in order, as both bounds rise with the spot
+        head = np.append(True, (np.diff(rows[:, :3], axis=0) != 0).any(axis=1) | (rows[1:, 3] > rows[:-1, 4] + 1))
+        last = np.append(np.flatnonzero(head)[1:], len(rows)) - 1
+        return np.concatenate([rows[head, :4], rows[last, 4:]], axis=1)
 
     def _verified(self, texts: list[str], regions: np.ndarray) -> list[tuple[int, int, int, int]]:
         best: dict[tuple[int, int], tuple[int, int]] = {}
         if not len(regions):
             return []
         group = np.flatnonzero(np.concatenate([[True], (np.diff(regions[:, :3], axis=0) != 0).any(axis=1)]))
-        for rows in np.split(regions, group[1:]):
+        bands = np.split(regions, group[1:])
+        for rows in sorted(bands, key=lambda rows: -int((rows[:, 4] - rows[:, 3]).sum())):
             k, i, band = (int(x) for x in rows[0, :3])
             last = len(self.texts[i]) - int(self.window[i])
+            if best.get((k, i)) == (last + 1, 0):
+                continue  # no other band can have more windows or fewer edits
             windows = np.unique(np.concatenate([np.arange(lo, min(hi, last) + 1) for lo, hi in rows[:, 3:]]))
             edits = self._edits(_points(texts[k]), i, band, windows)
             good = edits[edits <= self.edits[i]]
@@ -215,8 +269,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, edits: in
     item if it is shorter, with edits in proportion) is within `edits` edits of
     a passage of the document; case and white space don't count. n_windows is
     the most windows verified in one band. Null and empty texts match nothing;
-    repeated document rows are each compared, repeated items once; other
-    columns are not read.
+    repeated document rows are each compared, repeated items once; texts and
+    items of any length are compared whole, in bounded memory; an empty table
+    gives no rows; other columns are not read.
     """
     context = docs.sparkSession.sparkContext
     kinds, item_kind = dict(docs.dtypes), dict(benchmark.dtypes)["item_id"]
