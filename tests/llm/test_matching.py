@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -220,6 +221,55 @@ def test_decontamination_is_brute_force():
     assert found > 20
 
 
+def test_decontamination_fields(monkeypatch):
+    """n_windows and min_edits against all windows along every band, with pairs worked out whole and in ranges of diagonals."""
+    say = random.Random(5)
+    items = [(0, "".join(say.choices("ab", k=150))), (1, "".join(say.choices("abcdefgh ", k=90))), (2, "ab" * 60)]
+    texts = ["".join(say.choices("ab", k=60)) + items[0][1][20:140] + "x" * 30, items[1][1][:40] + "zz" + items[1][1][41:], "ab" * 90, "c" * 200]
+    index = decontaminate.Index(items)
+    step, k = index.widest + 1, index.widest
+    whole = {}
+    for d, text in enumerate(texts):
+        for i, item in enumerate(index.texts):
+            w, last = int(index.window[i]), len(item) - int(index.window[i])
+            for band in range(-len(item) // step - 1, len(text) // step + 1):
+                grams = [(s, p) for s in range(len(item) - 9) for p in range(len(text) - 9) if item[s : s + 10] == text[p : p + 10] and band * step <= p - s < (band + 2) * step]
+                good = []
+                for u in range(last + 1):
+                    if sum(u <= s and s + 10 <= u + w for s, _ in grams) >= index.least[i]:
+                        low = u + band * step - k
+                        edits = fewest_edits_on_band(item[u : u + w], text, low, 2 * step + 2 * k)
+                        if edits <= index.edits[i]:
+                            good.append(edits)
+                if good:
+                    n, least = whole.get((d, i), (0, 99))
+                    whole[d, i] = max(n, len(good)), min(least, min(good))
+    assert {(d, i): (n, e) for d, i, n, e in index.matches(texts)} == whole and len(whole) >= 3
+    monkeypatch.setattr(decontaminate, "PAIRS", 8)
+    assert {(d, i): (n, e) for d, i, n, e in index.matches(texts)} == whole
+
+
+def fewest_edits_on_band(pattern, text, low, width):
+    """Edits of a pattern against the text on the diagonals from `low`, free to begin and end anywhere on them."""
+    far = 10**6
+    cost = {d: 0 for d in range(width)}
+    for row, c in enumerate(pattern):
+        new = {}
+        for d in range(width):
+            at = low + row + d
+            best = cost[d] + (not (0 <= at < len(text) and text[at] == c))
+            best = min(best, cost.get(d + 1, far) + 1)
+            new[d] = min(best, new.get(d - 1, far) + 1)
+        cost = new
+    return min(cost.values())
+
+
+@pytest.mark.parametrize("item, text", [("a" * 2000, "a" * 1_000_000), ("ab" * 1000, "ab" * 100_000 + "c" * 800_000)])
+def test_decontamination_of_one_letter(item, text):
+    began = time.monotonic()
+    assert decontaminate.Index([(1, item)]).matches([text]) == [(0, 0, 1941, 0)] and time.monotonic() - began < 60
+
+
 def test_decontamination_in_blocks(spark, docs):
     items = spark.createDataFrame([(1, ROWS[3][1]), (1, ROWS[3][1]), (2, None), (3, ""), (4, "nothing like it in any of the documents, at all, whatever")], "item_id long, text string")
     whole, parts = decontaminate.leaks(docs, items), decontaminate.leaks(docs, items, block_chars=100)
@@ -251,12 +301,71 @@ def test_phases_place_every_block(blocks, weights):
         assert [b for _, t, b in sorted(places) if t == s] == list(range(n))
 
 
+def dealt(blocks, weights):
+    """The plain schedule: slot by slot, the released block with the earliest deadline; anew when a source runs out."""
+    left, out = list(blocks), []
+    while any(left):
+        live = [s for s, n in enumerate(left) if n]
+        common = np.gcd.reduce([weights[s] for s in live])
+        share = {s: weights[s] // common for s in live}
+        total, done, t = sum(share.values()), dict.fromkeys(live, 0), 0
+        whole = min(left[s] // share[s] for s in live)  # a source that ends with a period ends the phase there
+        stop = whole * total if any(left[s] == whole * share[s] for s in live) else 1 << 60
+        while t < stop and (stop < 1 << 60 or all(left[s] for s in live)):
+            ready = [(-(-(done[s] + 1) * total // share[s]), s) for s in live if done[s] * total // share[s] <= t]
+            s = min(ready)[1]
+            out.append((s, blocks[s] - left[s]))
+            left[s] -= 1
+            done[s] += 1
+            t += 1
+    return out
+
+
+@pytest.mark.parametrize("blocks, weights", [([10, 3, 7], [1, 1, 2]), ([40, 40, 9, 2], [7, 2, 5, 1]), ([0, 5, 0], [1, 2, 3])])
+def test_phases_are_the_plain_schedule(blocks, weights):
+    at = {}
+    for s, first, end, start, size, share, slots in mixing.phases(blocks, weights):
+        for b in range(first, end):
+            at[start + (b - first) // share * size + slots[(b - first) % share]] = (s, b)
+    assert [at[k] for k in sorted(at)] == dealt(blocks, weights)
+
+
+def test_mixing_query_is_brute_force(spark, sf):
+    from textweir.llm import queries
+    from textweir.llm.common import table
+
+    got = queries.op3_source_mixing(spark, sf).orderBy("mix_position").collect()
+    sources = [r["source"] for r in table(spark, sf, "documents").select("source").collect()]
+    names = sorted({s for s in sources if s is not None}) + [None] * (None in sources)
+    keys = sorted(names, key=lambda s: "n" if s is None else f"s{s}")
+    counts = [sources.count(s) for s in keys]
+    total = sum(n**0.5 for n in counts)
+    plain = dealt(counts, [max(1, round(1000 * n**0.5 / total)) for n in counts])
+    assert [(keys.index(r["source"]), r["mix_block"]) for r in got] == plain
+    assert [r["mix_position"] for r in got] == list(range(len(sources))) and len({r["doc_id"] for r in got}) == len({r["doc_id"] for r in table(spark, sf, "documents").select("doc_id").collect()})
+
+
+@pytest.mark.parametrize("nodes", [256, 8, 4])
+def test_mix_of_many_sources(spark, nodes):
+    """Sources beyond one schedule keep their share, however deep the tree."""
+    rows = [(i, f"s{i % 40}") for i in range(1200)] + [(5000 + i, "big") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string")
+    got = mixing.mix(docs, nodes=nodes).orderBy("mix_position").collect()
+    assert [r["mix_position"] for r in got] == list(range(len(rows))) and {r["doc_id"] for r in got} == {d for d, _ in rows}
+    half = [r["source"] for r in got[:800]]
+    assert all(8 <= half.count(f"s{k}") <= 24 for k in range(40))
+    given = mixing.mix(docs, {"big": 1, "s3": 1, mixing.POOL: 2}, nodes=nodes).orderBy("mix_position").collect()
+    first = [r["source"] for r in given[:100]]
+    assert abs(first.count("big") - 25) <= 1 and abs(first.count("s3") - 25) <= 1
+
+
 def test_mix(spark):
-    rows = [(i, "abc"[i % 3] if i % 7 else None, "keep") for i in range(200)] + [(5, "a", "again"), (None, "a", None)]
-    docs = spark.createDataFrame(rows, "doc_id long, source string, mix_slot string")
+    rows = [(i, "abc"[i % 3] if i % 7 else None, "keep", 1, 2) for i in range(200)] + [(5, "a", "again", 1, 2), (None, "a", None, 1, 2), (None, "a", None, 1, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, mix_slot string, _mix_first int, node int")
     mixed = mixing.mix(docs, {"a": 6, "b": 3, "c": 1}, block_rows=1)
     got = mixed.orderBy("mix_position").collect()
-    assert [r["mix_position"] for r in got] == list(range(len(rows))) and mixed.columns == ["doc_id", "source", "mix_block", "mix_slot", "mix_position"]
+    assert [r["mix_position"] for r in got] == list(range(len(rows))) and mixed.columns == ["doc_id", "source", "_mix_first", "node", "mix_block", "mix_slot", "mix_position"]
+    assert sorted(str(r[0]) for r in got) == sorted(str(r[0]) for r in rows) and {r["node"] for r in got} == {2}
     share = sum(r["source"] == "a" for r in got[:55]) / 55
     assert abs(share - 6 / 11) < 1 / 55 * 1.5
     assert mixing.mix(docs.limit(0)).count() == 0
