@@ -69,7 +69,7 @@ def removed_bytes(rows):
     return want
 
 
-@pytest.mark.parametrize("hot", [substrings.HOT, 60])
+@pytest.mark.parametrize("hot", [substrings.SORTED, 60])
 def test_substrings(docs, hot):
     want = removed_bytes(ROWS)
     got = {r["doc_id"]: (*r[1:5], bytes(r["kept"])) for r in substrings.deduplicate(docs, bytes_too=True, hot=hot).collect()}

@@ -21,13 +21,17 @@ from pyspark.sql import functions as F
 
 from textweir.llm.common import Scratch
 from textweir.llm.induced import sorted_suffixes
-from textweir.llm.segments import AGAIN, CHUNK_BYTES, HOT, TWICE, again, identified, removed_spans, segment_batch, union
+from textweir.llm.segments import AGAIN, CHUNK_BYTES, TWICE, again, identified, removed_spans, segment_batch, union
 
 LENGTH = 100
 #: Bytes of the k-grams that serve as anchors.
 GRAM = 24
 #: Bytes of text whose anchors are worked out at once.
 PIECE = 1 << 20
+#: Ranges of windows by which segments are trimmed.
+RANGES = 8
+#: Windows of an anchor's distinct segments that are sorted together; they make up about a chunk.
+SORTED = 1 << 20
 #: Bytes that the queues of a suffix sort hold in memory.
 MEMORY = 64 << 20
 
@@ -194,49 +198,43 @@ def single_windows(length: int):
     return run
 
 
-def _shared(key: np.ndarray, context: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The most leading bytes of each row of `context` (of which `size` count) that another row with its key shares."""
-    rows = np.concatenate([key.astype(">u8").view(np.uint8).reshape(-1, 8), context], axis=1)
-    order = np.argsort(np.ascontiguousarray(rows).view(f"S{rows.shape[1]}").ravel(), kind="stable")
-    differs = rows[order[1:]] != rows[order[:-1]]
-    same = np.where(differs.any(axis=1), differs.argmax(axis=1), rows.shape[1]) - 8
-    same = np.clip(np.minimum(same, np.minimum(size[order[1:]], size[order[:-1]])), 0, None)
-    out = np.zeros(len(key), np.int64)
-    out[order[1:]] = same
-    out[order[:-1]] = np.maximum(out[order[:-1]], same)
-    return out
-
-
 def trimmed(held: list[tuple[bytes, int, int, int]], anchors: list[int], length: int) -> list[tuple[bytes, int, int, int]]:
-    """Segments (bytes, ord, uid, start) without what can share no window with another segment of their anchor.
+    """Segments (bytes, ord, uid, start) without those, and without the ends, that can share no window with another of their anchor.
 
-    A window holds its anchor's k-gram. So what it shares with another reaches as far to either side
-    as the nearest contexts of the k-gram do at most, in order of the contexts.
+    Windows are taken by where the anchor's k-gram stands in them, in `RANGES` ranges. All windows of
+    a range have a core in common, which another segment has to hold as well.
     """
     sizes = np.array([len(s[0]) for s in held])
-    ends = np.cumsum(sizes + 1) - 1
+    ends = np.cumsum(sizes)
     begins = ends - sizes
-    data = np.frombuffer(b"\0".join(s[0] for s in held) + bytes(GRAM), np.uint8)
-    hashes = gram_hashes(data, int(ends[-1]))
-    of = np.minimum(np.repeat(np.arange(len(held)), sizes + 1), len(held) - 1)[: len(hashes)]
+    hashes = gram_hashes(np.frombuffer(b"".join(s[0] for s in held) + bytes(GRAM), np.uint8), int(ends[-1]))
+    of = np.repeat(np.arange(len(held)), sizes)
     key = np.array(anchors, np.int64).view(np.uint64)
     spots = np.flatnonzero(hashes == key[of])
     spots = spots[spots + GRAM <= ends[of[spots]]]
     once = np.flatnonzero(np.bincount(of[spots], minlength=len(held)) == 1)
     at = np.zeros(len(held), np.int64)
     at[of[spots]] = spots
-    at, rest = at[once], length - GRAM
-    reach = np.arange(rest)
-    shifted = (data + 1).astype(np.uint8)  # a text's bytes are below 0xF5, so 0 can stand for what is outside
-    right = np.minimum(ends[once] - at - GRAM, rest)
-    left = np.minimum(at - begins[once], rest)
-    after = np.where(reach < right[:, None], shifted[np.minimum((at + GRAM)[:, None] + reach, len(data) - 1)], 0).astype(np.uint8)
-    before = np.where(reach < left[:, None], shifted[np.maximum((at - 1)[:, None] - reach, 0)], 0).astype(np.uint8)
-    right, left = _shared(key[once], after, right), _shared(key[once], before, left)
-    from_, to = np.zeros(len(held), np.int64), sizes.copy()
-    from_[once] = at - begins[once] - left
-    to[once] = at - begins[once] + GRAM + right
-    return [(seg[a:b], order, uid, start + a) for (seg, order, uid, start), a, b in zip(held, from_.tolist(), to.tolist(), strict=True) if b - a >= length]
+    rest = length - GRAM
+    step = -(-(rest + 1) // RANGES)
+    from_, to = begins.copy(), ends.copy()
+    from_[once], to[once] = ends[once], begins[once]
+    for low in range(0, rest + 1, step):
+        high = min(low + step, rest + 1)  # the k-gram stands `low` to `high` - 1 bytes behind the window's start
+        start, size = at[once] - low, length - (high - low) + 1
+        inside = np.flatnonzero((start >= begins[once]) & (start + size <= ends[once]))
+        if not len(inside):
+            continue
+        rows, start = once[inside], start[inside]
+        mixed = key[rows]
+        for offset in (*range(0, size - GRAM, GRAM), size - GRAM):
+            mixed = (mixed ^ hashes[start + offset]) * _M[1]
+            mixed ^= mixed >> np.uint64(29)
+        _, inverse, count = np.unique(mixed, return_inverse=True, return_counts=True)
+        rows = rows[count[inverse] > 1]
+        from_[rows] = np.minimum(from_[rows], np.maximum(at[rows] - high + 1, begins[rows]))
+        to[rows] = np.maximum(to[rows], np.minimum(at[rows] - low + length, ends[rows]))
+    return [(seg[a:b], order, uid, start + a) for (seg, order, uid, start), a, b in zip(held, (from_ - begins).tolist(), (to - begins).tolist(), strict=True) if b - a >= length]
 
 
 def repeated_windows(segments: list[tuple[bytes, int, int, int]], length: int, memory: int = MEMORY) -> Iterator[tuple[int, int, int]]:
@@ -298,7 +296,7 @@ def compare(length: int, chunk: int = CHUNK_BYTES, memory: int = MEMORY):
     """Distinct segments in order of h to spans (uid, a, b).
 
     They are collected, whole anchors at a time, and suffix-sorted together.
-    An anchor has `HOT` windows at most, so what is held is bounded.
+    An anchor has `SORTED` windows at most, so what is held is bounded.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,7 +324,7 @@ def compare(length: int, chunk: int = CHUNK_BYTES, memory: int = MEMORY):
     return run
 
 
-def deduplicate(docs: DataFrame, length: int = LENGTH, bytes_too: bool = False, hot: int = 4 * HOT) -> DataFrame:
+def deduplicate(docs: DataFrame, length: int = LENGTH, bytes_too: bool = False, hot: int = SORTED) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row of `docs`.
 
     With `bytes_too` also `kept`, the bytes that stay (they can break a
