@@ -109,8 +109,8 @@ def strip_secret_lines(body: Column, secret: str) -> Column:
 
 
 def trim_references(body: Column, limit: int = PAPER_LIMIT) -> Column:
-    """A paper's body without its reference section, cut at the limit: a struct of body and truncated."""
-    cut = F.rtrim(F.regexp_replace(body, r"(?is)\n#+\s*references\b.*$", ""), F.lit(" \n\t"))
+    """A paper's body up to its references, bibliography or acknowledgements, cut at the limit: a struct of body and truncated."""
+    cut = F.rtrim(F.regexp_replace(body, r"(?is)\n#+\s*(?:references|bibliography|acknowledge?ments?)\b.*$", ""), F.lit(" \n\t"))
     return F.struct(F.left(cut, F.lit(limit)).alias("body"), (F.length(cut) > limit).alias("truncated"))
 
 
@@ -118,8 +118,15 @@ def yaml_escape(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
 
 
-def markdown_article(title: Column, url: Column, source: Column, published: Column, tags: Column, body: Column) -> Column:
-    """An article with its front matter; the title is repeated unless the body opens with a heading."""
+def article_path(root: str, source: Column, date: Column, slug: Column) -> Column:
+    """Where an article goes: a folder for its source, a file for its date and slug."""
+    return F.concat(F.lit(f"{root.rstrip('/')}/"), source, F.lit("/"), date, F.lit(" - "), slug, F.lit(".md"))
+
+
+def markdown_article(title: Column, url: Column, source: Column, published: Column, tags: Column, body: Column, backfilled: Column | None = None) -> Column:
+    """An article with its front matter; the title is repeated unless the body opens with a heading. Backfilled ones have a tag more."""
+    if backfilled is not None:
+        tags = F.when(backfilled, F.array_append(tags, F.lit("backfilled"))).otherwise(tags)
     lines = [
         F.lit("---"), F.concat(F.lit('title: "'), yaml_escape(title), F.lit('"')), F.lit("type: article"), F.concat(F.lit("source: "), source),
         F.concat(F.lit("url: "), url), F.concat(F.lit("published: "), published), F.concat(F.lit("tags: ["), F.array_join(tags, ", "), F.lit("]")), F.lit("---"), F.lit(""),
@@ -139,3 +146,40 @@ def front_matter(text: Column) -> Column:
 def sections(text: Column, level: str = "##") -> Column:
     """Titles of the headings of a level."""
     return F.regexp_extract_all(text, F.lit(rf"(?m)^{level} (.*)$"), F.lit(1))
+
+
+def section_bodies(text: Column, level: str = "##") -> Column:
+    """(title, body) of the sections of a level: the trimmed text up to the next heading of that level or a higher one."""
+    deep = len(level)
+    broken = F.regexp_replace(F.concat(F.lit("\n"), text), rf"\n(#{{1,{deep}}}) ", "\x01$1 ")
+    own = F.filter(F.split(broken, "\x01"), lambda part: F.startswith(part, F.lit(f"{level} ")))
+    title = lambda part: F.trim(F.substr(F.split_part(part, F.lit("\n"), F.lit(1)), F.lit(deep + 2)))
+    body = lambda part: F.btrim(F.regexp_replace(part, r"\A[^\n]*", ""), F.lit(" \n\t"))
+    return F.transform(own, lambda part: F.struct(title(part).alias("title"), body(part).alias("body")))
+
+
+def simple_front_matter(text: Column) -> Column:
+    """(fields, body) of a document whose front matter may hold lists: fields map keys to arrays of values.
+
+    A key's value follows its colon, or stands in `- ` lines below it. Without
+    a fence there are no fields and the body is the whole text.
+    """
+    fence = r"(?s)\A---\n(.*?)\n---(?:\n|\z)"
+    block = F.regexp_extract(text, fence, 1)
+    # A key with its list is one line: list items are drawn up to the key.
+    flat = F.split(F.regexp_replace(block, r"\n\s+-\s+|\n-\s+", "\x01"), "\n")
+    keyed = F.filter(flat, lambda line: line.rlike(r"^[A-Za-z_][A-Za-z0-9_-]*:"))
+    plain = lambda v: F.regexp_replace(F.trim(v), "^([\"'])(.*)\\1$", "$2")
+    values = lambda line: F.filter(F.transform(F.split(F.regexp_replace(line, "^[^:]*:", ""), "\x01"), plain), lambda v: v != "")
+    fields = F.map_from_entries(F.transform(keyed, lambda line: F.struct(F.regexp_extract(line, "^([^:]+):", 1).alias("key"), values(line).alias("value"))))
+    body = F.when(text.rlike(fence), F.regexp_replace(text, fence, "")).otherwise(text)
+    return F.struct(fields.alias("fields"), body.alias("body"))
+
+
+def plain_text(html: Column, least: int = 500) -> Column:
+    """The text of a page without scripts, styles and tags; null if it has fewer than `least` characters. Compose it with `unescape`."""
+    bare = F.regexp_replace(html, r"(?is)<(script|style|nav|footer|header|aside)\b[^>]*>.*?</\1>", " ")
+    lined = F.regexp_replace(bare, r"(?i)</(?:p|div|h[1-6]|li|tr)>|<br\s*/?>", "\n")
+    text = F.regexp_replace(F.regexp_replace(strip_tags(lined), r"[ \t\r\f]+", " "), r" ?\n[ \n]*", "\n")
+    trimmed = F.btrim(text, F.lit(" \n"))
+    return F.when(F.length(trimmed) >= least, trimmed)

@@ -5,15 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textweir.functions.media import speaker_label, timestamp
+from textweir.functions.media import speaker_label, timestamp, transcript_text
 from textweir.functions.text import yaml_escape
 from textweir.operators.speech import speaker_blocks
 
 
-def header(**fields: Column) -> Column:
-    """Front matter with the fields that have a value."""
+def header(summary: Column | None = None, **fields: Column) -> Column:
+    """Front matter with the fields that have a value, and the summary as a quotation below it."""
+    quoted = [] if summary is None else [F.when(F.coalesce(summary, F.lit("")) != "", F.concat(F.lit("> "), F.regexp_replace(F.trim(summary), r"\n", "\n> "), F.lit("\n")))]
     lines = [F.when(F.coalesce(v, F.lit("")) != "", F.concat(F.lit(f'{k}: "'), yaml_escape(v), F.lit('"'))) for k, v in fields.items()]
-    return F.concat_ws("\n", F.lit("---"), *lines, F.lit("---"), F.lit(""))
+    return F.concat_ws("\n", F.lit("---"), *lines, F.lit("---"), F.lit(""), *quoted)
+
+
+def simple_transcript(title: Column, published: Column, text: Column) -> Column:
+    """A transcript without speakers: heading, date, text."""
+    return F.concat_ws("\n\n", F.concat(F.lit("# "), title), F.concat(F.lit("Published: "), published), text)
+
+
+def flat_transcript(segments: DataFrame) -> DataFrame:
+    """(episode, content): the texts of segments that have any, a line each, in order."""
+    whole = segments.groupBy("episode").agg(F.array_sort(F.collect_list(F.struct("ord", "text"))).alias("s"))
+    return whole.select("episode", transcript_text(F.transform("s", lambda x: x["text"])).alias("content"))
 
 
 def paper(title: Column, authors: Column, summary: Column, upvotes: Column, url: Column, tags: Column, body: Column) -> Column:
@@ -38,7 +50,7 @@ def transcript(segments: DataFrame, host: DataFrame | None = None) -> DataFrame:
     if host is not None:
         blocks = blocks.join(host.select("episode", F.col("host").alias("_host"), F.col("name").alias("_name")), "episode", "left")
         label = F.when(F.col("speaker") == F.col("_host"), F.split_part(F.trim("_name"), F.lit(" "), F.lit(1))).otherwise(label)
-    line = F.concat(F.lit("**"), label, F.lit("** ("), timestamp(F.col("start")), F.lit("): "), F.col("segments").cast("string"))
+    line = F.concat(F.lit("**"), label, F.lit("** ("), timestamp(F.col("start")), F.lit("): "), F.col("text"))
     parts = blocks.groupBy("episode").agg(F.sort_array(F.collect_list(F.struct("block", line.alias("line")))).alias("lines"))
     return parts.select("episode", F.array_join(F.transform("lines", lambda b: b["line"]), "\n\n").alias("content"))
 

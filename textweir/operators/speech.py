@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from textweir.functions.media import stamp_seconds
+
 # Fixed value: the opening in which the host speaks most, in seconds.
 OPENING = 60.0
 #: Seconds of a time bucket for the interval join.
@@ -13,11 +15,18 @@ BUCKET = 3600.0
 
 
 def speaker_blocks(segments: DataFrame) -> DataFrame:
-    """Runs of segments of one speaker: (episode, block, speaker, start, end, segments)."""
+    """Runs of segments of one speaker: (episode, block, speaker, start, end, segments, text), the texts in order and joined by a blank.
+
+    Segments without a `text` column give empty texts.
+    """
     w = Window.partitionBy("episode").orderBy("ord")
     changed = F.coalesce(F.col("speaker") != F.lag("speaker").over(w), F.lit(True)).cast("int")
-    islands = segments.withColumn("_c", changed).withColumn("block", F.sum("_c").over(w))
-    return islands.groupBy("episode", "block").agg(F.min_by("speaker", "ord").alias("speaker"), F.min_by("start", "ord").alias("start"), F.max_by("end", "ord").alias("end"), F.count(F.lit(1)).alias("segments"))
+    told = F.col("text") if "text" in segments.columns else F.lit("")
+    islands = segments.withColumns({"_c": changed, "_text": told}).withColumn("block", F.sum("_c").over(w))
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("ord", "_text"))), lambda x: x["_text"])
+    return islands.groupBy("episode", "block").agg(
+        F.min_by("speaker", "ord").alias("speaker"), F.min_by("start", "ord").alias("start"), F.max_by("end", "ord").alias("end"), F.count(F.lit(1)).alias("segments"), F.array_join(texts, " ").alias("text")
+    )
 
 
 def _buckets(start: Column, end: Column) -> Column:
@@ -71,3 +80,27 @@ def headings_above(cards: DataFrame, headings: DataFrame, group: str, at: str, v
     )
     above = Window.partitionBy(group).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
     return both.withColumn(value, F.last("_v", ignorenulls=True).over(above)).where("_card").select(*cards.columns, value)
+
+
+def with_chapters(bodies: DataFrame, chapters: DataFrame) -> DataFrame:
+    """(episode, body) of transcripts with chapter headings (episode, ts, title) before the first paragraph that begins at or after each.
+
+    Headings that a body has are taken out first, so doing it again changes
+    nothing; those behind the last paragraph's start stand at the end.
+    Paragraphs are told by the time in brackets that follows the speaker.
+    """
+    parts = bodies.select("episode", F.posexplode(F.split("body", "\n\n")).alias("pos", "part")).where("part not like '## %'")
+    stamp = F.regexp_extract("part", r"^\*\*[^*]*\*\* \(([0-9:]+)\)", 1)
+    parts = parts.withColumn("start", F.when(stamp != "", stamp_seconds(stamp)))
+    heads = chapters.select("episode", "ts", F.concat(F.lit("## "), "title").alias("head"))
+    starts = parts.where("start is not null").groupBy("episode", "start").agg(F.min("pos").alias("pos"))
+    timed = heads.select("episode", "ts", "head", F.lit(0).alias("kind"), F.lit(None).cast("int").alias("at")).unionByName(
+        starts.select("episode", F.col("start").alias("ts"), F.lit(None).cast("string").alias("head"), F.lit(1).alias("kind"), F.col("pos").alias("at"))
+    )
+    ahead = Window.partitionBy("episode").orderBy("ts", "kind").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    placed = timed.withColumn("pos", F.first("at", ignorenulls=True).over(ahead)).where("kind = 0")
+    lines = placed.select("episode", F.coalesce("pos", F.lit((1 << 31) - 1)).alias("pos"), F.lit(0).alias("kind"), "ts", F.col("head").alias("part")).unionByName(
+        parts.select("episode", "pos", F.lit(1).alias("kind"), F.lit(0.0).alias("ts"), "part")
+    )
+    whole = lines.groupBy("episode").agg(F.array_sort(F.collect_list(F.struct("pos", "kind", "ts", "part"))).alias("lines"))
+    return whole.select("episode", F.array_join(F.transform("lines", lambda x: x["part"]), "\n\n").alias("body"))

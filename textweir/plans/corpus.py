@@ -43,7 +43,7 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         events.withColumn("start", F.round(seconds("ts") - F.min(seconds("ts")).over(of_user), 3))
         .withColumn("ord", F.row_number().over(of_user.orderBy("ts", "event_id")))
-        .select(F.col("user_id").alias("episode"), "ord", F.col("event_type").alias("speaker"), "start", F.round(F.col("start") + F.col("value"), 3).alias("end"), "event_id")
+        .select(F.col("user_id").alias("episode"), "ord", F.col("event_type").alias("speaker"), "start", F.round(F.col("start") + F.col("value"), 3).alias("end"), "event_id", F.concat_ws(" ", "event_type", F.col("event_id").cast("string")).alias("text"))
     )
 
 
@@ -52,6 +52,6 @@ timed AS (SELECT *, epoch_us(ts) / 1e6 AS s FROM events),
 segments AS (
   SELECT user_id AS episode, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS ord, event_type AS speaker,
          round(s - min(s) OVER (PARTITION BY user_id), 3) AS start,
-         round(round(s - min(s) OVER (PARTITION BY user_id), 3) + value, 3) AS "end", event_id
+         round(round(s - min(s) OVER (PARTITION BY user_id), 3) + value, 3) AS "end", event_id, event_type || ' ' || CAST(event_id AS VARCHAR) AS text
   FROM timed)
 """

@@ -22,7 +22,7 @@ def render_transcript(spark: SparkSession, sf_dir: str) -> DataFrame:
 def render_paper(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     body = F.when(F.pmod("doc_id", F.lit(3)) == 0, F.col("text"))
-    made = render.paper(F.concat(F.lit('A "'), F.col("source"), F.lit('"')), F.array("lang", "source"), F.left("text", F.lit(80)), F.col("n_chars"), F.lit("https://x/1"), F.array(F.lit("Deep Nets"), F.col("lang")), body)
+    made = render.paper(F.concat(F.lit('A "'), F.col("source"), F.lit('"')), F.array("lang", "source"), F.col("text"), F.col("n_chars"), F.lit("https://x/1"), F.array(F.lit("Deep Nets"), F.col("lang")), body)
     return docs.select("doc_id", F.md5(made).alias("digest"))
 
 
@@ -75,12 +75,12 @@ total AS (SELECT episode, speaker, round(sum(least("end", 432000) - start), 3) A
           WHERE past = 0 AND least("end", 432000) - start > 0 GROUP BY episode, speaker),
 hosts AS (SELECT episode, speaker AS host FROM total QUALIFY row_number() OVER (PARTITION BY episode ORDER BY seconds DESC, first_) = 1),
 {BLOCKS_SQL.format(source='segments')},
-told AS (SELECT b.episode, block, '**' || CASE WHEN speaker = host THEN 'Host' || CAST(b.episode AS VARCHAR) ELSE 'Speaker ' || speaker END || '** (' || {STAMP_SQL} || '): ' || CAST(segments AS VARCHAR) AS line
+told AS (SELECT b.episode, block, '**' || CASE WHEN speaker = host THEN 'Host' || CAST(b.episode AS VARCHAR) ELSE 'Speaker ' || speaker END || '** (' || {STAMP_SQL} || '): ' || text AS line
          FROM (SELECT *, CAST(floor(start) AS BIGINT) AS s FROM blocks) AS b LEFT JOIN hosts ON hosts.episode = b.episode)
 SELECT episode, md5(string_agg(line, chr(10) || chr(10) ORDER BY block)) AS digest, CAST(length(string_agg(line, chr(10) || chr(10) ORDER BY block)) AS INTEGER) AS n_chars FROM told GROUP BY episode""",
     "render_paper": r"""SELECT doc_id, md5(concat_ws(chr(10), '---', 'title: "A \"' || source || '\""', 'type: paper', 'authors: [' || lang || ', ' || source || ']', 'url: https://x/1',
         'upvotes: ' || CAST(n_chars AS VARCHAR), 'tags: [deep-nets, ' || lang || ']', 'full_text: ' || CASE WHEN doc_id % 3 = 0 AND text <> '' THEN 'true' ELSE 'false' END, '---', '', '# A "' || source || '"', '',
-        '## Abstract', '', left(text, 80), CASE WHEN doc_id % 3 = 0 AND text <> '' THEN chr(10) || '## Full text' || chr(10) || chr(10) || text END)) AS digest FROM documents""",
+        '## Abstract', '', text, CASE WHEN doc_id % 3 = 0 AND text <> '' THEN chr(10) || '## Full text' || chr(10) || chr(10) || text END)) AS digest FROM documents""",
     "metadata_header": f"WITH {HEADER_SQL} SELECT * FROM h",
     "ledger_append": "SELECT DISTINCT source FROM documents WHERE source NOT IN (SELECT source FROM documents WHERE doc_id % 20 < 5)",
     "headers_changed": "SELECT doc_id FROM documents WHERE doc_id % 11 = 0 OR doc_id % 4 = 0",

@@ -47,8 +47,8 @@ QUERIES = {f.__name__: f for f in (speaker_blocks, align_midpoint, host_detectio
 BLOCKS_SQL = """
 marked AS (SELECT *, CASE WHEN speaker = lag(speaker) OVER (PARTITION BY episode ORDER BY ord) THEN 0 ELSE 1 END AS c FROM {source}),
 islands AS (SELECT *, sum(c) OVER (PARTITION BY episode ORDER BY ord) AS block FROM marked),
-blocks AS (SELECT episode, CAST(block AS BIGINT) AS block, arg_min(speaker, ord) AS speaker, arg_min(start, ord) AS start, arg_max("end", ord) AS "end", count(*) AS segments
-           FROM islands GROUP BY episode, block)"""
+blocks AS (SELECT episode, CAST(block AS BIGINT) AS block, arg_min(speaker, ord) AS speaker, arg_min(start, ord) AS start, arg_max("end", ord) AS "end", count(*) AS segments,
+           string_agg(text, ' ' ORDER BY ord) AS text FROM islands GROUP BY episode, block)"""
 ORACLE_SQL = {
     "speaker_blocks": f"WITH {SEGMENTS_SQL}, {BLOCKS_SQL.format(source='segments')} SELECT * FROM blocks",
     "align_midpoint": f"""WITH {SEGMENTS_SQL},

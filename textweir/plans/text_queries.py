@@ -37,7 +37,7 @@ def strip_secret_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def trim_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.concat(F.col("text"), F.lit("\n## References\n[1] "), F.col("source"))
-    trimmed = text.trim_references(body, 2000)
+    trimmed = text.trim_references(body)
     return table(spark, sf_dir, "documents").select("doc_id", trimmed["body"].alias("body"), trimmed["truncated"].alias("truncated"))
 
 
@@ -71,7 +71,7 @@ def rfc2822_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def safe_filenames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", text.nfc(text.safe_filename(F.left("text", F.lit(200)))).alias("stem"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.nfc(text.safe_filename(F.col("text"))).alias("stem"))
 
 
 def durations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,10 +128,11 @@ def front_matter_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def section_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Headings of a weekly digest made of a document's first lines."""
-    made = F.array_join(F.transform(F.slice(F.split("text", "\n", -1), 1, 5), lambda line: F.concat(F.lit("## "), F.left(line, F.lit(30)), F.lit("\n### Detail\n"), line)), "\n")
-    found = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(text.sections(made)).alias("at", "heading"))
-    return found
+    """Sections of a weekly digest made of a document's lines: each a heading, and the line below another."""
+    line = F.trim(F.regexp_replace(F.translate("text", "#", " "), r"[ \t\r]+", " "))
+    made = F.array_join(F.transform(F.split(line, "\n", -1), lambda x: F.concat(F.lit("## Of "), F.trim(x), F.lit("\n### Detail\n"), F.trim(x))), "\n")
+    found = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(text.section_bodies(made)).alias("at", "s"))
+    return found.select("doc_id", "at", F.col("s.title").alias("heading"), F.col("s.body").alias("body"))
 
 
 def html_title_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,14 +169,14 @@ ORACLE_SQL = {
     "strip_after": r"SELECT doc_id, rtrim(regexp_replace(text, '(?is)token.*$', ''), ' ' || chr(10) || chr(9)) AS body FROM documents",
     "strip_secret_lines": r"""SELECT doc_id, regexp_replace(array_to_string(list_filter(string_split(text, chr(10)), lambda x: NOT contains(x, 'token')), chr(10)),
         '\n{3,}', chr(10) || chr(10), 'g') AS body FROM documents""",
-    "trim_references": r"""SELECT doc_id, left(cut, 2000) AS body, length(cut) > 2000 AS truncated FROM (
+    "trim_references": r"""SELECT doc_id, left(cut, 40000) AS body, length(cut) > 40000 AS truncated FROM (
         SELECT doc_id, rtrim(regexp_replace(text || chr(10) || '## References' || chr(10) || '[1] ' || source, '(?is)\n#+\s*references\b.*$', ''), ' ' || chr(10) || chr(9)) AS cut FROM documents)""",
     "loose_date_parse": """SELECT event_id, CASE WHEN event_id % 4 = 3 THEN '' ELSE strftime(ts, '%Y-%m-%d') END AS day,
         CASE WHEN event_id % 4 = 0 THEN strftime(ts, '%Y-%m-%d') ELSE '2020-01-01' END AS prefix FROM events""",
     "slug_date_parse": "SELECT event_id, CASE WHEN event_id % 7 = 0 THEN '' ELSE strftime(ts, '%Y-%m-%d') END AS day FROM events",
     "since_filter": "SELECT event_id, event_type FROM events WHERE event_id % 50 = 0 OR ts >= TIMESTAMP '2024-01-30' - INTERVAL 14 DAY",
     "rfc2822_dates": "SELECT event_id, CASE WHEN event_id % 9 = 0 THEN '0000-00-00' ELSE strftime(ts, '%Y-%m-%d') END AS day FROM events",
-    "safe_filenames": r"""SELECT doc_id, nfc_normalize(rtrim(left(trim(regexp_replace(regexp_replace(left(text, 200), '[<>:"/\\|?*\x00-\x1f]', '', 'g'), '\s+', ' ', 'g')), 120))) AS stem FROM documents""",
+    "safe_filenames": r"""SELECT doc_id, nfc_normalize(rtrim(left(trim(regexp_replace(regexp_replace(text, '[<>:"/\\|?*\x00-\x1f]', '', 'g'), '\s+', ' ', 'g')), 120))) AS stem FROM documents""",
     "durations": """WITH t AS (SELECT event_id, CAST(floor(value * 60) AS BIGINT) AS s FROM events)
         SELECT event_id, CASE WHEN s = 0 THEN '--:--' WHEN s >= 3600 THEN printf('%d:%02d:%02d', s // 3600, s % 3600 // 60, s % 60) ELSE printf('%d:%02d', s // 60, s % 60) END AS duration,
         CASE WHEN s >= 3600 THEN printf('%d:%02d:%02d', s // 3600, s % 3600 // 60, s % 60) ELSE printf('%02d:%02d', s // 60, s % 60) END AS stamp FROM t""",
@@ -199,8 +200,8 @@ SELECT doc_id, string_agg(s, ' ' ORDER BY i) AS body FROM sized WHERE n < 3 OR s
         'published: 2024-05-01', 'tags: [' || lang || ', news]', '---', '', CASE WHEN ltrim(text) LIKE '# %' THEN NULL ELSE '# ' || t || chr(10) END, text) AS content
         FROM (SELECT *, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS t FROM pages JOIN documents ON page_id = doc_id)""",
     "front_matter_round_trip": "SELECT page_id, url, source, '2024-05-01' AS published FROM pages JOIN documents ON page_id = doc_id",
-    "section_extract": r"""WITH l AS (SELECT doc_id, list_slice(string_split(text, chr(10)), 1, 5) AS p FROM documents)
-        SELECT doc_id, CAST(unnest(range(0, len(p))) AS INTEGER) AS "at", unnest(list_transform(p, lambda x: left(x, 30))) AS heading FROM l""",
+    "section_extract": r"""WITH l AS (SELECT doc_id, list_transform(string_split(trim(regexp_replace(translate(text, '#', ' '), '[ \t\r]+', ' ', 'g')), chr(10)), lambda x: trim(x)) AS p FROM documents)
+        SELECT doc_id, CAST(unnest(range(0, len(p))) AS INTEGER) AS "at", unnest(list_transform(p, lambda x: trim('Of ' || x))) AS heading, unnest(list_transform(p, lambda x: '### Detail' || CASE WHEN x = '' THEN '' ELSE chr(10) || x END)) AS body FROM l""",
     "html_title_links": r"""SELECT page_id, trim(regexp_replace(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), '<[^>]+>', '', 'g')) AS title,
         CAST(len(list_distinct(regexp_extract_all(html, '<a href="([^"]*)"', 1))) AS INTEGER) AS links FROM pages""",
 }

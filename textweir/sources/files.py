@@ -9,6 +9,7 @@ import tomllib
 from collections.abc import Iterator
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,14 +23,18 @@ def corpus_files(spark: SparkSession, root: str) -> DataFrame:
     """(path, corpus, source, size, mtime, text) of the Markdown files below `news/*/`, `transcripts/*/` and `briefs/`."""
     found = None
     for corpus, pattern in (("raw", "news/*/*.md"), ("raw", "transcripts/*/*.md"), ("briefs", "briefs/*.md")):
-        with contextlib.suppress(Exception):  # a tree may lack a branch
+        try:
             part = spark.read.format("text").option("wholetext", True).load(f"{root}/{pattern}")
-            meta = F.col("_metadata")
-            part = part.select(
-                meta["file_path"].alias("path"), F.lit(corpus).alias("corpus"), F.element_at(F.split(meta["file_path"], "/"), -2).alias("source"),
-                meta["file_size"].alias("size"), meta["file_modification_time"].alias("mtime"), F.col("value").alias("text"),
-            )
-            found = part if found is None else found.unionByName(part)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue  # a tree may lack a branch
+        meta = F.col("_metadata")
+        part = part.select(
+            meta["file_path"].alias("path"), F.lit(corpus).alias("corpus"), F.element_at(F.split(meta["file_path"], "/"), -2).alias("source"),
+            meta["file_size"].alias("size"), meta["file_modification_time"].alias("mtime"), F.col("value").alias("text"),
+        )
+        found = part if found is None else found.unionByName(part)
     if found is None:
         raise FileNotFoundError(f"no documents below {root}")
     return found
@@ -59,6 +64,60 @@ def signals(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SIGNAL).json(path).withColumn("raw_ref", F.regexp_replace("raw_ref", "^c/", ""))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in whatever file system Spark reads it from."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def require(spark: SparkSession, *paths: str) -> None:
+    """Raise FileNotFoundError naming the paths that are missing."""
+    if missing := [p for p in paths if not exists(spark, p)]:
+        raise FileNotFoundError(", ".join(missing))
+
+
+def run_window(told: Column) -> Column:
+    """A struct (start, end) of a window told as `YYYY-MM-DD to YYYY-MM-DD`."""
+    return F.struct(F.trim(F.split_part(told, F.lit(" to "), F.lit(1))).alias("start"), F.trim(F.split_part(told, F.lit(" to "), F.lit(2))).alias("end"))
+
+
+def load_run(spark: SparkSession, folder: str, latest: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The trends, with their window, and the signals of a run; the run has to be complete, and the latest if that is named."""
+    require(spark, f"{folder}/trends.json", f"{folder}/signals.jsonl")
+    if latest is not None and latest != folder.rstrip("/").rpartition("/")[2]:
+        raise ValueError(f"the latest run is {latest}")
+    whole = spark.read.option("multiLine", True).json(f"{folder}/trends.json")
+    return whole.select(run_window(F.col("_meta.window")).alias("window"), F.explode("trends").alias("trend")).select("window", "trend.*"), signals(spark, f"{folder}/signals.jsonl")
+
+
+def topics(paths: list[str]) -> dict:
+    """The topics file, of which there has to be exactly one; YAML where a reader for it is installed, else JSON."""
+    if len(paths) != 1:
+        raise ValueError(f"need one topics file, found {len(paths)}")
+    raw = Path(paths[0]).read_text()
+    try:
+        import yaml
+    except ImportError:
+        import json
+
+        return json.loads(raw)
+    return yaml.safe_load(raw)
+
+
+def ledger(spark: SparkSession, path: str, bootstrap: DataFrame) -> DataFrame:
+    """(key) of a ledger of one key a line; where it doesn't exist yet, the keys of what is there already."""
+    if exists(spark, path):
+        return spark.read.text(path).select(F.trim("value").alias("key")).where("key <> ''").distinct()
+    return bootstrap.select("key").distinct()
+
+
+def sidecars(json: DataFrame, schema: str) -> DataFrame:
+    """Sidecar files (stem, json) parsed; a corrupt one gives null."""
+    return json.select("stem", F.from_json("json", f"{schema}, _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("meta")).withColumn(
+        "meta", F.when(F.col("meta._corrupt").isNull(), F.col("meta").dropFields("_corrupt"))
+    )
+
+
 def config(path: str) -> dict:
     """A TOML file, or nothing if there is none."""
     file = Path(path)

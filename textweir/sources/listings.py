@@ -2,28 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from textweir.functions import dates, urls
 from textweir.operators.ledger import first_seen
 
 
+URLSET = "url array<struct<loc:string,lastmod:string>>"
+SITEMAPS = "sitemap array<struct<loc:string>>"
+
+
+def absolute_location(site: Column, loc: Column) -> Column:
+    """A location with scheme and host: one that begins with the host lacks the scheme, any other is a path of the site."""
+    host, root = F.parse_url(site, F.lit("HOST")), F.rtrim(site, F.lit("/"))
+    named = (loc == host) | F.startswith(loc, F.concat(host, F.lit("/")))
+    return F.when(loc.rlike("^https?://"), loc).when(named, F.concat(F.lit("https://"), loc)).otherwise(F.concat_ws("/", root, F.ltrim(loc, F.lit("/"))))
+
+
 def urlset_rows(sitemaps: DataFrame, include: str = "", exclude: tuple[str, ...] = (), pattern: str = "", since: str = "") -> DataFrame:
-    """(site, url, lastmod) of urlsets (site, xml).
+    """(site, url, lastmod) of urlsets (site, xml); bodies that are none give nothing.
 
     Locations without a scheme or host are repaired from the site. The index
     page itself goes; entries without a date stay whatever `since` says.
     """
-    block = F.explode(F.regexp_extract_all("xml", F.lit(r"(?is)<url[^>]*>(.*?)</url>"), F.lit(1))).alias("_b")
-    rows = sitemaps.select("site", block)
-    loc = F.trim(F.regexp_extract("_b", r"(?i)<loc[^>]*>([^<]+)</loc>", 1))
-    for code, char in (("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")):
-        loc = F.replace(loc, F.lit(code), F.lit(char))
-    rows = rows.select("site", loc.alias("_loc"), F.trim(F.regexp_extract("_b", r"(?i)<lastmod[^>]*>([^<]+)</lastmod>", 1)).alias("lastmod")).where("_loc <> ''")
-    host = F.regexp_replace("site", "^https?://", "")
-    whole = F.when(F.col("_loc").rlike("^https?://"), F.col("_loc")).when(F.startswith("_loc", F.concat(host, F.lit("/"))) | (F.col("_loc") == host), F.concat(F.lit("https://"), F.col("_loc")))
-    rows = rows.select("site", whole.otherwise(F.concat("site", F.when(F.startswith("_loc", F.lit("/")), "").otherwise("/"), "_loc")).alias("url"), "lastmod")
+    rows = sitemaps.select("site", F.explode(F.from_xml("xml", URLSET)["url"]).alias("entry"))
+    loc = F.trim(F.coalesce(F.col("entry.loc"), F.lit("")))
+    rows = rows.where(loc != "").select("site", absolute_location(F.col("site"), loc).alias("url"), F.trim(F.coalesce(F.col("entry.lastmod"), F.lit(""))).alias("lastmod"))
     if include:
         rows = rows.where(F.contains("url", F.lit(include)) & ~F.endswith(F.rtrim("url", F.lit("/")), F.lit(include.rstrip("/"))))
     if pattern:
@@ -38,10 +44,20 @@ def urlset_rows(sitemaps: DataFrame, include: str = "", exclude: tuple[str, ...]
 def sitemap_index(indexes: DataFrame, include: str = "") -> DataFrame:
     """(site, sitemap) of the sub-sitemaps of index bodies; urlsets among the bodies give none."""
     only = indexes.where(F.contains(F.lower(F.left("xml", F.lit(500))), F.lit("<sitemapindex")))
-    subs = only.select("site", F.explode(F.regexp_extract_all("xml", F.lit(r"(?is)<sitemap[^>]*>.*?<loc[^>]*>\s*([^<\s]+)"), F.lit(1))).alias("sitemap"))
+    subs = only.select("site", F.explode(F.from_xml("xml", SITEMAPS)["sitemap"]).alias("entry")).select("site", F.trim("entry.loc").alias("sitemap"))
     return subs.where(F.contains("sitemap", F.lit(include))) if include else subs
 
 
+def sitemap_tree(roots: DataFrame, fetched: DataFrame, include: str = "", **filters) -> DataFrame:
+    """(site, url, lastmod) of sitemaps (site, xml), through indexes to the bodies (sitemap, xml) fetched for them.
+
+    A sub-sitemap that could not be fetched, or is malformed, is left out; the others count.
+    """
+    below = sitemap_index(roots, include).join(fetched.where("xml is not null"), "sitemap").select("site", "xml")
+    direct = roots.where(~F.contains(F.lower(F.left("xml", F.lit(500))), F.lit("<sitemapindex"))).select("site", "xml")
+    return urlset_rows(direct.unionByName(below), **filters)
+
+
 def listing_items(pages: DataFrame, patterns: tuple[str, ...], exclude: tuple[str, ...] = ()) -> DataFrame:
     """(listing, link, title) of listing pages (listing, url, html): groups 1 and 2 of the patterns, in their order.
 
@@ -59,19 +75,95 @@ def listing_items(pages: DataFrame, patterns: tuple[str, ...], exclude: tuple[st
     return first_seen(found, "_key", "_pattern", "_at").select("listing", "link", "title")
 
 
+ITEM = "struct<title:string,link:string,guid:string,pubDate:string,description:string,`content:encoded`:string>"
+ENTRY = "struct<title:string,link:array<struct<_href:string,_rel:string>>,published:string,updated:string,content:string,summary:string,id:string>"
+FEED = f"channel struct<item:array<{ITEM}>>, item array<{ITEM}>, entry array<{ENTRY}>"
+
+
+def _items(feeds: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """RSS items and Atom entries of feed bodies."""
+    read = feeds.select("feed", F.from_xml("xml", FEED).alias("x"))
+    return read.select("feed", F.explode(F.coalesce("x.channel.item", "x.item")).alias("i")), read.select("feed", F.explode("x.entry").alias("e"))
+
+
 def feed_entries(feeds: DataFrame, since: str = "") -> DataFrame:
-    """(feed, url, title, published) of RSS bodies (feed, xml): entries without a link go, and fragments are cut.
+    """(feed, url, title, published) of RSS and Atom bodies (feed, xml): entries without a link go, and fragments are cut.
 
-    Undated entries stay whatever `since` says.
+    An entry is as old as its publication, or else its update; undated ones
+    stay whatever `since` says. An Atom entry's link is the alternate one, or
+    the first. A malformed body gives no rows.
     """
-    items = feeds.select("feed", F.explode(F.regexp_extract_all("xml", F.lit(r"(?is)<item[^>]*>(.*?)</item>"), F.lit(1))).alias("_b"))
-    of = lambda tag: F.trim(F.regexp_replace(F.regexp_extract("_b", rf"(?is)<{tag}[^>]*>(.*?)</{tag}>", 1), r"(?s)^<!\[CDATA\[(.*)\]\]>$", "$1"))
-    day = F.nullif(dates.rfc2822_date(of("pubDate")), F.lit("0000-00-00"))
-    rows = items.select("feed", F.regexp_replace(of("link"), "#.*$", "").alias("url"), of("title").alias("title"), F.coalesce(day, F.lit("")).alias("published"))
-    rows = rows.where("url <> ''")
+    items, entries = _items(feeds)
+    links = F.col("e.link")
+    best = F.coalesce(F.get(F.filter(links, lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate"), 0), F.get(links, 0))["_href"]
+    rows = items.select("feed", F.trim("i.link").alias("url"), F.trim("i.title").alias("title"), dates.instant(F.col("i.pubDate")).alias("at")).unionByName(
+        entries.select("feed", best.alias("url"), F.trim("e.title").alias("title"), F.coalesce(dates.instant(F.col("e.published")), dates.instant(F.col("e.updated"))).alias("at"))
+    )
+    rows = rows.select("feed", F.regexp_replace("url", "#.*$", "").alias("url"), "title", F.coalesce(F.date_format("at", "yyyy-MM-dd"), F.lit("")).alias("published")).where("url <> ''")
     return rows.where((F.col("published") == "") | (F.col("published") >= since)) if since else rows
 
 
+def inline_entries(feeds: DataFrame) -> DataFrame:
+    """(feed, url, title, html, secret) of RSS bodies whose items carry their text: the encoded content, or else the description.
+
+    An item's URL is its guid if that is one, else its link; items without
+    text or URL go; `secret` is the last part of the feed's own URL.
+    """
+    items, _ = _items(feeds)
+    guid = F.trim("i.guid")
+    url = F.when(guid.rlike("^https?://"), guid).otherwise(F.trim("i.link"))
+    html = F.coalesce(F.nullif(F.trim("i.content:encoded"), F.lit("")), F.trim("i.description"))
+    secret = F.element_at(F.split(F.rtrim("feed", F.lit("/")), "/"), -1)
+    return items.select("feed", url.alias("url"), F.trim("i.title").alias("title"), html.alias("html"), secret.alias("secret")).where("url <> '' and html <> ''")
+
+
+def until_cutoff(posts: DataFrame, feed: str, at: str, date: str, cutoff: str) -> DataFrame:
+    """Posts of an archive, newest first by `at`, up to the first that is older than the cutoff: what paging that stops there reads."""
+    older = F.max((F.col(date) < cutoff).cast("int")).over(Window.partitionBy(feed).orderBy(at))
+    return posts.withColumn("_older", older).where("_older = 0").drop("_older")
+
+
+def bundle_slugs(bundles: DataFrame, pattern: str, template: str) -> DataFrame:
+    """(site, slug, url) of the distinct slugs in script bundles (site, script), in order of the slug."""
+    found = bundles.select("site", F.explode(F.array_sort(F.array_distinct(F.regexp_extract_all("script", F.lit(pattern), F.lit(1))))).alias("slug"))
+    return found.distinct().withColumn("url", F.format_string(template, "slug"))
+
+
+def iso_week(day: Column) -> Column:
+    """The ISO week of a date, as 2024-W05."""
+    return F.format_string("%04d-W%02d", F.extract(F.lit("YEAROFWEEK"), day).cast("int"), F.weekofyear(day))
+
+
+def discover_papers(rows: DataFrame, min_upvotes: int | None = None, since: str = "", top: int | None = None) -> DataFrame:
+    """Papers (id, title, upvotes, submitted, published) in order of votes and time; rows without an id go after the cut."""
+    at = F.coalesce(F.nullif("submitted", F.lit("")), F.col("published"))
+    kept = rows.where(F.coalesce("upvotes", F.lit(0)) >= min_upvotes) if min_upvotes else rows
+    if since:
+        kept = kept.where(at >= since)
+    kept = kept.orderBy(F.desc("upvotes"), F.desc(at), "id")
+    return (kept.limit(top) if top else kept).where("coalesce(id, '') <> ''")
+
+
+def discover(kind: str, bodies: DataFrame, **settings) -> DataFrame:
+    """(source, url, published, title) of a source of one of the known kinds; another raises ValueError."""
+    none = F.lit("")
+    if kind == "rss":
+        return feed_entries(bodies, **settings).select(F.col("feed").alias("source"), "url", "published", "title")
+    if kind == "rss_inline":
+        return inline_entries(bodies).select(F.col("feed").alias("source"), "url", none.alias("published"), "title")
+    if kind == "sitemap":
+        return urlset_rows(bodies, **settings).select(F.col("site").alias("source"), "url", F.col("lastmod").alias("published"), none.alias("title"))
+    if kind == "html":
+        return listing_items(bodies, **settings).select(F.col("listing").alias("source"), F.col("link").alias("url"), none.alias("published"), "title")
+    if kind == "archive":
+        return until_cutoff(bodies, "source", "at", "published", **settings).select("source", "url", "published", "title")
+    if kind == "spa":
+        return bundle_slugs(bodies, **settings).select(F.col("site").alias("source"), "url", none.alias("published"), F.col("slug").alias("title"))
+    if kind == "papers":
+        return discover_papers(bodies, **settings).select(F.lit("papers").alias("source"), F.concat(F.lit("papers/"), "id").alias("url"), F.coalesce("submitted", "published").alias("published"), "title")
+    raise ValueError(f"unknown kind of source: {kind}")
+
+
 PAPER = "id string, title string, authors array<struct<name:string>>, upvotes int"
 
 
