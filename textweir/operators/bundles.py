@@ -73,15 +73,116 @@ def source_pack(owned: DataFrame, articles: int, transcripts: int) -> DataFrame:
     return ranked.where(F.col("rank") <= F.when(F.col("kind") == "article", articles).otherwise(transcripts)).drop("_first")
 
 
-def violations(owns: DataFrame, topics: DataFrame, trends: DataFrame) -> DataFrame:
-    """(rule, key) of broken ownership rules: unknown topics and trends, trends with several owners, and those with none."""
+def violations(owns: DataFrame, topics: DataFrame, trends: DataFrame, sections: DataFrame | None = None, registry: list[tuple[str, str, int]] = ()) -> DataFrame:
+    """(rule, key) of broken ownership rules.
+
+    Unknown topics and trends, trends with several owners and with none,
+    topics that own nothing, sections (section, topic) of unknown topics, and registry rows whose
+    owner is unknown or whose pattern is empty or no regular expression.
+    """
+    told = lambda rule, rows, key: rows.select(F.lit(rule).alias("rule"), F.col(key).cast("string").alias("key"))
     found = [
-        owns.join(topics, "topic", "left_anti").select(F.lit("unknown topic").alias("rule"), F.col("topic").cast("string").alias("key")),
-        owns.join(trends, "trend", "left_anti").select(F.lit("unknown trend").alias("rule"), F.col("trend").cast("string").alias("key")),
-        owns.groupBy("trend").count().where("count > 1").select(F.lit("several owners").alias("rule"), F.col("trend").cast("string").alias("key")),
-        trends.join(owns, "trend", "left_anti").select(F.lit("no owner").alias("rule"), F.col("trend").cast("string").alias("key")),
+        told("unknown topic", owns.join(topics, "topic", "left_anti"), "topic"),
+        told("unknown trend", owns.join(trends, "trend", "left_anti"), "trend"),
+        told("several owners", owns.groupBy("trend").count().where("count > 1"), "trend"),
+        told("no owner", trends.join(owns, "trend", "left_anti"), "trend"),
+        told("nothing owned", topics.join(owns, "topic", "left_anti"), "topic"),
     ]
+    if sections is not None:
+        found.append(told("section of unknown topic", sections.join(topics, "topic", "left_anti"), "section"))
+    if registry:
+        faults = [("empty pattern", pattern) for _, pattern, _ in registry if not pattern.strip()] + [("no regular expression", pattern) for _, pattern, _ in registry if not _compiles(pattern)]
+        spark = owns.sparkSession
+        if faults:
+            found.append(spark.createDataFrame(faults, "rule string, key string"))
+        rows = spark.createDataFrame([(str(owner),) for _, _, owner in registry], "topic string")
+        found.append(told("registry of unknown topic", rows.join(topics.select(F.col("topic").cast("string").alias("topic")), "topic", "left_anti"), "topic"))
     out = found[0]
     for part in found[1:]:
         out = out.unionByName(part)
     return out.distinct()
+
+
+def _compiles(pattern: str) -> bool:
+    import re
+
+    try:
+        re.compile(pattern)
+    except re.error:
+        return False
+    return True
+
+
+def signal_ids(supporting: Column, counter: Column) -> Column:
+    """The distinct signals of a trend, sorted."""
+    none = F.array().cast("array<string>")
+    return F.array_sort(F.array_union(F.coalesce(supporting, none), F.coalesce(counter, none)))
+
+
+def shared_lines(reached: DataFrame, lineages: DataFrame) -> DataFrame:
+    """(signal, lineage, date, topics) of the signals that several topics reach, in order of lineage and date; none counts as empty."""
+    rows = shared(reached).join(lineages, "signal", "left")
+    return rows.select("signal", "lineage", "date", "topics").orderBy(F.coalesce("lineage", F.lit("")), "date", "signal")
+
+
+def lineage_count(lines: DataFrame) -> DataFrame:
+    """How many signals are shared, and the distinct lineages among them."""
+    return lines.agg(F.count(F.lit(1)).alias("signals"), F.countDistinct("lineage").alias("lineages"))
+
+
+def others_by_owner(owned: DataFrame, reached: DataFrame) -> DataFrame:
+    """(topic, owner, n): the owners of the signals that a topic's trends reach but it doesn't own, commonest first within a topic."""
+    of_topic = reached.select("signal", F.explode("topics").alias("topic"))
+    rows = of_topic.join(owned, "signal").where(F.col("owner") != F.col("topic").cast("string"))
+    return rows.groupBy("topic", "owner").agg(F.count(F.lit(1)).alias("n")).orderBy("topic", F.desc("n"), "owner")
+
+
+def section_trends(headings: DataFrame, trends: DataFrame) -> list[tuple[str, list[str]]]:
+    """Headings (ord, heading, signals, lineages) with the trends (trend, signals, lineages) that have the same counts.
+
+    Headings are taken in order; a trend that is the only one for a heading is
+    no candidate for later ones. Runs on the driver: a report has some dozen headings.
+    """
+    taken: set[str] = set()
+    out = []
+    given = [(r["trend"], (r["signals"], r["lineages"])) for r in trends.orderBy("trend").collect()]
+    for row in headings.orderBy("ord").collect():
+        found = [t for t, counts in given if counts == (row["signals"], row["lineages"]) and t not in taken]
+        if len(found) == 1:
+            taken.add(found[0])
+        out.append((row["heading"], found))
+    return out
+
+
+def heading_counts(heading: Column) -> Column:
+    """A struct (signals, lineages) of the counts that a heading names."""
+    read = lambda what: F.regexp_extract(heading, rf"(\d+) {what}", 1).try_cast("int")
+    return F.struct(read("signals?").alias("signals"), read("lineages?").alias("lineages"))
+
+
+def trend_summary(trends: DataFrame) -> DataFrame:
+    """Trends in the order a report is prepared in: tier, then lineages, then id."""
+    return trends.orderBy("tier", F.desc("lineages"), "trend")
+
+
+def bundle_text(title: Column, question: Column, signals: Column) -> Column:
+    """A topic's bundle as Markdown: its question, and its signals (ref, claim) in a list."""
+    lines = F.transform(signals, lambda s: F.concat(F.lit("- "), s["claim"], F.lit(" ("), s["ref"], F.lit(")")))
+    return F.concat_ws("\n", F.concat(F.lit("# "), title), F.lit(""), question, F.lit(""), F.array_join(lines, "\n"))
+
+
+def write_bundles(bundles: DataFrame, folder: str) -> None:
+    """Signals (topic, ...) as JSON lines, in a folder for each topic."""
+    bundles.write.mode("overwrite").partitionBy("topic").json(folder)
+
+
+def watch_list(report: Column) -> Column:
+    """The items of a report's watch list: the lines of the section below its heading."""
+    section = F.regexp_extract(report, r"(?is)(?:\A|\n)##+ [^\n]*watch list[^\n]*\n(.*?)(?:\n#|\z)", 1)
+    return F.transform(F.filter(F.split(section, "\n"), lambda x: x.rlike(r"^\s*[-*] ")), lambda x: F.trim(F.regexp_replace(x, r"^\s*[-*] ", "")))
+
+
+def digest(weekly: Column) -> Column:
+    """A struct of a weekly brief's short block and its headings."""
+    brief = F.trim(F.regexp_extract(weekly, r"(?is)(?:\A|\n)## [^\n]*60[- ]second[^\n]*\n(.*?)(?:\n## |\z)", 1))
+    return F.struct(brief.alias("brief"), F.regexp_extract_all(weekly, F.lit(r"(?m)^## (.*)$"), F.lit(1)).alias("headings"))

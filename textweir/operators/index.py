@@ -8,13 +8,14 @@ that is replaced last, so they see the old index or the new one.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textweir.operators.chunk import chunk_table
 from textweir.operators.ledger import snapshot_diff
-from textweir.operators.search import K1, LEAST_IDF, B, Query, tokens
+from textweir.operators.search import K1, LEAST_IDF, POOL, B, Filters, Query, ranked, tokens
 
 DOCS = "doc_id bigint, path string, corpus string, source string, date string, title string, url string, size bigint, mtime double, chunker string"
 CHUNKS = "chunk_id bigint, doc_id bigint, ord int, start_line int, end_line int, text string"
@@ -72,6 +73,10 @@ def lengths(chunks: DataFrame) -> DataFrame:
     return chunks.select("chunk_id", F.size(tokens(F.col("text"))).alias("terms"))
 
 
+def _earlier(k: int) -> Callable[[Column], Column]:
+    return lambda at: at - k
+
+
 def keyword_scores(posted: DataFrame, sizes: DataFrame, query: Query) -> DataFrame:
     """(chunk_id, bm25) of the chunks that match, lower is better: only the query's terms are read from the postings.
 
@@ -84,8 +89,8 @@ def keyword_scores(posted: DataFrame, sizes: DataFrame, query: Query) -> DataFra
     def times(phrase: tuple[str, ...]):
         found = F.coalesce(F.try_element_at("places", F.lit(phrase[0])), F.array().cast("array<int>"))
         for k, term in enumerate(phrase[1:], 1):
-            there = F.transform(F.coalesce(F.try_element_at("places", F.lit(term)), F.array().cast("array<int>")), lambda at, k=k: at - k)
-            found = F.array_intersect(found, there)
+            there = F.coalesce(F.try_element_at("places", F.lit(term)), F.array().cast("array<int>"))
+            found = F.array_intersect(found, F.transform(there, _earlier(k)))
         return F.size(found)
 
     counted = of_chunk.select("chunk_id", F.array(*(times(p) for p in query.phrases)).alias("tf"))
@@ -101,6 +106,12 @@ def keyword_scores(posted: DataFrame, sizes: DataFrame, query: Query) -> DataFra
     return counted.where(matched).join(sizes, "chunk_id").crossJoin(F.broadcast(stats)).crossJoin(F.broadcast(whole)).select("chunk_id", F.round(-score, 6).alias("bm25"))
 
 
+def keyword_rank(chunks: DataFrame, posted: DataFrame, sizes: DataFrame, query: Query, filters: Filters = Filters(), pool: int = POOL) -> DataFrame:
+    """The best chunks (without texts) for a query by their postings; filters come after scoring and before the pool is cut."""
+    scored = keyword_scores(posted, sizes, query).join(chunks, "chunk_id").where(filters.condition())
+    return ranked(scored, "kw_rank", pool, F.col("bm25"), F.col("chunk_id"))
+
+
 def publish(spark: SparkSession, root: str, version: str, tables: dict[str, DataFrame], meta: dict | None = None) -> str:
     """Write a snapshot and point readers to it; the folder it is in."""
     at = f"{root.rstrip('/')}/{version}"

@@ -8,6 +8,7 @@ cut. Texts are joined last, for the rows that are returned.
 from __future__ import annotations
 
 import re
+import unicodedata
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -32,12 +33,32 @@ def compile_query(text: str) -> Query:
     quoted = re.findall(r'"([^"]+)"', text)
     words = [w for w in re.findall(r"[\w.$%-]+", re.sub(r'"[^"]+"', " ", text)) if len(w) > 1]
     terms = [w.strip(".-") for w in words]
-    split = [tuple(re.findall(r"[^\W_]+", part.lower())) for part in [*quoted, *(t for t in terms if t)]]
+    split = [tuple(re.findall(r"[^\W_]+", folded(part))) for part in [*quoted, *(t for t in terms if t)]]
     return Query(tuple(dict.fromkeys(p for p in split if p)), "and" if quoted and not words else "or")
 
 
+def _folding() -> tuple[str, str]:
+    """Letters with diacritics and what is left without them, by their Unicode decompositions."""
+    pairs = []
+    for point in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00)):
+        bare = unicodedata.normalize("NFD", chr(point))
+        if len(bare) > 1 and all(map(unicodedata.combining, bare[1:])) and chr(point).islower():
+            pairs.append((chr(point), bare[0]))
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
+FOLDED = _folding()
+
+
+def folded(text: str) -> str:
+    """Lower case without diacritics."""
+    return unicodedata.normalize("NFC", re.sub(r"[\u0300-\u036f]", "", unicodedata.normalize("NFD", text.lower())))
+
+
 def tokens(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    """Runs of letters, numbers and the marks that attach to them, in lower case and without diacritics."""
+    words = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}][\p{L}\p{N}\p{M}]*"), F.lit(0))
+    return F.transform(words, lambda w: F.when(w.rlike(r"[^\x00-\x7f]"), F.translate(F.regexp_replace(w, r"\p{M}", ""), *FOLDED)).otherwise(w))
 
 
 def term_line(text: Column) -> Column:
@@ -148,8 +169,10 @@ def assemble(fused: DataFrame, k: int = 10, per_doc: int = 1, pins: int = KW_PIN
     """The returned rows: at most `per_doc` of a path, `k` in all, the first `pins` keyword paths always among them.
 
     Pinned rows that are missing replace the tail, so the list isn't in order
-    of score throughout. At least one row is returned even for k = 0.
+    of score throughout. At least one row is returned even for k = 0. The
+    fused rows, two pools at most, are worked out once.
     """
+    fused = fused.sparkSession.createDataFrame(fused.limit(2 * POOL).collect(), fused.schema)
     order = [F.desc("score"), F.asc_nulls_last("kw_rank"), F.asc_nulls_last("vec_rank")]
     of_path = Window.partitionBy("path").orderBy(*order)
     capped = fused.withColumn("_nth", F.row_number().over(of_path)).where(F.col("_nth") <= max(per_doc, 1)).orderBy(*order).limit(max(k, 1))

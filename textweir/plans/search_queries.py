@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textweir.operators import index
 from textweir.operators import search as S
 from textweir.operators.chunk import chunk_table
 from textweir.plans.corpus import CORPUS_SQL, corpus, table
+from textweir.storage import shared_folder
 
 OR_QUERY, AND_QUERY = "trash pathetic idiot worthless", '"of the" "and the"'
 FILTERS = S.Filters(corpora=("raw",), since="2024-02-01", until="2024-10-31", sources=("src1", "src2/*", "src7"))
@@ -21,6 +23,30 @@ def whole_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus(spark, sf_dir).withColumnRenamed("doc_id", "chunk_id").withColumn("lines", lines)
 
 
+_stored: dict[tuple[str, str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
+    """A table of the corpus that is written once for an application and read by every query after."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _stored:
+        folder = f"{shared_folder(spark, 'index')}/{name}"
+        make().write.parquet(folder)
+        _stored[key] = folder
+    return spark.read.parquet(_stored[key])
+
+
+def indexed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents without their texts, postings in order of the term, and lengths."""
+    docs = whole_documents(spark, sf_dir)
+    posted = stored(spark, sf_dir, "postings", lambda: index.postings(docs).repartitionByRange(F.col("term")).sortWithinPartitions("term"))
+    return docs.drop("text"), posted, stored(spark, sf_dir, "lengths", lambda: index.lengths(docs))
+
+
+def keyword_rank(spark: SparkSession, sf_dir: str, query: str, filters: S.Filters = S.Filters()) -> DataFrame:
+    return index.keyword_rank(*indexed(spark, sf_dir), S.compile_query(query), filters)
+
+
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors with the attributes of their documents; documents without one are absent."""
     docs = whole_documents(spark, sf_dir).drop("text")
@@ -33,15 +59,15 @@ def query_vector(spark: SparkSession, sf_dir: str) -> list[float]:
 
 
 def keyword_search_or(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.keyword_rank(whole_documents(spark, sf_dir), S.compile_query(OR_QUERY)).select("chunk_id", "path", "bm25", "kw_rank")
+    return keyword_rank(spark, sf_dir, OR_QUERY).select("chunk_id", "path", "bm25", "kw_rank")
 
 
 def keyword_search_phrase(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.keyword_rank(whole_documents(spark, sf_dir), S.compile_query(AND_QUERY)).select("chunk_id", "path", "bm25", "kw_rank")
+    return keyword_rank(spark, sf_dir, AND_QUERY).select("chunk_id", "path", "bm25", "kw_rank")
 
 
 def keyword_search_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.keyword_rank(whole_documents(spark, sf_dir), S.compile_query(OR_QUERY), FILTERS).select("chunk_id", "path", "bm25", "kw_rank")
+    return keyword_rank(spark, sf_dir, OR_QUERY, FILTERS).select("chunk_id", "path", "bm25", "kw_rank")
 
 
 def search_until_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +87,7 @@ def vector_search_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lists(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return S.keyword_rank(whole_documents(spark, sf_dir), S.compile_query(HYBRID)), S.vector_rank(vectors(spark, sf_dir), query_vector(spark, sf_dir))
+    return keyword_rank(spark, sf_dir, HYBRID), S.vector_rank(vectors(spark, sf_dir), query_vector(spark, sf_dir))
 
 
 def hybrid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,17 +119,27 @@ def search_snippet(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hybrid_search_per_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two chunks of a document at most, over the chunk table; a document's vector belongs to its first chunk."""
     docs = corpus(spark, sf_dir)
-    parts = chunk_table(docs).select("doc_id", "ord", "text", F.concat_ws("-", "start_line", "end_line").alias("lines")).withColumn("chunk_id", F.col("doc_id") * 10000 + F.col("ord"))
-    parts = parts.join(docs.drop("text"), "doc_id")
-    vecs = table(spark, sf_dir, "embeddings").select((F.col("vec_id") * 10000).alias("chunk_id"), "embedding").join(parts.drop("text"), "chunk_id")
-    fused = S.fuse(S.keyword_rank(parts, S.compile_query(HYBRID)), S.vector_rank(vecs, query_vector(spark, sf_dir)))
+    chunk_id = F.col("doc_id") * 10000 + F.col("ord")
+    parts = stored(spark, sf_dir, "chunks", lambda: chunk_table(docs).select(chunk_id.alias("chunk_id"), "doc_id", "text", F.concat_ws("-", "start_line", "end_line").alias("lines")))
+    posted = stored(spark, sf_dir, "chunk-postings", lambda: index.postings(parts).repartitionByRange(F.col("term")).sortWithinPartitions("term"))
+    sizes = stored(spark, sf_dir, "chunk-lengths", lambda: index.lengths(parts))
+    plain = parts.drop("text").join(docs.drop("text"), "doc_id")
+    vecs = table(spark, sf_dir, "embeddings").select((F.col("vec_id") * 10000).alias("chunk_id"), "embedding").join(plain, "chunk_id")
+    fused = S.fuse(index.keyword_rank(plain, posted, sizes, S.compile_query(HYBRID)), S.vector_rank(vecs, query_vector(spark, sf_dir)))
     return S.assemble(fused, per_doc=2)
 
 
+def hydrated_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The returned rows with their texts, joined last, as JSON lines."""
+    docs = whole_documents(spark, sf_dir)
+    found = S.hydrate(hybrid_search(spark, sf_dir), docs)
+    return found.select("pos", F.md5(F.concat_ws("|", "path", "date", "source", "lines", "via", "text")).alias("digest"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        keyword_search_or, keyword_search_phrase, keyword_search_filtered, search_until_undated, vector_search, vector_search_filtered, hybrid_search,
+        hydrated_results, keyword_search_or, keyword_search_phrase, keyword_search_filtered, search_until_undated, vector_search, vector_search_filtered, hybrid_search,
         hybrid_search_by_date, rank_fusion, keyword_mode_search, vector_mode_search, search_snippet, hybrid_search_per_doc,
     )
 }
@@ -124,7 +160,7 @@ def _keyword_sql(text: str, where: str = "TRUE") -> str:
     score = " + ".join(f"greatest(ln((n - d{i} + 0.5) / (d{i} + 0.5)), 1e-6) * f{i} * 2.2 / (f{i} + 1.2 * (0.25 + 0.75 * len / mean))" for i in n)
     match = (" AND " if query.how == "and" else " OR ").join(f"f{i} > 0" for i in n)
     return f"""{CORPUS_SQL},
-words AS (SELECT *, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM corpus),
+words AS (SELECT *, regexp_extract_all(strip_accents(lower(text)), '[\\p{{L}}\\p{{N}}]+') AS w FROM corpus),
 counted AS (SELECT doc_id, corpus, source, date, path, '1-' || len(string_split(text, chr(10))) AS lines, len(w) AS len, {tf} FROM words),
 stats AS (SELECT count(*) AS n, avg(len) AS mean, {df} FROM counted),
 scored AS (SELECT counted.*, round(-({score}), 6) AS bm25 FROM counted, stats WHERE {match}),
@@ -162,6 +198,8 @@ ONE_LIST = """SELECT CAST(row_number() OVER (ORDER BY {rank}) AS INTEGER) AS pos
   round(1.0 / (61 + {rank}), 5) AS score, '{via}' AS via FROM {name} QUALIFY pos <= 10"""
 
 ORACLE_SQL = {
+    "hydrated_results": f"""{FUSED_SQL}{PLACED_SQL}, told AS (SELECT CAST(row_number() OVER (ORDER BY at_) AS INTEGER) AS pos, {PLACED_COLUMNS})
+        SELECT pos, md5(concat_ws('|', path, date, told.source, lines, via, documents.text)) AS digest FROM told JOIN documents ON doc_id = chunk_id""",
     "keyword_search_or": f"WITH {_keyword_sql(OR_QUERY)} SELECT chunk_id, path, bm25, kw_rank FROM kw",
     "keyword_search_phrase": f"WITH {_keyword_sql(AND_QUERY)} SELECT chunk_id, path, bm25, kw_rank FROM kw",
     "keyword_search_filtered": f"WITH {_keyword_sql(OR_QUERY, FILTER_SQL)} SELECT chunk_id, path, bm25, kw_rank FROM kw",

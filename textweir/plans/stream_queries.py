@@ -2,25 +2,15 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textweir.storage import shared_folder
 from textweir.streaming import ledgers
 
 
 def _folder(spark: SparkSession) -> str:
-    """A new folder that driver and executors share; a temporary one where the session names none."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex[:12]}"
-    local = tempfile.mkdtemp(prefix="textweir-stream-")
-    atexit.register(shutil.rmtree, local, True)
-    return local
+    return shared_folder(spark, "stream")
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,8 +29,7 @@ def stream_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = _events(spark, sf_dir).where(F.col("event_type").isin("error", "purchase"))
     rows = outcomes.select("user_id", (F.col("event_type") == "purchase").alias("ok"), F.struct("ts", "event_id").alias("ord"))
     ledgers.count_failures(rows, "user_id", "ok", f"{folder}/state", f"{folder}/checkpoint")
-    last = spark.read.parquet(f"{folder}/state").withColumn("batch", F.col("batch").cast("int"))
-    return last.join(F.broadcast(last.agg(F.max("batch").alias("batch"))), "batch").drop("batch")
+    return ledgers.last_state(spark, f"{folder}/state")
 
 
 def dedup_within_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -96,8 +96,8 @@ def feed_entries(feeds: DataFrame, since: str = "") -> DataFrame:
     items, entries = _items(feeds)
     links = F.col("e.link")
     best = F.coalesce(F.get(F.filter(links, lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate"), 0), F.get(links, 0))["_href"]
-    rows = items.select("feed", F.trim("i.link").alias("url"), F.trim("i.title").alias("title"), dates.instant(F.col("i.pubDate")).alias("at")).unionByName(
-        entries.select("feed", best.alias("url"), F.trim("e.title").alias("title"), F.coalesce(dates.instant(F.col("e.published")), dates.instant(F.col("e.updated"))).alias("at"))
+    rows = items.select("feed", F.trim("i.link").alias("url"), F.trim(F.coalesce("i.title", F.lit(""))).alias("title"), dates.instant(F.col("i.pubDate")).alias("at")).unionByName(
+        entries.select("feed", best.alias("url"), F.trim(F.coalesce("e.title", F.lit(""))).alias("title"), F.coalesce(dates.instant(F.col("e.published")), dates.instant(F.col("e.updated"))).alias("at"))
     )
     rows = rows.select("feed", F.regexp_replace("url", "#.*$", "").alias("url"), "title", F.coalesce(F.date_format("at", "yyyy-MM-dd"), F.lit("")).alias("published")).where("url <> ''")
     return rows.where((F.col("published") == "") | (F.col("published") >= since)) if since else rows
@@ -114,7 +114,7 @@ def inline_entries(feeds: DataFrame) -> DataFrame:
     url = F.when(guid.rlike("^https?://"), guid).otherwise(F.trim("i.link"))
     html = F.coalesce(F.nullif(F.trim("i.content:encoded"), F.lit("")), F.trim("i.description"))
     secret = F.element_at(F.split(F.rtrim("feed", F.lit("/")), "/"), -1)
-    return items.select("feed", url.alias("url"), F.trim("i.title").alias("title"), html.alias("html"), secret.alias("secret")).where("url <> '' and html <> ''")
+    return items.select("feed", url.alias("url"), F.trim(F.coalesce("i.title", F.lit(""))).alias("title"), html.alias("html"), secret.alias("secret")).where("url <> '' and html <> ''")
 
 
 def until_cutoff(posts: DataFrame, feed: str, at: str, date: str, cutoff: str) -> DataFrame:

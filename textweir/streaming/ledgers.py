@@ -63,6 +63,14 @@ def count_failures(stream: DataFrame, key: str, ok: str, state: str, checkpoint:
     _run(stream, checkpoint, write)
 
 
+def last_state(spark: SparkSession, state: str) -> DataFrame:
+    """The newest version that `count_failures` wrote; the older ones are not read."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(state)
+    held = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    newest = max(int(name[6:]) for f in held if (name := f.getPath().getName()).startswith("batch="))
+    return spark.read.parquet(f"{state}/batch={newest}")
+
+
 def distinct_within(stream: DataFrame, time: str, delay: str, *keys: str) -> DataFrame:
     """The first row of each key, as long as repeats come within the delay."""
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
