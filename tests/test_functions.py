@@ -134,3 +134,43 @@ def test_pins_replace_the_tail(spark):
     got = [r["path"] for r in search.assemble(fused).orderBy("pos").collect()]
     assert got == [f"p{i}" for i in range(7)] + ["k0", "k1", "k2"]
     assert search.assemble(fused, k=1).count() == 3
+
+
+def test_until_done():
+    from textweir.operators.runs import check_severities, each_apart, effective_limit, until_done
+
+    left = [3]
+
+    def step():
+        left[0] -= 1
+
+    assert until_done(step, lambda: left[0]) == 3
+    with pytest.raises(RuntimeError):
+        until_done(lambda: None, lambda: 1)
+
+    def run(source):
+        if source == "b":
+            raise OSError("gone")
+        return len(source)
+
+    assert each_apart(["a", "b", "cc"], run) == {"a": 1, "b": "OSError: gone", "cc": 2}
+    assert effective_limit(None, 0, 5) == 0 and effective_limit(None, None, 5) == 5
+    with pytest.raises(ValueError):
+        check_severities(["mild", "odd"])
+
+
+def test_zero_limits(spark):
+    from textweir.operators.runs import limited
+
+    rows = spark.range(5)
+    assert [limited(rows, 0).count(), limited(rows, 0, zero_is_all=False).count(), limited(rows, None).count(), limited(rows, 2).count()] == [5, 0, 5, 2]
+
+
+def test_diacritics_fold(spark):
+    from pyspark.sql import functions as F
+
+    from textweir.operators.search import compile_query, tokens
+
+    row = spark.createDataFrame([("Crème BRÛLÉE, naïve café ø straße 108×",)], "t string").select(tokens(F.col("t")).alias("t")).first()
+    assert row["t"] == ["creme", "brulee", "naive", "cafe", "ø", "straße", "108"]
+    assert compile_query("Crème cafés").phrases == (("creme",), ("cafes",))

@@ -75,3 +75,84 @@ def test_first_seen_and_append(spark):
     items = spark.createDataFrame([("a", 2), ("a", 1), ("b", 3)], "k string, n int")
     assert rows(ledger.first_seen(items, "k", "n"), "k") == [("a", 1), ("b", 3)]
     assert rows(render.append_new(items, items.where("k = 'a'"), "k"), "k") == [("b", 3)]
+
+
+def test_unknown_kind(spark):
+    with pytest.raises(ValueError):
+        listings.discover("carrier pigeon", spark.range(1))
+
+
+def test_malformed_feed(spark):
+    feeds = spark.createDataFrame([("f", "<rss><channel><item>"), ("g", ""), ("h", None)], "feed string, xml string")
+    assert listings.feed_entries(feeds).count() == 0 and listings.inline_entries(feeds).count() == 0
+
+
+def test_runs_need_their_files(spark, tmp_path):
+    run = tmp_path / "2024-05"
+    run.mkdir()
+    with pytest.raises(FileNotFoundError):
+        files.load_run(spark, str(run))
+    (run / "trends.json").write_text('{"_meta": {"window": "2024-05-01 to 2024-05-31"}, "trends": [{"trend_id": "t1", "tier": 1}, {"trend_id": "t2", "tier": 2}]}')
+    (run / "signals.jsonl").write_text('{"signal_id": "s1", "raw_ref": "c/news/a.md"}\n')
+    trends, signals = files.load_run(spark, str(run), "2024-05")
+    assert [(r["window"]["start"], r["trend_id"]) for r in trends.orderBy("trend_id").collect()] == [("2024-05-01", "t1"), ("2024-05-01", "t2")]
+    assert signals.first()["raw_ref"] == "news/a.md"
+    with pytest.raises(ValueError):
+        files.load_run(spark, str(run), "2024-06")
+
+
+def test_ledger_starts_from_files(spark, tmp_path):
+    there = spark.createDataFrame([("a",), ("b",)], "key string")
+    path = str(tmp_path / "ledger")
+    assert sorted(r["key"] for r in files.ledger(spark, path, there).collect()) == ["a", "b"]
+    (tmp_path / "ledger").write_text("x\n\nx\ny \n")
+    assert sorted(r["key"] for r in files.ledger(spark, path, there).collect()) == ["x", "y"]
+
+
+def test_topics_file(tmp_path):
+    one = tmp_path / "topics.json"
+    one.write_text('{"topics": [{"id": 1}]}')
+    assert files.topics([str(one)])["topics"] == [{"id": 1}]
+    with pytest.raises(ValueError):
+        files.topics([])
+
+
+def test_index_snapshots(spark, tmp_path):
+    from textweir.operators import index
+    from textweir.operators.search import compile_query
+
+    docs = spark.createDataFrame([(1, "n/a", "raw", "n", "", "", "", 3, 1.0, "std", "red fox and red hen"), (2, "n/b", "raw", "n", "", "", "", 4, 1.0, "std", "blue fox")], index.DOCS + ", text string")
+    made = index.apply_sync(index.empty(spark), docs)
+    index.publish(spark, str(tmp_path), "v1", made)
+    now = index.current(spark, str(tmp_path))
+    assert now["docs"].count() == now["chunks"].count() == 2
+    found = index.keyword_scores(now["postings"], now["lengths"], compile_query('"red hen"')).collect()
+    assert [r["chunk_id"] >> 20 for r in found] == [1]
+    index.publish(spark, str(tmp_path), "v2", index.apply_sync(now, docs.where("doc_id = 2")))
+    now = index.current(spark, str(tmp_path))
+    assert now["docs"].count() == now["chunks"].count() == now["lengths"].count() == 1 and now["postings"].count() == 2
+
+
+def test_speech_providers(spark):
+    from textweir.sources import providers
+
+    audio = spark.createDataFrame([(7, "/x.mp3")], "episode long, path string")
+    assert [tuple(r) for r in providers.transcribed(audio, lambda path: [(0.0, 1.5, path)]).collect()] == [(7, 1, 0.0, 1.5, "/x.mp3")]
+    assert [tuple(r) for r in providers.diarized(audio, lambda path: [(0.0, 2.0, "S1")]).collect()] == [(7, 1, 0.0, 2.0, "S1")]
+
+
+def test_bundles_are_written(spark, tmp_path):
+    from textweir.operators.bundles import write_bundles
+
+    write_bundles(spark.createDataFrame([("a", "s1"), ("b", "s2")], "topic string, signal string"), str(tmp_path / "out"))
+    assert sorted(p.name for p in (tmp_path / "out").glob("topic=*")) == ["topic=a", "topic=b"]
+
+
+def test_shared_folder_on_clusters():
+    from types import SimpleNamespace
+
+    from textweir.storage import shared_folder
+
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError):
+        shared_folder(session, "x")

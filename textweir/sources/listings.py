@@ -10,6 +10,27 @@ from textweir.functions import dates, urls
 from textweir.operators.ledger import first_seen
 
 
+def dated_items(pages: DataFrame, patterns: tuple[str, ...], heading: str, own_date: bool = False) -> DataFrame:
+    """(listing, link, title, date) of listing pages: as `listing_items`, dated by group 3 of the patterns or by the last heading above.
+
+    A page is split at its headings, so an item's heading is that of its part;
+    items above the first one have no date of their own.
+    """
+    parts = F.split("html", f"(?s){heading}", -1)
+    heads = F.concat(F.array(F.lit("")), F.regexp_extract_all("html", F.lit(f"(?s){heading}"), F.lit(1)))
+    rows = pages.select("listing", "url", F.posexplode(F.arrays_zip(parts.alias("part"), heads.alias("head"))).alias("_part", "_p"))
+    found = None
+    for k, pattern in enumerate(patterns):
+        groups = [F.regexp_extract_all("_p.part", F.lit(f"(?s){pattern}"), F.lit(g)).alias(n) for g, n in ((1, "a"), (2, "b"), *(((3, "c"),) if own_date else ()))]
+        one = rows.select("listing", "url", "_part", "_p", F.posexplode(F.arrays_zip(*groups)).alias("_at", "_i"))
+        day = dates.loose_date(F.col("_i.c")) if own_date else F.lit("")
+        date = F.when(day != "", day).otherwise(dates.loose_date(F.col("_p.head")))
+        one = one.select("listing", urls.absolute(F.col("url"), F.col("_i.a")).alias("link"), F.trim(F.regexp_replace("_i.b", "<[^>]+>", "")).alias("title"), date.alias("date"), F.lit(k).alias("_pattern"), "_part", "_at")
+        found = one if found is None else found.unionByName(one)
+    found = found.withColumn("_key", F.struct("listing", "link"))
+    return first_seen(found, "_key", "_pattern", "_part", "_at").select("listing", "link", "title", "date")
+
+
 URLSET = "url array<struct<loc:string,lastmod:string>>"
 SITEMAPS = "sitemap array<struct<loc:string>>"
 
