@@ -58,7 +58,8 @@ def folded(text: str) -> str:
 def tokens(text: Column) -> Column:
     """Runs of letters, numbers and the marks that attach to them, in lower case and without diacritics."""
     words = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}][\p{L}\p{N}\p{M}]*"), F.lit(0))
-    return F.transform(words, lambda w: F.when(w.rlike(r"[^\x00-\x7f]"), F.translate(F.regexp_replace(w, r"\p{M}", ""), *FOLDED)).otherwise(w))
+    bare = F.transform(words, lambda w: F.when(w.rlike(r"[^\x00-\x7f]"), F.translate(F.regexp_replace(w, r"\p{M}", ""), *FOLDED)).otherwise(w))
+    return F.when(text.rlike(r"[^\x00-\x7f]"), bare).otherwise(words)
 
 
 def term_line(text: Column) -> Column:

@@ -39,8 +39,16 @@ def stored(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
 def indexed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Documents without their texts, postings in order of the term, and lengths."""
     docs = whole_documents(spark, sf_dir)
-    posted = stored(spark, sf_dir, "postings", lambda: index.postings(docs).repartitionByRange(F.col("term")).sortWithinPartitions("term"))
-    return docs.drop("text"), posted, stored(spark, sf_dir, "lengths", lambda: index.lengths(docs))
+    return docs.drop("text"), *by_term(spark, sf_dir, "documents", docs)
+
+
+def by_term(spark: SparkSession, sf_dir: str, name: str, chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Postings of some chunks in order of the term, and lengths; a common term's rows are split among ranges."""
+    made = stored(spark, sf_dir, f"{name}-made", lambda: index.postings(chunks))
+    posted = stored(spark, sf_dir, f"{name}-postings", lambda: made.repartitionByRange("term", "chunk_id").sortWithinPartitions("term", "chunk_id"))
+    empty = chunks.select("chunk_id").join(made.select("chunk_id").distinct(), "chunk_id", "left_anti").select("chunk_id", F.lit(0).alias("terms"))
+    sizes = stored(spark, sf_dir, f"{name}-lengths", lambda: made.groupBy("chunk_id").agg(F.sum("tf").cast("int").alias("terms")).unionByName(empty))
+    return posted, sizes
 
 
 def keyword_rank(spark: SparkSession, sf_dir: str, query: str, filters: S.Filters = S.Filters()) -> DataFrame:
@@ -121,8 +129,7 @@ def hybrid_search_per_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = corpus(spark, sf_dir)
     chunk_id = F.col("doc_id") * 10000 + F.col("ord")
     parts = stored(spark, sf_dir, "chunks", lambda: chunk_table(docs).select(chunk_id.alias("chunk_id"), "doc_id", "text", F.concat_ws("-", "start_line", "end_line").alias("lines")))
-    posted = stored(spark, sf_dir, "chunk-postings", lambda: index.postings(parts).repartitionByRange(F.col("term")).sortWithinPartitions("term"))
-    sizes = stored(spark, sf_dir, "chunk-lengths", lambda: index.lengths(parts))
+    posted, sizes = by_term(spark, sf_dir, "chunks", parts)
     plain = parts.drop("text").join(docs.drop("text"), "doc_id")
     vecs = table(spark, sf_dir, "embeddings").select((F.col("vec_id") * 10000).alias("chunk_id"), "embedding").join(plain, "chunk_id")
     fused = S.fuse(index.keyword_rank(plain, posted, sizes, S.compile_query(HYBRID)), S.vector_rank(vecs, query_vector(spark, sf_dir)))
