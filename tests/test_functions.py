@@ -174,3 +174,51 @@ def test_diacritics_fold(spark):
     row = spark.createDataFrame([("Crème BRÛLÉE, naïve café ø straße 108×",)], "t string").select(tokens(F.col("t")).alias("t")).first()
     assert row["t"] == ["creme", "brulee", "naive", "cafe", "ø", "straße", "108"]
     assert compile_query("Crème cafés").phrases == (("creme",), ("cafes",))
+
+
+def test_section_trends_take_turns(spark):
+    """A heading's only trend is no candidate for later headings; several candidates stay open to all."""
+    from textweir.operators.bundles import heading_counts, section_trends
+
+    heads = spark.createDataFrame([(1, "A: 2 signals, 1 lineage"), (2, "B: 2 signals, 1 lineage"), (3, "C: 3 signals, 3 lineages"), (4, "D: none")], "ord int, heading string")
+    counts = heading_counts(F.col("heading"))
+    trends = spark.createDataFrame([("t1", 2, 1), ("t2", 3, 3), ("t3", 3, 3)], "trend string, signals int, lineages int")
+    found = section_trends(heads.select("ord", "heading", counts["signals"].alias("signals"), counts["lineages"].alias("lineages")), trends)
+    assert [t for _, t in found] == [["t1"], [], ["t2", "t3"], []]
+
+
+def test_two_chunks_of_a_document_at_most(spark, sf):
+    """The per-document search against scores and ranks worked out over the chunks in Python."""
+    import math
+    import re
+    from collections import Counter
+
+    from textweir.operators.search import KW_WEIGHT, POOL, RRF_K
+    from textweir.plans import search_queries as Q
+    from textweir.plans.corpus import corpus, table
+
+    docs = {r["doc_id"]: r for r in corpus(spark, sf).collect()}
+    parts = {d * 10000 + k: (d, words) for d, r in docs.items() for k, (_, _, words) in enumerate(chunks(r["text"]))}
+    terms = {c: re.findall(r"[^\W_]+", search.folded(words)) for c, (_, words) in parts.items()}
+    phrases = search.compile_query(Q.HYBRID).phrases
+    times = {c: [sum(tuple(t[i : i + len(p)]) == p for i in range(len(t))) for p in phrases] for c, t in terms.items()}
+    mean, n = sum(map(len, terms.values())) / len(terms), len(terms)
+    df = [sum(f[i] > 0 for f in times.values()) for i in range(len(phrases))]
+    idf = [max(math.log((n - d + 0.5) / (d + 0.5)), 1e-6) for d in df]
+    score = {c: round(sum(w * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * len(terms[c]) / mean)) for w, f in zip(idf, fs, strict=True)), 6) for c, fs in times.items() if any(fs)}
+    keyword = {c: k for k, c in enumerate(sorted(score, key=lambda c: (-score[c], c))[:POOL])}
+    vectors = {r["vec_id"]: list(r["embedding"]) for r in table(spark, sf, "embeddings").collect()}
+    like = {v * 10000: round(sum(x * y for x, y in zip(e, vectors[Q.QUERY_VECTOR], strict=True)), 6) for v, e in vectors.items() if v * 10000 in parts}
+    vector = {c: k for k, c in enumerate(sorted(like, key=lambda c: (-like[c], c))[:POOL])}
+    fused = {c: (KW_WEIGHT / (RRF_K + 1 + keyword[c]) if c in keyword else 0) + (1 / (RRF_K + 1 + vector[c]) if c in vector else 0) for c in keyword | vector}
+    ordered = sorted(fused, key=lambda c: (-fused[c], keyword.get(c, 1e9), vector.get(c, 1e9)))
+    held, placed = Counter(), []
+    for c in ordered:
+        held[parts[c][0]] += 1
+        if held[parts[c][0]] <= 2 and len(placed) < 10:
+            placed.append(c)
+    first = list(dict.fromkeys(parts[c][0] for c in keyword))[:3]
+    best = [min((c for c in keyword if parts[c][0] == d), key=keyword.get) for d in first]
+    missing = [c for c in best if parts[c][0] not in {parts[x][0] for x in placed}]
+    want = placed[: 10 - len(missing)] + missing
+    assert [r["chunk_id"] for r in Q.hybrid_search_per_doc(spark, sf).orderBy("pos").collect()] == want
