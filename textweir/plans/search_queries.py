@@ -38,8 +38,12 @@ def stored(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
 
 def indexed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Documents without their texts, postings in order of the term, and lengths."""
-    docs = whole_documents(spark, sf_dir)
-    return docs.drop("text"), *by_term(spark, sf_dir, "documents", docs)
+    return attributes(spark, sf_dir), *by_term(spark, sf_dir, "documents", whole_documents(spark, sf_dir))
+
+
+def attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the index knows of the documents beside their texts, so that a query reads no text that it doesn't return."""
+    return stored(spark, sf_dir, "attributes", lambda: whole_documents(spark, sf_dir).drop("text"))
 
 
 def by_term(spark: SparkSession, sf_dir: str, name: str, chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -57,7 +61,7 @@ def keyword_rank(spark: SparkSession, sf_dir: str, query: str, filters: S.Filter
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors with the attributes of their documents; documents without one are absent."""
-    docs = whole_documents(spark, sf_dir).drop("text")
+    docs = attributes(spark, sf_dir)
     return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("chunk_id"), "embedding").join(docs, "chunk_id")
 
 
