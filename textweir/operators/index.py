@@ -169,3 +169,54 @@ def vector_export(vectors: DataFrame) -> DataFrame:
     before = sizes.select("part", (F.sum("count").over(Window.orderBy("part")) - F.col("count")).alias("before"))
     within = F.row_number().over(Window.partitionBy("part").orderBy("chunk_id"))
     return vectors.withColumn("part", part).withColumn("nth", within).join(before, "part").select((F.col("before") + F.col("nth") - 1).alias("row"), "chunk_id", "embedding")
+
+
+def numbered(files: DataFrame, known: DataFrame) -> DataFrame:
+    """Files (path) with `doc_id`: that of the known document of the path, or one beyond all known ids.
+
+    New ids come from counts of buckets of paths, not from one sorted task.
+    """
+    from pyspark.sql.window import Window
+
+    held = files.join(known.select("path", "doc_id"), "path", "left")
+    part = F.pmod(F.xxhash64("path"), F.lit(4096))
+    new = held.where("doc_id is null").select("path").distinct().withColumn("part", part)
+    before = new.groupBy("part").count().select("part", (F.sum("count").over(Window.orderBy("part")) - F.col("count")).alias("before"))
+    nth = F.row_number().over(Window.partitionBy("part").orderBy("path"))
+    # One row of the largest id.
+    most = known.agg(F.coalesce(F.max("doc_id"), F.lit(0).cast("bigint")).alias("most"))
+    given = new.withColumn("nth", nth).join(before, "part").crossJoin(F.broadcast(most)).select("path", (F.col("most") + F.col("before") + F.col("nth")).alias("_id"))
+    return held.join(given, "path", "left").withColumn("doc_id", F.coalesce("doc_id", "_id")).drop("_id")
+
+
+def refresh(spark: SparkSession, files: DataFrame, root: str, version: str) -> str:
+    """Bring the index below `root` up to date with files as `sources.files.parsed` gives them, and publish it as `version`.
+
+    Only new and changed files are chunked; where there is no index yet, all are new.
+    """
+    from textweir.sources.files import exists
+
+    tables = current(spark, root) if exists(spark, f"{root.rstrip('/')}/CURRENT") else empty(spark)
+    now = numbered(files, tables["docs"]).select(
+        "doc_id", "path", "corpus", "source", "date", "title", "url", F.col("size").cast("bigint").alias("size"),
+        F.unix_micros(F.col("mtime").cast("timestamp")).cast("double").alias("mtime"), F.lit("std").alias("chunker"), F.col("body").alias("text"),
+    )
+    made = apply_sync(tables, now.withColumn("mtime", F.col("mtime") / 1e6))
+    made["postings"] = made["postings"].repartitionByRange("term", "chunk_id").sortWithinPartitions("term", "chunk_id")
+    return publish(spark, root, version, made)
+
+
+def search_index(tables: dict[str, DataFrame], query: str, filters: Filters = Filters(), k: int = 10, per_doc: int = 1, by_date: bool = False, vector: list[float] | None = None, mode: str = "hybrid") -> DataFrame:
+    """The returned rows of a snapshot with their texts, which are read last; `vector` is the query's, for the modes that need one."""
+    from textweir.operators import search
+
+    if mode not in ("hybrid", "keyword", "vector"):
+        raise ValueError(f"unknown mode: {mode}")
+    if mode != "keyword" and vector is None:
+        raise ValueError(f"mode {mode} needs the query's vector")
+    chunks = tables["chunks"].select("chunk_id", "doc_id", F.concat_ws("-", "start_line", "end_line").alias("lines"))
+    plain = chunks.join(tables["docs"].select("doc_id", "path", "corpus", "source", "date"), "doc_id")
+    words = keyword_rank(plain, tables["postings"], tables["lengths"], search.compile_query(query), filters) if mode != "vector" else None
+    near = search.vector_rank(tables["vectors"].join(plain, "chunk_id"), vector, filters) if mode != "keyword" else None
+    found = search.assemble(search.fuse(words, near), k, per_doc, search.KW_PIN if mode == "hybrid" else 0, by_date)
+    return search.hydrate(found, tables["chunks"])
