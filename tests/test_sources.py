@@ -156,3 +156,27 @@ def test_shared_folder_on_clusters():
     session = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
     with pytest.raises(ValueError):
         shared_folder(session, "x")
+
+
+def test_audio_probe(spark, tmp_path):
+    import wave
+
+    from textweir.sources import providers
+
+    with wave.open(str(tmp_path / "a.wav"), "wb") as out:
+        out.setnchannels(1)
+        out.setsampwidth(2)
+        out.setframerate(8000)
+        out.writeframes(bytes(2 * 12000))
+    (tmp_path / "b.wav").write_text("no sound")
+    audio = spark.createDataFrame([(k, str(tmp_path / f"{n}.wav")) for k, n in enumerate("abc")], "episode long, path string")
+    assert rows(providers.probed(audio), "episode") == [(0, 1.5), (1, None), (2, None)]
+
+
+def test_sources_run_apart():
+    from textweir.operators.runs import each_apart
+
+    run = {"a": lambda: 3, "b": lambda: 1 // 0}
+    for workers in (1, 2):
+        told = each_apart(run, lambda s: run[s](), workers)
+        assert told["a"] == 3 and told["b"].startswith("ZeroDivisionError")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,15 +117,21 @@ def until_done(step: Callable[[], None], pending: Callable[[], int], most: int =
     return rounds
 
 
-def each_apart(sources: Iterable[str], run: Callable[[str], int]) -> dict[str, int | str]:
-    """What `run` gives for each source, or the error it ended with; one source's failure doesn't stop the others."""
-    out: dict[str, int | str] = {}
-    for source in sources:
+def each_apart(sources: Iterable[str], run: Callable[[str], int], workers: int = 1) -> dict[str, int | str]:
+    """What `run` gives for each source, or the error it ended with; one source's failure doesn't stop the others.
+
+    Several workers run that many sources at once; their jobs share the session.
+    """
+
+    def told(source: str) -> int | str:
         try:
-            out[source] = run(source)
+            return run(source)
         except Exception as error:
-            out[source] = f"{type(error).__name__}: {error}"
-    return out
+            return f"{type(error).__name__}: {error}"
+
+    names = list(sources)
+    with ThreadPoolExecutor(max(workers, 1)) as pool:
+        return dict(zip(names, pool.map(told, names), strict=True))
 
 
 def check_severities(wanted: Iterable[str]) -> None:

@@ -103,3 +103,30 @@ def diarized(audio: DataFrame, diarizer: Callable[[str], list[tuple[float, float
     """(episode, ord, t_start, t_end, speaker) that a diarizer gives for recordings (episode, path)."""
     made = transcribed(audio, diarizer)
     return made.select("episode", "ord", F.col("start").alias("t_start"), F.col("end").alias("t_end"), F.col("text").alias("speaker"))
+
+
+def audio_seconds(path: str) -> float | None:
+    """A recording's length: by its header if it is a WAV file, else by `ffprobe` where that is installed; null if neither tells."""
+    import subprocess
+    import wave
+
+    try:
+        with wave.open(path) as told:
+            return told.getnframes() / told.getframerate()
+    except (OSError, EOFError, wave.Error, ZeroDivisionError):
+        pass
+    asked = ["ffprobe", "-v", "error", "-show_entries", "format=duration", "-of", "csv=p=0", path]
+    try:
+        return float(subprocess.run(asked, capture_output=True, text=True, timeout=10, check=True).stdout)
+    except (OSError, ValueError, subprocess.SubprocessError):
+        return None
+
+
+def probed(audio: DataFrame, probe: Callable[[str], float | None] = audio_seconds) -> DataFrame:
+    """(episode, seconds) of recordings (episode, path); null where the probe can't tell. Files are read by the executors."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            yield pd.DataFrame({"episode": part["episode"], "seconds": pd.Series([probe(p) for p in part["path"]], dtype="float64")})
+
+    return audio.select("episode", "path").mapInPandas(run, f"episode {dict(audio.dtypes)['episode']}, seconds double")
