@@ -198,7 +198,7 @@ def test_two_chunks_of_a_document_at_most(spark, sf):
     from textweir.plans.corpus import corpus, table
 
     docs = {r["doc_id"]: r for r in corpus(spark, sf).collect()}
-    parts = {d * 10000 + k: (d, words) for d, r in docs.items() for k, (_, _, words) in enumerate(chunks(r["text"]))}
+    parts = {d * Q.CHUNKS_OF_ONE + k: (d, words) for d, r in docs.items() for k, (_, _, words) in enumerate(chunks(r["text"]))}
     terms = {c: re.findall(r"[^\W_]+", search.folded(words)) for c, (_, words) in parts.items()}
     phrases = search.compile_query(Q.HYBRID).phrases
     times = {c: [sum(tuple(t[i : i + len(p)]) == p for i in range(len(t))) for p in phrases] for c, t in terms.items()}
@@ -208,7 +208,7 @@ def test_two_chunks_of_a_document_at_most(spark, sf):
     score = {c: round(sum(w * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * len(terms[c]) / mean)) for w, f in zip(idf, fs, strict=True)), 6) for c, fs in times.items() if any(fs)}
     keyword = {c: k for k, c in enumerate(sorted(score, key=lambda c: (-score[c], c))[:POOL])}
     vectors = {r["vec_id"]: list(r["embedding"]) for r in table(spark, sf, "embeddings").collect()}
-    like = {v * 10000: round(sum(x * y for x, y in zip(e, vectors[Q.QUERY_VECTOR], strict=True)), 6) for v, e in vectors.items() if v * 10000 in parts}
+    like = {v * Q.CHUNKS_OF_ONE: round(sum(x * y for x, y in zip(e, vectors[Q.QUERY_VECTOR], strict=True)), 6) for v, e in vectors.items() if v * Q.CHUNKS_OF_ONE in parts}
     vector = {c: k for k, c in enumerate(sorted(like, key=lambda c: (-like[c], c))[:POOL])}
     fused = {c: (KW_WEIGHT / (RRF_K + 1 + keyword[c]) if c in keyword else 0) + (1 / (RRF_K + 1 + vector[c]) if c in vector else 0) for c in keyword | vector}
     ordered = sorted(fused, key=lambda c: (-fused[c], keyword.get(c, 1e9), vector.get(c, 1e9)))

@@ -24,6 +24,12 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows dealt over the cores where a scan has too few splits to keep them busy; larger scans stay as they are."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(2 * cores) if rows.rdd.getNumPartitions() < 2 * cores else rows
+
+
 CORPUS_SQL = """
 corpus AS (
   SELECT doc_id, CASE WHEN lang = 'en' THEN 'raw' ELSE 'briefs' END AS corpus, source,

@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 from textweir.operators import index
 from textweir.operators import search as S
 from textweir.operators.chunk import chunk_table
-from textweir.plans.corpus import CORPUS_SQL, corpus, table
+from textweir.plans.corpus import CORPUS_SQL, corpus, spread, table
 from textweir.storage import shared_folder
 
 OR_QUERY, AND_QUERY = "trash pathetic idiot worthless", '"of the" "and the"'
 FILTERS = S.Filters(corpora=("raw",), since="2024-02-01", until="2024-10-31", sources=("src1", "src2/*", "src7"))
 HYBRID = 'token trash "is the"'
 QUERY_VECTOR = 0
+#: Numbers of chunks are below this within a document.
+CHUNKS_OF_ONE = 1 << 20
 
 
 def whole_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +50,7 @@ def attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def by_term(spark: SparkSession, sf_dir: str, name: str, chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Postings of some chunks in order of the term, and lengths; a common term's rows are split among ranges."""
-    made = stored(spark, sf_dir, f"{name}-made", lambda: index.postings(chunks))
+    made = stored(spark, sf_dir, f"{name}-made", lambda: index.postings(spread(chunks)))
     posted = stored(spark, sf_dir, f"{name}-postings", lambda: made.repartitionByRange("term", "chunk_id").sortWithinPartitions("term", "chunk_id"))
     empty = chunks.select("chunk_id").join(made.select("chunk_id").distinct(), "chunk_id", "left_anti").select("chunk_id", F.lit(0).alias("terms"))
     sizes = stored(spark, sf_dir, f"{name}-lengths", lambda: made.groupBy("chunk_id").agg(F.sum("tf").cast("int").alias("terms")).unionByName(empty))
@@ -128,14 +130,18 @@ def search_snippet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", S.snippet(F.col("text"), "trash pathetic token").alias("snippet"))
 
 
+def chunked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Chunks without their texts, their postings in order of the term, and lengths."""
+    docs = corpus(spark, sf_dir)
+    chunk_id = F.col("doc_id") * CHUNKS_OF_ONE + F.col("ord")
+    parts = stored(spark, sf_dir, "chunks", lambda: chunk_table(spread(docs)).select(chunk_id.alias("chunk_id"), "doc_id", "text", F.concat_ws("-", "start_line", "end_line").alias("lines")))
+    return parts.drop("text").join(docs.drop("text"), "doc_id"), *by_term(spark, sf_dir, "chunks", parts)
+
+
 def hybrid_search_per_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two chunks of a document at most, over the chunk table; a document's vector belongs to its first chunk."""
-    docs = corpus(spark, sf_dir)
-    chunk_id = F.col("doc_id") * 10000 + F.col("ord")
-    parts = stored(spark, sf_dir, "chunks", lambda: chunk_table(docs).select(chunk_id.alias("chunk_id"), "doc_id", "text", F.concat_ws("-", "start_line", "end_line").alias("lines")))
-    posted, sizes = by_term(spark, sf_dir, "chunks", parts)
-    plain = parts.drop("text").join(docs.drop("text"), "doc_id")
-    vecs = table(spark, sf_dir, "embeddings").select((F.col("vec_id") * 10000).alias("chunk_id"), "embedding").join(plain, "chunk_id")
+    plain, posted, sizes = chunked(spark, sf_dir)
+    vecs = table(spark, sf_dir, "embeddings").select((F.col("vec_id") * CHUNKS_OF_ONE).alias("chunk_id"), "embedding").join(plain, "chunk_id")
     fused = S.fuse(index.keyword_rank(plain, posted, sizes, S.compile_query(HYBRID)), S.vector_rank(vecs, query_vector(spark, sf_dir)))
     return S.assemble(fused, per_doc=2)
 
