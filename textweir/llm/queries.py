@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textweir.llm import retrieval
+from textweir.llm import resampling, retrieval
 from textweir.llm.common import table
 from textweir.llm.decontaminate import leaks
 from textweir.llm.html_extract import main_text
@@ -62,6 +62,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, train(docs))
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_personal_data": op2_personal_data,
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_topk_search": op9_topk_search,
     "op10_language_id": op10_language_id,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 #: The pages of these tables are an article between a menu and a footer each, so plain SQL can tell what the text is.
@@ -95,4 +100,4 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n,
 FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_html_extraction": HTML_SQL, "op7_recompression_dedup": REPEATS_SQL, "op9_topk_search": retrieval.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_html_extraction": HTML_SQL, "op7_recompression_dedup": REPEATS_SQL, "op9_topk_search": retrieval.ORACLE_SQL, "op13_importance_resampling": resampling.ORACLE_SQL}
