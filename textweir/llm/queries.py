@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textweir.llm import phrases, resampling, retrieval
+from textweir.llm import phrases, resampling, retrieval, setjoin
 from textweir.llm.common import table
 from textweir.llm.decontaminate import leaks
 from textweir.llm.html_extract import main_text
@@ -66,6 +66,10 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setjoin.similar(table(spark, sf_dir, "documents"))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -82,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_topk_search": op9_topk_search,
     "op10_language_id": op10_language_id,
     "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_ngram_jaccard_join": op12_ngram_jaccard_join,
     "op13_importance_resampling": op13_importance_resampling,
 }
 
@@ -105,4 +110,11 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n,
 FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_html_extraction": HTML_SQL, "op7_recompression_dedup": REPEATS_SQL, "op9_topk_search": retrieval.ORACLE_SQL, "op11_phrase_collocations": phrases.ORACLE_SQL, "op13_importance_resampling": resampling.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_html_extraction": HTML_SQL,
+    "op7_recompression_dedup": REPEATS_SQL,
+    "op9_topk_search": retrieval.ORACLE_SQL,
+    "op11_phrase_collocations": phrases.ORACLE_SQL,
+    "op12_ngram_jaccard_join": setjoin.ORACLE_SQL,
+    "op13_importance_resampling": resampling.ORACLE_SQL,
+}
