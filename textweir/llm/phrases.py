@@ -37,7 +37,7 @@ TOP = 2000
 SCALE = 2_000_000
 NO_LANG = "und"
 #: Bytes of text in a shard's trie and of a text that is split at once; leaves of a block and of a merge.
-SHARD_BYTES, TEXT_BYTES, BLOCK_LEAVES, MERGE_LEAVES = 8 << 20, 1 << 22, 1 << 15, 1 << 20
+SHARD_BYTES, TEXT_BYTES, BLOCK_LEAVES, MERGE_LEAVES = 4 << 20, 1 << 21, 1 << 15, 1 << 19
 #: Bytes of text for each range of paths, ranges at most, and picked paths for each range.
 RANGE_BYTES, MOST_RANGES, PICKS = 16 << 20, 1 << 16, 64
 
@@ -86,7 +86,7 @@ class Shard:
         ids, text = ids[0], np.repeat(np.arange(len(sizes)), sizes)
         if len(words) and words[0].as_py() == b"":  # what blanks at a text's ends leave
             ids, text, words = ids[ids > 0] - 1, text[ids > 0], words.slice(1)
-        ids = ids + 1
+        ids = ids + np.int32(1)
         if len(words) and words[-1].as_py() == _END:
             ids[ids == len(words)] = 0
             words = words.slice(0, len(words) - 1)
@@ -96,7 +96,7 @@ class Shard:
         ends = np.cumsum(np.bincount(text, minlength=len(sizes)))
         for i in np.flatnonzero(~np.array(self.ended)):
             starts[max(ends[i] - DEPTH + 1, ends[i - 1] if i else 0) : ends[i]] = False
-        lang = np.array([place[x] for x in self.langs], np.int64)[text] if len(text) else np.zeros(0, np.int64)
+        lang = np.array([place[x] for x in self.langs], np.int32)[text] if len(text) else np.zeros(0, np.int32)
         at = np.flatnonzero(starts & (ids > 0))
         ids, text = np.r_[ids, np.zeros(DEPTH, ids.dtype)], np.r_[text, np.full(DEPTH, -1)]
         columns = [lang[at], ids[at]]
@@ -109,8 +109,8 @@ def _ranked(parts: list[pa.Array]) -> tuple[pa.Array, list[np.ndarray]]:
     """The sorted distinct values of some arrays, and the places of each array's values among them."""
     coded = pa.chunked_array(parts, pa.binary()).combine_chunks().dictionary_encode()
     order = pa.compute.sort_indices(coded.dictionary).to_numpy()
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
     return coded.dictionary.take(pa.array(order)), np.split(rank[coded.indices.to_numpy()], np.cumsum([len(x) for x in parts])[:-1])
 
 
@@ -122,9 +122,10 @@ def _summed(columns: np.ndarray, counts: np.ndarray, words: int, langs: int) ->
     place, word = int(n).bit_length(), int(max(words, langs)).bit_length()
     if 2 * place + word <= 63 and 2 * word + place <= 63:
         # Sorting numbers that hold parent, word and row is faster than sorting rows by several keys.
-        parent, spots = columns[0], np.arange(n)
+        parent, spots = columns[0].astype(np.int64), np.arange(n)
         for column in columns[1:]:
-            key = np.sort((parent << (word + place)) | (column << place) | spots)
+            key = (parent << (word + place)) | (column.astype(np.int64) << place) | spots
+            key.sort()
             order, key = key & ((1 << place) - 1), key >> place
             new = np.r_[True, key[1:] != key[:-1]]
             parent = np.empty(n, np.int64)
@@ -290,8 +291,10 @@ class Merge:
         words, places = _ranked([block[1] for block in self.held])
         rows = []
         for (own_langs, _, block, _), own in zip(self.held, places, strict=True):
-            rows.append(np.concatenate([np.array([place[x] for x in own_langs], np.int64)[block[:1]], np.r_[0, own + 1][block[1:]]]))
-        return langs, words, *_summed(np.concatenate(rows, axis=1), np.concatenate([b[3] for b in self.held]), len(words) + 1, len(langs))
+            rows.append(np.concatenate([np.array([place[x] for x in own_langs], np.int32)[block[:1]], np.r_[np.int32(0), own + np.int32(1)][block[1:]]]))
+        counts = np.concatenate([b[3] for b in self.held])
+        self.held = []
+        return langs, words, *_summed(np.concatenate(rows, axis=1), counts, len(words) + 1, len(langs))
 
     def settle(self, high: Path | None, last: bool) -> Iterator[pa.RecordBatch]:
         """Give the nodes of all leaves below `high` (all there are if it is the last time); the others stay."""
@@ -314,7 +317,7 @@ class Merge:
             new[1:] |= rows[k, 1:] != rows[k, :-1]
             first = np.flatnonzero(new)
             totals.append(np.add.reduceat(counts, first))
-            runs.append((np.cumsum(new) - 1, first))
+            runs.append((np.cumsum(new, dtype=np.int32) - 1, first))
         # Of each level, only the first and the last run can go on beyond the bounds.
         open_ = [{int(run) for run in (0, len(totals[k]) - 1) if self._cut(_path(langs, words, rows[:, runs[k][1][run]]), k, high)} for k in range(DEPTH + 1)]
         for k in range(DEPTH + 1):
@@ -429,7 +432,7 @@ def collocations(docs: DataFrame, least: int = LEAST, within: int = WITHIN, top:
     words and has `within` hundredths of its occurrences. Order: score and a
     descending, then the phrase by its bytes. Null texts count as empty, a null
     lang as `und`; repeated rows count each; texts of any length are read whole,
-    4 MB at once; no documents or no candidates give no rows. Columns other
+    2 MB at once; no documents or no candidates give no rows. Columns other
     than text and lang are not read. Bytes that are no UTF-8 are shown replaced.
     """
     scratch = Scratch(docs.sparkSession, "phrases")
