@@ -214,8 +214,9 @@ class Join:
         self.near, self.rule, self.scratch, self.worth = near, rule, scratch, worth
         # How many leading shingles a linked set shares one of.
         lead = F.expr(f"size(hs) - {rule.need} + 1")
-        self.prefix = scratch.keep(near.select("node", "n", lead.alias("lead"), F.posexplode(F.slice("hs", F.lit(1), lead + SPLITS)).alias("pos", "h"), "times"), "prefix")
-        self.prefix = self.prefix.withColumn("times", F.expr("times[pos]"))
+        first = [F.slice(c, F.lit(1), lead + SPLITS).alias(c) for c in ("hs", "times")]
+        spots = near.select("node", "n", lead.alias("lead"), F.posexplode(F.arrays_zip(*first)).alias("pos", "at"))
+        self.prefix = scratch.keep(spots.select("node", "n", "lead", "pos", F.col("at.hs").alias("h"), F.col("at.times").alias("times")), "prefix")
         self.large = self.boundary(min(most_small, MOST_SMALL))
 
     def boundary(self, most: int) -> int:
