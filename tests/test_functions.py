@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from textweir.functions import dates, media, text, urls
-from textweir.operators import search
+from textweir.operators import search, segments
 from textweir.operators.chunk import chunks
 
 
@@ -115,15 +115,18 @@ def test_chunks_cover(body, digest):
     assert (made == []) == (not body.split())
 
 
-def test_bm25_is_fts5(spark):
+def test_bm25_is_fts5(spark, tmp_path):
     docs = ["the cat sat on the mat", "the dog ate the cat food", "a cat and a dog and a cat", "nothing here", "mat " * 7]
     db = sqlite3.connect(":memory:")
     db.execute("CREATE VIRTUAL TABLE t USING fts5(x)")
     db.executemany("INSERT INTO t(rowid, x) VALUES (?, ?)", enumerate(docs))
     query = 'cat mat "the dog"'
     want = dict(db.execute("SELECT rowid, bm25(t) FROM t WHERE t MATCH ?", ('"the dog" OR "cat" OR "mat"',)))
-    df = spark.createDataFrame(list(enumerate(docs)), "chunk_id long, text string")
-    got = {r["chunk_id"]: r["bm25"] for r in search.keyword_scores(df, search.compile_query(query)).collect()}
+    chunks = spark.createDataFrame([(i, i, 0, 1, 1, t) for i, t in enumerate(docs)], "chunk_id long, doc_id long, ord int, start_line int, end_line int, text string")
+    attrs = chunks.selectExpr("chunk_id", "doc_id", "text as path", "'raw' as corpus", "'s' as source", "'' as date", "'1-1' as lines")
+    empty = segments.Index(spark, str(tmp_path), 0, ())
+    index = segments.publish(empty, [segments.written(empty, "a", 0, {"chunks": chunks, "attributes": attrs})])
+    got = {r["chunk_id"]: r["bm25"] for r in segments.keyword_rank(index, search.compile_query(query)).collect()}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from textweir.__main__ import main
 from textweir.functions import text
 from textweir.operators import mirror, polls
+from textweir.storage import Busy
 
 FEED = "<rss><channel>{}</channel></rss>"
 ITEM = "<item><title>{0}</title><link>https://x/a/{0}</link><pubDate>Wed, 0{1} May 2024 10:00:00 +0000</pubDate></item>"
@@ -47,6 +48,20 @@ def test_poll(spark, tmp_path):
     assert known["processed"].count() == 3 and known["failed"].count() == 0
 
 
+def test_one_date_and_slug(spark, tmp_path):
+    """Two articles of one day and title are two files, and a poll leaves its ledgers to no other that runs beside it."""
+    items = "".join(ITEM.format("same", 1).replace("/a/same", f"/{k}/same") for k in "xy")
+    bodies = spark.createDataFrame([("f", FEED.format(items))], "feed string, xml string")
+
+    def again(pages):
+        with pytest.raises(Busy):
+            polls.poll(spark, polls.Source("two"), bodies, str, read, str(tmp_path / "news"), str(tmp_path / "ledgers"), "2024-06-01")
+        return read(pages)
+
+    assert polls.poll(spark, polls.Source("two"), bodies, lambda url: f"<p>{url}", again, str(tmp_path / "news"), str(tmp_path / "ledgers"), "2024-06-01") == {"tried": 2, "written": 2}
+    assert {p.name: p.read_text().strip()[-6:] for p in (tmp_path / "news" / "two").iterdir()} == {"2024-05-01 - same.md": "x/same", "2024-05-01 - same-2.md": "y/same"}
+
+
 @pytest.mark.parametrize(
     ("kind", "page", "listed_day", "want"),
     [
@@ -81,9 +96,13 @@ def test_command_line(spark, tmp_path, capsys):
         (root / "news" / name).mkdir(parents=True)
         (root / "news" / name / f"2024-05-0{1 + len(name)} - {name}.md").write_text(f'---\ntitle: "{name}"\n---\n{body}\n')
     assert main(["index", str(root), at], spark) == 0
-    assert main(["search", at, '"red hen"', "--json"], spark) == 0
+    assert main(["search", at, '"red hen"', "--json", "--mode", "keyword"], spark) == 0
     found = json.loads(capsys.readouterr().out.splitlines()[-1])
-    assert found["path"].endswith("a.md") and found["text"] == "red fox and red hen" and found["via"] == "keyword"
+    assert found["path"] == "news/a/2024-05-02 - a.md" and found["text"] == "red fox and red hen" and found["via"] == "keyword" and found["lines"] == "4-4"
+    for mode, via in (("vector", "vector"), ("hybrid", "keyword+vector")):
+        assert main(["search", at, "red fox and red hen", "--json", "--mode", mode, "-k", "1", "--source", "news/a/*"], spark) == 0
+        found = json.loads(capsys.readouterr().out.splitlines()[-1])
+        assert found["path"].startswith("news/a/") and found["via"] == via
     first = {r["path"]: r["doc_id"] for r in _docs(spark, at)}
     (root / "news" / "b" / "2024-05-02 - b.md").unlink()
     (root / "news" / "a" / "new.md").write_text("green fox")
@@ -91,7 +110,7 @@ def test_command_line(spark, tmp_path, capsys):
     after = {r["path"]: r["doc_id"] for r in _docs(spark, at)}
     assert len(after) == 2 and [first[p] for p in after if p in first] == [after[p] for p in after if p in first]
     assert max(after.values()) > max(first.values())
-    assert main(["search", at, "fox", "--sort", "date"], spark) == 0
+    assert main(["search", at, "fox", "--sort", "date", "--mode", "keyword"], spark) == 0
     assert "green fox" in (out := capsys.readouterr().out) and "blue fox" not in out
     assert main(["mirror", str(root), str(tmp_path / "copy")], spark) == 0
     assert main(["mirror", str(root), str(tmp_path / "copy")], spark) == 0
@@ -99,13 +118,14 @@ def test_command_line(spark, tmp_path, capsys):
 
 
 def _docs(spark, at):
-    from textweir.operators import index
+    from textweir.operators import segments
 
-    return index.current(spark, at)["docs"].select("path", "doc_id").collect()
+    return segments.opened(spark, at).docs().select("path", "doc_id").collect()
 
 
 def test_modes_need_vectors(spark):
-    from textweir.operators import index
+    from textweir.operators import segments
 
-    with pytest.raises(ValueError):
-        index.search_index({}, "x", mode="hybrid")
+    for vector in (None, [1.0]):
+        with pytest.raises(ValueError):
+            segments.search(segments.Index(spark, "none", 0, ()), "x", vector=vector)

@@ -12,13 +12,29 @@ def rows(df, *order):
 
 
 def test_corpus_files(spark, tmp_path):
-    for path, text in (("news/site/2024-05-01 - a.md", '---\ntitle: "A"\nurl: https://x/a\n---\nbody\nmore'), ("transcripts/show/b.md", "plain"), ("briefs/c.md", "---\npublished: 2024-06-07T10:00\n---\nx")):
+    texts = {
+        "news/site/2024-05-01 - a.md": '---\ntitle: "A"\nurl: https://x/a\n---\nbody\nmore',
+        "transcripts/show/b.md": "plain",
+        "reports/the-brief-2024-06-07.md": "---\npublished: 2024-01-01\n---\nx",
+        "old-brief-2023-01-02.md": "y",
+        "reports/story-log.yaml": "- z",
+        "news/site/c.md": '---\ntitle: C\npublished: ""\ndate: 2024-02-03T10:00\nlink: https://x/c\n---\n',
+    }
+    for path, text in texts.items():
         file = tmp_path / path
         file.parent.mkdir(parents=True, exist_ok=True)
         file.write_text(text)
     found = files.parsed(files.corpus_files(spark, str(tmp_path)))
-    got = rows(found.select("corpus", "source", "title", "url", "date", "first_line", "body"), "corpus", "source")
-    assert got == [("briefs", "briefs", "", "", "2024-06-07", 4, "x"), ("raw", "show", "", "", "", 1, "plain"), ("raw", "site", "A", "https://x/a", "2024-05-01", 5, "body\nmore")]
+    got = rows(found.select("path", "corpus", "source", "title", "url", "date", "first_line", "body"), "path")
+    assert got == [
+        ("news/site/2024-05-01 - a.md", "raw", "site", "A", "https://x/a", "2024-05-01", 5, "body\nmore"),
+        ("news/site/c.md", "raw", "site", "C", "https://x/c", "2024-02-03", 7, ""),
+        ("old-brief-2023-01-02.md", "briefs", "old-brief", "old-brief-2023-01-02", "", "2023-01-02", 1, "y"),
+        ("reports/story-log.yaml", "briefs", "story-log", "story-log", "", "", 1, "- z"),
+        ("reports/the-brief-2024-06-07.md", "briefs", "the-brief", "the-brief-2024-06-07", "", "2024-06-07", 4, "x"),
+        ("transcripts/show/b.md", "raw", "show", "b", "", "", 1, "plain"),
+    ]
+    assert {r["chunker"] for r in found.collect()} == {"std"} and files.parsed(files.corpus_files(spark, str(tmp_path)), ("site",)).where("chunker = 'digest'").count() == 2
     with pytest.raises(FileNotFoundError):
         files.corpus_files(spark, str(tmp_path / "none"))
 
@@ -44,8 +60,6 @@ def test_config(tmp_path):
     settings = files.config(str(path))
     assert files.feed_config(settings, "a") == {"limit": 2, "order": "newest"} and files.feed_config(settings, "b")["limit"] == 5
     assert files.config(str(tmp_path / "none.toml")) == {}
-    with files.single_writer(str(tmp_path / "lock")):
-        pass
 
 
 def test_audit_and_signals(spark, tmp_path):
@@ -117,22 +131,6 @@ def test_topics_file(tmp_path):
         files.topics([])
 
 
-def test_index_snapshots(spark, tmp_path):
-    from textweir.operators import index
-    from textweir.operators.search import compile_query
-
-    docs = spark.createDataFrame([(1, "n/a", "raw", "n", "", "", "", 3, 1.0, "std", "red fox and red hen"), (2, "n/b", "raw", "n", "", "", "", 4, 1.0, "std", "blue fox")], index.DOCS + ", text string")
-    made = index.apply_sync(index.empty(spark), docs)
-    index.publish(spark, str(tmp_path), "v1", made)
-    now = index.current(spark, str(tmp_path))
-    assert now["docs"].count() == now["chunks"].count() == 2
-    found = index.keyword_scores(now["postings"], now["lengths"], compile_query('"red hen"')).collect()
-    assert [r["chunk_id"] >> 20 for r in found] == [1]
-    index.publish(spark, str(tmp_path), "v2", index.apply_sync(now, docs.where("doc_id = 2")))
-    now = index.current(spark, str(tmp_path))
-    assert now["docs"].count() == now["chunks"].count() == now["lengths"].count() == 1 and now["postings"].count() == 2
-
-
 def test_speech_providers(spark):
     from textweir.sources import providers
 

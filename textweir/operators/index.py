@@ -1,23 +1,17 @@
-"""The corpus index as tables: snapshots, postings, vectors.
-
-A snapshot is a folder of Parquet tables (docs, chunks, vectors, postings).
-Applying a change set writes a new snapshot; readers follow a pointer file
-that is replaced last, so they see the old index or the new one.
-"""
+"""Syncs of an index as tables (docs, chunks, vectors, postings), its numbers and exports; `segments` stores and searches it."""
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textweir.operators.chunk import chunk_table
 from textweir.operators.ledger import snapshot_diff
-from textweir.operators.search import K1, LEAST_IDF, POOL, B, Filters, Query, ranked, tokens
+from textweir.operators.search import tokens
 
 DOCS = "doc_id bigint, path string, corpus string, source string, date string, title string, url string, size bigint, mtime double, chunker string"
 CHUNKS = "chunk_id bigint, doc_id bigint, ord int, start_line int, end_line int, text string"
@@ -93,70 +87,6 @@ def lengths(chunks: DataFrame) -> DataFrame:
     return chunks.select("chunk_id", F.size(tokens(F.col("text"))).alias("terms"))
 
 
-def _earlier(k: int) -> Callable[[Column], Column]:
-    return lambda at: at - k
-
-
-def keyword_scores(posted: DataFrame, sizes: DataFrame, query: Query) -> DataFrame:
-    """(chunk_id, bm25) of the chunks that match, lower is better: only the query's terms are read from the postings.
-
-    A phrase is found by its terms' places, and counts as one term.
-    """
-    wanted = sorted({t for p in query.phrases for t in p})
-    held = posted.where(F.col("term").isin(*wanted))
-    of_chunk = held.groupBy("chunk_id").agg(F.map_from_entries(F.collect_list(F.struct("term", "at"))).alias("places"))
-
-    def times(phrase: tuple[str, ...]):
-        found = F.coalesce(F.try_element_at("places", F.lit(phrase[0])), F.array().cast("array<int>"))
-        for k, term in enumerate(phrase[1:], 1):
-            there = F.coalesce(F.try_element_at("places", F.lit(term)), F.array().cast("array<int>"))
-            found = F.array_intersect(found, F.transform(there, _earlier(k)))
-        return F.size(found)
-
-    counted = of_chunk.select("chunk_id", F.array(*(times(p) for p in query.phrases)).alias("tf"))
-    stats = counted.agg(*(F.count_if(F.get("tf", i) > 0).alias(f"df{i}") for i in range(len(query.phrases))))
-    whole = sizes.agg(F.count(F.lit(1)).alias("n"), F.avg("terms").alias("mean"))
-    score = F.lit(0.0)
-    for i in range(len(query.phrases)):
-        tf, df = F.get("tf", i), F.col(f"df{i}")
-        idf = F.greatest(F.log((F.col("n") - df + 0.5) / (df + 0.5)), F.lit(LEAST_IDF))
-        score += idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("terms") / F.col("mean")))
-    matched = F.forall("tf", lambda f: f > 0) if query.how == "and" else F.exists("tf", lambda f: f > 0)
-    # The statistics are one row each.
-    return counted.where(matched).join(sizes, "chunk_id").crossJoin(F.broadcast(stats)).crossJoin(F.broadcast(whole)).select("chunk_id", F.round(-score, 6).alias("bm25"))
-
-
-def keyword_rank(chunks: DataFrame, posted: DataFrame, sizes: DataFrame, query: Query, filters: Filters = Filters(), pool: int = POOL) -> DataFrame:
-    """The best chunks (without texts) for a query by their postings; filters come after scoring and before the pool is cut."""
-    scored = keyword_scores(posted, sizes, query).join(chunks, "chunk_id").where(filters.condition())
-    return ranked(scored, "kw_rank", pool, F.col("bm25"), F.col("chunk_id"))
-
-
-def publish(spark: SparkSession, root: str, version: str, tables: dict[str, DataFrame], meta: dict | None = None) -> str:
-    """Write a snapshot and point readers to it; the folder it is in."""
-    at = f"{root.rstrip('/')}/{version}"
-    for name, table in tables.items():
-        table.write.mode("overwrite").option("compression", "zstd").parquet(f"{at}/{name}")
-    told = json.dumps({"version": version, **(meta or {})})
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/CURRENT")
-    out = path.getFileSystem(conf).create(jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/CURRENT.new"), True)
-    out.write(bytearray(told.encode()))
-    out.close()
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(path.toUri(), conf)
-    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    context.rename(jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/CURRENT.new"), path, options)
-    return at
-
-
-def current(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The tables of the snapshot that is pointed to."""
-    told = json.loads("".join(r["value"] for r in spark.read.text(f"{root.rstrip('/')}/CURRENT").collect()))
-    at = f"{root.rstrip('/')}/{told['version']}"
-    return {name: spark.read.parquet(f"{at}/{name}") for name in ("docs", "chunks", "vectors", "postings", "lengths")}
-
-
 def vector_export(vectors: DataFrame) -> DataFrame:
     """Vectors numbered in order of their chunk, as an export lays them out: (row, chunk_id, embedding).
 
@@ -187,36 +117,3 @@ def numbered(files: DataFrame, known: DataFrame) -> DataFrame:
     most = known.agg(F.coalesce(F.max("doc_id"), F.lit(0).cast("bigint")).alias("most"))
     given = new.withColumn("nth", nth).join(before, "part").crossJoin(F.broadcast(most)).select("path", (F.col("most") + F.col("before") + F.col("nth")).alias("_id"))
     return held.join(given, "path", "left").withColumn("doc_id", F.coalesce("doc_id", "_id")).drop("_id")
-
-
-def refresh(spark: SparkSession, files: DataFrame, root: str, version: str) -> str:
-    """Bring the index below `root` up to date with files as `sources.files.parsed` gives them, and publish it as `version`.
-
-    Only new and changed files are chunked; where there is no index yet, all are new.
-    """
-    from textweir.sources.files import exists
-
-    tables = current(spark, root) if exists(spark, f"{root.rstrip('/')}/CURRENT") else empty(spark)
-    now = numbered(files, tables["docs"]).select(
-        "doc_id", "path", "corpus", "source", "date", "title", "url", F.col("size").cast("bigint").alias("size"),
-        F.unix_micros(F.col("mtime").cast("timestamp")).cast("double").alias("mtime"), F.lit("std").alias("chunker"), F.col("body").alias("text"),
-    )
-    made = apply_sync(tables, now.withColumn("mtime", F.col("mtime") / 1e6))
-    made["postings"] = made["postings"].repartitionByRange("term", "chunk_id").sortWithinPartitions("term", "chunk_id")
-    return publish(spark, root, version, made)
-
-
-def search_index(tables: dict[str, DataFrame], query: str, filters: Filters = Filters(), k: int = 10, per_doc: int = 1, by_date: bool = False, vector: list[float] | None = None, mode: str = "hybrid") -> DataFrame:
-    """The returned rows of a snapshot with their texts, which are read last; `vector` is the query's, for the modes that need one."""
-    from textweir.operators import search
-
-    if mode not in ("hybrid", "keyword", "vector"):
-        raise ValueError(f"unknown mode: {mode}")
-    if mode != "keyword" and vector is None:
-        raise ValueError(f"mode {mode} needs the query's vector")
-    chunks = tables["chunks"].select("chunk_id", "doc_id", F.concat_ws("-", "start_line", "end_line").alias("lines"))
-    plain = chunks.join(tables["docs"].select("doc_id", "path", "corpus", "source", "date"), "doc_id")
-    words = keyword_rank(plain, tables["postings"], tables["lengths"], search.compile_query(query), filters) if mode != "vector" else None
-    near = search.vector_rank(tables["vectors"].join(plain, "chunk_id"), vector, filters) if mode != "keyword" else None
-    found = search.assemble(search.fuse(words, near), k, per_doc, search.KW_PIN if mode == "hybrid" else 0, by_date)
-    return search.hydrate(found, tables["chunks"])

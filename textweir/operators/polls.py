@@ -6,17 +6,18 @@ The ledgers of a source are `processed` (url), `failed` (url) and `attempts`
 
 from __future__ import annotations
 
-import json
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from textweir.functions import dates, text, urls
 from textweir.operators import ledger, mirror, runs
 from textweir.sources import listings, providers
-from textweir.sources.files import exists
+from textweir.storage import Busy, Lease, create_once, listed, read_text
 
 LEDGERS = {"processed": "url string", "failed": "url string", "attempts": "url string, attempts int"}
 
@@ -66,6 +67,10 @@ def articles(source: Source, fetched: DataFrame, root: str, today: Column) -> Da
     told = told.withColumn("published", F.coalesce(article_date(source, F.col("page_date"), F.col("date"), F.col("url"), today), F.lit("")))
     slug = urls.slug(F.col("url"), F.col("title"))
     path = text.article_path(root, F.lit(source.name), F.coalesce(F.nullif("published", F.lit("")), F.lit("0000-00-00")), slug)
+    # Articles of one date and slug get numbers, in order of their URLs.
+    told = told.withColumn("path", path)
+    nth = F.row_number().over(Window.partitionBy("path").orderBy("url"))
+    path = F.when(nth > 1, F.concat(F.regexp_replace("path", r"\.md$", ""), F.lit("-"), nth.cast("string"), F.lit(".md"))).otherwise(F.col("path"))
     tags = F.array(*map(F.lit, source.tags)).cast("array<string>")
     title = F.coalesce(F.nullif("title", F.lit("")), slug)
     return told.select("url", path.alias("path"), text.markdown_article(title, F.col("url"), F.lit(source.name), F.col("published"), tags, F.col("body")).alias("content"), "published")
@@ -90,11 +95,21 @@ def after(outcomes: DataFrame, ledgers: dict[str, DataFrame], most: int = ledger
 
 def read_ledgers(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The newest ledgers of a source; empty ones before its first poll."""
-    pointer = f"{folder}/CURRENT"
-    if not exists(spark, pointer):
+    last = max(listed(spark, f"{folder}/published"), default=None)
+    if last is None:
         return {name: spark.createDataFrame([], schema) for name, schema in LEDGERS.items()}
-    version = json.loads(spark.read.text(pointer).first()["value"])["version"]
-    return {name: spark.read.schema(schema).parquet(f"{folder}/{version}/{name}") for name, schema in LEDGERS.items()}
+    at = f"{folder}/{read_text(spark, f'{folder}/published/{last}')}"
+    return {name: spark.read.schema(schema).parquet(f"{at}/{name}") for name, schema in LEDGERS.items()}
+
+
+def save_ledgers(spark: SparkSession, folder: str, ledgers: dict[str, DataFrame], lease: Lease) -> None:
+    """Write a source's ledgers and publish them, which only the holder of its lease can."""
+    name = f"ledgers-{uuid.uuid4().hex[:12]}"
+    for table, rows in ledgers.items():
+        rows.write.parquet(f"{folder}/{name}/{table}")
+    lease.check()
+    if not create_once(spark, f"{folder}/published/{lease.number:012d}", name):
+        raise Busy(f"{folder} was polled meanwhile")
 
 
 def poll(spark: SparkSession, source: Source, bodies: DataFrame, fetch: Callable[[str], str | None], read: Callable[[DataFrame], DataFrame], root: str, ledgers: str, today: str, retry_failed: bool = False) -> dict[str, int]:
@@ -103,11 +118,15 @@ def poll(spark: SparkSession, source: Source, bodies: DataFrame, fetch: Callable
     `bodies` are what discovery reads, `fetch` gives a page's HTML, and `read`
     adds `body` and `page_date` to rows (url, date, title, html). Pages are
     fetched once: they are written below the ledgers before anything reads them.
-    An article that can't be written counts as a failure of its item.
+    An article that can't be written counts as a failure of its item. A source
+    is polled by one at a time; a second poll fails as long as the first lasts.
     """
-    from textweir.operators.index import publish
-
     folder = f"{ledgers.rstrip('/')}/{source.name}"
+    with Lease(spark, f"{folder}/lease") as lease:
+        return _poll(spark, source, bodies, fetch, read, root, folder, today, retry_failed, lease)
+
+
+def _poll(spark: SparkSession, source: Source, bodies: DataFrame, fetch: Callable[[str], str | None], read: Callable[[DataFrame], DataFrame], root: str, folder: str, today: str, retry_failed: bool, lease: Lease) -> dict[str, int]:
     known = read_ledgers(spark, folder)
     if retry_failed:
         known["failed"], known["attempts"], _ = runs.reset_failures(known["failed"], known["attempts"])
@@ -121,9 +140,6 @@ def poll(spark: SparkSession, source: Source, bodies: DataFrame, fetch: Callable
     done = made.select("url", "path").join(spark.read.parquet(told).where("error is null").select("path").distinct(), "path", "left_semi").select("url").distinct()
     outcomes = got.select("url").join(done.withColumn("_ok", F.lit(True)), "url", "left").select("url", F.coalesce("_ok", F.lit(False)).alias("ok"))
     new = after(outcomes, known, source.max_failures)
-    number = 0
-    while exists(spark, f"{folder}/v{number}"):
-        number += 1
-    publish(spark, folder, f"v{number}", new)
+    save_ledgers(spark, folder, new, lease)
     counted = outcomes.agg(F.count(F.lit(1)).alias("tried"), F.count_if("ok").alias("written")).first()
     return {"tried": counted["tried"], "written": counted["written"]}

@@ -1,4 +1,4 @@
-"""Keyword, vector and hybrid search over chunks.
+"""Queries, filters, fusion of ranked lists and what is returned; `segments` ranks.
 
 Keyword scores are BM25 with statistics of the whole, unfiltered index.
 Phrases count as one term. Filters apply after scoring and before the pool is
@@ -19,6 +19,9 @@ from pyspark.sql.window import Window
 POOL, RRF_K, KW_WEIGHT, KW_PIN = 200, 60, 0.5, 3
 K1, B, LEAST_IDF = 1.2, 0.75, 1e-6
 
+# Quoted spans, words of a query, and the terms in them.
+QUOTED, WORD, TERM = r'"([^"]+)"', r"[\w.$%-]+", r"[^\W_]+"
+
 
 @dataclass(frozen=True)
 class Query:
@@ -30,10 +33,10 @@ class Query:
 
 def compile_query(text: str) -> Query:
     """Quoted spans stay phrases; other words of two or more characters are OR-ed with them."""
-    quoted = re.findall(r'"([^"]+)"', text)
-    words = [w for w in re.findall(r"[\w.$%-]+", re.sub(r'"[^"]+"', " ", text)) if len(w) > 1]
+    quoted = re.findall(QUOTED, text)
+    words = [w for w in re.findall(WORD, re.sub(QUOTED, " ", text)) if len(w) > 1]
     terms = [w.strip(".-") for w in words]
-    split = [tuple(re.findall(r"[^\W_]+", folded(part))) for part in [*quoted, *(t for t in terms if t)]]
+    split = [tuple(re.findall(TERM, folded(part))) for part in [*quoted, *(t for t in terms if t)]]
     return Query(tuple(dict.fromkeys(p for p in split if p)), "and" if quoted and not words else "or")
 
 
@@ -62,20 +65,6 @@ def tokens(text: Column) -> Column:
     return F.when(text.rlike(r"[^\x00-\x7f]"), bare).otherwise(words)
 
 
-def term_line(text: Column) -> Column:
-    """The terms of a text, each between blanks; one string is cheap to count in, where an array would need a lambda."""
-    return F.concat(F.lit(" "), F.array_join(tokens(text), " "), F.lit(" "))
-
-
-def term_total(line: Column) -> Column:
-    return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) - 1 - (line == "  ").cast("int")
-
-
-def phrase_count(line: Column, phrase: tuple[str, ...]) -> Column:
-    """How often a phrase occurs in a line of terms; occurrences may overlap."""
-    return F.regexp_count(line, F.lit(f"(?= {' '.join(phrase)} )"))
-
-
 @dataclass(frozen=True)
 class Filters:
     """What may be returned; dates are compared as text, so undated rows pass an `until` alone unless `strict_dates`."""
@@ -110,45 +99,12 @@ def glob_pattern(glob: str) -> str:
     return f"^(?s:{body.replace(re.escape(chr(0)), '[^').replace(chr(0), '[^')})$"
 
 
-def keyword_scores(chunks: DataFrame, query: Query) -> DataFrame:
-    """All chunks that match, with `bm25` (lower is better)."""
-    words = chunks.withColumn("_words", term_line(F.col("text"))).drop("text")
-    counts = [phrase_count(F.col("_words"), p) for p in query.phrases]
-    counted = words.select(*(c for c in words.columns if c != "_words"), term_total(F.col("_words")).alias("_len"), F.array(*counts).alias("_tf"))
-    stats = counted.agg(
-        F.count(F.lit(1)).alias("_n"), F.avg("_len").alias("_avg"), *(F.sum((F.get("_tf", i) > 0).cast("int")).alias(f"_df{i}") for i in range(len(counts)))
-    )
-    terms = []
-    for i in range(len(counts)):
-        f, df = F.get("_tf", i), F.col(f"_df{i}")
-        idf = F.greatest(F.log((F.col("_n") - df + 0.5) / (df + 0.5)), F.lit(LEAST_IDF))
-        terms.append(idf * f * (K1 + 1) / (f + K1 * (1 - B + B * F.col("_len") / F.col("_avg"))))
-    total = sum(terms[1:], terms[0])
-    matched = F.forall("_tf", lambda f: f > 0) if query.how == "and" else F.exists("_tf", lambda f: f > 0)
-    # The statistics are one row.
-    return counted.where(matched).crossJoin(F.broadcast(stats)).withColumn("bm25", F.round(-total, 6)).drop("_len", "_tf", "_n", "_avg", *(f"_df{i}" for i in range(len(counts))))
-
-
 def ranked(df: DataFrame, name: str, pool: int, *order: Column) -> DataFrame:
     """The best `pool` rows with their rank from 0."""
     best = df.orderBy(*order).limit(pool)
     return best.withColumn(name, F.row_number().over(Window.orderBy(*order)) - 1)
 
 
-def keyword_rank(chunks: DataFrame, query: Query, filters: Filters = Filters(), pool: int = POOL) -> DataFrame:
-    return ranked(keyword_scores(chunks, query).where(filters.condition()), "kw_rank", pool, F.col("bm25"), F.col("chunk_id"))
-
-
-def vector_rank(vectors: DataFrame, query: list[float], filters: Filters | None = None, pool: int = POOL) -> DataFrame:
-    """Rows (chunk_id, embedding, attributes) by exact dot product with the query vector; filters come first."""
-    if filters:
-        vectors = vectors.where(filters.condition())
-    wanted = F.array(*(F.lit(float(x)) for x in query))
-    dot = F.aggregate(F.zip_with("embedding", wanted, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda a, x: a + x)
-    scored = vectors.withColumn("similarity", F.round(dot, 6)).drop("embedding")
-    return ranked(scored, "vec_rank", pool, F.desc("similarity"), F.col("chunk_id"))
-
-
 def fuse(keyword: DataFrame | None, vector: DataFrame | None, weight: float | None = None) -> DataFrame:
     """Reciprocal-rank fusion of the two lists: chunk_id, kw_rank, vec_rank, score, via."""
     hybrid = keyword is not None and vector is not None
@@ -193,11 +149,6 @@ def assemble(fused: DataFrame, k: int = 10, per_doc: int = 1, pins: int = KW_PIN
     )
 
 
-def hydrate(found: DataFrame, chunks: DataFrame) -> DataFrame:
-    """Add the texts of the rows that are returned."""
-    return chunks.select("chunk_id", "text").join(F.broadcast(found), "chunk_id")
-
-
 def snippet(text: Column, query: str, width: int = 280) -> Column:
     """The passage around the earliest query term, with ellipses where it is cut."""
     terms = [t.lower() for t in re.findall(r"[\w$%]+", query) if len(t) > 2]

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textweir.operators import index
+from textweir.operators import index, segments
+from textweir.operators import search as S
 from textweir.plans.corpus import CORPUS_SQL, corpus, table
+from textweir.plans.search_queries import OR_QUERY, keyword_sql
 from textweir.sources import providers
+from textweir.storage import shared_folder
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,8 +60,64 @@ def embed_with_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("chunk_id", F.size("embedding").alias("dimensions"), (F.round(norm, 3) == 1.0).alias("unit"))
 
 
-QUERIES = {f.__name__: f for f in (index_apply, index_cascade, vector_export, embed_with_model)}
+def _states(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The corpus after each of four changes: documents that are missing at first, come, change and go."""
+    whole = _docs(spark, sf_dir).withColumn("first_line", F.lit(1))
+    changed = F.when(F.col("doc_id") % 11 == 0, F.concat("text", F.lit(" worthless trash")))
+    later = whole.withColumns({"text": F.coalesce(changed, "text"), "mtime": F.when(F.col("doc_id") % 11 == 0, 2.0).otherwise(1.0)})
+    last = later.where("doc_id % 13 <> 0").withColumns({"text": F.when(F.col("doc_id") % 17 == 0, F.col("source")).otherwise(F.col("text")), "mtime": F.when(F.col("doc_id") % 17 == 0, 3.0).otherwise(F.col("mtime"))})
+    return [whole.where("doc_id % 10 <> 0"), later.where("doc_id % 10 <> 0"), later.where("doc_id % 13 <> 0"), last]
+
+
+def _whole(docs: DataFrame) -> DataFrame:
+    """A chunk for each document that isn't blank."""
+    return docs.where(F.col("text").rlike(r"\S")).select("doc_id", F.lit(0).alias("ord"), F.lit(1).alias("start_line"), F.lit(1).alias("end_line"), "text")
+
+
+_grown: dict[tuple[str, str], list[segments.Index]] = {}
+
+
+def grown(spark: SparkSession, sf_dir: str) -> list[segments.Index]:
+    """Its index after each change, the last of which merges segments; made once for an application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _grown:
+        at = segments.opened(spark, shared_folder(spark, "grown"))
+        _grown[key] = [at := segments.sync(at, state, _whole) for state in _states(spark, sf_dir)]
+    return _grown[key]
+
+
+def index_segments_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A keyword search after two changes, with tombstones, and one after all of them and a merge."""
+    query = S.compile_query(OR_QUERY)
+    found = [segments.keyword_rank(grown(spark, sf_dir)[k], query).select(F.lit(k).alias("state"), F.shiftright("chunk_id", 20).alias("doc_id"), "path", "bm25", "kw_rank") for k in (2, 3)]
+    return found[0].unionByName(found[1])
+
+
+def index_segments_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live documents after each change, and what statistics the index has of them."""
+    found = [i.docs().groupBy("corpus").agg(F.count(F.lit(1)).alias("docs"), F.sum("mtime").cast("bigint").alias("mtimes")).select(F.lit(k).alias("state"), "*", F.lit(i.chunks).cast("bigint").alias("chunks"), F.round(F.lit(i.mean), 6).alias("mean")) for k, i in enumerate(grown(spark, sf_dir))]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _state_sql(k: int) -> str:
+    text = "CASE WHEN doc_id % 11 = 0 THEN text || ' worthless trash' ELSE text END" if k else "text"
+    time = "CASE WHEN doc_id % 11 = 0 THEN 2 ELSE 1 END" if k else "1"
+    if k == 3:
+        text, time = f"CASE WHEN doc_id % 17 = 0 THEN source ELSE {text} END", f"CASE WHEN doc_id % 17 = 0 THEN 3 ELSE {time} END"
+    return f"SELECT doc_id, corpus, source, date, path, {text} AS text, {time} AS mtime FROM whole WHERE doc_id % {'10' if k < 2 else '13'} <> 0"
+
+
+def _searched_sql(k: int) -> str:
+    return f"SELECT {k} AS state, chunk_id AS doc_id, path, bm25, kw_rank FROM (WITH corpus AS (SELECT * FROM state{k}), {keyword_sql(OR_QUERY, corpus_sql='')} SELECT * FROM kw)"
+
+
+STATES_SQL = f"WITH {CORPUS_SQL.replace('corpus AS', 'whole AS')}, " + ", ".join(f"state{k} AS ({_state_sql(k)})" for k in range(4))
+STATE_SQL = """SELECT {k} AS state, corpus, count(*) AS docs, CAST(sum(mtime) AS BIGINT) AS mtimes, (SELECT count(*) FROM state{k} WHERE regexp_matches(text, '\\S')) AS chunks,
+  (SELECT round(sum(len(regexp_extract_all(strip_accents(lower(text)), '[\\p{{L}}\\p{{N}}]+'))) / count(*), 6) FROM state{k} WHERE regexp_matches(text, '\\S')) AS mean FROM state{k} GROUP BY corpus"""
+QUERIES = {f.__name__: f for f in (index_segments_search, index_segments_docs, index_apply, index_cascade, vector_export, embed_with_model)}
 ORACLE_SQL = {
+    "index_segments_search": f"{STATES_SQL} {_searched_sql(2)} UNION ALL {_searched_sql(3)}",
+    "index_segments_docs": f"{STATES_SQL} " + " UNION ALL ".join(STATE_SQL.format(k=k) for k in range(4)),
     "index_apply": f"WITH {CORPUS_SQL} SELECT doc_id, path, CASE WHEN doc_id % 11 = 0 THEN 2.0 ELSE 1.0 END AS mtime FROM corpus WHERE doc_id % 13 <> 0",
     "index_cascade": """SELECT doc_id, CASE WHEN doc_id % 10 <> 0 AND doc_id % 11 <> 0 AND doc_id IN (SELECT vec_id FROM embeddings) THEN 1 ELSE 0 END AS vectors, TRUE AS whole FROM documents
         WHERE doc_id % 13 <> 0 AND (regexp_matches(text, '\\S') OR (doc_id % 10 <> 0 AND doc_id % 11 <> 0))""",

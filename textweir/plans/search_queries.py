@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textweir.operators import index
+from textweir.operators import segments
 from textweir.operators import search as S
 from textweir.operators.chunk import chunk_table
 from textweir.plans.corpus import CORPUS_SQL, corpus, spread, table
@@ -25,46 +25,32 @@ def whole_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus(spark, sf_dir).withColumnRenamed("doc_id", "chunk_id").withColumn("lines", lines)
 
 
-_stored: dict[tuple[str, str, str], str] = {}
+_built: dict[tuple[str, str, str], segments.Index] = {}
 
 
-def stored(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
-    """A table of the corpus that is written once for an application and read by every query after."""
+def _index(spark: SparkSession, sf_dir: str, name: str, make) -> segments.Index:
+    """An index over the corpus that is built once for an application and read by every query after."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _stored:
-        folder = f"{shared_folder(spark, 'index')}/{name}"
-        make().write.parquet(folder)
-        _stored[key] = folder
-    return spark.read.parquet(_stored[key])
+    if key not in _built:
+        _built[key] = make(segments.Index(spark, shared_folder(spark, name), 0, (), 8 if name == "documents" else segments.SLOT_BITS))
+    return _built[key]
 
 
-def indexed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Documents without their texts, postings in order of the term, and lengths."""
-    return attributes(spark, sf_dir), *by_term(spark, sf_dir, "documents", whole_documents(spark, sf_dir))
+def indexed(spark: SparkSession, sf_dir: str) -> segments.Index:
+    """Documents as one chunk each, with the vectors of the same numbers."""
 
+    def make(empty: segments.Index) -> segments.Index:
+        whole = spread(whole_documents(spark, sf_dir)).withColumn("doc_id", F.col("chunk_id"))
+        chunks = whole.select("chunk_id", "doc_id", F.lit(0).alias("ord"), F.lit(1).alias("start_line"), F.lit(1).alias("end_line"), "text")
+        attrs = whole.select("chunk_id", "doc_id", "path", "corpus", "source", "date", "lines")
+        vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("chunk_id"), "embedding")
+        return segments.publish(empty, [segments.written(empty, "whole", 0, {"chunks": chunks, "attributes": attrs}, vectors)])
 
-def attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the index knows of the documents beside their texts, so that a query reads no text that it doesn't return."""
-    return stored(spark, sf_dir, "attributes", lambda: whole_documents(spark, sf_dir).drop("text"))
-
-
-def by_term(spark: SparkSession, sf_dir: str, name: str, chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Postings of some chunks in order of the term, and lengths; a common term's rows are split among ranges."""
-    made = stored(spark, sf_dir, f"{name}-made", lambda: index.postings(spread(chunks)))
-    posted = stored(spark, sf_dir, f"{name}-postings", lambda: made.repartitionByRange("term", "chunk_id").sortWithinPartitions("term", "chunk_id"))
-    empty = chunks.select("chunk_id").join(made.select("chunk_id").distinct(), "chunk_id", "left_anti").select("chunk_id", F.lit(0).alias("terms"))
-    sizes = stored(spark, sf_dir, f"{name}-lengths", lambda: made.groupBy("chunk_id").agg(F.sum("tf").cast("int").alias("terms")).unionByName(empty))
-    return posted, sizes
+    return _index(spark, sf_dir, "documents", make)
 
 
 def keyword_rank(spark: SparkSession, sf_dir: str, query: str, filters: S.Filters = S.Filters()) -> DataFrame:
-    return index.keyword_rank(*indexed(spark, sf_dir), S.compile_query(query), filters)
-
-
-def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vectors with the attributes of their documents; documents without one are absent."""
-    docs = attributes(spark, sf_dir)
-    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("chunk_id"), "embedding").join(docs, "chunk_id")
+    return segments.keyword_rank(indexed(spark, sf_dir), S.compile_query(query), filters)
 
 
 def query_vector(spark: SparkSession, sf_dir: str) -> list[float]:
@@ -92,16 +78,15 @@ def search_until_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vecs = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("chunk_id"), "embedding")
-    return S.vector_rank(vecs, query_vector(spark, sf_dir)).select("chunk_id", "similarity", "vec_rank")
+    return segments.vector_rank(indexed(spark, sf_dir), query_vector(spark, sf_dir)).select("chunk_id", "similarity", "vec_rank")
 
 
 def vector_search_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.vector_rank(vectors(spark, sf_dir), query_vector(spark, sf_dir), FILTERS).select("chunk_id", "path", "similarity", "vec_rank")
+    return segments.vector_rank(indexed(spark, sf_dir), query_vector(spark, sf_dir), FILTERS).select("chunk_id", "path", "similarity", "vec_rank")
 
 
 def _lists(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return keyword_rank(spark, sf_dir, HYBRID), S.vector_rank(vectors(spark, sf_dir), query_vector(spark, sf_dir))
+    return keyword_rank(spark, sf_dir, HYBRID), segments.vector_rank(indexed(spark, sf_dir), query_vector(spark, sf_dir), S.Filters())
 
 
 def hybrid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,26 +115,28 @@ def search_snippet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", S.snippet(F.col("text"), "trash pathetic token").alias("snippet"))
 
 
-def chunked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Chunks without their texts, their postings in order of the term, and lengths."""
-    docs = corpus(spark, sf_dir)
-    chunk_id = F.col("doc_id") * CHUNKS_OF_ONE + F.col("ord")
-    parts = stored(spark, sf_dir, "chunks", lambda: chunk_table(spread(docs)).select(chunk_id.alias("chunk_id"), "doc_id", "text", F.concat_ws("-", "start_line", "end_line").alias("lines")))
-    return parts.drop("text").join(docs.drop("text"), "doc_id"), *by_term(spark, sf_dir, "chunks", parts)
+def chunked(spark: SparkSession, sf_dir: str) -> segments.Index:
+    """Documents in chunks; a document's vector belongs to its first one."""
+
+    def make(empty: segments.Index) -> segments.Index:
+        docs = corpus(spark, sf_dir)
+        parts = chunk_table(spread(docs)).select((F.col("doc_id") * CHUNKS_OF_ONE + F.col("ord")).alias("chunk_id"), "doc_id", "ord", "start_line", "end_line", "text")
+        vectors = table(spark, sf_dir, "embeddings").select((F.col("vec_id") * CHUNKS_OF_ONE).alias("chunk_id"), "embedding")
+        return segments.publish(empty, [segments.written(empty, "chunked", 0, {"chunks": parts, "attributes": segments.attributes(docs, parts)}, vectors)])
+
+    return _index(spark, sf_dir, "chunks", make)
 
 
 def hybrid_search_per_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two chunks of a document at most, over the chunk table; a document's vector belongs to its first chunk."""
-    plain, posted, sizes = chunked(spark, sf_dir)
-    vecs = table(spark, sf_dir, "embeddings").select((F.col("vec_id") * CHUNKS_OF_ONE).alias("chunk_id"), "embedding").join(plain, "chunk_id")
-    fused = S.fuse(index.keyword_rank(plain, posted, sizes, S.compile_query(HYBRID)), S.vector_rank(vecs, query_vector(spark, sf_dir)))
-    return S.assemble(fused, per_doc=2)
+    """Two chunks of a document at most, over the chunk table."""
+    index = chunked(spark, sf_dir)
+    words = segments.keyword_rank(index, S.compile_query(HYBRID))
+    return S.assemble(S.fuse(words, segments.vector_rank(index, query_vector(spark, sf_dir), S.Filters())), per_doc=2)
 
 
 def hydrated_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The returned rows with their texts, joined last, as JSON lines."""
-    docs = whole_documents(spark, sf_dir)
-    found = S.hydrate(hybrid_search(spark, sf_dir), docs)
+    found = segments.search(indexed(spark, sf_dir), HYBRID, vector=query_vector(spark, sf_dir))
     return found.select("pos", F.md5(F.concat_ws("|", "path", "date", "source", "lines", "via", "text")).alias("digest"))
 
 
@@ -169,14 +156,14 @@ def _count_sql(phrase: tuple[str, ...]) -> str:
     return f"len(list_filter(range(1, greatest(len(w) - {len(phrase) - 2}, 1)), lambda i: {at}))"
 
 
-def _keyword_sql(text: str, where: str = "TRUE") -> str:
+def keyword_sql(text: str, where: str = "TRUE", corpus_sql: str = f"{CORPUS_SQL},") -> str:
     query = S.compile_query(text)
     n = range(len(query.phrases))
     tf = ", ".join(f"{_count_sql(p)} AS f{i}" for i, p in enumerate(query.phrases))
     df = ", ".join(f"sum(CASE WHEN f{i} > 0 THEN 1 ELSE 0 END) AS d{i}" for i in n)
     score = " + ".join(f"greatest(ln((n - d{i} + 0.5) / (d{i} + 0.5)), 1e-6) * f{i} * 2.2 / (f{i} + 1.2 * (0.25 + 0.75 * len / mean))" for i in n)
     match = (" AND " if query.how == "and" else " OR ").join(f"f{i} > 0" for i in n)
-    return f"""{CORPUS_SQL},
+    return f"""{corpus_sql}
 words AS (SELECT *, regexp_extract_all(strip_accents(lower(text)), '[\\p{{L}}\\p{{N}}]+') AS w FROM corpus),
 counted AS (SELECT doc_id, corpus, source, date, path, '1-' || len(string_split(text, chr(10))) AS lines, len(w) AS len, {tf} FROM words),
 stats AS (SELECT count(*) AS n, avg(len) AS mean, {df} FROM counted),
@@ -195,7 +182,7 @@ def _vector_sql(where: str = "TRUE") -> str:
 vec AS (SELECT *, CAST(row_number() OVER (ORDER BY similarity DESC, chunk_id) - 1 AS INTEGER) AS vec_rank FROM sims QUALIFY vec_rank < {S.POOL})"""
 
 
-FUSED_SQL = f"""WITH {_keyword_sql(HYBRID)}, {_vector_sql()},
+FUSED_SQL = f"""WITH {keyword_sql(HYBRID)}, {_vector_sql()},
 fused AS (
   SELECT coalesce(kw.chunk_id, vec.chunk_id) AS chunk_id, coalesce(kw.path, vec.path) AS path, coalesce(kw.date, vec.date) AS date,
          coalesce(kw.source, vec.source) AS source, coalesce(kw.lines, vec.lines) AS lines, kw_rank, vec_rank,
@@ -217,9 +204,9 @@ ONE_LIST = """SELECT CAST(row_number() OVER (ORDER BY {rank}) AS INTEGER) AS pos
 ORACLE_SQL = {
     "hydrated_results": f"""{FUSED_SQL}{PLACED_SQL}, told AS (SELECT CAST(row_number() OVER (ORDER BY at_) AS INTEGER) AS pos, {PLACED_COLUMNS})
         SELECT pos, md5(concat_ws('|', path, date, told.source, lines, via, documents.text)) AS digest FROM told JOIN documents ON doc_id = chunk_id""",
-    "keyword_search_or": f"WITH {_keyword_sql(OR_QUERY)} SELECT chunk_id, path, bm25, kw_rank FROM kw",
-    "keyword_search_phrase": f"WITH {_keyword_sql(AND_QUERY)} SELECT chunk_id, path, bm25, kw_rank FROM kw",
-    "keyword_search_filtered": f"WITH {_keyword_sql(OR_QUERY, FILTER_SQL)} SELECT chunk_id, path, bm25, kw_rank FROM kw",
+    "keyword_search_or": f"WITH {keyword_sql(OR_QUERY)} SELECT chunk_id, path, bm25, kw_rank FROM kw",
+    "keyword_search_phrase": f"WITH {keyword_sql(AND_QUERY)} SELECT chunk_id, path, bm25, kw_rank FROM kw",
+    "keyword_search_filtered": f"WITH {keyword_sql(OR_QUERY, FILTER_SQL)} SELECT chunk_id, path, bm25, kw_rank FROM kw",
     "search_until_undated": f"""WITH {CORPUS_SQL} SELECT count(*) FILTER (date <= '2024-03-31') AS loose,
         count(*) FILTER (date <= '2024-03-31' AND date <> '') AS strict, count(*) FILTER (date = '') AS undated FROM corpus""",
     "vector_search": f"""WITH sims AS (SELECT e.vec_id AS chunk_id, {DOT_SQL} AS similarity FROM embeddings AS e)
@@ -228,7 +215,7 @@ ORACLE_SQL = {
     "hybrid_search": f"{FUSED_SQL}{PLACED_SQL} SELECT CAST(row_number() OVER (ORDER BY at_) AS INTEGER) AS pos, {PLACED_COLUMNS}",
     "hybrid_search_by_date": f"{FUSED_SQL}{PLACED_SQL} SELECT CAST(row_number() OVER (ORDER BY date, at_) AS INTEGER) AS pos, {PLACED_COLUMNS}",
     "rank_fusion": f"{FUSED_SQL} SELECT chunk_id, path, kw_rank, vec_rank, round(score, 8) AS score, via FROM fused",
-    "keyword_mode_search": f"WITH {_keyword_sql(HYBRID)} {ONE_LIST.format(rank='kw_rank', via='keyword', name='kw')}",
+    "keyword_mode_search": f"WITH {keyword_sql(HYBRID)} {ONE_LIST.format(rank='kw_rank', via='keyword', name='kw')}",
     "vector_mode_search": f"WITH {CORPUS_SQL}, {_vector_sql()} {ONE_LIST.format(rank='vec_rank', via='vector', name='vec')}",
     "search_snippet": """
 WITH spots AS (

@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import contextlib
-import fcntl
 import re
 import tomllib
-from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.errors import AnalysisException
@@ -14,25 +11,34 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textweir.functions.text import front_matter
+from textweir.operators.chunk import DIGEST_SOURCES
 
 AUDIT = "loop_pct double, severity string, feed string, path_under_transcripts string"
 SIGNAL = "signal_id string, raw_ref string, claim string, date string, provenance string, lineage_id string, strength string, metrics array<string>"
 
 
-def corpus_files(spark: SparkSession, root: str) -> DataFrame:
-    """(path, corpus, source, size, mtime, text) of the Markdown files below `news/*/`, `transcripts/*/` and `briefs/`."""
+#: Where documents of a tree lie, by corpus, with the parts of a path from the root; the parameter of `corpus_files`.
+LAYOUT = (("raw", "news/*/*.md", 3), ("raw", "transcripts/*/*.md", 3), ("briefs", "reports/*-[0-9][0-9][0-9][0-9]-*.md", 2), ("briefs", "*-[0-9][0-9][0-9][0-9]-*.md", 1), ("briefs", "reports/story-log.yaml", 2))
+
+
+def corpus_files(spark: SparkSession, root: str, layout: tuple[tuple[str, str, int], ...] = LAYOUT) -> DataFrame:
+    """(path, corpus, source, size, mtime, text) of the documents below a root; paths are from the root.
+
+    The source is the folder's name, or that of a brief without its date.
+    """
     found = None
-    for corpus, pattern in (("raw", "news/*/*.md"), ("raw", "transcripts/*/*.md"), ("briefs", "briefs/*.md")):
+    for corpus, pattern, parts in layout:
         try:
-            part = spark.read.format("text").option("wholetext", True).load(f"{root}/{pattern}")
+            part = spark.read.format("binaryFile").load(f"{root}/{pattern}")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             continue  # a tree may lack a branch
-        meta = F.col("_metadata")
+        at = F.split("path", "/")
+        stem = F.regexp_replace(F.element_at(at, -1), r"(-?\d{4}-\d{2}-\d{2}.*)?\.[a-z]+$", "")
         part = part.select(
-            meta["file_path"].alias("path"), F.lit(corpus).alias("corpus"), F.element_at(F.split(meta["file_path"], "/"), -2).alias("source"),
-            meta["file_size"].alias("size"), meta["file_modification_time"].alias("mtime"), F.col("value").alias("text"),
+            F.array_join(F.slice(at, -parts, parts), "/").alias("path"), F.lit(corpus).alias("corpus"), (F.element_at(at, -2) if parts == 3 else stem).alias("source"),
+            F.col("length").alias("size"), F.col("modificationTime").alias("mtime"), F.make_valid_utf8(F.col("content").cast("string")).alias("text"),
         )
         found = part if found is None else found.unionByName(part)
     if found is None:
@@ -40,18 +46,22 @@ def corpus_files(spark: SparkSession, root: str) -> DataFrame:
     return found
 
 
-def parsed(files: DataFrame) -> DataFrame:
-    """Add title, url and date of the front matter, the first body line's number and the body.
+def parsed(files: DataFrame, digests: tuple[str, ...] = DIGEST_SOURCES) -> DataFrame:
+    """Add title (else the file's stem), url and date of the front matter, the body, its first line's number and the `chunker`.
 
-    The date is that of the file name, else the front matter's `published` or `date`.
+    The date is that of the file name, in a brief after its stem, else the front matter's `published` or `date`.
     """
     fields = files.withColumn("_f", front_matter(F.col("text")))
     head = F.regexp_extract("text", r"(?s)\A(---\n.*?\n---(?:\n|\z))", 1)
     name = F.regexp_extract("path", r"([^/]+)$", 1)
-    date = F.coalesce(F.nullif(F.regexp_extract(name, r"^(\d{4}-\d{2}-\d{2})", 1), F.lit("")), F.left(F.coalesce(F.col("_f")["published"], F.col("_f")["date"], F.lit("")), F.lit(10)))
+    stem = F.regexp_replace(name, r"\.[^.]+$", "")
+    in_name = F.regexp_extract(F.when(F.col("corpus") == "briefs", F.regexp_replace(name, r"^\D+-(?=\d)", "")).otherwise(name), r"^(\d{4}-\d{2}-\d{2})", 1)
+    given = lambda key: F.nullif(F.col("_f")[key], F.lit(""))
+    date = F.coalesce(F.nullif(in_name, F.lit("")), F.left(F.coalesce(given("published"), given("date"), F.lit("")), F.lit(10)))
     return fields.select(
-        *files.columns, F.coalesce(F.col("_f")["title"], F.lit("")).alias("title"), F.coalesce(F.col("_f")["url"], F.col("_f")["link"], F.lit("")).alias("url"), date.alias("date"),
+        *files.columns, F.coalesce(F.col("_f")["title"], stem).alias("title"), F.coalesce(given("url"), F.col("_f")["link"], F.lit("")).alias("url"), date.alias("date"),
         (F.length(head) - F.length(F.replace(head, F.lit("\n"), F.lit(""))) + 1).alias("first_line"), F.substr("text", F.length(head) + 1).alias("body"),
+        F.when(F.col("source").isin(*digests), "digest").otherwise("std").alias("chunker"),
     )
 
 
@@ -138,11 +148,3 @@ def merged(defaults: Column, own: Column) -> Column:
 def java_pattern(pattern: str) -> str:
     """A Python pattern in Java's syntax: named groups are written otherwise, and classes are Unicode by default."""
     return "(?U)" + re.sub(r"\(\?P=(\w+)\)", r"\\k<\1>", pattern.replace("(?P<", "(?<"))
-
-
-@contextlib.contextmanager
-def single_writer(path: str) -> Iterator[None]:
-    """Hold a lock file of the driver's machine while an index is written; waits for another writer."""
-    with open(path, "w") as handle:
-        fcntl.flock(handle, fcntl.LOCK_EX)
-        yield

@@ -88,6 +88,12 @@ def hashed_words(dimensions: int = 64) -> Callable[[list[str]], list[list[float]
     return model
 
 
+def unit(vector: list[float]) -> list[float]:
+    """A vector at unit length; zero stays as it is."""
+    length = sum(x * x for x in vector) ** 0.5
+    return [x / length for x in vector] if length else list(vector)
+
+
 def transcribed(audio: DataFrame, speech: Callable[[str], list[tuple[float, float, str]]]) -> DataFrame:
     """(episode, ord, start, end, text) that a speech engine gives for recordings (episode, path)."""
 
