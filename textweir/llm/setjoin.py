@@ -41,6 +41,7 @@ from xxhash import xxh3_128_digest, xxh64_intdigest
 
 from textweir.llm.common import NULL_ID, Scratch, slices
 from textweir.llm.components import components
+from textweir.llm.simhash import least_of_each
 
 SEED = 42
 #: Bytes of text whose shingles are worked out at once.
@@ -332,6 +333,15 @@ def similar(docs: DataFrame, rule: Rule | None = None, empty_apart: bool = True,
     return rows.select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("of_set")).alias("component_id"))
 
 
+#: Near-duplicates: five-word shingles and a similarity of 0.8 or more.
+NEAR = Rule(5, 4, 5)
+
+
+def one_of_each(docs: DataFrame, rule: Rule = NEAR) -> DataFrame:
+    """The rows of `docs`, all columns, that stay when one document of each group of similar ones is kept, texts without words being one; see `least_of_each`."""
+    return least_of_each(docs, similar(docs, rule, empty_apart=False).select("doc_id", "component_id"))
+
+
 ORACLE_SQL = r"""
 WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
 s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] ELSE list_distinct(list_transform(range(1, greatest(len(ws) - 1, 2)), lambda i: array_to_string(ws[i:i + 2], ' '))) END AS ss FROM w),
