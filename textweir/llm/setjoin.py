@@ -16,9 +16,10 @@ Groups are connected components, so links inside one needn't be looked for:
 each list is first compared with two of its members, and then only across
 components, with pairs that a bitmap of their shingles rules out dropped inside
 the join. A list that would still give many pairs (texts of one template that
-are not alike) is split by the next shingle that two linked sets would share,
-and once more if need be, as linked sets share any number of leading shingles
-in prefixes longer by as many.
+are not alike) is split: by bands of sizes, which leaves out sets whose shingle
+stands too far behind for what a partner of that size must share, and then by
+the next shingle that two linked sets would share, as they share two in
+prefixes longer by one.
 
 Sets with many shingles that no other has are linked to none. A fixed share of
 the hash range shows that of most of them, so that only the others' shingles
@@ -46,12 +47,15 @@ from textweir.llm.simhash import least_of_each
 SEED = 42
 #: Bytes of text whose shingles are worked out at once.
 SLICE_BYTES = 4 << 20
-#: Sets of this size and more always scan lists; lists are split so many times at most.
-MOST_SMALL, SPLITS = 48, 2
+#: Sets of this size and more always scan lists; the ratio of sizes in a band.
+MOST_SMALL, BAND = 48, 1.05
 #: A list is split if its pairs are more than so many times what splitting it gives.
 WORTH = 32
 #: Bits of the maps by which pairs are ruled out.
 BITS = 1024
+_MAP = [f"b{i}" for i in range(BITS // 64)]
+#: SQL: how many shingles two sets differ in at least.
+_DIFFERENT = "lone_a + lone_b + " + " + ".join(f"bit_count({c}_a ^ {c}_b)" for c in _MAP)
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -205,7 +209,7 @@ def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = np.packbits(odd.reshape(len(sizes), BITS), axis=1).view(np.int64)
         lone = batch.column("n").to_numpy() - sizes
         columns = [batch.column("node"), pa.array(lone.astype(np.int32)), *(pa.array(np.ascontiguousarray(words[:, i])) for i in range(BITS // 64))]
-        yield pa.RecordBatch.from_arrays(columns, names=["node", "lone", *(f"b{i}" for i in range(BITS // 64))])
+        yield pa.RecordBatch.from_arrays(columns, names=["node", "lone", *_MAP])
 
 
 class Join:
@@ -213,12 +217,13 @@ class Join:
 
     def __init__(self, near: DataFrame, rule: Rule, scratch: Scratch, most_small: int = MOST_SMALL, worth: int = WORTH):
         self.near, self.rule, self.scratch, self.worth = near, rule, scratch, worth
-        # How many leading shingles a linked set shares one of.
+        # How many leading shingles a linked set shares one of; `full` counts those before one, with the shingles that no other set has.
         lead = F.expr(f"size(hs) - {rule.need} + 1")
-        first = [F.slice(c, F.lit(1), lead + SPLITS).alias(c) for c in ("hs", "times")]
-        spots = near.select("node", "n", lead.alias("lead"), F.posexplode(F.arrays_zip(*first)).alias("pos", "at"))
-        self.prefix = scratch.keep(spots.select("node", "n", "lead", "pos", F.col("at.hs").alias("h"), F.col("at.times").alias("times")), "prefix")
+        first = [F.slice(c, F.lit(1), lead + 1).alias(c) for c in ("hs", "times")]
+        spots = near.select("node", "n", lead.alias("lead"), F.expr("n - size(hs)").alias("lone"), F.posexplode(F.arrays_zip(*first)).alias("pos", "at"))
+        self.prefix = scratch.keep(spots.select("node", "n", "lead", "pos", F.expr("lone + pos").alias("full"), F.col("at.hs").alias("h"), F.col("at.times").alias("times")), "prefix")
         self.large = self.boundary(min(most_small, MOST_SMALL))
+        self.maps = scratch.keep(near.select("node", "n", "hs").mapInArrow(_bitmaps, f"node bigint, lone int, {', '.join(f'{b} bigint' for b in _MAP)}"), "bitmaps")
 
     def boundary(self, most: int) -> int:
         """The size from which sets scan lists, by the counts of subsets and of list entries that either way takes."""
@@ -229,9 +234,13 @@ class Join:
 
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
         pairs = self.scratch.keep(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"pairs-{name}")
-        a, b = (self.near.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("hs").alias(f"hs_{x}")) for x in "ab")
-        both = pairs.join(a, "a").join(b, "b").where(self.rule.alike("n_a", "n_b"))
-        return self.scratch.keep(both.where(self.rule.linked("size(array_intersect(hs_a, hs_b))", "n_a + n_b")).select("a", "b"), f"links-{name}")
+        maps = self.near.select("node", "n").join(self.maps, "node")
+        a, b = (maps.select(F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("n", "lone", *_MAP))) for x in "ab")
+        may = F.expr(f"{self.rule.alike('n_a', 'n_b')} and {self.rule.apart(_DIFFERENT, 'n_a + n_b')}")
+        pairs = self.scratch.keep(pairs.join(a, "a").join(b, "b").where(may).select("a", "b", (F.col("n_a") + F.col("n_b")).alias("both")), f"alike-{name}")
+        a, b = (self.near.select(F.col("node").alias(x), F.col("hs").alias(f"hs_{x}")) for x in "ab")
+        linked = F.expr(self.rule.linked("size(array_intersect(hs_a, hs_b))", "both"))
+        return self.scratch.keep(pairs.join(a, "a").join(b, "b").where(linked).select("a", "b"), f"links-{name}")
 
     def of_small(self) -> DataFrame:
         """Links between small sets: each to the first one on the other side of every subset of theirs."""
@@ -247,41 +256,62 @@ class Join:
 
     def of_large(self, edges: DataFrame) -> DataFrame:
         """Links with a large set, but for those between members of one component; `edges` holds what is known."""
-        keys = self.prefix.where(f"pos < lead and n >= {self.rule.sizes(self.large).start}")
-        lists = keys.groupBy("h").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.max("n").alias("most")).where(f"low < high and most >= {self.large}")
-        keys = self.scratch.keep(keys.select("node", "n", "lead", "pos", "h").join(lists.drop("most"), "h"), "keys")
+        rule = self.rule
+        keys = self.prefix.where(f"pos < lead and n >= {rule.sizes(self.large).start}").select("h", "node", "n", "pos", "full")
+        ends = [f(F.struct("node", "n", "full")).alias(x) for f, x in ((F.min, "low"), (F.max, "high"))]
+        lists = keys.groupBy("h").agg(*ends, F.max("n").alias("most")).where(f"low.node < high.node and most >= {self.large}")
+        keys = self.scratch.keep(keys.join(lists.drop("most"), "h"), "keys")
         for end in ("low", "high"):
-            edges = edges.unionByName(self.verified(keys.where(f"node <> {end}").select(F.col("node").alias("a"), F.col(end).alias("b")), end))
+            may = f"node <> {end}.node and {rule.alike('n', f'{end}.n')} and {rule.linked(f'least(n - full, {end}.n - {end}.full)', f'n + {end}.n')}"
+            edges = edges.unionByName(self.verified(keys.where(may).select(F.col("node").alias("a"), F.col(f"{end}.node").alias("b")), end))
         roots = self.scratch.keep(components(edges, self.scratch), "roots")
         rooted = keys.drop("low", "high").withColumnRenamed("h", "key").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         return edges.unionByName(self.verified(self.across(rooted), "across"))
 
     def across(self, rows: DataFrame) -> DataFrame:
-        """Pairs of different components that a list holds and no bitmap rules out; rows are (node, n, lead, pos, key, root)."""
-        done = None
-        for level in range(SPLITS + 1):
-            parts = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("count"), F.sum(F.col("lead") + level - F.col("pos")).alias("next"), F.max("n").alias("most"))
+        """Pairs of different components that a list holds and no bitmap rules out; rows are (node, n, pos, full, key, root).
+
+        A row's `reach` is the most shingles that sets can share if the list's are the first they do.
+        """
+        rule, done = self.rule, None
+        rows = rows.withColumns({"reach": F.expr("n - full"), "least": F.expr(rule.need), "side": F.lit(-1)})
+        for level, split in enumerate((self.by_size, self.by_next, None)):
+            parts = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("count"), F.sum(F.col("n") - F.col("least")).alias("next"), F.max("n").alias("most"))
             parts = parts.groupBy("key").agg(F.max_by("root", F.struct("count", "root")).alias("largest"), F.max("count").alias("m"), F.sum("count").alias("c"), F.sum("next").alias("next"), F.count(F.lit(1)).alias("parts"), F.max("most").alias("most"))
-            costly = F.expr(f"(c - m) * c > {self.worth} * (next + c)") if level < SPLITS else F.lit(False)
+            costly = F.expr(f"(c - m) * c > {self.worth} * (next + c)") if split else F.lit(False)
             parts = parts.where(f"parts > 1 and most >= {self.large}").select("key", "largest", costly.alias("costly"))
             rows = self.scratch.keep(rows.join(parts, "key"), f"lists-{level}")
-            few = rows.where("not costly").select("key", "node", "n", "root", "largest")
+            few = rows.where("not costly").select("key", "node", "n", "root", "largest", "reach", "side")
             done = few if done is None else done.unionByName(few)
-            if level == SPLITS or not rows.where("costly").limit(1).count():
+            if not split or not rows.where("costly").limit(1).count():
                 break
-            nexts = self.prefix.select("node", F.col("pos").alias("at"), "h")
-            rows = rows.where("costly").drop("largest", "costly").join(nexts, "node").where(f"at > pos and at < lead + {level + 1}")
-            rows = rows.select("node", "n", "lead", F.col("at").alias("pos"), F.xxhash64(F.lit(level), "key", "h").alias("key"), "root")
-        bits = [f"b{i}" for i in range(BITS // 64)]
-        maps = self.near.join(done.select("node").distinct(), "node", "left_semi").select("node", "n", "hs")
-        maps = self.scratch.keep(maps.mapInArrow(_bitmaps, f"node bigint, lone int, {', '.join(f'{b} bigint' for b in bits)}"), "bitmaps")
-        done = self.scratch.keep(done.join(maps.hint("merge"), "node"), "mapped")
-        side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("n", "root", "lone", *bits)]
+            rows = split(rows.where("costly").drop("largest", "costly"))
+        done = self.scratch.keep(done.join(self.maps.hint("merge"), "node"), "mapped")
+        side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("n", "root", "reach", "side", "lone", *_MAP)]
         a = done.where("root <> largest").select("key", F.col("node").alias("a"), *side("a"))
         b = done.select("key", F.col("node").alias("b"), *side("b"))
-        apart = " + ".join(f"bit_count({c}_a ^ {c}_b)" for c in bits)
-        like = F.expr(f"root_a <> root_b and greatest(n_a, n_b) >= {self.large} and {self.rule.alike('n_a', 'n_b')} and {self.rule.apart(f'lone_a + lone_b + {apart}', 'n_a + n_b')}")
-        return a.join(b, "key").where(like).select("a", "b")
+        may = f"root_a <> root_b and (side_a < 0 or side_a <> side_b) and greatest(n_a, n_b) >= {self.large} and {rule.alike('n_a', 'n_b')}"
+        may += f" and {rule.linked('least(reach_a, reach_b)', 'n_a + n_b')} and {rule.apart(_DIFFERENT, 'n_a + n_b')}"
+        return a.join(b, "key").where(may).select("a", "b")
+
+    def by_size(self, rows: DataFrame) -> DataFrame:
+        """Lists split by pairs of bands of sizes; sets whose shingle stands too far behind for a partner of a band are not in it."""
+        rule = self.rule
+        band = lambda n: f"cast(floor(ln({n}) / ln({BAND})) as int)"
+        first, last = (band(f"cast(({x}) as double)") for x in (rule.need, f"{rule.whole} * n div {rule.part}"))
+        rows = rows.withColumn("own", F.expr(band("cast(n as double)"))).withColumn("other", F.explode(F.expr(f"sequence({first}, {last})")))
+        # The least size of the other band; a band less for safety, as logarithms are rounded.
+        size = f"greatest({rule.need}, cast(floor(power({BAND}, other - 1)) as int))"
+        rows = rows.withColumn("least", F.expr(f"cast(({rule.part} * (n + {size}) + {rule.part + rule.whole - 1}) div {rule.part + rule.whole} as int)")).where("reach >= least")
+        side = F.when(F.col("own") == F.col("other"), -1).otherwise((F.col("own") > F.col("other")).cast("int"))
+        key = F.xxhash64(F.lit("size"), "key", F.least("own", "other"), F.greatest("own", "other"))
+        return rows.select("node", "n", "pos", "full", key.alias("key"), "root", "reach", "least", side.alias("side"))
+
+    def by_next(self, rows: DataFrame) -> DataFrame:
+        """Lists split by the next shingle that two linked sets would share."""
+        nexts = self.prefix.select("node", F.col("pos").alias("at"), F.col("full").alias("there"), "h")
+        rows = rows.join(nexts, "node").where("at > pos and n - there + 1 >= least")
+        return rows.select("node", "n", F.col("at").alias("pos"), F.col("there").alias("full"), F.xxhash64(F.lit("next"), "key", "h").alias("key"), "root", F.expr("n - there + 1").alias("reach"), "least", "side")
 
     def components(self) -> DataFrame:
         """(node, root) of the sets that are linked to another."""
