@@ -39,7 +39,32 @@ def test_html(html, text):
     assert html_extract.extract(html) == text
 
 
-@pytest.mark.parametrize("part", ['<div class="ad">x ', "<!", "<a", '<p a="', "<div>x", "</p><div>", "&#", "<script>", "<i></b>", "<h1><li>", "<nav>x", "<b a='\"", "<p>a, b</p>", "<ul class=menu><li>"])
+ARTICLE = "<article><h1>T</h1><p>One, two.</p><p>Three, four.</p></article>"
+PARAGRAPHS = "<p>One, two, of three.</p><p>Three, four.</p><p>Five.</p>"
+
+
+@pytest.mark.parametrize("start", [*(f"<{tag}>" for tag in sorted(html_extract.DROPPED)), *(f"<{tag} class=advert>" for tag in ("table", "section", "div", "ul", "span", "p")), "<div class=comments>", "<div hidden>"])
+def test_html_unclosed_ends_with_its_parent(start):
+    assert html_extract.extract(f"<body><div>{start}advert</div>{ARTICLE}</body>") == "T One, two. Three, four."
+    assert html_extract.extract(f"<body><div>{start}<b>advert</div>{PARAGRAPHS}</body>") == "One, two, of three. Three, four. Five."
+    assert html_extract.extract(f"<body><main><ul><li>{start}advert</ul>{PARAGRAPHS}</main>") == "One, two, of three. Three, four. Five."
+
+
+@pytest.mark.parametrize("tag", sorted(html_extract.DROPPED))
+def test_html_unclosed_ends_where_the_main_content_begins(tag):
+    assert html_extract.extract(f"<body><{tag}>advert{ARTICLE}</body>") == "T One, two. Three, four."
+    assert html_extract.extract(f"<body><{tag}>advert{PARAGRAPHS}</body>") == "One, two, of three. Three, four. Five."
+
+
+def test_html_items_end_where_the_next_begins():
+    assert html_extract.extract("<main><ul><li class=advert>a<li>an item, kept<li class=ad><p>b<li>c</ul><p>Text.</main>") == "an item, kept c Text."
+
+
+def test_html_unclosed_head():
+    assert html_extract.extract("<html><head><title>T</title><body><p>Text, of one paragraph.") == "Text, of one paragraph."
+
+
+@pytest.mark.parametrize("part", ['<div class="ad">x ', "<!", "<a", '<p a="', "<div>x", "</p><div>", "&#", "<script>", "<i></b>", "<h1><li>", "<nav>x", "<b a='\"", "<p>a, b</p>", "<ul class=menu><li>", "<div><aside>x</div>", "<div class=ad><span><li></li>", "<aside><p>x</p>"])
 def test_html_takes_linear_time(part):
     began = time.monotonic()
     html_extract.extract(part * (1_000_000 // len(part)))

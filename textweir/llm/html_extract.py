@@ -42,6 +42,8 @@ COMMENTS = frozenset("comment comments commentlist disqus replies reply respond"
 LAYOUT = frozenset("has with is no page layout wrap wrapper container content main body post article entry".split())
 BOILERPLATE_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 KEPT = frozenset("html body article main".split())
+#: Elements whose end tags end what is open inside them.
+OUTER = BLOCKS | {"button"}
 
 MARKUP = re.compile(
     r"""<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/<>"']*)((?:[^<>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/<>"']*)([^<>]*+)>|<[!?][^<>]*+>""",
@@ -73,14 +75,34 @@ def _named(value: str) -> tuple[bool, bool]:
 
 
 class _Tags:
-    """Where each element of a page ends, found in one scan when it is first asked for."""
+    """Where each element of a page ends, found in one scan when it is first asked for.
+
+    An element without an end tag ends where its parent does, or where a start tag closes it.
+    """
 
     def __init__(self, html: str):
-        self.ends: dict[int, int] = {}  # from behind a start tag to behind its end tag
+        self.ends: dict[int, int] = {}  # from behind a start tag to behind its end tag, or to what else ends it
+        self.unclosed: set[int] = set()
         self.paragraphs: list[int] = []
         self.mains: list[int] = []
         self.bodies: list[int] = []
-        opened: dict[str, list[int]] = {}
+        stack: list[tuple[str, int]] = []
+        outer: list[int] = []  # where blocks stand on the stack
+        opened: Counter[str] = Counter()  # open elements by name, and inline ones since the last block began
+        inline: list[Counter[str]] = [Counter()]
+
+        def close(depth: int, end: int) -> None:
+            for name, begun in reversed(stack[depth:]):
+                self.ends[begun] = end
+                self.unclosed.add(begun)
+                opened[name] -= 1
+                if name in OUTER:
+                    inline.pop()
+                    outer.pop()
+                else:
+                    inline[-1][name] -= 1
+            del stack[depth:]
+
         at, size = 0, len(html)
         while at < size and (found := MARKUP.search(html, at)):
             at = found.end()
@@ -89,41 +111,69 @@ class _Tags:
                 continue
             tag = tag.lower()
             if closing:
-                if stack := opened.get(tag):
-                    self.ends[stack.pop()] = at
+                if (opened if tag in OUTER else inline[-1])[tag] > 0:
+                    depth = len(stack) - 1
+                    while stack[depth][0] != tag:
+                        depth -= 1
+                    begun = stack[depth][1]
+                    close(depth, found.start())
+                    self.ends[begun] = at
+                    self.unclosed.discard(begun)
                 elif tag == "body":
                     self.bodies.append(found.start())
-            elif tag in RAW:
+                continue
+            if tag in RAW:
                 if not (attributes.endswith("/") and tag in ("svg", "math")):
                     at = _raw_end(html, at, tag)
-            elif not attributes.endswith("/"):
-                if tag != "body":
-                    opened.setdefault(tag, []).append(at)
-                if tag == "p":
-                    self.paragraphs.append(at)
-                elif tag in ("article", "main"):
-                    self.mains.append(found.start())
+                continue
+            if stack and stack[-1][0] == "head" and (tag == "body" or tag in BLOCKS):
+                close(len(stack) - 1, found.start())
+            if tag in VOID or tag in ("html", "body") or attributes.endswith("/"):
+                continue
+            while tag in BLOCKS and outer and (stack[outer[-1]][0] == "p" or stack[outer[-1]][0] in CLOSES.get(tag, ())):
+                close(outer[-1], found.start())  # what a start tag closes by itself
+            if tag == "p":
+                self.paragraphs.append(found.start())
+            elif tag in ("article", "main"):
+                self.mains.append(found.start())
+            opened[tag] += 1
+            if tag in OUTER:
+                outer.append(len(stack))
+                inline.append(Counter())
+            else:
+                inline[-1][tag] += 1
+            stack.append((tag, at))
+
+    def main_begins(self, at: int, end: int) -> int | None:
+        """Where the first article or main element begins between two places, or the first paragraph if most of the page's lie there."""
+        k = bisect_left(self.mains, at)
+        if k < len(self.mains) and self.mains[k] < end:
+            return self.mains[k]
+        first = bisect_left(self.paragraphs, at)
+        inside = bisect_left(self.paragraphs, end) - first
+        return self.paragraphs[first] if inside >= 3 and 2 * inside > len(self.paragraphs) else None
 
     def holds_main(self, at: int) -> bool:
         """Whether an article or main element, or most paragraphs of the page, lie in the element that begins before `at`."""
-        end = self.ends.get(at, at)
-        if bisect_left(self.mains, end) > bisect_left(self.mains, at):
-            return True
-        inside = bisect_left(self.paragraphs, end) - bisect_left(self.paragraphs, at)
-        return inside >= 3 and 2 * inside > len(self.paragraphs)
+        return self.main_begins(at, self.ends.get(at, at)) is not None
 
     def skip(self, at: int, tag: str, size: int) -> int:
         """Behind the end of the element that begins before `at`.
 
-        An unclosed one ends with the body or the page, or at once if it is a mere container; a
-        head, nav or header ends where an article or main element begins at the latest.
+        One without an end tag ends with its parent, the body or the page, or, if its name alone drops it, where the
+        main content begins in it; a mere container without a parent ends at once. A head, nav or header ends where an article or main element
+        begins at the latest.
         """
         end = self.ends.get(at)
+        unclosed = end is None or at in self.unclosed
         if end is None:
             end = size if tag not in ("div", "p", "section", "span", "ul", "li") else at
         body = bisect_left(self.bodies, at)
         if body < len(self.bodies):
             end = min(end, self.bodies[body])
+        if unclosed and tag in DROPPED:
+            begun = self.main_begins(at, end)
+            return end if begun is None else begun
         main = bisect_left(self.mains, at)
         if tag in ("head", "nav", "header") and main < len(self.mains):
             end = min(end, self.mains[main])
