@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from textweir.functions import text
 from textweir.operators import ledger, render, speech
 from textweir.sources import files, listings
 
@@ -76,7 +77,53 @@ def test_java_pattern(spark):
 
 def test_papers(spark):
     bodies = spark.createDataFrame([('{"paper": {"id": "1", "authors": [{"name": "A"}, {"name": ""}], "upvotes": 3}}',), ('{"id": "2", "title": "t"}',), ("broken",)], "json string")
-    assert rows(listings.papers(bodies), "id") == [("", "", [], 0), ("1", "", ["A"], 3), ("2", "t", [], 0)]
+    found = listings.papers(bodies)
+    assert rows(found.select("id", "title", "authors", "upvotes"), "id") == [("", "", [], 0), ("1", "", ["A"], 3), ("2", "t", [], 0)]
+    assert list(found.where("id = '2'").select(*found.columns[4:]).first()) == ["", "", [], "", "", "", "", "", ""]
+
+
+def test_papers_are_discovered_from_their_json(spark):
+    json = ['{"paper": {"id": "1", "upvotes": 3, "publishedAt": "2024-01-05", "submittedOnDailyAt": "2024-01-09"}, "title": "outer"}', '{"id": "2", "title": "t", "upvotes": 9, "publishedAt": "2024-01-01"}', '{"upvotes": 99}', None]
+    bodies = spark.createDataFrame([(x,) for x in json], "json string")
+    assert rows(listings.discover("papers", bodies), "url") == [("papers", "papers/1", "2024-01-05", ""), ("papers", "papers/2", "2024-01-01", "t")]
+    assert [r["url"] for r in listings.discover("papers", bodies, since="2024-01-06").collect()] == ["papers/1"]
+    assert listings.papers(bodies.limit(0)).count() == 0
+
+
+def test_inline_entries(spark):
+    atom = '<feed><entry><id>https://x/1#top</id><content type="html">&lt;p&gt;a&lt;/p&gt;</content></entry><entry><id>urn:2</id><link href="https://x/2"/><summary>b</summary><updated>2024-05-01T00:00:00Z</updated></entry><entry><id>https://x/3</id></entry></feed>'
+    rss = '<rss xmlns:dc="d"><channel><item><link>https://x/4#c</link><description>c</description><dc:creator>D</dc:creator><pubDate>Wed, 01 May 2024 23:30:00 -0200</pubDate></item></channel></rss>'
+    feeds = spark.createDataFrame([("https://f/k/", atom), ("https://f/r", rss)], "feed string, xml string")
+    got = rows(listings.inline_entries(feeds).select("url", "html", "secret", "author", "published"), "url")
+    assert got == [("https://x/1", "<p>a</p>", "k", "", ""), ("https://x/2", "b", "k", "", "2024-05-01"), ("https://x/4", "c", "r", "D", "2024-05-02")]
+    assert [r[1] for r in rows(listings.discover("rss_inline", feeds, since="2024-05-02"), "url")] == ["https://x/1", "https://x/4"]
+
+
+def test_sitemap_pages(spark):
+    bodies = spark.createDataFrame([("https://x.com", "<sitemapindex><sitemap><loc>https://x.com/a.xml</loc></sitemap><sitemap><loc>https://x.com/b.xml</loc></sitemap></sitemapindex>"), ("https://y.com", None)], "site string, xml string")
+
+    def fetch(url):
+        return {"https://x.com/a.xml": "<urlset><url><loc>/1</loc></url></urlset>"}[url]
+
+    assert rows(listings.discover("sitemap", bodies, fetch=fetch), "url") == [("https://x.com", "https://x.com/1", "", "")]
+    assert listings.discover("sitemap", bodies, fetch=fetch, parts="/b").count() == 0
+    with pytest.raises(Exception, match="fetch its sitemaps"):
+        listings.discover("sitemap", bodies).collect()
+
+
+def test_headings_that_tell_no_date(spark):
+    html = "<h2>About</h2><a href='/1'>a</a><h2>May 2024</h2><a href='/2'>b</a><h2>x</h2><a href='/3'>c</a><h2>June 2, 2024</h2><a href='/4'>d</a>"
+    pages = spark.createDataFrame([("l", "https://x", html), ("m", "https://x", None), ("n", "https://x", "")], "listing string, url string, html string")
+    got = listings.dated_items(pages, ("<a href='([^']+)'>(.*?)</a>",), "<h2>(.*?)</h2>")
+    assert [r["date"] for r in got.orderBy("link").collect()] == ["", "2024-05", "2024-05", "2024-06-02"]
+    assert {r["date"] for r in listings.dated_items(pages, ("<a href='([^']+)'>(.*?)</a>",)).collect()} == {""}
+
+
+def test_trim_references(spark):
+    bodies = ["a \n## Acknowledging\nb", "a\n# references1", "a\nreferences ", None]
+    cut = text.trim_references(F.col("b"))
+    found = spark.createDataFrame([(k, b) for k, b in enumerate(bodies)], "k int, b string").orderBy("k").select(cut["body"].alias("body"))
+    assert [r["body"] for r in found.collect()] == ["a", "a", "a\nreferences ", None]
 
 
 def test_headings_above(spark):

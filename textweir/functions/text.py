@@ -108,9 +108,14 @@ def strip_secret_lines(body: Column, secret: str) -> Column:
     return F.regexp_replace(kept, r"\n{3,}", "\n\n")
 
 
+# What the headings of a paper's last sections open with.
+ENDINGS = ("references", "bibliography", "acknowledg")
+
+
 def trim_references(body: Column, limit: int = PAPER_LIMIT) -> Column:
-    """A paper's body up to its references, bibliography or acknowledgements, cut at the limit: a struct of body and truncated."""
-    cut = F.rtrim(F.regexp_replace(body, r"(?is)\n#+\s*(?:references|bibliography|acknowledge?ments?)\b.*$", ""), F.lit(" \n\t"))
+    """A paper's body up to a heading that opens with one of `ENDINGS`, cut at the limit: a struct of body and truncated. One without such a heading stays as it is."""
+    heading = rf"(?i)\n#+\s*(?:{'|'.join(ENDINGS)})"
+    cut = F.when(body.rlike(heading), F.rtrim(F.regexp_replace(body, f"(?s){heading}.*$", ""), F.lit(" \r\n\t"))).otherwise(body)
     return F.struct(F.left(cut, F.lit(limit)).alias("body"), (F.length(cut) > limit).alias("truncated"))
 
 

@@ -130,7 +130,8 @@ def _poll(spark: SparkSession, source: Source, bodies: DataFrame, fetch: Callabl
     known = read_ledgers(spark, folder)
     if retry_failed:
         known["failed"], known["attempts"], _ = runs.reset_failures(known["failed"], known["attempts"])
-    todo = due(source, listings.discover(source.kind, bodies, **source.settings).select("url", "published", "title"), known)
+    settings = {"fetch": fetch, **source.settings} if source.kind == "sitemap" else source.settings
+    todo = due(source, listings.discover(source.kind, bodies, **settings).select("url", "published", "title"), known)
     pages = f"{folder}/pages-{today}"
     providers.fetched(todo.drop("ord"), fetch, body="html").write.mode("overwrite").parquet(pages)
     got = spark.read.parquet(pages)

@@ -129,7 +129,7 @@ def paper_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Papers in JSON, with and without a wrapper, as flat rows."""
     inner = F.to_json(F.struct(F.col("event_id").cast("string").alias("id"), F.col("event_type").alias("title"), F.array(F.struct(F.concat(F.lit("A"), F.col("user_id").cast("string")).alias("name")), F.struct(F.lit("").alias("name"))).alias("authors"), F.get_json_object("props", "$.k").cast("int").alias("upvotes")))
     wrapped = F.when(F.pmod("event_id", F.lit(2)) == 0, F.concat(F.lit('{"paper":'), inner, F.lit("}"))).otherwise(inner)
-    return listings.papers(table(spark, sf_dir, "events").select(wrapped.alias("json")))
+    return listings.papers(table(spark, sf_dir, "events").select(wrapped.alias("json"))).select("id", "title", "authors", "upvotes")
 
 
 QUERIES = {

@@ -49,7 +49,58 @@ def feed_inline(spark: SparkSession, sf_dir: str) -> DataFrame:
     about = F.when(F.pmod("event_id", F.lit(4)) != 0, _tag("description", F.col("event_type"))).otherwise("")
     entry = F.concat(F.lit("<item>"), _tag("title", F.lit("t")), _tag("link", F.concat(F.lit("https://x/l/"), _id())), F.lit('<guid isPermaLink="false">'), guid, F.lit("</guid>"), content, about, F.lit("</item>"))
     head = '<rss version="2.0" xmlns:content="http://purl.org/rss/1.0/modules/content/"><channel>'
-    return listings.inline_entries(_feed(spark, sf_dir, entry, head, "</channel></rss>"))
+    return listings.inline_entries(_feed(spark, sf_dir, entry, head, "</channel></rss>")).select("feed", "url", "title", "html", "secret")
+
+
+def feed_inline_atom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Atom entries with their text: the id is the URL where it is one, the summary stands in for content, and entries without text or older than a day go."""
+    ident = F.when(F.pmod("event_id", F.lit(2)) == 0, F.concat(F.lit("https://x/g/"), _id(), F.lit("#c"))).otherwise(F.concat(F.lit("urn:"), _id()))
+    link = F.concat(F.lit('<link rel="self" href="https://x/self"/><link rel="alternate" href="https://x/l/'), _id(), F.lit('"/>'))
+    content = F.when(F.pmod("event_id", F.lit(3)) == 0, F.concat(F.lit('<content type="html">&lt;p&gt;'), "event_type", F.lit("&lt;/p&gt;</content>"))).otherwise("")
+    about = F.when(F.pmod("event_id", F.lit(4)) != 0, _tag("summary", F.col("event_type"))).otherwise("")
+    date = F.when(F.pmod("event_id", F.lit(7)) != 0, _tag("published", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))).otherwise("")
+    author = _tag("author", _tag("name", F.concat(F.lit("u"), F.col("user_id").cast("string"))))
+    entry = F.concat(F.lit("<entry>"), _tag("title", F.lit("t")), _tag("id", ident), link, content, about, date, author, F.lit("</entry>"))
+    return listings.inline_entries(_feed(spark, sf_dir, entry, '<feed xmlns="http://www.w3.org/2005/Atom">', "</feed>"), "2024-01-10")
+
+
+def sitemap_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers' sites through the dispatcher: those with even keys have an index, whose sitemaps are fetched (every fifth can't be), the others a urlset."""
+
+    def fetch(url: str) -> str:
+        site, _, part = url.removesuffix(".xml").rpartition("/s")
+        if (int(site.rpartition("/s")[2].partition(".")[0]) + int(part)) % 5 == 0:
+            raise OSError("gone")
+        return f"<urlset><url><loc>{site}/p/{part}</loc><lastmod>2024-01-0{part}</lastmod></url><url><loc>/q/{part}</loc></url></urlset>"
+
+    site = F.concat(F.lit("https://s"), F.col("s_suppkey").cast("string"), F.lit(".com"))
+    index = F.concat(F.lit("<sitemapindex>"), *(F.concat(F.lit("<sitemap><loc>"), F.replace(site, F.lit("https://"), F.lit("https://x/")), F.lit(f"/s{k}.xml</loc></sitemap>")) for k in (1, 2, 3)), F.lit("</sitemapindex>"))
+    xml = F.when(F.pmod("s_suppkey", F.lit(2)) == 0, index).otherwise("<urlset><url><loc>/a</loc></url></urlset>")
+    return listings.discover("sitemap", table(spark, sf_dir, "supplier").select(site.alias("site"), xml.alias("xml")), fetch=fetch, parts=".com/", since="2024-01-02")
+
+
+def listing_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers' listings through the dispatcher: a card's own day, else the month of the last heading above that tells one."""
+    key = F.col("c_custkey").cast("string")
+    card = lambda path, day="": F.concat(F.lit(f'<a href="/{path}/'), key, F.lit('">'), "c_name", F.lit(f"</a><i>{day}</i>"))
+    html = F.concat(card("top"), F.lit("<h2>June 2025</h2>"), card("a", "Jun 3, 2025"), card("b"), F.lit("<h2>More</h2>"), card("c"), F.lit("<h2>Sept. 2024</h2>"), card("d"), card("skip"))
+    pages = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("listing"), F.lit("https://x.com/list").alias("url"), html.alias("html"))
+    return listings.discover("html", pages, patterns=('<a href="([^"]+)">(.*?)</a><i>(.*?)</i>',), heading="<h2>(.*?)</h2>", own_date=True, exclude=("/skip/",))
+
+
+def paper_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All fields of papers in JSON; those of the wrapper don't count where there is one."""
+    day = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    named = lambda name, full: F.struct(F.lit(name).alias("name"), full.alias("fullname"))
+    inner = F.to_json(
+        F.struct(
+            _id().alias("id"), F.concat(F.lit(" "), "event_type").alias("title"), F.lit("s").alias("summary"), F.col("event_type").alias("ai_summary"), F.array(F.lit(" k "), F.lit(""), F.col("event_type")).alias("ai_keywords"),
+            day.alias("publishedAt"), F.when(F.pmod("event_id", F.lit(3)) == 0, day).alias("submittedOnDailyAt"), named("", _id()).alias("submittedOnDailyBy"), F.concat(F.lit("https://p/"), _id()).alias("projectPage"),
+            named("o", F.col("event_type")).alias("organization"), F.concat(F.lit("d"), _id()).alias("discussionId"),
+        )
+    )
+    json = F.when(F.pmod("event_id", F.lit(2)) == 0, F.concat(F.lit('{"title": "outer", "summary": "outer", "paper":'), inner, F.lit("}"))).otherwise(inner)
+    return listings.papers(table(spark, sf_dir, "events").select(json.alias("json")))
 
 
 def sitemap_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,7 +197,7 @@ def run_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        feed_rss, feed_atom, feed_inline, sitemap_tree, archive_paging, spa_slugs, iso_weeks, paper_discovery, listing_months, front_matter_lists, page_text_fallback, full_text_hosts, fetched_bodies, hosted_transcripts, run_windows,
+        feed_rss, feed_atom, feed_inline, feed_inline_atom, sitemap_dispatch, listing_by_month, paper_fields, sitemap_tree, archive_paging, spa_slugs, iso_weeks, paper_discovery, listing_months, front_matter_lists, page_text_fallback, full_text_hosts, fetched_bodies, hosted_transcripts, run_windows,
     )
 }
 
@@ -156,6 +207,19 @@ ORACLE_SQL = {
     "feed_atom": """SELECT 'https://x/feed/k' || CAST(user_id AS VARCHAR) AS source, 'https://x/b/' || CAST(event_id AS VARCHAR) AS url, strftime(ts, '%Y-%m-%d') AS published, event_type AS title FROM events""",
     "feed_inline": """SELECT 'https://x/feed/k' || CAST(user_id AS VARCHAR) AS feed, CASE WHEN event_id % 2 = 0 THEN 'https://x/g/' ELSE 'https://x/l/' END || CAST(event_id AS VARCHAR) AS url, 't' AS title,
         CASE WHEN event_id % 3 = 0 THEN '<p>' || event_type || '</p>' ELSE event_type END AS html, 'k' || CAST(user_id AS VARCHAR) AS secret FROM events WHERE event_id % 3 = 0 OR event_id % 4 <> 0""",
+    "feed_inline_atom": """SELECT 'https://x/feed/k' || CAST(user_id AS VARCHAR) AS feed, CASE WHEN event_id % 2 = 0 THEN 'https://x/g/' ELSE 'https://x/l/' END || CAST(event_id AS VARCHAR) AS url, 't' AS title,
+        CASE WHEN event_id % 3 = 0 THEN '<p>' || event_type || '</p>' ELSE event_type END AS html, 'k' || CAST(user_id AS VARCHAR) AS secret, 'u' || CAST(user_id AS VARCHAR) AS author,
+        CASE WHEN event_id % 7 = 0 THEN '' ELSE strftime(ts, '%Y-%m-%d') END AS published FROM events WHERE (event_id % 3 = 0 OR event_id % 4 <> 0) AND (event_id % 7 = 0 OR ts >= TIMESTAMP '2024-01-10')""",
+    "sitemap_dispatch": """WITH s AS (SELECT s_suppkey AS k, 'https://s' || CAST(s_suppkey AS VARCHAR) || '.com' AS source FROM supplier),
+        p AS (SELECT k, source, unnest([1, 2, 3]) AS n FROM s WHERE k % 2 = 0)
+        SELECT source, source || '/a' AS url, '' AS published, '' AS title FROM s WHERE k % 2 <> 0
+        UNION ALL SELECT source, source || '/q/' || CAST(n AS VARCHAR), '', '' FROM p WHERE (k + n) % 5 <> 0
+        UNION ALL SELECT source, 'https://x/' || source[9:] || '/p/' || CAST(n AS VARCHAR), '2024-01-0' || CAST(n AS VARCHAR), '' FROM p WHERE (k + n) % 5 <> 0 AND n >= 2""",
+    "listing_by_month": """SELECT c_custkey AS source, 'https://x.com/' || path || '/' || CAST(c_custkey AS VARCHAR) AS url, published, c_name AS title
+        FROM customer, (VALUES ('top', ''), ('a', '2025-06-03'), ('b', '2025-06'), ('c', '2025-06'), ('d', '2024-09')) AS v(path, published)""",
+    "paper_fields": """WITH e AS (SELECT *, CAST(event_id AS VARCHAR) AS id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS day FROM events)
+        SELECT id, event_type AS title, CAST([] AS VARCHAR[]) AS authors, 0 AS upvotes, 's' AS summary, event_type AS ai_summary, ['k', event_type] AS keywords, day AS published,
+        CASE WHEN event_id % 3 = 0 THEN day ELSE '' END AS submitted, id AS submitted_by, 'https://p/' || id AS project_page, event_type AS organization, 'd' || id AS discussion_id FROM e""",
     "sitemap_tree": """SELECT 'https://r' || CAST(n_regionkey AS VARCHAR) || '.com' AS site, 'https://r' || CAST(n_regionkey AS VARCHAR) || '.com/c/' || CAST(c_custkey AS VARCHAR) AS url, '2024-01-01' AS lastmod
         FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE n_nationkey % 5 <> 0 AND n_nationkey % 6 <> 0""",
     "archive_paging": """WITH p AS (SELECT *, max(CASE WHEN strftime(o_orderdate, '%Y-%m-%d') < '1995-01-01' THEN 1 ELSE 0 END) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS older FROM orders)

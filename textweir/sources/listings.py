@@ -2,31 +2,42 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from textweir.functions import dates, urls
 from textweir.operators.ledger import first_seen
+from textweir.sources import providers
+
+#: A pattern with a group that matches nothing.
+NO_HEADING = "()(?!)"
 
 
-def dated_items(pages: DataFrame, patterns: tuple[str, ...], heading: str, own_date: bool = False) -> DataFrame:
+def dated_items(pages: DataFrame, patterns: tuple[str, ...], heading: str = NO_HEADING, own_date: bool = False, exclude: tuple[str, ...] = ()) -> DataFrame:
     """(listing, link, title, date) of listing pages: as `listing_items`, dated by group 3 of the patterns or by the last heading above.
 
-    A page is split at its headings, so an item's heading is that of its part;
-    items above the first one have no date of their own.
+    A page is split at its headings, so an item's heading is that of its part, or the last
+    one before it that tells a day, or a month as `YYYY-MM`; items above the first such have no date of their own.
     """
     parts = F.split("html", f"(?s){heading}", -1)
     heads = F.concat(F.array(F.lit("")), F.regexp_extract_all("html", F.lit(f"(?s){heading}"), F.lit(1)))
-    rows = pages.select("listing", "url", F.posexplode(F.arrays_zip(parts.alias("part"), heads.alias("head"))).alias("_part", "_p"))
+    told = F.transform(heads, lambda h: F.coalesce(F.nullif(dates.loose_date(h), F.lit("")), dates.loose_month(h)))
+    rows = pages.select("listing", "url", parts.alias("part"), told.alias("told"))
+    above = F.transform("told", lambda _, i: F.coalesce(F.try_element_at(F.filter(F.slice("told", F.lit(1), i + 1), lambda d: d != ""), F.lit(-1)), F.lit("")))
+    rows = rows.select("listing", "url", F.posexplode(F.arrays_zip("part", above.alias("head"))).alias("_part", "_p"))
     found = None
     for k, pattern in enumerate(patterns):
         groups = [F.regexp_extract_all("_p.part", F.lit(f"(?s){pattern}"), F.lit(g)).alias(n) for g, n in ((1, "a"), (2, "b"), *(((3, "c"),) if own_date else ()))]
         one = rows.select("listing", "url", "_part", "_p", F.posexplode(F.arrays_zip(*groups)).alias("_at", "_i"))
         day = dates.loose_date(F.col("_i.c")) if own_date else F.lit("")
-        date = F.when(day != "", day).otherwise(dates.loose_date(F.col("_p.head")))
+        date = F.when(day != "", day).otherwise(F.col("_p.head"))
         one = one.select("listing", urls.absolute(F.col("url"), F.col("_i.a")).alias("link"), F.trim(F.regexp_replace("_i.b", "<[^>]+>", "")).alias("title"), date.alias("date"), F.lit(k).alias("_pattern"), "_part", "_at")
         found = one if found is None else found.unionByName(one)
+    for part in exclude:
+        found = found.where(~F.contains("link", F.lit(part)))
     found = found.withColumn("_key", F.struct("listing", "link"))
     return first_seen(found, "_key", "_pattern", "_part", "_at").select("listing", "link", "title", "date")
 
@@ -79,6 +90,18 @@ def sitemap_tree(roots: DataFrame, fetched: DataFrame, include: str = "", **filt
     return urlset_rows(direct.unionByName(below), **filters)
 
 
+def sitemap_pages(bodies: DataFrame, fetch: Callable[[str], str | None] | None = None, parts: str = "", **filters) -> DataFrame:
+    """(site, url, lastmod) of bodies (site, xml) of either kind; the sitemaps that an index names are fetched in the tasks.
+
+    `parts` chooses among an index's sitemaps. An index without `fetch` is an error, as its pages would be missed.
+    """
+    if fetch is None:
+        index = F.contains(F.lower(F.left("xml", F.lit(500))), F.lit("<sitemapindex"))
+        return urlset_rows(bodies.withColumn("xml", F.when(index, F.raise_error("a sitemap index needs a way to fetch its sitemaps")).otherwise(F.col("xml"))), **filters)
+    named = sitemap_index(bodies, parts).select("sitemap").distinct()
+    return sitemap_tree(bodies, providers.fetched(named, fetch, "sitemap", "xml"), parts, **filters)
+
+
 def listing_items(pages: DataFrame, patterns: tuple[str, ...], exclude: tuple[str, ...] = ()) -> DataFrame:
     """(listing, link, title) of listing pages (listing, url, html): groups 1 and 2 of the patterns, in their order.
 
@@ -96,8 +119,8 @@ def listing_items(pages: DataFrame, patterns: tuple[str, ...], exclude: tuple[st
     return first_seen(found, "_key", "_pattern", "_at").select("listing", "link", "title")
 
 
-ITEM = "struct<title:string,link:string,guid:string,pubDate:string,description:string,`content:encoded`:string>"
-ENTRY = "struct<title:string,link:array<struct<_href:string,_rel:string>>,published:string,updated:string,content:string,summary:string,id:string>"
+ITEM = "struct<title:string,link:string,guid:string,pubDate:string,description:string,`content:encoded`:string,author:string,`dc:creator`:string>"
+ENTRY = "struct<title:string,link:array<struct<_href:string,_rel:string>>,published:string,updated:string,content:string,summary:string,id:string,author:array<struct<name:string>>>"
 FEED = f"channel struct<item:array<{ITEM}>>, item array<{ITEM}>, entry array<{ENTRY}>"
 
 
@@ -107,6 +130,21 @@ def _items(feeds: DataFrame) -> tuple[DataFrame, DataFrame]:
     return read.select("feed", F.explode(F.coalesce("x.channel.item", "x.item")).alias("i")), read.select("feed", F.explode("x.entry").alias("e"))
 
 
+def _alternate(links: Column) -> Column:
+    """An Atom entry's link: the alternate one, or the first."""
+    return F.coalesce(F.get(F.filter(links, lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate"), 0), F.get(links, 0))["_href"]
+
+
+def _updated() -> Column:
+    return F.coalesce(dates.instant(F.col("e.published")), dates.instant(F.col("e.updated")))
+
+
+def _since(rows: DataFrame, since: str) -> DataFrame:
+    """Rows with `at` as the date `published`; undated ones stay whatever `since` says."""
+    rows = rows.withColumn("published", F.coalesce(F.date_format("at", "yyyy-MM-dd"), F.lit(""))).drop("at")
+    return rows.where((F.col("published") == "") | (F.col("published") >= since)) if since else rows
+
+
 def feed_entries(feeds: DataFrame, since: str = "") -> DataFrame:
     """(feed, url, title, published) of RSS and Atom bodies (feed, xml): entries without a link go, and fragments are cut.
 
@@ -115,27 +153,35 @@ def feed_entries(feeds: DataFrame, since: str = "") -> DataFrame:
     the first. A malformed body gives no rows.
     """
     items, entries = _items(feeds)
-    links = F.col("e.link")
-    best = F.coalesce(F.get(F.filter(links, lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate"), 0), F.get(links, 0))["_href"]
     rows = items.select("feed", F.trim("i.link").alias("url"), F.trim(F.coalesce("i.title", F.lit(""))).alias("title"), dates.instant(F.col("i.pubDate")).alias("at")).unionByName(
-        entries.select("feed", best.alias("url"), F.trim(F.coalesce("e.title", F.lit(""))).alias("title"), F.coalesce(dates.instant(F.col("e.published")), dates.instant(F.col("e.updated"))).alias("at"))
+        entries.select("feed", _alternate(F.col("e.link")).alias("url"), F.trim(F.coalesce("e.title", F.lit(""))).alias("title"), _updated().alias("at"))
     )
-    rows = rows.select("feed", F.regexp_replace("url", "#.*$", "").alias("url"), "title", F.coalesce(F.date_format("at", "yyyy-MM-dd"), F.lit("")).alias("published")).where("url <> ''")
-    return rows.where((F.col("published") == "") | (F.col("published") >= since)) if since else rows
+    return _since(rows.withColumn("url", F.regexp_replace("url", "#.*$", "")).where("url <> ''"), since)
 
 
-def inline_entries(feeds: DataFrame) -> DataFrame:
-    """(feed, url, title, html, secret) of RSS bodies whose items carry their text: the encoded content, or else the description.
+def inline_entries(feeds: DataFrame, since: str = "") -> DataFrame:
+    """(feed, url, title, html, secret, author, published) of RSS and Atom bodies whose entries carry their text.
 
-    An item's URL is its guid if that is one, else its link; items without
-    text or URL go; `secret` is the last part of the feed's own URL.
+    The text is an item's encoded content or else its description, an entry's
+    content or else its summary. The URL is the guid or id if that is one, else
+    the link, without its fragment; entries without text or URL go; `secret` is
+    the last part of the feed's own URL.
     """
-    items, _ = _items(feeds)
-    guid = F.trim("i.guid")
-    url = F.when(guid.rlike("^https?://"), guid).otherwise(F.trim("i.link"))
-    html = F.coalesce(F.nullif(F.trim("i.content:encoded"), F.lit("")), F.trim("i.description"))
+    items, entries = _items(feeds)
+    shown = lambda *cs: F.coalesce(*(F.nullif(F.trim(c), F.lit("")) for c in cs))
+    web = lambda c: F.when(F.trim(c).rlike("^https?://"), F.trim(c))
+    rows = items.select(
+        "feed", F.coalesce(web("i.guid"), F.trim("i.link")).alias("url"), shown("i.title").alias("title"), shown("i.content:encoded", "i.description").alias("html"),
+        shown("i.author", "i.dc:creator").alias("author"), dates.instant(F.col("i.pubDate")).alias("at"),
+    ).unionByName(
+        entries.select(
+            "feed", F.coalesce(web("e.id"), F.trim(_alternate(F.col("e.link")))).alias("url"), shown("e.title").alias("title"), shown("e.content", "e.summary").alias("html"),
+            shown(F.get("e.author", 0)["name"]).alias("author"), _updated().alias("at"),
+        )
+    )
     secret = F.element_at(F.split(F.rtrim("feed", F.lit("/")), "/"), -1)
-    return items.select("feed", url.alias("url"), F.trim(F.coalesce("i.title", F.lit(""))).alias("title"), html.alias("html"), secret.alias("secret")).where("url <> '' and html <> ''")
+    rows = rows.withColumn("url", F.regexp_replace("url", "#.*$", "")).where("url <> '' and html is not null")
+    return _since(rows.select("feed", "url", F.coalesce("title", F.lit("")).alias("title"), "html", secret.alias("secret"), F.coalesce("author", F.lit("")).alias("author"), "at"), since)
 
 
 def until_cutoff(posts: DataFrame, feed: str, at: str, date: str, cutoff: str) -> DataFrame:
@@ -166,33 +212,49 @@ def discover_papers(rows: DataFrame, min_upvotes: int | None = None, since: str
 
 
 def discover(kind: str, bodies: DataFrame, **settings) -> DataFrame:
-    """(source, url, published, title) of a source of one of the known kinds; another raises ValueError."""
+    """(source, url, published, title) of a source of one of the known kinds; another raises ValueError.
+
+    `settings` are the parameters of the kind's function. Papers are JSON bodies, or rows that are flat already.
+    """
     none = F.lit("")
     if kind == "rss":
         return feed_entries(bodies, **settings).select(F.col("feed").alias("source"), "url", "published", "title")
     if kind == "rss_inline":
-        return inline_entries(bodies).select(F.col("feed").alias("source"), "url", none.alias("published"), "title")
+        return inline_entries(bodies, **settings).select(F.col("feed").alias("source"), "url", "published", "title")
     if kind == "sitemap":
-        return urlset_rows(bodies, **settings).select(F.col("site").alias("source"), "url", F.col("lastmod").alias("published"), none.alias("title"))
+        return sitemap_pages(bodies, **settings).select(F.col("site").alias("source"), "url", F.col("lastmod").alias("published"), none.alias("title"))
     if kind == "html":
-        return listing_items(bodies, **settings).select(F.col("listing").alias("source"), F.col("link").alias("url"), none.alias("published"), "title")
+        return dated_items(bodies, **settings).select(F.col("listing").alias("source"), F.col("link").alias("url"), F.col("date").alias("published"), "title")
     if kind == "archive":
         return until_cutoff(bodies, "source", "at", "published", **settings).select("source", "url", "published", "title")
     if kind == "spa":
         return bundle_slugs(bodies, **settings).select(F.col("site").alias("source"), "url", none.alias("published"), F.col("slug").alias("title"))
     if kind == "papers":
-        return discover_papers(bodies, **settings).select(F.lit("papers").alias("source"), F.concat(F.lit("papers/"), "id").alias("url"), F.coalesce("submitted", "published").alias("published"), "title")
+        found = discover_papers(papers(bodies) if "json" in bodies.columns else bodies, **settings)
+        return found.select(F.lit("papers").alias("source"), F.concat(F.lit("papers/"), "id").alias("url"), F.coalesce(F.nullif("published", F.lit("")), "submitted").alias("published"), "title")
     raise ValueError(f"unknown kind of source: {kind}")
 
 
-PAPER = "id string, title string, authors array<struct<name:string>>, upvotes int"
+# The fields of a paper's JSON.
+PAPER = (
+    "id:string,title:string,authors:array<struct<name:string>>,upvotes:int,summary:string,ai_summary:string,ai_keywords:array<string>,publishedAt:string,submittedOnDailyAt:string,"
+    "submittedOnDailyBy:struct<name:string,fullname:string>,projectPage:string,organization:struct<name:string,fullname:string>,discussionId:string"
+)
 
 
 def papers(bodies: DataFrame) -> DataFrame:
-    """(id, title, authors, upvotes) of JSON papers, with or without their wrapper; missing values are empty."""
-    parsed = bodies.select(F.from_json("json", f"paper struct<{PAPER.replace(' string', ':string').replace('authors array', 'authors:array').replace('upvotes int', 'upvotes:int')}>, {PAPER}").alias("j"))
-    field = lambda name: F.coalesce(F.col(f"j.paper.{name}"), F.col(f"j.{name}"))
-    names = F.filter(F.transform(field("authors"), lambda a: a["name"]), lambda n: n != "")
-    return parsed.select(
-        F.coalesce(field("id"), F.lit("")).alias("id"), F.coalesce(field("title"), F.lit("")).alias("title"), F.coalesce(names, F.array().cast("array<string>")).alias("authors"), F.coalesce(field("upvotes"), F.lit(0)).alias("upvotes")
-    )
+    """Flat rows of JSON papers, with or without their wrapper; missing values are empty.
+
+    Columns: id, title, authors, upvotes, summary, ai_summary, keywords, published, submitted, submitted_by,
+    project_page, organization, discussion_id. Empty names go from lists; `submitted_by` is a name before
+    a full name, `organization` a full name before a name.
+    """
+    read = F.from_json("json", f"struct<paper:struct<{PAPER}>,{PAPER}>")
+    field = lambda name: F.when(F.col("j.paper").isNotNull(), F.col(f"j.paper.{name}")).otherwise(F.col(f"j.{name}"))
+    text = lambda *names: F.coalesce(*(F.nullif(F.trim(field(n)), F.lit("")) for n in names), F.lit(""))
+    listed = lambda values: F.coalesce(F.filter(F.transform(values, lambda v: F.trim(v)), lambda v: v != ""), F.array().cast("array<string>"))
+    return bodies.select(read.alias("j")).select(
+        text("id").alias("id"), text("title").alias("title"), listed(field("authors.name")).alias("authors"), F.coalesce(field("upvotes"), F.lit(0)).alias("upvotes"),
+        text("summary").alias("summary"), text("ai_summary").alias("ai_summary"), listed(field("ai_keywords")).alias("keywords"), text("publishedAt").alias("published"), text("submittedOnDailyAt").alias("submitted"),
+        text("submittedOnDailyBy.name", "submittedOnDailyBy.fullname").alias("submitted_by"), text("projectPage").alias("project_page"), text("organization.fullname", "organization.name").alias("organization"), text("discussionId").alias("discussion_id"),
+    )
