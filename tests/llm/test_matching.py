@@ -270,6 +270,29 @@ def test_decontamination_of_one_letter(item, text):
     assert decontaminate.Index([(1, item)]).matches([text]) == [(0, 0, 1941, 0)] and time.monotonic() - began < 60
 
 
+def test_decontamination_of_short_items():
+    say = random.Random(7)
+    letters = "abé日本😀 "
+    items = [(k, "".join(say.choices(letters, k=say.randrange(1, 10)))) for k in range(400)]
+    texts = [decontaminate.normalise("".join(say.choices(letters, k=n))) for n in (0, 1, 3, 9, 10, 200, 3000)]
+    index = decontaminate.Index(items)
+    got = index.matches(texts)
+    assert sorted(got) == sorted((k, i, 1, 0) for i, item in enumerate(index.texts) for k, text in enumerate(texts) if item in text)
+    assert len(got) > 400 and not index.matches([]) and not index.matches([""])
+
+
+def test_decontamination_of_a_million_short_items():
+    say = np.random.default_rng(3)
+    items = [(k, x) for k, x in enumerate(say.integers(97, 123, (1_000_000, 7)).astype(np.uint8).view("S7").ravel().astype(str).tolist())]
+    text = say.integers(97, 123, 1_000_000).astype(np.uint8).tobytes().decode()
+    index = decontaminate.Index(items)
+    began = time.monotonic()
+    got = index.matches([text])
+    assert time.monotonic() - began < 10
+    held = {text[p : p + 7] for p in range(len(text) - 6)}
+    assert sorted(index.texts[i] for _, i, _, _ in got) == sorted(x for x in index.texts if x in held)
+
+
 def test_decontamination_in_blocks(spark, docs):
     items = spark.createDataFrame([(1, ROWS[3][1]), (1, ROWS[3][1]), (2, None), (3, ""), (4, "nothing like it in any of the documents, at all, whatever")], "item_id long, text string")
     whole, parts = decontaminate.leaks(docs, items), decontaminate.leaks(docs, items, block_chars=100)

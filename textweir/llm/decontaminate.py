@@ -13,6 +13,7 @@ benchmark above one block costs one more pass for each further block.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -57,12 +58,47 @@ def _codes(data: np.ndarray, n: int, q: int) -> np.ndarray:
     return first * _M1 + last * _M2
 
 
+def _runs(points: np.ndarray, n: int) -> np.ndarray:
+    """Codes of all runs of `n` characters."""
+    codes = np.zeros(max(0, len(points) - n + 1), np.uint64)
+    for k in range(n):
+        codes = (codes + points[k : k + len(codes)]) * _M1
+        codes ^= codes >> np.uint64(29)
+    return codes
+
+
 def _spread(low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """The integers of [low, high) for each pair, end to end."""
     n = high - low
     return np.arange(n.sum()) + np.repeat(low - (np.cumsum(n) - n), n)
 
 
+class _Short:
+    """Items of one length that is less than a q-gram's; they are found as they stand."""
+
+    def __init__(self, items: list[int], texts: list[str]):
+        self.size = len(texts[items[0]])
+        codes = _runs(_points("".join(texts[i] for i in items)), self.size)[:: self.size]
+        order = np.argsort(codes, kind="stable")
+        self.codes, self.items = codes[order], np.array(items)[order]
+
+    def found(self, texts: list[str], names: list[str], points: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(text, item) of each item that is in a text; `points` are the texts end to end."""
+        codes = _runs(points, self.size)
+        low = np.searchsorted(self.codes, codes)
+        hits = np.flatnonzero(self.codes[np.minimum(low, len(self.codes) - 1)] == codes)
+        doc = np.searchsorted(ends, hits, "right")
+        inside = hits + self.size <= ends[doc]
+        low, doc, hits = low[hits][inside], doc[inside], hits[inside]
+        both, first = np.unique(doc * len(self.codes) + low, return_index=True)
+        places = hits[first] - np.append(0, ends)[doc[first]]
+        beyond = np.searchsorted(self.codes, self.codes[both % len(self.codes)], "right")
+        for k, a, b, place in zip((both // len(self.codes)).tolist(), (both % len(self.codes)).tolist(), beyond.tolist(), places.tolist(), strict=True):
+            for i in self.items[a:b].tolist():
+                if texts[k].startswith(names[i], place) or names[i] in texts[k]:
+                    yield k, i
+
+
 class Index:
     """The q-grams of a block of benchmark items."""
 
@@ -76,7 +112,7 @@ class Index:
         self.edits = np.minimum(edits * self.window // window, np.maximum(self.window // q - 1, 0))
         self.least = np.maximum(self.window + 1 - q * (self.edits + 1), 1)
         self.widest = int(edits)
-        self.short = [i for i, n in enumerate(sizes) if n < q]
+        self.short = [_Short(np.flatnonzero(sizes == n).tolist(), self.texts) for n in np.unique(sizes[sizes < q]).tolist()]
         self.points = [_points(t) for t in self.texts]
         codes, item, at = [], [], []
         for i, text in enumerate(self.texts):
@@ -97,9 +133,12 @@ class Index:
 
     def matches(self, texts: list[str]) -> list[tuple[int, int, int, int]]:
         """(text, item, verified windows, fewest edits) of normalised texts."""
-        found = [(k, i, 1, 0) for i in self.short for k, text in enumerate(texts) if self.texts[i] in text]
         parts = [_folded(t) for t in texts]
         ends = np.cumsum([len(p) for p in parts])
+        found: list[tuple[int, int, int, int]] = []
+        if self.short and texts:
+            points = np.concatenate([_points(t) for t in texts])
+            found = [(k, i, 1, 0) for short in self.short for k, i in short.found(texts, self.texts, points, ends)]
         n = int(ends[-1]) - self.q + 1 if len(parts) else 0
         if n <= 0 or not len(self.codes):
             return found
@@ -252,6 +291,17 @@ class Index:
         return least
 
 
+_LAST: dict[str, Index] = {}
+
+
+def _built(name: str, items: list[tuple[object, str]], window: int, edits: int, q: int) -> Index:
+    """The index of a block, made once in each Python worker, which keeps its last one."""
+    if name not in _LAST:
+        _LAST.clear()
+        _LAST[name] = Index(items, window, edits, q)
+    return _LAST[name]
+
+
 def _blocks(benchmark: DataFrame, block_chars: int) -> Iterator[list[tuple[object, str]]]:
     """The items in blocks of about `block_chars` characters, dealt by a hash of the id."""
     items = benchmark.select("item_id", "text").where(F.col("text").isNotNull())
@@ -278,10 +328,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, edits: in
     schema = f"doc_id {kinds['doc_id']}, item_id {item_kind}, n_windows bigint, min_edits bigint"
     found = None
     for items in _blocks(benchmark, block_chars):
-        shared = context.broadcast(items)
+        shared, name = context.broadcast(items), uuid.uuid4().hex
 
-        def batches(parts: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = Index(shared.value, window, edits, q)
+        def batches(parts: Iterator[pa.RecordBatch], shared=shared, name=name) -> Iterator[pa.RecordBatch]:
+            index = _built(name, shared.value, window, edits, q)
             out = None
             for batch in slices(parts, "text", SLICE_BYTES):
                 rows = index.matches([normalise(x.as_py()) for x in batch.column("text")])
@@ -303,10 +353,10 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, e
     context = docs.sparkSession.sparkContext
     kept = docs
     for items in _blocks(benchmark, block_chars):
-        shared = context.broadcast(items)
+        shared, name = context.broadcast(items), uuid.uuid4().hex
 
-        def batches(parts: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = Index(shared.value, window, edits, q)
+        def batches(parts: Iterator[pa.RecordBatch], shared=shared, name=name) -> Iterator[pa.RecordBatch]:
+            index = _built(name, shared.value, window, edits, q)
             for batch in slices(parts, "text", SLICE_BYTES):
                 clean = np.ones(batch.num_rows, bool)
                 clean[[r[0] for r in index.matches([normalise(x.as_py()) for x in batch.column("text")])]] = False
