@@ -13,7 +13,8 @@ common prefix among the suffixes scanned in between.
 Queues hold a bounded number of bytes in memory and append the rest to files,
 and long texts are mapped from disk. On the byte level a bucket is scanned in
 NumPy blocks; the levels below, with their large alphabets, group characters
-into classes for the queue.
+into classes for the queue, or are induced within one list of buckets if that
+fits into the memory.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ import numpy as np
 
 #: Rows that are scanned at once.
 BLOCK = 1 << 18
+#: Bytes of a level below the bytes, for each of its suffixes, by which it is told whether it fits into memory.
+ROW = 64
 
 
 class BucketQueue:
@@ -127,32 +130,61 @@ def s_types(text: np.ndarray) -> np.ndarray:
 def lms_names(text: np.ndarray, lms: np.ndarray) -> np.ndarray:
     """Names of the LMS substrings in text order; names are ordered as the substrings are.
 
-    Refines ranks character by character. A substring that ends counts as
-    greater than one that goes on, since its last character is of type S.
+    Refines ranks by as many characters at once as a word holds. A substring
+    that ends counts as greater than one that goes on, since its last character
+    is of type S.
     """
     m = len(lms)
     length = np.append(np.diff(lms) + 1, 1)
     top = int(text.max()) + 1
+    bits = top.bit_length()
+    at_once = 63 // bits
     rank = np.zeros(m, np.int64)
     active, depth = np.arange(m), 0
     while len(active):
-        ended = length[active] == depth
-        char = np.full(len(active), top, np.int64)
-        char[~ended] = text[lms[active[~ended]] + depth]
-        order = np.lexsort((char, rank[active]))
-        active, char, ended = active[order], char[order], ended[order]
+        begin, size = lms[active], length[active]
+        word = np.zeros(len(active), np.int64)
+        for k in range(depth, depth + at_once):
+            char = text[np.minimum(begin + k, len(text) - 1)].astype(np.int64)
+            word = (word << bits) | np.where(k < size, char, top)
+        order = np.lexsort((word, rank[active])) if depth else np.argsort(word, kind="stable")
+        depth += at_once
+        active, word, ended = active[order], word[order], size[order] < depth
         before = rank[active]
         first_of_bucket = np.concatenate([[True], before[1:] != before[:-1]])
-        first = first_of_bucket | np.concatenate([[True], char[1:] != char[:-1]])
+        first = first_of_bucket | np.concatenate([[True], word[1:] != word[:-1]])
         spot = np.arange(len(active))
         within = spot - np.maximum.accumulate(np.where(first_of_bucket, spot, 0))
-        rank[active] = before + np.maximum.accumulate(np.where(first, before + within, 0)) - before
+        rank[active] = np.maximum.accumulate(np.where(first, before + within, 0))
         alone = first & np.append(first[1:], True)
         active = active[~(ended | alone)]
-        depth += 1
     return rank
 
 
+def in_place(text: np.ndarray, types: np.ndarray, seeds: np.ndarray, n_chars: int) -> np.ndarray:
+    """Positions of all suffixes in order, induced from the sorted LMS suffixes `seeds` within one list of buckets."""
+    n = len(text)
+    counts = np.bincount(text, minlength=n_chars)
+    ends = np.cumsum(counts)
+    by_char = seeds[np.argsort(text[seeds], kind="stable")]
+    of_char = np.bincount(text[seeds], minlength=n_chars)
+    slots = np.full(n, -1)
+    slots[np.arange(len(seeds)) + np.repeat(ends - np.cumsum(of_char), of_char)] = by_char  # at their buckets' ends
+    order = slots.tolist()
+    for down in (False, True):
+        bucket = np.full(n + 1, -1)  # that of the left neighbour if it is of the type to induce; the last is for empty slots
+        bucket[1:n] = np.where(types[:-1] == down, text[:-1], -1)
+        target = bucket.tolist()
+        free = (ends - 1 if down else ends - counts).tolist()
+        step = -1 if down else 1
+        for i in reversed(order) if down else order:  # filled ahead of where it is read
+            c = target[i]
+            if c >= 0:
+                order[free[c]] = i - 1
+                free[c] += step
+    return np.array(order, np.int64)
+
+
 def suffix_order(text: np.ndarray, folder: str, memory: int) -> np.ndarray:
     """Positions of all suffixes in order, for integers of any size; the last one is a unique least sentinel."""
     n = len(text)
@@ -163,6 +195,8 @@ def suffix_order(text: np.ndarray, folder: str, memory: int) -> np.ndarray:
     types = s_types(text)
     lms = np.flatnonzero(types[1:] & ~types[:-1]) + 1
     sources = lms[suffix_order(lms_names(text, lms), folder, memory)] if len(lms) > 1 else lms
+    if n * ROW <= memory:
+        return in_place(text, types, sources, len(distinct))
     per_class = max(1, -(-len(distinct) // 1024))
     chars = text.tolist()
     classes_of = (text // per_class).tolist()

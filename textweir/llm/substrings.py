@@ -27,7 +27,7 @@ LENGTH = 100
 #: Bytes of the k-grams that serve as anchors.
 GRAM = 24
 #: Bytes of text whose anchors are worked out at once.
-PIECE = 1 << 20
+PIECE = 1 << 18
 #: Ranges of windows by which segments are trimmed.
 RANGES = 8
 #: Windows of an anchor's distinct segments that are sorted together; they make up about a chunk.
