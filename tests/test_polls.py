@@ -1,6 +1,7 @@
 """Polls, mirrors and the command line on small trees."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -90,6 +91,40 @@ def test_mirror_gives_up(spark, tmp_path):
     assert sum("not tried" in e for e in told) == 9 - mirror.MAX_ERRORS
 
 
+def test_mirror_compares_blocks(spark, tmp_path):
+    """Files of one size with an older, equal mirror are left alone; of others only what differs is read from the source."""
+    ours, theirs = tmp_path / "ours", tmp_path / "theirs"
+    texts = {"same": ("abcdefgh", "abcdefgh"), "differs": ("abcdXfgh", "abcdefgh"), "longer": ("abcdefghij", "abcdefgh"), "shorter": ("abcd", "abcdefgh"), "empty": ("", "abc"), "new": ("abc", None), "younger": ("abcd", "xxxx")}
+    for folder, k in ((ours, 0), (theirs, 1)):
+        folder.mkdir()
+        for name, both in texts.items():
+            if both[k] is not None:
+                (folder / name).write_text(both[k])
+                os.utime(folder / name, (2000, 2000) if k == 0 or name == "younger" else (1000, 1000))
+
+    def rows(folder):
+        found = [(p.name, str(p), p.stat().st_size, p.stat().st_mtime_ns // 1000) for p in sorted(folder.iterdir())]
+        return spark.createDataFrame(found, "name string, path string, size bigint, mtime bigint")
+
+    found = mirror.changes(rows(ours), rows(theirs), size=4)
+    assert dict(listed(found.select("name", "blocks"), "name")) == {"differs": [1], "longer": [2], "shorter": [], "empty": [0], "new": None}
+    told = mirror.patched(found, F.concat(F.lit(f"{theirs}/"), "name"), 4).collect()
+    assert len(told) == 5 and not any(r["error"] for r in told)
+    assert {n: (theirs / n).read_text() for n in texts} == {n: "xxxx" if n == "younger" else a for n, (a, _) in texts.items()}
+    assert (theirs / "same").stat().st_mtime == 1000
+    assert not mirror.changes(rows(ours), rows(theirs), size=4).count()
+    assert not mirror.changes(rows(ours).limit(0), rows(theirs)).count()
+
+
+def test_patch_reads_what_differs(tmp_path):
+    new, old = tmp_path / "new", tmp_path / "old"
+    for mtime, want in ((None, "----ef"), (7, "abcdef")):  # a source of another time than listed is copied whole
+        new.write_text("abcdef")
+        old.write_text("----xx")
+        mirror.patch_whole(str(new), str(old), [1], new.stat().st_mtime_ns // 1000 if mtime is None else mtime, 4)
+        assert old.read_text() == want
+
+
 def test_command_line(spark, tmp_path, capsys):
     root, at = tmp_path / "root", str(tmp_path / "index")
     for name, body in (("a", "red fox and red hen"), ("b", "blue fox")):
