@@ -125,6 +125,35 @@ def test_words_of_repeated_ids(spark):
 def test_no_rows(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert substrings.deduplicate(empty).count() == 0 and recompression.remove_repeats(empty).count() == 0
+    assert simhash.near_duplicates(empty).count() == 0
+
+
+def test_long_texts(spark):
+    """Texts of several pieces, which share all but a few words at other places, beside a short one."""
+    own = random.Random(5)
+    words = ["".join(own.choices("abcdefgh", k=own.randrange(2, 9))) for _ in range(90_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(["at", "first", *words[:50_000], "new", *words[50_060:]])), (3, " ".join(words[70_000:70_100]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    strings, runs, want = set(), set(), {}
+    for k, text in rows:
+        data, each = text.encode(), text.split()
+        gone, lost = np.zeros(len(data), bool), np.zeros(len(each), bool)
+        for i in range(len(data) - 99):
+            if data[i : i + 100] in strings:
+                gone[i : i + 100] = True
+            strings.add(data[i : i + 100])
+        windows = [" ".join(each[i : i + 50]) for i in range(len(each) - 49)]
+        for i, w in enumerate(windows):
+            if w in runs:
+                lost[i : i + 50] = True
+        runs.update(windows)
+        left = " ".join(w for w, x in zip(each, lost, strict=True) if not x)
+        want[k] = (int(gone.sum()), hashlib.sha256(bytes(np.frombuffer(data, np.uint8)[~gone])).hexdigest(), int(lost.sum()), hashlib.sha256(left.encode()).hexdigest(), f"{simhash.fingerprint(text):016x}")
+    got = {r["doc_id"]: (r["n_removed"], r["kept_sha256"]) for r in substrings.deduplicate(docs).collect()}
+    assert got == {k: w[:2] for k, w in want.items()} and got[2][0] > 200_000
+    got = {r["doc_id"]: (r["n_removed"], r["kept_sha256"]) for r in recompression.remove_repeats(docs).collect()}
+    assert got == {k: w[2:4] for k, w in want.items()}
+    assert {r["doc_id"]: r["fingerprint"] for r in simhash.near_duplicates(docs).collect()} == {k: w[4] for k, w in want.items()}
 
 
 @pytest.mark.parametrize("hot", [recompression.HOT, 20])

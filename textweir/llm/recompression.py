@@ -261,7 +261,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
 
     Null and empty texts have no words. Rows that repeat an id don't remove
     each other's words, as neither id is smaller; a row without an id comes
-    after all others. Columns other than doc_id and text are not read.
+    after all others. Texts of any length are read whole, one at a time; an
+    empty table gives no rows. Columns other than doc_id and text are not read.
     """
     scratch = Scratch(docs.sparkSession, "recompression")
     rows = identified(docs, scratch)

@@ -234,7 +234,8 @@ def search(docs: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     with all their terms, and those without an id or terms have no result.
     Rows of `docs` that share an id, or have none, are scored each; null and
     empty texts match nothing but count as rows. Scores are rounded to 6
-    decimals; ties go to the smaller doc_id. Other columns are not read.
+    decimals; ties go to the smaller doc_id. No rows, or no queries, give no
+    results. Other columns are not read.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "bm25")

@@ -86,7 +86,8 @@ def near_duplicates(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     most two differing bits. Null and wordless texts have fingerprint zero
     and are linked like any other; a row without an id gets its component's
     smallest id, or null if none has one; rows that repeat an id each count;
-    columns other than doc_id and text are not read.
+    texts of any length are read whole, one at a time; an empty table gives no
+    rows; columns other than doc_id and text are not read.
     """
     scratch = Scratch(docs.sparkSession, "simhash")
     made = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(_fingerprints, "doc_id bigint, fp bigint")

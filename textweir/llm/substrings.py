@@ -332,8 +332,9 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, bytes_too: bool = False,
 
     Null and empty texts have 0 bytes and the digest of nothing. Rows that
     repeat an id are documents of their own, in the order of a fixed row
-    number; rows without an id come after all others. Columns other than
-    doc_id and text are not read.
+    number; rows without an id come after all others. Texts of any length are
+    read whole, in pieces; of equal strings the earliest stays; an empty table
+    gives no rows. Columns other than doc_id and text are not read.
     """
     if length < GRAM + 1:
         raise ValueError(f"length must be above {GRAM}")
