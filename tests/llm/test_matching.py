@@ -422,3 +422,19 @@ def test_mix(spark):
     assert abs(share - 6 / 11) < 1 / 55 * 1.5
     assert mixing.mix(docs.limit(0)).count() == 0
     assert sorted(r["mix_position"] for r in mixing.mix(docs, block_rows=4).collect())[0] == 0
+
+
+def test_simhash_broadcasts_nothing(docs, monkeypatch):
+    """Exploded variants are 64 times what Spark takes them for, so no join may pass them through the driver."""
+    from textweir.llm.common import Scratch
+
+    plans, keep = [], Scratch.keep
+
+    def kept(self, df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(self, df, name)
+
+    monkeypatch.setattr(Scratch, "keep", kept)
+    made = simhash.near_duplicates(docs, 1)
+    plans.append(made._jdf.queryExecution().executedPlan().toString())
+    assert any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)

@@ -2,7 +2,8 @@
 
 Works on an edge table of any size: a round is a grouped minimum (partial
 aggregation first) and an equi-join, whose hot keys adaptive execution can
-split; no component and no adjacency list is ever gathered in one place.
+split; no component and no adjacency list is ever gathered in one place, and
+no side of a join is broadcast, as both grow with the edges.
 """
 
 from __future__ import annotations
@@ -30,10 +31,10 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     while before[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = both.where("b > a").join(least.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.where("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
+        small = large.join(least.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
         k += 1
         edges = scratch.keep(small.where("a <> b").distinct(), f"edges-{k}")
         scratch.drop(f"edges-{k - 1}")

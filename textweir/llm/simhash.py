@@ -10,6 +10,10 @@ copies) would give all pairs of the group. Its members take an exact way that
 needs no pairs: two fingerprints differ in at most two bits exactly if they
 have a point at distance one or less from both, so each is joined to the 65
 points around it, and a point has 65 fingerprints around it at most.
+
+All joins are shuffles at every size: what they join grows with the input, and
+Spark estimates exploded variants by the table they come from, a 64th of them,
+so it would broadcast them through the driver.
 """
 
 from __future__ import annotations
@@ -64,10 +68,10 @@ def links(fps: DataFrame, scratch: Scratch, bucket: int = BUCKET) -> DataFrame:
         "key", F.explode(F.expr(f"transform(sequence(0, 63), i -> shiftleft(cast(i as bigint), 32) | ({segment} & ~shiftleft(1L, pmod(i, 32))))"))
     )
     sizes = variants.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = scratch.keep(variants.join(sizes, "key"), "shared")
+    shared = scratch.keep(variants.join(sizes.hint("merge"), "key"), "shared")
     few = shared.where(F.col("n") <= bucket)
     a, b = few.select("key", F.col("fp").alias("a")), few.select("key", F.col("fp").alias("b"))
-    pairs = a.join(b, "key").where("a < b and bit_count(a ^ b) <= 2").select("a", "b")
+    pairs = a.join(b.hint("merge"), "key").where("a < b and bit_count(a ^ b) <= 2").select("a", "b")
     points = (
         shared.where(F.col("n") > bucket)
         .select("fp")
@@ -75,7 +79,7 @@ def links(fps: DataFrame, scratch: Scratch, bucket: int = BUCKET) -> DataFrame:
         .withColumn("point", F.explode(F.expr("concat(array(fp), transform(sequence(0, 63), i -> fp ^ shiftleft(1L, i)))")))
     )
     hubs = points.groupBy("point").agg(F.min("fp").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    stars = points.join(hubs, "point").where("fp <> b").select(F.col("fp").alias("a"), "b")
+    stars = points.join(hubs.hint("merge"), "point").where("fp <> b").select(F.col("fp").alias("a"), "b")
     return pairs.unionByName(stars).distinct()
 
 
@@ -94,12 +98,12 @@ def near_duplicates(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     made = scratch.keep(made, "fingerprints")
     fps = scratch.keep(made.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     linked = components(links(fps, scratch, bucket), scratch)
-    linked = scratch.keep(fps.join(linked.withColumnRenamed("node", "fp"), "fp"), "linked")
+    linked = scratch.keep(fps.join(linked.withColumnRenamed("node", "fp").hint("merge"), "fp"), "linked")
     roots = linked.groupBy("root").agg(F.min(F.coalesce("least", F.lit(NULL_ID))).alias("component"))
-    of_fp = fps.join(linked.join(roots, "root").select("fp", "component"), "fp", "left").select(
+    of_fp = fps.join(linked.join(roots.hint("merge"), "root").select("fp", "component").hint("merge"), "fp", "left").select(
         "fp", F.nullif(F.coalesce("component", "least"), F.lit(NULL_ID)).alias("component_id")
     )
-    return made.join(of_fp, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return made.join(of_fp.hint("merge"), "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
