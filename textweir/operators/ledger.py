@@ -24,9 +24,9 @@ def pending(found: DataFrame, processed: DataFrame, failed: DataFrame) -> DataFr
     return left.join(failed.select("url").distinct(), "url", "left_anti").select(found.columns)
 
 
-def first_seen(items: DataFrame, key: str, *order: str) -> DataFrame:
-    """The first item of each key in the given order."""
-    return items.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("_n = 1").drop("_n")
+def first_seen(items: DataFrame, key: str | tuple[str, ...], *order: str) -> DataFrame:
+    """The first item of each key, one column or several, in the given order."""
+    return items.withColumn("_n", F.row_number().over(Window.partitionBy(*([key] if isinstance(key, str) else key)).orderBy(*order))).where("_n = 1").drop("_n")
 
 
 def failure_runs(outcomes: DataFrame, key: str, ok: Column, *order: str) -> DataFrame:

@@ -22,6 +22,7 @@ def dated_items(pages: DataFrame, patterns: tuple[str, ...], heading: str = NO_H
     A page is split at its headings, so an item's heading is that of its part, or the last
     one before it that tells a day, or a month as `YYYY-MM`; items above the first such have no date of their own.
     """
+    pages = _dealt(pages)
     parts = F.split("html", f"(?s){heading}", -1)
     heads = F.concat(F.array(F.lit("")), F.regexp_extract_all("html", F.lit(f"(?s){heading}"), F.lit(1)))
     told = F.transform(heads, lambda h: F.coalesce(F.nullif(dates.loose_date(h), F.lit("")), dates.loose_month(h)))
@@ -38,8 +39,12 @@ def dated_items(pages: DataFrame, patterns: tuple[str, ...], heading: str = NO_H
         found = one if found is None else found.unionByName(one)
     for part in exclude:
         found = found.where(~F.contains("link", F.lit(part)))
-    found = found.withColumn("_key", F.struct("listing", "link"))
-    return first_seen(found, "_key", "_pattern", "_part", "_at").select("listing", "link", "title", "date")
+    return first_seen(found, ("listing", "link"), "_pattern", "_part", "_at").select("listing", "link", "title", "date")
+
+
+def _dealt(pages: DataFrame) -> DataFrame:
+    """Pages dealt over all partitions of a shuffle: the rows of a page are many times its size, and a scan of a small file is one task that would sort them all."""
+    return pages.repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), "listing", "url")
 
 
 URLSET = "url array<struct<loc:string,lastmod:string>>"
@@ -107,7 +112,7 @@ def listing_items(pages: DataFrame, patterns: tuple[str, ...], exclude: tuple[st
 
     The first occurrence of an absolute link in a listing wins.
     """
-    found = None
+    pages, found = _dealt(pages), None
     for k, pattern in enumerate(patterns):
         links, titles = (F.regexp_extract_all("html", F.lit(f"(?s){pattern}"), F.lit(g)) for g in (1, 2))
         part = pages.select("listing", "url", F.posexplode(F.arrays_zip(links.alias("a"), titles.alias("b"))).alias("_at", "_i"))
@@ -115,8 +120,7 @@ def listing_items(pages: DataFrame, patterns: tuple[str, ...], exclude: tuple[st
         found = part if found is None else found.unionByName(part)
     for part in exclude:
         found = found.where(~F.contains("link", F.lit(part)))
-    found = found.withColumn("_key", F.struct("listing", "link"))
-    return first_seen(found, "_key", "_pattern", "_at").select("listing", "link", "title")
+    return first_seen(found, ("listing", "link"), "_pattern", "_at").select("listing", "link", "title")
 
 
 ITEM = "struct<title:string,link:string,guid:string,pubDate:string,description:string,`content:encoded`:string,author:string,`dc:creator`:string>"
