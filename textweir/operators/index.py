@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textweir.operators.chunk import chunk_table
+from textweir.operators.chunk import chunk_table, sliced
 from textweir.operators.ledger import snapshot_diff
 from textweir.operators.search import tokens
 
@@ -18,6 +18,14 @@ CHUNKS = "chunk_id bigint, doc_id bigint, ord int, start_line int, end_line int,
 VECTORS = "chunk_id bigint, embedding array<float>"
 POSTINGS = "term string, chunk_id bigint, tf int, at array<int>"
 LENGTHS = "chunk_id bigint, terms int"
+#: Terms whose postings a task makes at once, whatever an Arrow batch holds.
+SLICE_TERMS = 1 << 20
+
+
+def by_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches in slices of at most `SLICE_TERMS` of the column `terms`, one row at least."""
+    for batch in batches:
+        yield from sliced(batch, np.diff(batch.column("terms").offsets.to_numpy()), SLICE_TERMS)
 
 
 def empty(spark: SparkSession) -> dict[str, DataFrame]:
@@ -59,7 +67,7 @@ def apply_sync(tables: dict[str, DataFrame], current: DataFrame) -> dict[str, Da
 
 
 def _posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in by_terms(batches):
         listed = batch.column("terms")
         sizes = np.diff(listed.offsets.to_numpy())
         flat = listed.flatten().dictionary_encode()
