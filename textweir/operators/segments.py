@@ -32,15 +32,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textweir.operators.chunk import chunked
-from textweir.operators.index import CHUNKS, DOCS, VECTORS, numbered, synced_docs
+from textweir.operators.index import CHUNKS, DOCS, VECTORS, by_terms, numbered, synced_docs
 from textweir.operators.search import K1, LEAST_IDF, POOL, B, Filters, Query, ranked, tokens
 from textweir.storage import Lease, create_once, listed, read_text, unpublished
 
 ATTRIBUTES = "chunk_id bigint, doc_id bigint, path string, corpus string, source string, date string, lines string"
 BLOCKS = "term string, slot bigint, n int, max_tf int, min_len int, total bigint, ids array<bigint>, tfs array<int>, lens array<int>, places array<array<int>>"
 VECTOR_BLOCKS = "cluster int, n int, radius double, centroid array<float>, ids array<bigint>, data binary"
-DEAD, MINUS = "owner string, chunk_id bigint, terms int", "owner string, term string, df bigint"
-TABLES = {"docs": DOCS, "chunks": CHUNKS, "attributes": ATTRIBUTES, "blocks": BLOCKS, "vectors": VECTORS, "near": f"block bigint, {VECTOR_BLOCKS}", "dead": DEAD, "minus": MINUS}
+DEAD, MINUS, CHANGES = "owner string, chunk_id bigint, terms int", "owner string, term string, df bigint", "doc_id bigint, change string"
+TABLES = {"docs": DOCS, "chunks": CHUNKS, "attributes": ATTRIBUTES, "blocks": BLOCKS, "vectors": VECTORS, "near": f"block bigint, {VECTOR_BLOCKS}", "dead": DEAD, "minus": MINUS, "changes": CHANGES}
 #: Chunk ids are numbered within documents below this; a slot holds the chunks of 256 documents.
 OF_ONE, SLOT_BITS = 1 << 20, 28
 #: Segments of one level that are merged.
@@ -49,6 +49,8 @@ TIER = 4
 FIRST, RANGES, NAMED = 32, 64, 4096
 #: Vectors that centroids are fitted to, centroids at most, rounds, and vectors of a block.
 SAMPLE, CENTROIDS, ROUNDS, BLOCK = 8192, 256, 8, 256
+#: Bytes of text whose blocks are sorted together.
+PART_BYTES = 16 << 20
 
 
 class Conflict(RuntimeError):
@@ -117,51 +119,43 @@ def publish(index: Index, segments: list[dict], lease: Lease | None = None) -> I
 # --- writing ---
 
 
-def _posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each term of each chunk: how often and where it stands, and how long the chunk is."""
-    for batch in batches:
-        found = batch.column("terms")
-        sizes = np.diff(found.offsets.to_numpy())
-        coded = found.flatten().dictionary_encode()
-        row = np.repeat(np.arange(len(sizes)), sizes)
-        place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        code = coded.indices.to_numpy().astype(np.int64)
-        key = row * max(1, len(coded.dictionary)) + code
-        order = np.argsort(key, kind="stable")
-        first = np.flatnonzero(np.r_[True, np.diff(key[order]) != 0]) if len(order) else order
-        ends = np.r_[first, len(order)].astype(np.int32)
-        at = order[first]
-        columns = [
-            coded.dictionary.take(pa.array(code[at])), batch.column("chunk_id").take(pa.array(row[at])), pa.array(np.diff(ends)),
-            pa.array(sizes[row[at]].astype(np.int32)), pa.ListArray.from_arrays(pa.array(ends), pa.array(place[order].astype(np.int32))),
-        ]
-        yield pa.RecordBatch.from_arrays(columns, names=["term", "chunk_id", "tf", "len", "at"])
-
-
 def _blocked(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
-    """Sorted postings put together by term and slot; a block that batches cut is two."""
-    for batch in batches:
-        if not batch.num_rows:
+    """Postings of chunks (chunk_id, terms) in order of ids, a slice of terms at a time: a row for each term and slot of it."""
+    for batch in by_terms(batches):
+        found = batch.column("terms")
+        sizes = np.diff(found.offsets.to_numpy()).astype(np.int32)
+        if not sizes.sum():
             continue
         ids = batch.column("chunk_id").to_numpy()
-        code = batch.column("term").dictionary_encode().indices.to_numpy()
-        slot = ids >> bits
-        first = np.flatnonzero(np.r_[True, (np.diff(code) != 0) | (np.diff(slot) != 0)])
-        ends = pa.array(np.r_[first, len(ids)].astype(np.int32))
-        tf, size = batch.column("tf").to_numpy(), batch.column("len").to_numpy()
+        coded = found.flatten().dictionary_encode()
+        code = coded.indices.to_numpy()
+        row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        place = np.arange(len(row), dtype=np.int32) - np.repeat((np.cumsum(sizes) - sizes).astype(np.int32), sizes)
+        order = np.argsort(code, kind="stable")
+        code, row = code[order], row[order]
+        # Postings, and blocks of them.
+        first = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (row[1:] != row[:-1])])
+        of_posting, slot = code[first], ids[row[first]] >> bits
+        ends = np.r_[first, len(code)].astype(np.int32)
+        tf, size = np.diff(ends), sizes[row[first]]
+        head = np.flatnonzero(np.r_[True, (of_posting[1:] != of_posting[:-1]) | (slot[1:] != slot[:-1])])
+        cuts = np.r_[head, len(first)].astype(np.int32)
+        lists = (pa.array(ids[row[first]]), pa.array(tf), pa.array(size), pa.ListArray.from_arrays(pa.array(ends), pa.array(place[order])))
         columns = [
-            batch.column("term").take(pa.array(first)), pa.array(slot[first]), pa.array(np.diff(np.r_[first, len(ids)]).astype(np.int32)),
-            pa.array(np.maximum.reduceat(tf, first)), pa.array(np.minimum.reduceat(size, first)), pa.array(np.add.reduceat(tf.astype(np.int64), first)),
-            *(pa.ListArray.from_arrays(ends, batch.column(c)) for c in ("chunk_id", "tf", "len", "at")),
+            coded.dictionary.take(pa.array(of_posting[head])), pa.array(slot[head]), pa.array(np.diff(cuts)),
+            pa.array(np.maximum.reduceat(tf, head)), pa.array(np.minimum.reduceat(size, head)), pa.array(np.add.reduceat(tf.astype(np.int64), head)),
+            *(pa.ListArray.from_arrays(pa.array(cuts), c) for c in lists),
         ]
         yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in BLOCKS.split(", ")])
 
 
-def blocks(chunks: DataFrame, bits: int = SLOT_BITS) -> DataFrame:
-    """Postings of chunks (chunk_id, text) in blocks, sorted by term and slot with one shuffle."""
-    terms = chunks.select(F.col("chunk_id").cast("bigint").alias("chunk_id"), F.coalesce(tokens(F.col("text")), F.array().cast("array<string>")).alias("terms"))
-    posted = terms.mapInArrow(_posted, "term string, chunk_id bigint, tf int, len int, at array<int>")
-    return posted.repartitionByRange("term", "chunk_id").sortWithinPartitions("term", "chunk_id").mapInArrow(lambda b: _blocked(b, bits), BLOCKS)
+def blocks(chunks: DataFrame, bits: int = SLOT_BITS, size: int = 0) -> DataFrame:
+    """Postings of chunks (chunk_id, text) in blocks. The chunks of a slot are brought together, about `PART_BYTES` of the `size` bytes of all texts in a part; only blocks are sorted, part by part, by term and slot."""
+    slot = F.shiftright(F.col("chunk_id").cast("bigint"), bits)
+    parts = max(1, -(-size // PART_BYTES), min(size >> 20, chunks.sparkSession.sparkContext.defaultParallelism))
+    dealt = chunks.select(F.col("chunk_id").cast("bigint").alias("chunk_id"), "text").repartition(parts, slot).sortWithinPartitions("chunk_id")
+    terms = dealt.select("chunk_id", F.coalesce(tokens(F.col("text")), F.array().cast("array<string>")).alias("terms"))
+    return terms.mapInArrow(lambda b: _blocked(b, bits), BLOCKS).sortWithinPartitions("term", "slot")
 
 
 def centroids(vectors: DataFrame) -> np.ndarray:
@@ -220,18 +214,29 @@ def _matrix(embedding: pa.Array) -> np.ndarray:
     return embedding.flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(len(embedding), -1)
 
 
-def written(index: Index, name: str, level: int, tables: dict[str, DataFrame], vectors: DataFrame | None = None) -> dict:
-    """Write a segment from its docs, chunks and attributes; what the manifest tells of it."""
+def _kept(index: Index, name: str, table: str, rows: DataFrame) -> DataFrame:
+    """Write a table of a segment and return it as read back."""
+    at = f"{index.root}/{table}/segment={name}"
+    rows.write.mode("overwrite").option("compression", "zstd").parquet(at)
+    return index.spark.read.schema(TABLES[table]).parquet(at)
+
+
+Rows = Callable[[dict[str, DataFrame]], DataFrame]
+
+
+def written(index: Index, name: str, level: int, tables: dict[str, DataFrame | Rows], vectors: DataFrame | None = None) -> dict:
+    """Write a segment from its docs, chunks and attributes; what the manifest tells of it. A table may be given as a function of those before it, as they are read back."""
 
     def keep(table: str, rows: DataFrame) -> DataFrame:
-        at = f"{index.root}/{table}/segment={name}"
-        rows.write.mode("overwrite").option("compression", "zstd").parquet(at)
-        return index.spark.read.schema(TABLES[table]).parquet(at)
+        return _kept(index, name, table, rows)
 
-    kept = {t: keep(t, rows) for t, rows in tables.items()}
+    kept: dict[str, DataFrame] = {}
+    for t, rows in tables.items():
+        kept[t] = keep(t, rows if isinstance(rows, DataFrame) else rows(kept))
     chunks = kept["chunks"]
-    posted = keep("blocks", blocks(chunks, index.slot_bits))
-    told = {"name": name, "level": level, "tables": [*tables, "blocks"], "dead": 0, "dead_terms": 0, "chunks": chunks.count(), "terms": posted.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]}
+    n, size = chunks.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    posted = keep("blocks", blocks(chunks, index.slot_bits, size))
+    told = {"name": name, "level": level, "tables": [*tables, "blocks"], "dead": 0, "dead_terms": 0, "chunks": n, "terms": posted.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]}
     if vectors is not None:
         keep("near", vector_blocks(keep("vectors", vectors)))
         told["tables"] += ["vectors", "near"]
@@ -262,14 +267,16 @@ def sync(index: Index, now: DataFrame, chunker: Chunker = chunked, model: Model
     that a merge takes up are read beside `docs` and `dead`.
     """
     known = index.docs().drop("segment")
-    docs = synced_docs(known, now)
-    fresh = docs.where("change <> 'keep'")
-    kept = docs.where("change = 'keep'").select("doc_id")
-    gone = index.docs().select("segment", "doc_id").join(kept, "doc_id", "left_anti")
     name = _name(0)
+    # Written once, without texts, so that these are read and moved for new and changed documents alone.
+    changes = _kept(index, name, "changes", synced_docs(known, now.select(*known.columns)).select("doc_id", "change"))
+    fresh = now.join(changes.where("change <> 'keep'").select("doc_id").hint("shuffle_hash"), "doc_id", "left_semi")
+    kept = changes.where("change = 'keep'").select("doc_id")
+    gone = index.docs().select("segment", "doc_id").join(kept, "doc_id", "left_anti")
     made = chunker(fresh)
     made = made.select((F.col("doc_id") * OF_ONE + F.col("ord")).alias("chunk_id"), "doc_id", "ord", "start_line", "end_line", "text")
-    told = written(index, name, 0, {"docs": fresh.select(*known.columns), "chunks": made.sortWithinPartitions("chunk_id"), "attributes": attributes(fresh, made)})
+    told = written(index, name, 0, {"docs": fresh.select(*known.columns), "chunks": made.sortWithinPartitions("chunk_id"), "attributes": lambda t: attributes(t["docs"], t["chunks"])})
+    told["tables"].append("changes")
     if model is not None:
         chunks = index.spark.read.parquet(f"{index.root}/chunks/segment={name}").join(fresh.select("doc_id", "title", "chunker"), "doc_id")
         title = F.when(F.col("chunker") == "digest", "").otherwise(F.col("title")).alias("title")
@@ -283,7 +290,8 @@ def sync(index: Index, now: DataFrame, chunker: Chunker = chunked, model: Model
         # A document without chunks leaves its number.
         bare = gone.select(F.col("segment").alias("owner"), (F.col("doc_id") * OF_ONE + OF_ONE - 1).alias("chunk_id"), F.lit(-1).alias("terms"))
         lost.select("owner", "chunk_id", "terms").unionByName(bare).write.mode("overwrite").parquet(f"{index.root}/dead/segment={name}")
-        lost.select("owner", F.explode("of").alias("term")).groupBy("owner", "term").agg(F.count(F.lit(1)).alias("df")).write.mode("overwrite").parquet(f"{index.root}/minus/segment={name}")
+        # An outer one, as Spark would filter on a plain one's terms before the join, and so make those of all chunks.
+        lost.select("owner", F.explode_outer("of").alias("term")).where("term is not null").groupBy("owner", "term").agg(F.count(F.lit(1)).alias("df")).write.mode("overwrite").parquet(f"{index.root}/minus/segment={name}")
         told["tables"] += ["dead", "minus"]
         sums = index.spark.read.schema(DEAD).parquet(f"{index.root}/dead/segment={name}").where("terms >= 0").groupBy("owner").agg(F.count(F.lit(1)).alias("dead"), F.sum("terms").alias("terms"))
         by_owner = {r["owner"]: r for r in sums.collect()}  # a row for each segment
@@ -304,7 +312,8 @@ def merged(index: Index, lease: Lease | None = None, tier: int = TIER) -> Index:
             some = Index(index.spark, index.root, index.version, tuple(own), index.slot_bits)
             names = [s["name"] for s in own]
             rows = {t: index.alive(some.table(t)).drop("segment") for t in ("chunks", "attributes")}
-            rows = {"docs": index.docs().where(F.col("segment").isin(names)).drop("segment")} | {t: r.repartitionByRange("chunk_id").sortWithinPartitions("chunk_id") for t, r in rows.items()}
+            by_slot = F.shiftright("chunk_id", index.slot_bits)
+            rows = {"docs": index.docs().where(F.col("segment").isin(names)).drop("segment")} | {t: r.repartition(by_slot).sortWithinPartitions("chunk_id") for t, r in rows.items()}
             vectors = index.alive(some.table("vectors")).drop("segment") if any("vectors" in s["tables"] for s in own) else None
             name = _name(level + 1)
             told = written(index, name, level + 1, rows, vectors)
