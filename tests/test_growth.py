@@ -76,3 +76,18 @@ def test_rows_of_listings_are_dealt(spark):
         dealt = next(k for k, line in enumerate(plan) if "RepartitionByExpression" in line)
         assert dealt > max(k for k, line in enumerate(plan) if "Generate" in line)  # below what makes the rows
         assert made.count() == 200 * 50
+
+
+def test_one_list_makes_only_that_list(spark, sf, monkeypatch):
+    """A search of one mode doesn't run the other's jobs."""
+    from textweir.plans import search_queries
+
+    def never(*_, **__):
+        raise AssertionError("the other list was made")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(search_queries.segments, "keyword_rank", never)
+        assert search_queries.vector_mode_search(spark, sf).count() == 10
+    with monkeypatch.context() as patch:
+        patch.setattr(search_queries.segments, "vector_rank", never)
+        assert search_queries.keyword_mode_search(spark, sf).count() == 10

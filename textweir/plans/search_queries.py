@@ -85,8 +85,12 @@ def vector_search_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segments.vector_rank(indexed(spark, sf_dir), query_vector(spark, sf_dir), FILTERS).select("chunk_id", "path", "similarity", "vec_rank")
 
 
+def _vector_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segments.vector_rank(indexed(spark, sf_dir), query_vector(spark, sf_dir), S.Filters())
+
+
 def _lists(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return keyword_rank(spark, sf_dir, HYBRID), segments.vector_rank(indexed(spark, sf_dir), query_vector(spark, sf_dir), S.Filters())
+    return keyword_rank(spark, sf_dir, HYBRID), _vector_list(spark, sf_dir)
 
 
 def hybrid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,11 +107,11 @@ def rank_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyword_mode_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.assemble(S.fuse(_lists(spark, sf_dir)[0], None), pins=0)
+    return S.assemble(S.fuse(keyword_rank(spark, sf_dir, HYBRID), None), pins=0)
 
 
 def vector_mode_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.assemble(S.fuse(None, _lists(spark, sf_dir)[1]), pins=0)
+    return S.assemble(S.fuse(None, _vector_list(spark, sf_dir)), pins=0)
 
 
 def search_snippet(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,7 +126,7 @@ def chunked(spark: SparkSession, sf_dir: str) -> segments.Index:
         docs = corpus(spark, sf_dir)
         parts = chunk_table(spread(docs)).select((F.col("doc_id") * CHUNKS_OF_ONE + F.col("ord")).alias("chunk_id"), "doc_id", "ord", "start_line", "end_line", "text")
         vectors = table(spark, sf_dir, "embeddings").select((F.col("vec_id") * CHUNKS_OF_ONE).alias("chunk_id"), "embedding")
-        return segments.publish(empty, [segments.written(empty, "chunked", 0, {"chunks": parts, "attributes": segments.attributes(docs, parts)}, vectors)])
+        return segments.publish(empty, [segments.written(empty, "chunked", 0, {"chunks": parts, "attributes": lambda t: segments.attributes(docs, t["chunks"])}, vectors)])
 
     return _index(spark, sf_dir, "chunks", make)
 
