@@ -7,6 +7,8 @@ import time
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -292,6 +294,54 @@ def test_search_in_blocks(spark, sf, monkeypatch):
     assert sorted(map(tuple, queries.op9_topk_search(spark, sf).collect())) == whole
 
 
+def bm25(texts, asked):
+    """Scores of all texts for the set of terms of each query, by a plain matrix."""
+    n, words = len(texts), {w: k for k, w in enumerate(sorted({w for t in texts for w in t.split()}))}
+    tf = np.zeros((n, len(words)))
+    for i, t in enumerate(texts):
+        for w in t.split():
+            tf[i, words[w]] += 1
+    df, size = (tf > 0).sum(0), tf.sum(1, keepdims=True)
+    weight = np.maximum(np.log((n - df + 0.5) / (df + 0.5)), 1e-6) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * size / size.mean()))
+    return np.round(np.array([weight[:, [words[w] for w in set(t.split())]].sum(1) for t in asked]), 6), words, df
+
+
+@pytest.mark.parametrize("block, often, group, chunk, cells", [(64, 0.05, 256, 4096, 1 << 23), (4, 0.2, 3, 5, 1 << 23), (8, 0.01, 7, 50, 600), (2, 2.0, 9, 50, 1 << 23)])
+def test_search_by_groups(monkeypatch, block, often, group, chunk, cells):
+    for name, value in {"BLOCK": block, "OFTEN": often, "GROUP": group, "CHUNK": chunk, "CELLS": cells}.items():
+        monkeypatch.setattr(retrieval, name, value)
+    say = np.random.default_rng(1)
+    texts = [" ".join(f"{'ab'[i % 2]}{int(w)}" for w in say.zipf(1.3, 1 + i % 40) if w < 300) for i in range(300)] + ["a1 a2 b1"] * 30
+    asked = [t for t in texts[:60] if t] + ["a1 a2 b1"]
+    want, words, df = bm25(texts, asked)
+    idf = {w: max(math.log((len(texts) - df[k] + 0.5) / (df[k] + 0.5)), 1e-6) for w, k in words.items()}
+    held = [sorted(set(t.split())) for t in asked]
+    table = pa.table({"query_id": list(range(len(asked))), "size": [len(h) for h in held], "term": held, "idf": [[idf[w] for w in h] for h in held]})
+    mean = sum(len(t.split()) for t in texts) / len(texts)
+    floors, best = np.zeros(len(asked)), {}
+    for part in (range(0, 110), range(110, 330)):
+        index = retrieval.build_shard(list(part), [texts[i] for i in part])
+        shard = retrieval.Shard(index | {"terms": pa.array(index["terms"])}, mean, retrieval.Asked(table))
+        for query, docs, scores in shard.search(floors, 7):
+            for q, d, x in zip(query.tolist(), shard.ids[docs].tolist(), scores.tolist(), strict=True):
+                best.setdefault(q, []).append((-x, d))
+    for q, scores in enumerate(want):
+        assert sorted(best[q])[:7] == sorted((-x, d) for d, x in enumerate(scores.tolist()) if set(held[q]) & set(texts[d].split()))[:7]
+
+
+def test_search_of_many_long_queries(spark):
+    """8,000 texts against one another in one shard: one query at a time took longer than this allows."""
+    say = np.random.default_rng(2)
+    texts = [" ".join(f"w{w}" for w in row) for row in say.integers(0, 600, (8000, 150))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    began = time.monotonic()
+    got = retrieval.search(docs, docs.withColumnRenamed("doc_id", "query_id")).where("query_id % 1000 = 0").orderBy("query_id", "rank").collect()
+    assert time.monotonic() - began < 60
+    scores = bm25(texts, texts[::1000])[0]
+    want = [(q * 1000, d, x) for q in range(8) for x, d in sorted(((x, d) for d, x in enumerate(scores[q].tolist())), key=lambda p: (-p[0], p[1]))[:10]]
+    assert [(r["query_id"], r["doc_id"], r["score"]) for r in got] == want
+
+
 def test_repeats_match_sql(spark, sf):
     check(queries.op7_recompression_dedup(spark, sf), queries.ORACLE_SQL["op7_recompression_dedup"], sf)
 

@@ -6,15 +6,18 @@ from the shards, so every shard scores by the same weights and the merged
 result is that of one index.
 
 In a shard, documents are ordered by their commonest frequent term and their
-length, so that blocks of neighbours are alike, and each term keeps its
-largest weight in each block. A query sums these into a bound for each block,
-scores the most promising block first, and goes on only to blocks whose bound
-can still reach the k-th best score (the pivot test of block-max WAND, made
-for all blocks at once).
+length, so that blocks of neighbours are alike. The lists of a query's rarer
+terms are summed for each document. The terms of a share of the documents are a
+matrix, of which each block of documents keeps the largest weights: these and
+the largest of the sums bound a block, for many queries at once by a matrix
+product. Only runs of blocks whose bound can still reach the k-th best score of
+one of a group of queries are scored, by a product too (the pivot test of
+block-max WAND, made for all blocks at once).
 
 Queries come in blocks of bounded size. A block is sent to one shard in eight
 first; the k-th best score of each query there is a floor for the others, which
-prune by it and return only what reaches it.
+prune by it and return only what reaches it. A task's shards raise the floors
+for its next ones.
 """
 
 from __future__ import annotations
@@ -36,12 +39,16 @@ K1, B = 1.2, 0.75
 LEAST_IDF = 1e-6
 TOP = 10
 #: Bytes of text in a shard; documents in a block; terms of the queries that are searched at once.
-SHARD_BYTES, BLOCK, QUERY_TERMS = 24 << 20, 64, 1 << 20
+SHARD_BYTES, BLOCK, QUERY_TERMS = 24 << 20, 64, 1 << 21
 #: Frequent terms of a shard by which its documents are ordered.
 FREQUENT = 32
 DECIMALS = 6
-#: One shard in so many sets the floors; blocks that are scored at once.
-FIRST, STEP = 8, 128
+#: One shard in so many sets the floors.
+FIRST = 8
+#: A term of this share of a shard's documents is frequent; queries that are scored together, and bounded together; numbers in a matrix at most.
+OFTEN, GROUP, CHUNK, CELLS = 0.05, 256, 4096, 1 << 23
+#: What rounding may add to a score or take from it, and more; the least score of a match.
+SLACK, LEAST = 2 * 10.0**-DECIMALS, 1e-300
 
 TERM = re.compile(r"[^\W_]+")
 
@@ -125,69 +132,96 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield shard()
 
 
+class Asked:
+    """A block of queries: their ids, the numbers of their terms end to end, whose they are, and each term's word and weight."""
+
+    def __init__(self, found: pa.Table):
+        sizes, each = found["size"].to_numpy(), found["term"].combine_chunks().flatten().dictionary_encode()
+        self.ids = found["query_id"].to_numpy()
+        self.words = each.dictionary
+        self.terms = each.indices.to_numpy()
+        self.owner = np.repeat(np.arange(len(sizes)), sizes)
+        self.idf = np.zeros(len(self.words))
+        self.idf[self.terms] = found["idf"].combine_chunks().flatten().to_numpy()
+
+
 class Shard:
-    """An index ready to be searched, with weights by the global mean length."""
+    """An index ready to be searched, with the weights of the terms of a block of queries."""
 
-    def __init__(self, row: dict[str, object], mean: float):
+    def __init__(self, row: dict[str, object], mean: float, asked: Asked):
         self.ids = np.frombuffer(row["ids"], np.int64)
         lengths = np.frombuffer(row["lengths"], np.int32)
-        self.number = {t: k for k, t in enumerate(row["terms"])}
-        dfs = np.asarray(row["dfs"], np.int64)
-        self.doc = np.frombuffer(row["docs"], np.int32)
+        self.doc = np.frombuffer(row["docs"], np.int32).astype(np.intp)
         count = np.frombuffer(row["counts"], np.int32)
+        dfs = np.asarray(row["dfs"], np.int64)
+        starts = np.cumsum(dfs) - dfs
+        here = pa.compute.fill_null(pa.compute.index_in(asked.words, row["terms"]), -1).to_numpy()
+        idf = np.zeros(len(dfs))
+        idf[here[here >= 0]] = asked.idf[here >= 0]
         norm = K1 * (1 - B + B * lengths / mean) if mean else np.full(len(lengths), K1)
-        self.weight = count * (K1 + 1) / (count + norm[self.doc])
-        block = self.doc // BLOCK
+        self.weight = np.repeat(idf, dfs) * (count * (K1 + 1) / (count + norm[self.doc]))
         self.blocks = -(-len(self.ids) // BLOCK)
-        starts = np.cumsum(dfs) - dfs
-        change = np.zeros(len(self.doc), bool)
-        change[1:] = block[1:] != block[:-1]
-        change[starts] = True
-        self.head = np.flatnonzero(change)  # of each (term, block)
-        self.end = np.append(self.head[1:], len(self.doc))
-        self.block = block[self.head]
-        self.most = np.maximum.reduceat(self.weight, self.head) if len(self.head) else np.zeros(0)
-        self.first = np.searchsorted(self.head, np.append(starts, len(self.doc)))  # of each term
-
-    def search(self, numbers: np.ndarray, idf: np.ndarray, k: int, floor: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
-        """The k best (document, rounded score) of at least `floor` for terms of this shard; ties go to the smaller id."""
-        low, high = self.first[numbers], self.first[numbers + 1]
-        pair = _ranges(low, high)
-        weight = np.repeat(idf, high - low)
-        bound = np.bincount(self.block[pair], weight * self.most[pair], self.blocks)
-        order = np.argsort(-bound, kind="stable")
-        docs, scores = np.zeros(0, np.int64), np.zeros(0)
-        threshold, at = floor, 0
-        step = max(1, -(-k // BLOCK))
-        slot = np.full(self.blocks, -1)
-        margin = 2 * 10.0**-DECIMALS
-        while at < len(order) and bound[order[at]] > 0:
-            last = at + step
-            if at or floor:  # all that can still reach the threshold
-                last = at + int(np.searchsorted(-bound[order[at:]], -(threshold - margin), "right"))
-                if last == at:
-                    break
-                last = min(last, at + STEP)
-            chosen = order[at:last]
-            slot[:] = -1
-            slot[chosen] = np.arange(len(chosen))
-            here = slot[self.block[pair]] >= 0
-            p = pair[here]
-            rows = _ranges(self.head[p], self.end[p])
-            value = np.repeat(weight[here], self.end[p] - self.head[p]) * self.weight[rows]
-            doc = self.doc[rows]
-            local = slot[doc // BLOCK] * BLOCK + doc % BLOCK
-            total = np.bincount(local, value, len(chosen) * BLOCK)
-            matched = total > 0
-            total = np.round(total, DECIMALS)
-            hit = np.flatnonzero(matched & (total >= threshold))
-            docs = np.concatenate([docs, chosen[hit // BLOCK] * BLOCK + hit % BLOCK])
-            scores = np.concatenate([scores, total[hit]])
-            best = np.lexsort((self.ids[docs], -scores))[:k]
-            docs, scores = docs[best], scores[best]
-            threshold = max(floor, scores[-1]) if len(scores) == k else floor
-            at = last
-        return docs, scores
+        room = self.blocks * BLOCK
+        often = np.flatnonzero((dfs >= OFTEN * len(self.ids)) & (idf > 0))
+        often = often[np.argsort(-dfs[often], kind="stable")[: max(1, CELLS // max(room, CHUNK))]]
+        column = np.full(len(dfs), -1)
+        column[often] = np.arange(len(often))
+        at = _ranges(starts[often], starts[often] + dfs[often])
+        self.matrix = np.zeros((len(often), self.blocks, BLOCK))  # weights of frequent terms
+        self.matrix.reshape(len(often), room)[np.repeat(np.arange(len(often)), dfs[often]), self.doc[at]] = self.weight[at]
+        term = here[asked.terms]
+        query, term = asked.owner[term >= 0], term[term >= 0]
+        at, every = column[term], np.arange(len(asked.ids) + 1)
+        self.query, self.column = query[at >= 0], at[at >= 0]
+        self.frequent = np.searchsorted(self.query, every)  # of each query, its frequent terms
+        rare = term[at < 0]
+        self.low, self.high = starts[rare], starts[rare] + dfs[rare]
+        self.lists = np.searchsorted(query[at < 0], every)  # of each query, its other terms
+
+    def search(self, floors: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(query, document, rounded score) of the k best of at least `floors`, which rise by what is found; ties go to the smaller id."""
+        most = self.matrix.max(2)
+        norm = np.maximum(np.linalg.norm(most, axis=0), LEAST)
+        group = min(GROUP, max(1, CELLS // (self.blocks * BLOCK)))
+        chunk = min(CHUNK, max(1, CELLS // self.blocks))
+        for first in range(0, len(floors), chunk):
+            part = slice(self.frequent[first], self.frequent[min(first + chunk, len(floors))])
+            has = np.zeros((min(chunk, len(floors) - first), len(most)))
+            has[self.query[part] - first, self.column[part]] = 1
+            upper = has @ most
+            order = np.argsort(np.argmax(upper / norm, axis=1), kind="stable")  # queries with the same best block are alike
+            for start in range(0, len(order), group):
+                some = order[start : start + group]
+                asked = some + first
+                query, docs, scores, rank = self._group(asked, has[some], upper[some], floors[asked], k)
+                floors[asked[query[rank == k - 1]]] = scores[rank == k - 1]
+                yield asked[query], docs, scores
+
+    def _group(self, asked: np.ndarray, has: np.ndarray, upper: np.ndarray, floors: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+        """(place in `asked`, document, rounded score, rank) of the k best for some queries."""
+        room = self.blocks * BLOCK
+        scores = np.empty((len(asked), room))
+        for i, query in enumerate(asked):
+            lists = slice(self.lists[query], self.lists[query + 1])
+            at = _ranges(self.low[lists], self.high[lists])
+            scores[i] = np.bincount(self.doc.take(at), self.weight.take(at), room)
+        least = np.maximum(floors - SLACK, LEAST)[:, None]
+        bound = scores.reshape(len(asked), self.blocks, BLOCK).max(2) + upper
+        chosen = np.flatnonzero((bound >= least).any(0))
+        matrix = self.matrix.reshape(-1, room)
+        for run in np.split(chosen, np.flatnonzero(np.diff(chosen) > 1) + 1) if len(chosen) else ():
+            here = slice(run[0] * BLOCK, (run[-1] + 1) * BLOCK)
+            scores[:, here] += has @ matrix[:, here]
+        for i in np.flatnonzero(floors == 0) if room > k else ():  # nothing is known of these yet
+            least[i] = max(LEAST, np.partition(scores[i], -k)[-k] - SLACK)
+        query, docs = np.nonzero(scores >= least)
+        score = np.round(scores[query, docs], DECIMALS)
+        kept = score >= floors[query]
+        query, docs, score = query[kept], docs[kept], score[kept]
+        best = np.lexsort((self.ids[docs], -score, query))
+        query, docs, score = query[best], docs[best], score[best]
+        rank = np.arange(len(query)) - np.searchsorted(query, query)
+        return tuple(x[rank < k] for x in (query, docs, score, rank))
 
 
 def _ranges(low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -204,25 +238,16 @@ def _searcher(shared, floored, mean: float, k: int):
     """A function that searches shards for a block of queries; `floored` is a broadcast of floors, or empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, ids, numbers, weights = shared.value
-        floors = floored.value if floored else {}
+        asked = shared.value
+        known = floored.value if floored else {}
+        floors = np.array([known.get(q, 0.0) for q in asked.ids.tolist()])
         for batch in batches:
             for row in range(batch.num_rows):
-                held = {c: batch.column(c)[row].as_py() for c in ("ids", "lengths", "terms", "docs", "counts")}
-                held["dfs"] = batch.column("dfs")[row].values.to_numpy()
-                shard = Shard(held, mean)
-                here = np.array([shard.number.get(w, -1) for w in words], np.int64)
-                out_query, out_doc, out_score = [], [], []
-                for query, number, weight in zip(ids, numbers, weights, strict=True):
-                    at = here[number]
-                    at, weight = at[at >= 0], weight[at >= 0]
-                    if len(at):
-                        docs, scores = shard.search(at, weight, k, floors.get(query, 0.0))
-                        out_query.append(np.full(len(docs), query, np.int64))
-                        out_doc.append(shard.ids[docs])
-                        out_score.append(scores)
-                if out_query:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_query, out_doc, out_score)], names=["query_id", "doc_id", "score"])
+                held = {c: batch.column(c)[row].as_py() for c in ("ids", "lengths", "docs", "counts")}
+                held |= {"dfs": batch.column("dfs")[row].values.to_numpy(), "terms": batch.column("terms")[row].values}
+                shard = Shard(held, mean, asked)
+                for query, docs, scores in shard.search(floors, k):
+                    yield pa.RecordBatch.from_arrays([pa.array(asked.ids[query]), pa.array(shard.ids[docs]), pa.array(scores)], names=["query_id", "doc_id", "score"])
 
     return run
 
@@ -260,13 +285,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     hits = None
     for block in range(blocks):
         part = weighed if blocks == 1 else weighed.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block)
-        vocabulary = _Vocabulary()
-        ids, numbers, weights = [], [], []
-        for row in part.toLocalIterator():
-            ids.append(row["query_id"])
-            numbers.append(np.array([vocabulary[t["term"]] for t in row["terms"]], np.int32))
-            weights.append(np.array([t["idf"] for t in row["terms"]]))
-        shared = spark.sparkContext.broadcast((list(vocabulary), ids, numbers, weights))
+        shared = spark.sparkContext.broadcast(Asked(part.select("query_id", F.size("terms").alias("size"), F.col("terms.term"), F.col("terms.idf")).toArrow()))
         columns = index.select("shard", "ids", "lengths", "terms", "dfs", "docs", "counts")
         opens = F.pmod(F.xxhash64("shard"), F.lit(FIRST)) == 0
         first = scratch.keep(columns.where(opens).mapInArrow(_searcher(shared, {}, mean, k), HIT), f"first-{block}")
