@@ -1,5 +1,6 @@
 """Operators on single texts, search, and the pipeline."""
 
+import glob
 import hashlib
 import math
 import re
@@ -9,11 +10,13 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from oracle import check
 from textweir.llm import html_extract, language, pii, queries, retrieval, secrets
+from textweir.llm.common import Scratch
 
 RANKS = secrets.vocabulary_bytes(secrets.VOCABULARY)
 ODD = [(1, None), (2, ""), (3, "é😀 a.b@c.d_e@f.g +1 (555) 010-9999 x 1.2.3.4.5.6.7.8 4111 1111 1111 1111 4111-1111-1111-1112"), (4, "5.300.2.1 1.1.1.1 @ a@b a@b. +12 +1-23456789"), (5, " ".join(f"q{i}@x.yz 10.0.0.{i}" for i in range(300))), (3, "same id"), (None, "no id 1.2.3.4")]
@@ -294,6 +297,18 @@ def test_search_in_blocks(spark, sf, monkeypatch):
     assert sorted(map(tuple, queries.op9_topk_search(spark, sf).collect())) == whole
 
 
+def test_search_holds_a_shard_at_a_time(spark, monkeypatch):
+    """Shards of one partition are row groups of their own, so that neither a writer nor a reader holds them all."""
+    made = []
+    monkeypatch.setattr(retrieval, "Scratch", lambda *a: made.append(Scratch(*a)) or made[-1])
+    size = retrieval.SHARD_BYTES + 1
+    docs = spark.range(4).coalesce(1).select(F.col("id").alias("doc_id"), F.concat(F.lit("red w"), F.col("id").cast("string"), F.repeat(F.lit(" "), F.lit(size))).alias("text"))
+    got = retrieval.search(docs, spark.createDataFrame([(7, "w2")], "query_id long, text string")).collect()
+    assert [(r["query_id"], r["rank"], r["doc_id"]) for r in got] == [(7, 1, 2)]
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(f"{made[0].path('index').removeprefix('file:')}/*.parquet")]
+    assert [[m.row_group(i).num_rows for i in range(m.num_row_groups)] for m in files if m.num_rows] == [[1] * 4]
+
+
 def bm25(texts, asked):
     """Scores of all texts for the set of terms of each query, by a plain matrix."""
     n, words = len(texts), {w: k for k, w in enumerate(sorted({w for t in texts for w in t.split()}))}

@@ -58,12 +58,17 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Write `df` and return it as read back; the shuffle files of the write go with its end."""
+    def keep(self, df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+        """Write `df` and return it as read back; the shuffle files of the write go with its end.
+
+        Writers and readers hold a row group, whose size Parquet looks at after
+        a hundred rows first: `rows` is how many a group has at most, for rows of megabytes.
+        """
         before = self.spark.conf.get(SHED, None)
         self.spark.conf.set(SHED, "true")
         try:
-            df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
+            out = df.write.mode("overwrite").option("compression", "zstd")
+            (out.option("parquet.block.row.count.limit", rows) if rows else out).parquet(self.path(name))
         finally:
             self.spark.conf.unset(SHED) if before is None else self.spark.conf.set(SHED, before)
         return self.spark.read.schema(df.schema).parquet(self.path(name))

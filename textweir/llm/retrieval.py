@@ -1,7 +1,8 @@
 """Exact top-k search: BM25 over sharded inverted indexes with block-max WAND pruning.
 
 Each input partition is indexed in shards of bounded size, written as one
-table. Global statistics (rows, mean length, document frequencies) are summed
+table with a row group for each, so that a task holds a shard or two, however
+many its partition has. Global statistics (rows, mean length, document frequencies) are summed
 from the shards, so every shard scores by the same weights and the merged
 result is that of one index.
 
@@ -243,7 +244,7 @@ def _searcher(shared, floored, mean: float, k: int):
         floors = np.array([known.get(q, 0.0) for q in asked.ids.tolist()])
         for batch in batches:
             for row in range(batch.num_rows):
-                held = {c: batch.column(c)[row].as_py() for c in ("ids", "lengths", "docs", "counts")}
+                held = {c: batch.column(c)[row].as_buffer() for c in ("ids", "lengths", "docs", "counts")}
                 held |= {"dfs": batch.column("dfs")[row].values.to_numpy(), "terms": batch.column("terms")[row].values}
                 shard = Shard(held, mean, asked)
                 for query, docs, scores in shard.search(floors, k):
@@ -265,7 +266,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     spark = docs.sparkSession
     scratch = Scratch(spark, "bm25")
     given = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NULL_ID)).alias("doc_id"), "text")
-    index = scratch.keep(given.mapInArrow(_index, INDEX), "index")
+    index = scratch.keep(given.mapInArrow(_index, INDEX), "index", rows=1)
     totals = index.agg(F.sum("n_docs"), F.sum("n_terms")).first()
     n, mean = totals[0] or 0, (totals[1] or 0) / (totals[0] or 1)
     counted = index.select(F.explode(F.arrays_zip("terms", "dfs")).alias("t")).groupBy(F.col("t.terms").alias("term")).agg(F.sum("t.dfs").alias("df"))
@@ -292,6 +293,8 @@ def search(docs: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
         floors = {r["query_id"]: r["score"] for r in first.withColumn("rank", F.row_number().over(order)).where(F.col("rank") == k).collect()}
         floored = spark.sparkContext.broadcast(floors)
         rest = scratch.keep(columns.where(~opens).mapInArrow(_searcher(shared, floored, mean, k), HIT), f"rest-{block}")
+        for sent in (shared, floored):
+            sent.destroy()
         part = first.unionByName(rest)
         hits = part if hits is None else hits.unionByName(part)
     best = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
