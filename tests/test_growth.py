@@ -42,6 +42,37 @@ def test_lost_terms_are_made_after_the_join(spark, tmp_path, monkeypatch):
     assert {(r["term"], r["df"]) for r in index.table("minus").collect()} == {("a", 3), ("b0", 1), ("b1", 1), ("b2", 1)}
 
 
+def test_no_join_of_an_index_is_broadcast_by_its_files(spark, tmp_path, monkeypatch):
+    """Small files may hold many rows: of those that grow with the index, only counted ones go through the driver."""
+    from pyspark.sql import DataFrameWriter
+    from textweir.operators import search, segments
+
+    plans, write = [], DataFrameWriter.parquet
+
+    def kept(self, path, *more):
+        plans.append((path, self._df._jdf.queryExecution().executedPlan().toString()))
+        return write(self, path, *more)
+
+    columns = "doc_id long, path string, corpus string, source string, date string, title string, url string, size long, mtime double, chunker string, text string, first_line int"
+    docs = lambda time: spark.createDataFrame([(i, f"p/{i}", "raw", "p", "", "", "", 1, time if i < 5 else 1.0, "std", f"a b{i}", 1) for i in range(20)], columns)
+    found = []
+    for few in (0, 1 << 16):
+        plans.clear()
+        with monkeypatch.context() as patch:
+            patch.setattr(segments, "FEW", few, raising=False)
+            patch.setattr(DataFrameWriter, "parquet", kept)
+            index = segments.opened(spark, str(tmp_path / str(few)))
+            for time in (1.0, 2.0, 3.0, 4.0):  # the last is a merge
+                before, index = index, segments.sync(index, docs(time))
+            rank = segments.keyword_rank(before, search.compile_query("b1 b7"))
+            plan = rank._jdf.queryExecution().executedPlan().toString()
+            found.append([(r["chunk_id"], r["bm25"]) for r in rank.orderBy("kw_rank").collect()])
+        sent = {path.split("/")[-2] for path, p in plans if "BroadcastExchange" in p}
+        # Slots that are named one by one are sent, and tombstones if they are few.
+        assert (sent, plan.count("BroadcastExchange")) == ((set(), 1) if few == 0 else ({"chunks", "attributes", "dead", "minus"}, 2))
+    assert found[0] == found[1] and len(found[0]) == 2
+
+
 def test_postings_need_no_shuffle_of_their_own(spark):
     """Texts are brought together by slots once; postings are made, and put into blocks, where their chunk is, in slices."""
     from textweir.operators import index, segments

@@ -14,6 +14,9 @@ best score by its blocks' heads, scores the most promising slots, and then only
 those whose bound reaches the pool's last score. Vectors lie in blocks around
 centroids: by the triangle inequality no vector of a block is nearer to the
 query than its centroid less the block's radius, which bounds its score.
+
+A join is broadcast only where its rows are counted and few: Spark would tell by
+the size of files, and compressed ids take many times that in the driver.
 """
 
 from __future__ import annotations
@@ -49,6 +52,8 @@ TIER = 4
 FIRST, RANGES, NAMED = 32, 64, 4096
 #: Vectors that centroids are fitted to, centroids at most, rounds, and vectors of a block.
 SAMPLE, CENTROIDS, ROUNDS, BLOCK = 8192, 256, 8, 256
+#: Rows that are sent to all tasks at most, to spare others a shuffle.
+FEW = 1 << 16
 #: Bytes of text whose blocks are sorted together.
 PART_BYTES = 16 << 20
 
@@ -76,14 +81,15 @@ class Index:
 
     def alive(self, rows: DataFrame) -> DataFrame:
         """Rows (segment, chunk_id) without those of chunks that a later segment replaced."""
-        if not any(s["dead"] for s in self.segments):
+        n = sum(s["dead"] for s in self.segments)
+        if not n:
             return rows
-        dead = self.table("dead").select(F.col("owner").alias("segment"), "chunk_id")
-        return rows.join(dead, ["segment", "chunk_id"], "left_anti")
+        dead = self.table("dead").where("terms >= 0").select(F.col("owner").alias("segment"), "chunk_id")
+        return rows.join(_sent(dead, n), ["segment", "chunk_id"], "left_anti")
 
     def docs(self) -> DataFrame:
         dead = self.table("dead").select(F.col("owner").alias("segment"), F.shiftright("chunk_id", 20).alias("doc_id")).distinct()
-        return self.table("docs").join(dead, ["segment", "doc_id"], "left_anti")
+        return self.table("docs").join(dead.hint("shuffle_hash"), ["segment", "doc_id"], "left_anti")
 
     @property
     def chunks(self) -> int:
@@ -94,6 +100,11 @@ class Index:
         return sum(s["terms"] - s["dead_terms"] for s in self.segments) / max(1, self.chunks)
 
 
+def _sent(rows: DataFrame, n: int) -> DataFrame:
+    """`n` rows as the right side of a semi or anti join: sent to all tasks if they are few, else shuffled."""
+    return F.broadcast(rows) if n <= FEW else rows.hint("shuffle_hash")
+
+
 def opened(spark: SparkSession, root: str, version: int | None = None) -> Index:
     """The index below `root` as of a version, the last one by default; one without documents where nothing is published."""
     root = root.rstrip("/")
@@ -250,7 +261,7 @@ def _name(level: int) -> str:
 def attributes(docs: DataFrame, chunks: DataFrame) -> DataFrame:
     """What a search needs of each chunk beside its text, in the order of ids."""
     lines = F.concat_ws("-", "start_line", "end_line").alias("lines")
-    rows = chunks.select("chunk_id", "doc_id", lines).join(docs.select("doc_id", "path", "corpus", "source", "date"), "doc_id")
+    rows = chunks.select("chunk_id", "doc_id", lines).join(docs.select("doc_id", "path", "corpus", "source", "date").hint("merge"), "doc_id")
     return rows.select(*(c.split()[0] for c in ATTRIBUTES.split(", "))).repartitionByRange("chunk_id").sortWithinPartitions("chunk_id")
 
 
@@ -272,7 +283,7 @@ def sync(index: Index, now: DataFrame, chunker: Chunker = chunked, model: Model
     changes = _kept(index, name, "changes", synced_docs(known, now.select(*known.columns)).select("doc_id", "change"))
     fresh = now.join(changes.where("change <> 'keep'").select("doc_id").hint("shuffle_hash"), "doc_id", "left_semi")
     kept = changes.where("change = 'keep'").select("doc_id")
-    gone = index.docs().select("segment", "doc_id").join(kept, "doc_id", "left_anti")
+    gone = index.docs().select("segment", "doc_id").join(kept.hint("shuffle_hash"), "doc_id", "left_anti")
     made = chunker(fresh)
     made = made.select((F.col("doc_id") * OF_ONE + F.col("ord")).alias("chunk_id"), "doc_id", "ord", "start_line", "end_line", "text")
     told = written(index, name, 0, {"docs": fresh.select(*known.columns), "chunks": made.sortWithinPartitions("chunk_id"), "attributes": lambda t: attributes(t["docs"], t["chunks"])})
@@ -286,7 +297,7 @@ def sync(index: Index, now: DataFrame, chunker: Chunker = chunked, model: Model
         told["tables"] += ["vectors", "near"]
     segments = [dict(s) for s in index.segments]
     if segments:
-        lost = index.table("chunks").join(gone, ["segment", "doc_id"], "left_semi").select(F.col("segment").alias("owner"), "chunk_id", F.array_distinct(tokens(F.col("text"))).alias("of"), F.size(tokens(F.col("text"))).alias("terms"))
+        lost = index.table("chunks").join(_sent(gone, gone.limit(FEW + 1).count()), ["segment", "doc_id"], "left_semi").select(F.col("segment").alias("owner"), "chunk_id", F.array_distinct(tokens(F.col("text"))).alias("of"), F.size(tokens(F.col("text"))).alias("terms"))
         # A document without chunks leaves its number.
         bare = gone.select(F.col("segment").alias("owner"), (F.col("doc_id") * OF_ONE + OF_ONE - 1).alias("chunk_id"), F.lit(-1).alias("terms"))
         lost.select("owner", "chunk_id", "terms").unionByName(bare).write.mode("overwrite").parquet(f"{index.root}/dead/segment={name}")
@@ -451,7 +462,7 @@ def _scored(index: Index, query: Query, slots: DataFrame, idfs: list[float], fil
     attrs = index.table("attributes").where(filters.condition())
     if spans is not None:
         attrs = attrs.where(_within("chunk_id", spans, index.slot_bits))
-    return scored.join(attrs, ["segment", "chunk_id"])
+    return scored.join(attrs.hint("merge"), ["segment", "chunk_id"])
 
 
 def keyword_rank(index: Index, query: Query, filters: Filters = Filters(), pool: int = POOL) -> DataFrame:
@@ -486,7 +497,7 @@ def _products(index: Index, vector: list[float], wanted: DataFrame, filters: Fil
     rows, _ = _chosen(index.table("near").select("segment", "block", "ids", "data"), wanted, "block")
     scored = index.alive(rows.select("segment", "ids", "data").mapInArrow(run, "segment string, chunk_id bigint, score double"))
     scored = scored.select("segment", "chunk_id", F.round("score", 6).alias("similarity"))
-    return scored.join(index.table("attributes").where(filters.condition()), ["segment", "chunk_id"]) if filters else scored
+    return scored.join(index.table("attributes").where(filters.condition()).hint("merge"), ["segment", "chunk_id"]) if filters else scored
 
 
 def vector_rank(index: Index, vector: list[float], filters: Filters | None = None, pool: int = POOL) -> DataFrame:
